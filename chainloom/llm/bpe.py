@@ -186,7 +186,7 @@ def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFr
     return tokens.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
-def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Counts and digests of decode()'s rows."""
+def digests(decoded: DataFrame, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Counts and digests of decode()'s rows, with those of its columns that are to be kept."""
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded.select(id_col, F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return decoded.select(id_col, *keep, F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -67,6 +67,6 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs with the rows that stay; a row that repeats another's id and text stays with it."""
+    """docs with the rows that stay; a row that repeats another's id and text stays with it, and null ids stay."""
     gone = duplicate_groups(docs, id_col, text_col, **how).where(~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)

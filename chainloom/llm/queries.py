@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainloom.llm import bpe, exact_dedup, simhash
-from chainloom.llm.shared import table
+from chainloom.llm import bpe, chat_format, exact_dedup, langid, mixing, pii, quality, secrets, simhash, topk
+from chainloom.llm.oracles import ORACLE_SQL
+from chainloom.llm.shared import held_out, table
+from chainloom.llm.spans import count_kind, listed
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,11 +24,51 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat_format.probe(spark))
+    chats = chat_format.format_chats(turns.withColumn("parts", chat_format.text_part(F.col("text"))))
+    read = chats.select("conv_id", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("formatted"), F.col("loss")).alias("loss"))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=3)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learned = langid.prototypes(docs.where(~held_out(F.col("doc_id"))))
+    return langid.identify(docs, learned).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    weights = quality.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    scored = quality.score(docs, weights)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = secrets.findings(table(spark, sf_dir, "documents"))
+    kinds = tuple(r.kind for r in secrets.RULES)
+    base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE))
+    counts = (count_kind(F.col("found"), k).alias(f"n_{k}") for k in secrets.BASE)
+    return found.select("doc_id", *counts, F.sha2(listed(base, ("start,kind", *kinds)), 256).alias("base_sha256"), listed(F.col("found"), ("start,kind", *kinds)).alias("spans"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop("bucket")
 
@@ -34,13 +78,16 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
 
 
-QUERIES: dict[str, Query] = {"op2_simhash": op2_simhash, "op7_exact_dedup": op7_exact_dedup, "op8_bpe": op8_bpe}
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    kinds = tuple(d.kind for d in pii.DETECTORS)
+    base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE))
+    counts = (count_kind(F.col("found"), k).alias(f"n_{k}") for k in pii.BASE)
+    return found.select("doc_id", *counts, F.sha2(listed(base, ("kind,start", *kinds)), 256).alias("base_sha256"), listed(F.col("found"), ("kind,start", *kinds)).alias("spans"))
+
 
-ORACLE_SQL: dict[str, str] = {
-    "op7_exact_dedup": r"""
-        with n as (select doc_id, length(coalesce(text, '')) as n_text, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents)
-        select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size,
-            doc_id = first_value(doc_id) over w as kept, sha256(norm) as text_sha256
-        from n window w as (partition by norm order by n_text desc, doc_id)
-    """,
-}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_topk, op4_langid, op5_quality, op6_secrets, op7_exact_dedup, op8_bpe, op9_mixing, op10_pii)}

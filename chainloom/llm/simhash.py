@@ -228,7 +228,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the rows that are not the smallest id of their component; repeated rows of that id all stay."""
+    """docs without the rows that are not the smallest id of their component; repeated rows of that id all stay, and so do null ids."""
     groups = near_duplicates(docs, id_col, text_col, **how)
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)
