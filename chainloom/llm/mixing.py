@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts are added up by cells (source, language, topic). The cells' weights are raked to each target marginal in turn,
-again and again, until all hold; a document's probability is its cell's fitted share against its share of tokens, scaled so
-that the largest is one, and a hash of its id against that probability decides, alike in every run.
+again and again, until all hold. A document's probability is its cell's fitted tokens against its tokens, scaled so that a given share
+of all tokens is expected to stay, with cells that would need more than all their documents kept whole; those carry a weight
+above one instead. A hash of the id against the probability decides, alike in every run.
 """
 
 from __future__ import annotations
@@ -15,7 +16,9 @@ from chainloom.llm.shared import materialize
 
 WORDS = "[^\\x20\\x09-\\x0D]+"
 #: Rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
-ROUNDS, FLATTEN = 8, 0.5
+ROUNDS, FLATTEN = 8, 0.7
+#: Share of all tokens that is to stay.
+KEEP = 0.8
 MARGINS = ("source", "lang", "topic")
 
 
@@ -58,12 +61,27 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
     return out.select(*keys, "tokens", "weight")
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN) -> DataFrame:
-    """One row for each row of docs: (id, source, lang, topic, n_tokens, probability, kept).
+def scale_to(fitted: DataFrame, keep: float) -> float:
+    """The factor of weight/tokens by which the cells keep the share keep of all tokens, none more than all of its own.
 
-    docs needs source and lang; the topic is topic()'s. Null values of a margin form a value of their own, "". Documents
-    without words have no weight to rake: a cell of such documents only gets probability 1, since keeping them costs no
-    tokens. Rows with a repeated id share a decision if they share a cell. An empty table gives an empty result.
+    Each step keeps those cells whole that the last factor would overdraw; the factor only grows, until no cell joins them.
+    A step is one sum over the cells.
+    """
+    scale, last = 0.0, -1.0
+    while scale != last:
+        full = (F.col("tokens") == 0) | (F.col("weight") * scale >= F.col("tokens"))
+        whole, rest, total = fitted.agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))), F.sum("tokens")).first()
+        scale, last = max(scale, (keep * total - whole) / rest if rest else scale), scale
+    return scale
+
+
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN) -> DataFrame:
+    """One row for each row of docs: (id, source, lang, topic, n_tokens, probability, weight, kept).
+
+    docs needs source and lang; the topic is topic()'s. Null values of a margin form a value of their own, "". A cell of
+    documents without words has no tokens to rake: it gets probability 1, since keeping it costs none. weight is what a kept
+    document counts for: over one where all of a cell is too little for its target. Rows with a repeated id share a decision
+    if they share a cell. An empty table gives an empty result.
     """
     words = F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORDS)).cast("bigint")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), topic(F.col(text_col)).alias("topic"), words.alias("n_tokens"))
@@ -71,10 +89,10 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, id_col: st
     cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     given = targets or {}
     fitted = fit_cells(cells, {k: given[k] if k in given else default_targets(cells, k, flatten) for k in MARGINS}, rounds)
-    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens"))
-    top = fitted.agg(F.max(ratio)).first()[0] or 1.0  # one number
-    p = fitted.select(*MARGINS, F.round(F.coalesce(ratio / F.lit(top), F.lit(1.0)), 9).alias("probability"))
-    return rows.join(p, list(MARGINS)).select(F.col("id").alias(id_col), *MARGINS, "n_tokens", "probability", (uniform(F.col("id"), seed) < F.col("probability")).alias("kept"))
+    scale = scale_to(fitted, keep)
+    ratio = F.when(F.col("tokens") > 0, F.col("weight") * scale / F.col("tokens")).otherwise(1.0)
+    p = fitted.select(*MARGINS, F.round(F.least(ratio, F.lit(1.0)), 9).alias("probability"), F.round(F.greatest(ratio, F.lit(1.0)), 6).alias("weight"))
+    return rows.join(p, list(MARGINS)).select(F.col("id").alias(id_col), *MARGINS, "n_tokens", "probability", "weight", (uniform(F.col("id"), seed) < F.col("probability")).alias("kept"))
 
 
 def sample(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:

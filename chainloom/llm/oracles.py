@@ -96,13 +96,17 @@ PII = f"""
 """
 
 
-def _raked(rounds: int = 8) -> str:
+def _raked(rounds: int = 8, scales: int = 16) -> str:
     out, last = "", "c0"
     for r in range(rounds):
         for k in ("source", "lang", "topic"):
             out += f"r{r}{k} as (select * replace (case when sum(weight) over (partition by {k}) > 0 then weight * {k}_share / sum(weight) over (partition by {k}) else 0 end as weight) from {last}),\n"
             last = f"r{r}{k}"
-    return out + f"fitted as (select *, case when tokens > 0 then weight / tokens end as ratio from {last})"
+    out += f"s0 as (select 0.0::double as s),\n"
+    for k in range(scales):
+        full = f"tokens = 0 or weight * s{k}.s >= tokens"
+        out += f"s{k + 1} as (select greatest(any_value(s{k}.s), coalesce((0.8 * sum(tokens) - sum(case when {full} then tokens else 0 end)) / nullif(sum(case when {full} then 0 else weight end), 0), 0)) as s from {last}, s{k}),\n"
+    return out + f"fitted as (select {last}.* exclude (weight), case when tokens > 0 then weight * s{scales}.s / tokens else 1 end as ratio from {last}, s{scales})"
 
 
 MIXING = rf"""
@@ -112,13 +116,13 @@ MIXING = rf"""
             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as n_tokens
         from documents
     ), cells as (select source, lang, topic, sum(n_tokens)::bigint as tokens from d group by all),
-    ts as (select source, sqrt(sum(tokens)::double) as t from cells group by 1), tl as (select lang, sqrt(sum(tokens)::double) as t from cells group by 1), tt as (select topic, sqrt(sum(tokens)::double) as t from cells group by 1),
+    ts as (select source, pow(sum(tokens)::double, 0.7) as t from cells group by 1), tl as (select lang, pow(sum(tokens)::double, 0.7) as t from cells group by 1), tt as (select topic, pow(sum(tokens)::double, 0.7) as t from cells group by 1),
     c0 as (
         select cells.*, tokens::double as weight, ts.t / (select sum(t) from ts) as source_share, tl.t / (select sum(t) from tl) as lang_share, tt.t / (select sum(t) from tt) as topic_share
         from cells join ts using (source) join tl using (lang) join tt using (topic)
     ), {_raked()},
-    p as (select source, lang, topic, round(coalesce(ratio / (select max(ratio) from fitted), 1), 9) as probability from fitted)
-    select doc_id, source, lang, topic, n_tokens, probability, ('0x' || substr(sha256(doc_id || ':0'), 1, 13))::bigint / 4503599627370496.0::double < probability as kept
+    p as (select source, lang, topic, round(least(ratio, 1), 9) as probability, round(greatest(ratio, 1), 6) as weight from fitted)
+    select doc_id, source, lang, topic, n_tokens, probability, weight, ('0x' || substr(sha256(doc_id || ':0'), 1, 13))::bigint / 4503599627370496.0::double < probability as kept
     from d join p using (source, lang, topic)
 """
 
