@@ -22,6 +22,8 @@ from chainloom.llm.shared import materialize
 BITS = 64
 #: Depth of the histogram from which the trie is cut: 2**12 counters at most reach the driver, whatever the input.
 CUT_BITS = 12
+#: The trie is cut at this depth at least, so that small inputs are dealt out as large ones are.
+LEAST_BITS = 4
 #: Hashes whose bits are counted at once.
 CHUNK = 1 << 16
 
@@ -53,7 +55,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS) -> list[tuple[int, int]]:
-    """(depth, prefix) of the subtrees: nodes with more than leaf_rows rows are split, down to the given depth."""
+    """(depth, prefix) of the subtrees: nodes with more than leaf_rows rows, and those above LEAST_BITS, are split,
+    down to the given depth."""
     full = np.zeros(1 << depth, np.int64)
     for prefix, n in counts.items():
         full[prefix] = n
@@ -63,7 +66,7 @@ def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS) -> l
     leaves, nodes = [], [(0, 0)]
     while nodes:
         d, p = nodes.pop()
-        if levels[d][p] > leaf_rows and d < depth:
+        if levels[d][p] and d < depth and (d < LEAST_BITS or levels[d][p] > leaf_rows):
             nodes += [(d + 1, 2 * p + 1), (d + 1, 2 * p)]
         elif levels[d][p]:
             leaves.append((d, p))
@@ -168,7 +171,7 @@ def task_links(table: pa.Table, budget: int) -> pa.Table:
     return pa.table({"u": nodes[child].view(np.int64), "v": nodes[forest.up[child]].view(np.int64)})
 
 
-def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int = 1 << 15) -> DataFrame:
+def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int = 1 << 16) -> DataFrame:
     """Links (u, v) that connect just what pairs of the distinct fingerprints in fps(fp) within max_bits connect."""
     spark = fps.sparkSession
     prefix = F.shiftrightunsigned("fp", BITS - CUT_BITS)
@@ -212,7 +215,7 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int = 1 << 15) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int = 1 << 16) -> DataFrame:
     """One row for each row of docs: (id, fp, component_id).
 
     component_id is the smallest id that the row reaches over fingerprints differing in at most max_bits bits. Equal
