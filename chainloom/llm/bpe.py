@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -25,6 +26,8 @@ PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{
 REMEMBERED = 120_000
 #: Bytes of text after which a batch of results is handed on.
 BATCH_BYTES = 4 << 20
+#: Rows decoded at once.
+DECODE_ROWS = 256
 
 
 def byte_chars() -> list[str]:
@@ -67,6 +70,9 @@ class Codec:
             self.matches.add_word(word, (len(word), i))
         self.matches.make_automaton()
         self.size = [len(w) for w in self.bytes]
+        self.sizes = np.array(self.size, np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.known: dict[str, list[int]] = {}
         self.before: dict[str, list[int]] = {}
         self.tested: dict[tuple[int, int], bool] = {}
@@ -118,27 +124,43 @@ class Codec:
             at -= self.size[last[at]]
         return ids[::-1]
 
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known = self.known
+    def encode(self, text: str) -> np.ndarray:
         parts = self.split_special.split(text) if any(s in text for s in self.special) else [text]
+        found: list[list[int]] = []
         for part in parts:
             if part in self.special:
-                out.append(self.special[part])
+                found.append([self.special[part]])
                 continue
-            for piece in PIECE.findall(part):
-                ids = known.get(piece)
-                if ids is None:
-                    ids = self.before.get(piece) or self.piece(piece)
-                    if len(piece) <= 64:
-                        if len(known) >= REMEMBERED:
-                            self.before, self.known = known, (known := {})
-                        known[piece] = ids
-                out += ids
-        return out
-
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+            pieces = PIECE.findall(part)
+            ids = list(map(self.known.get, pieces))
+            if None in ids:
+                ids = [self.remember(p) if i is None else i for p, i in zip(pieces, ids)]
+            found += ids
+        return np.fromiter(chain.from_iterable(found), np.int32)
+
+    def remember(self, piece: str) -> list[int]:
+        ids = self.known.get(piece) or self.before.get(piece) or self.piece(piece)
+        if len(piece) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.before, self.known = self.known, {}
+            self.known[piece] = ids
+        return ids
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of several lists of ids, one after another, by where each begins and the last ends."""
+        sizes = self.sizes[ids]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        data = self.blob[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        at = ends[offsets - offsets[0]]
+        inner = at[:-1][at[:-1] < len(data)]
+        try:
+            data.tobytes().decode()
+            whole = not ((data[inner] & 0xC0) == 0x80).any()  # no text begins within a character
+        except UnicodeDecodeError:
+            whole = False
+        if not whole:
+            return pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])], pa.string())
+        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data))
 
 
 @lru_cache(maxsize=2)
@@ -159,7 +181,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
             for row, text in enumerate(b.column(1), 1):
                 text = text.as_py() or ""
                 ids = c.encode(text)
-                flat.append(np.array(ids, np.int32))
+                flat.append(ids)
                 sizes.append(len(ids))
                 seen += len(text)
                 if seen >= BATCH_BYTES or row == b.num_rows:
@@ -177,10 +199,13 @@ def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab_path)
         for b in batches:
-            texts = []
-            for ids in b.column(1):
-                texts.append(c.decode(ids.values.to_pylist()) if ids.is_valid else "")
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
+            lists = b.column(1).fill_null([]) if b.column(1).null_count else b.column(1)
+            offsets = lists.offsets.to_numpy()
+            for at in range(0, b.num_rows, DECODE_ROWS):
+                some = offsets[at : at + DECODE_ROWS + 1]
+                texts = c.decode(lists.values[some[0] : some[-1]].to_numpy(), some)
+                n = len(some) - 1
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), lists.slice(at, n), texts], names=[id_col, "ids", "decoded"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
     return tokens.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
