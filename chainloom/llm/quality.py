@@ -125,7 +125,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # PLACES + 1 rows at most, whatever the input.
     out = np.zeros(PLACES + 1)
     mean = learnt.groupBy("place").agg((F.sum(F.col("w").cast("decimal(30,12)")) / LEARNERS).cast("double").alias("w")).toPandas()
-    out[mean.place.to_numpy()] = mean.w.to_numpy()
+    out[mean.place.to_numpy(np.int64)] = mean.w.to_numpy(np.float64)
     return out
 
 
