@@ -66,7 +66,7 @@ def asset_type(name: Column, payload: Column) -> Column:
 
 def parse_address_list(s: Column, cap: int = ADDRESS_CAP) -> Column:
     """A comma-separated list: trimmed, blanks dropped, first of equals kept, at most cap."""
-    return F.slice(F.array_distinct(F.filter(F.transform(F.split(s, ","), F.trim), lambda a: a != "")), 1, cap)
+    return F.slice(F.array_distinct(F.filter(F.transform(F.split(s, ","), lambda a: F.trim(a)), lambda a: a != "")), 1, cap)
 
 
 def chain_kind(rows: DataFrame, chain_dim: DataFrame, alias_col: str = "chain") -> tuple[DataFrame, DataFrame]:

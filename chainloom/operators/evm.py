@@ -24,6 +24,7 @@ def _nonzero(c: Column) -> Column:
 
 
 def _base(nb: DataFrame, *more: Column) -> DataFrame:
+    """The columns that all tables share, and more; lists are opened by _each(), in a step after this one."""
     b = F.col("block")
     ts = hex_to_long(_text(b["timestamp"]))
     return nb.select(b["hash"].alias("blockhash"), hex_to_long(_text(b["number"])).alias("blocknumber"), ts.alias("blocktimestamp"), partition_date(ts).alias("partition_date"), *more)
@@ -33,6 +34,13 @@ def _select(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("blockhash", "blocknumber", "blocktimestamp", *columns, "partition_date")
 
 
+def _each(nb: DataFrame, items: str, name: str, at: str | None = None) -> DataFrame:
+    """One row for each item of a list of the block, as `name`, with its place in the list as `at` if wanted."""
+    rows = _base(nb, F.col(items).alias("items"))
+    keep = [c for c in rows.columns if c != "items"]
+    return rows.select(*keep, F.posexplode("items").alias(at, name) if at else F.explode("items").alias(name))
+
+
 def evm_blocks(nb: DataFrame) -> DataFrame:
     """One row a block. The receipts root goes out as the receipt hash, and the state root as the receipts root: the golden
     files have it so."""
@@ -57,7 +65,7 @@ def evm_transactions(nb: DataFrame) -> DataFrame:
     gas, price, value = hex_to_long(_text(t["gas"])), hex_to_long(_text(t["gasPrice"])), hex_to_decimal(_text(t["value"]))
     fee = lambda c: hex_to_decimal(F.when(_text(c) == "", _text(t["gasPrice"])).otherwise(c))
     return _select(
-        _base(nb, F.explode("block.transactions").alias("t")),
+        _each(nb, "block.transactions", "t"),
         t["hash"].alias("transactionhash"), t["from"].alias("transactionfrom"), normalise_to(t["to"]).alias("transactionto"), gas.alias("transactiongas"), price.alias("transactiongasprice"),
         fee(t["maxFeePerGas"]).alias("transactionmaxfeepergas"), fee(t["maxPriorityFeePerGas"]).alias("transactionmaxpriorityfeepergas"), t["input"].alias("transactioninput"), hex_to_long(_text(t["nonce"])).alias("transactionnonce"),
         hex_to_long(_text(t["transactionIndex"])).alias("transactionindex"), tx_cost(gas, price, value).alias("transactioncost"), value.alias("transactionvalue"), hex_to_long(_text(t["type"])).cast("string").alias("transactiontype"),
@@ -70,7 +78,7 @@ def evm_receipts(nb: DataFrame) -> DataFrame:
     contract = F.when(_text(r["contractAddress"]) == "", ZERO_ADDRESS).otherwise(r["contractAddress"])
     n = lambda c: hex_to_long(_text(c))
     return _select(
-        _base(nb, F.explode("receipts").alias("r")),
+        _each(nb, "receipts", "r"),
         r["transactionHash"].alias("transactionhash"), n(r["gasUsed"]).alias("transactionreceiptgasused"), n(r["cumulativeGasUsed"]).alias("transactionreceiptcumulativegasused"), n(r["status"]).alias("transactionreceiptstatus"),
         contract.alias("transactionreceiptcontractaddress"), F.lit("").alias("transactionreceiptpoststate"), n(r["effectiveGasPrice"]).alias("transactionreceipteffectivegasprice"),
     )
@@ -85,7 +93,7 @@ def topics_pivot(topics: Column, n: int = 4) -> list[Column]:
 def evm_logs(nb: DataFrame) -> DataFrame:
     """One row a log."""
     g = F.col("g")
-    rows = _base(nb, F.explode("receipts").alias("r")).select("blockhash", "blocknumber", "blocktimestamp", "partition_date", F.explode("r.logs").alias("g"))
+    rows = _each(nb, "receipts", "r").select("blockhash", "blocknumber", "blocktimestamp", "partition_date", F.explode("r.logs").alias("g"))
     return _select(
         rows,
         g["transactionHash"].alias("transactionhash"), g["address"].alias("logaddress"), *topics_pivot(g["topics"]), g["data"].alias("logdata"),
@@ -121,7 +129,7 @@ def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_fi
 def evm_internal_txs(nb: DataFrame) -> DataFrame:
     """One row a call of each trace, in pre-order: callindex `call_0`, `call_0_1` and so on, trace_position from 0 in each
     transaction. Null traces give no rows; null values are 0."""
-    roots = _base(nb, F.posexplode("traces").alias("tx_pos", "trace")).select("blockhash", "blocknumber", "blocktimestamp", "partition_date", "tx_pos", F.col("trace.txHash").alias("transactionhash"), F.nullif("trace.result", F.lit("null")).alias("tree"))
+    roots = _each(nb, "traces", "trace", "tx_pos").select("blockhash", "blocknumber", "blocktimestamp", "partition_date", "tx_pos", F.col("trace.txHash").alias("transactionhash"), F.nullif("trace.result", F.lit("null")).alias("tree"))
     n = F.col("node")
     nodes = flatten_tree(roots, "tree", CALL, "calls").where(F.col("node").isNotNull())
     order = Window.partitionBy("blocknumber", "blockhash", "tx_pos").orderBy("path")
@@ -138,7 +146,7 @@ def evm_internal_txs(nb: DataFrame) -> DataFrame:
 def evm_messages(nb: DataFrame) -> DataFrame:
     """One row a transaction: sender, receiver as it is given, gas price."""
     t = F.col("t")
-    return _select(_base(nb, F.explode("block.transactions").alias("t")), t["hash"].alias("transactionhash"), t["from"].alias("transactionmessagefrom"), _text(t["to"]).alias("transactionmessageto"), hex_to_long(_text(t["gasPrice"])).alias("transactionmessagegasprice"))
+    return _select(_each(nb, "block.transactions", "t"), t["hash"].alias("transactionhash"), t["from"].alias("transactionmessagefrom"), _text(t["to"]).alias("transactionmessageto"), hex_to_long(_text(t["gasPrice"])).alias("transactionmessagegasprice"))
 
 
 def transform_batch(nb: DataFrame) -> dict[str, DataFrame]:

@@ -39,10 +39,14 @@ def _outs(c: str) -> Column:
 
 def _tagged(parts: list[tuple[Column, str, Column, bool]]) -> Column:
     """One array over several lists of outputs, numbered through: list, role, chain where it is used up, staked."""
+
+    def numbered(outs: Column, role: str, consumed_on: Column, staked: bool, offset: Column) -> Column:
+        return F.transform(outs, lambda o, i: F.struct((offset + i).cast("bigint").alias("output_index"), o.alias("o"), F.lit(role).alias("role"), consumed_on.alias("consumed_on"), F.lit(staked).alias("staked")))
+
     lists, offset = [], F.lit(0)
-    for outs, role, consumed_on, staked in parts:
-        lists.append(F.transform(outs, lambda o, i, off=offset, role=role, c=consumed_on, s=staked: F.struct((off + i).cast("bigint").alias("output_index"), o.alias("o"), F.lit(role).alias("role"), c.alias("consumed_on"), F.lit(s).alias("staked"))))
-        offset = offset + F.size(outs)
+    for part in parts:
+        lists.append(numbered(*part, offset))
+        offset = offset + F.size(part[0])
     return F.concat(*lists)
 
 

@@ -29,14 +29,21 @@ def _unknown(json: Column, kind: T.DataType, at: str) -> list[tuple[str, Column]
     if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StructType, T.ArrayType)):
         items = F.coalesce(F.from_json(json, "array<string>"), F.array().cast("array<string>"))
         paths = [p for p, _ in _unknown(F.lit(""), kind.elementType, f"{at}[]")]
-        return [(p, F.array_distinct(F.flatten(F.transform(items, lambda x, k=k: _unknown(x, kind.elementType, f"{at}[]")[k][1])))) for k, p in enumerate(paths)]
+
+        def within(k: int) -> Column:
+            return F.array_distinct(F.flatten(F.transform(items, lambda x: _unknown(x, kind.elementType, f"{at}[]")[k][1])))
+
+        return [(p, within(k)) for k, p in enumerate(paths)]
     return []
 
 
 def strict_schema_check(lines: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """lines with `unknown`: `path: key` of each JSON key, at any level, that the schema lacks. Empty means the line passes."""
-    each = [F.transform(keys, lambda k, p=path: F.concat(F.lit(f"{p}: "), k)) for path, keys in _unknown(F.col(value_col), schema, "$")]
-    return lines.withColumn("unknown", F.flatten(F.array(*each)))
+
+    def told(path: str, keys: Column) -> Column:
+        return F.transform(keys, lambda k: F.concat(F.lit(f"{path}: "), k))
+
+    return lines.withColumn("unknown", F.flatten(F.array(*(told(*x) for x in _unknown(F.col(value_col), schema, "$")))))
 
 
 def from_block(df: DataFrame, start: int = 1, col: str = "block_number") -> DataFrame:
