@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainloom.llm.shared import small_batches
+
 #: The pieces that byte-level BPE splits a text into.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Pieces remembered by each worker in each of two generations; when one is full, the older is forgotten.
@@ -190,7 +192,7 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
                     first, flat, sizes, seen = row, [], [], 0
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFrame:
@@ -208,7 +210,7 @@ def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFr
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), lists.slice(at, n), texts], names=[id_col, "ids", "decoded"])
 
     kind = tokens.schema[id_col].dataType.simpleString()
-    return tokens.select(id_col, "ids").mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return small_batches(tokens.select(id_col, "ids")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:

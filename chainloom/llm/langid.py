@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainloom.llm.shared import small_batches
+
 #: Letters of an n-gram (an odd number), length of the vectors, and what they are drawn from.
 N, DIM, SEED = 3, 256, 20
 #: Code points of text handled at once.
@@ -120,7 +122,7 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
             yield pa.RecordBatch.from_arrays([pa.array([lang] * DIM), pa.array(np.arange(DIM, dtype=np.int32)), pa.array(np.rint(v).astype(np.int64))], names=["lang", "i", "v"])
 
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, F.col(lang_col).cast("string").alias("lang"))
-    return known.mapInArrow(run, "lang string, i int, v bigint").groupBy("lang", "i").agg(F.sum("v").alias("v"))
+    return small_batches(known).mapInArrow(run, "lang string, i int, v bigint").groupBy("lang", "i").agg(F.sum("v").alias("v"))
 
 
 def identify(docs: DataFrame, learned: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,4 +151,4 @@ def identify(docs: DataFrame, learned: DataFrame, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores)], names=[id_col, "lang_pred", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")

@@ -15,12 +15,13 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chainloom.llm.shared import small_batches
+
 #: Places for features, and the n-grams' length.
 PLACES, NGRAM = 1 << 18, 2
 #: Labelled rows that are learnt from at most, the learners that share them, and passes over them.
@@ -28,7 +29,7 @@ TRAIN_ROWS, LEARNERS, PASSES = 12_000, 4, 3
 #: Of the updates: step, its offset, and the weights of the two penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.01, 0.01
 #: Code points of text read at once, and words remembered by a worker.
-BLOCK, REMEMBERED = 1 << 20, 150_000
+BLOCK, REMEMBERED = 1 << 20, 100_000
 
 WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -110,22 +111,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             found = [features(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([f[0] for f in found], pa.list_(pa.int32())), pa.array([f[1] for f in found], pa.list_(pa.float32()))], names=["h", "label", "places", "vals"])
 
-    def learn(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def learn(rows: pa.Table) -> pa.Table:
         model = Ftrl()
-        rows = rows.sort_values(["h", "label"])
+        rows = rows.combine_chunks().sort_by([("h", "ascending"), ("label", "ascending")])
+        places, values, labels = rows.column("places"), rows.column("vals"), rows.column("label").to_numpy()
         for _ in range(PASSES):
-            for places, values, label in zip(rows.places, rows.vals, rows.label):
-                model.learn(np.asarray(places), np.asarray(values), label)
+            for p, v, label in zip(places, values, labels):
+                model.learn(p.values.to_numpy(), v.values.to_numpy(), label)
         used = np.flatnonzero(model.n)
         w = model.weights(used)
-        return pd.DataFrame({"place": used[w != 0], "w": w[w != 0]})
+        return pa.table({"place": used[w != 0].astype(np.int32), "w": w[w != 0]})
 
-    found = rows.mapInArrow(featured, "h bigint, label double, places array<int>, vals array<float>")
-    learnt = found.groupBy(F.pmod("h", F.lit(LEARNERS)).alias("learner")).applyInPandas(learn, "place int, w double")
+    found = small_batches(rows).mapInArrow(featured, "h bigint, label double, places array<int>, vals array<float>")
+    learnt = found.groupBy(F.pmod("h", F.lit(LEARNERS)).alias("learner")).applyInArrow(learn, "place int, w double")
     # PLACES + 1 rows at most, whatever the input.
     out = np.zeros(PLACES + 1)
-    mean = learnt.groupBy("place").agg((F.sum(F.col("w").cast("decimal(30,12)")) / LEARNERS).cast("double").alias("w")).toPandas()
-    out[mean.place.to_numpy(np.int64)] = mean.w.to_numpy(np.float64)
+    mean = learnt.groupBy("place").agg((F.sum(F.col("w").cast("decimal(30,12)")) / LEARNERS).cast("double").alias("w")).toArrow()
+    out[mean.column("place").to_numpy()] = mean.column("w").to_numpy()
     return out
 
 
@@ -144,7 +146,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores_of((t.as_py() or "" for t in b.column(1)), sent.value))], names=[id_col, "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, score double")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, score double")
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
@@ -156,4 +158,4 @@ def keep_good(docs: DataFrame, weights: np.ndarray, min_score: float = 0.5, text
         for b in batches:
             yield b.filter(pa.array(scores_of((t.as_py() or "" for t in b.column(at)), sent.value) >= min_score))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

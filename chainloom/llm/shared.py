@@ -36,3 +36,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """True for the fold that no model learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
+
+
+#: Bytes and rows of the batches that tasks send to Python: texts may be long, and several copies of a batch are in memory.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+#: Spark's own defaults of the two limits.
+DEFAULT_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "10000", "spark.sql.execution.arrow.maxBytesPerBatch": "67108864b"}
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering its session's Arrow batch limits to BATCH_BYTES and BATCH_ROWS where they are Spark's defaults."""
+    conf = df.sparkSession.conf
+    for (key, default), most in zip(DEFAULT_BATCHES.items(), (BATCH_ROWS, BATCH_BYTES)):
+        if conf.get(key) == default:
+            conf.set(key, str(most))
+    return df

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import materialize
+from chainloom.llm.shared import materialize, small_batches
 
 BITS = 64
 #: Depth of the histogram from which the trie is cut: 2**12 counters at most reach the driver, whatever the input.
@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
 def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS) -> list[tuple[int, int]]:
