@@ -49,7 +49,7 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
     for k, t in targets.items():
         # At most one row for each value of the margin; joined before raking, so the rounds need only windows.
         present = cells.select(k).distinct().join(t, k, "left").select(k, F.coalesce("target", F.lit(0.0)).alias("target"))
-        scaled = present.withColumn(f"{k}_share", F.col("target") / F.sum("target").over(everything)).drop("target")
+        scaled = present.withColumn(f"{k}_share", F.coalesce(F.try_divide("target", F.sum("target").over(everything)), F.lit(0.0))).drop("target")
         out = out.join(scaled, k)
     out = materialize(out.select(*keys, "tokens", "weight", *(f"{k}_share" for k in keys)), "mix-cells")
     for r in range(rounds):
