@@ -9,11 +9,11 @@ would fire before the merges that make them.
 from __future__ import annotations
 
 import json
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -24,10 +24,14 @@ from chainloom.llm.shared import small_batches
 
 #: The pieces that byte-level BPE splits a text into.
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: The same for texts of Latin letters alone, with the classes spelt out: the plain engine is the faster one.
+_SPACE, _LETTER, _NUMBER = r"\t-\r \x85\xa0", r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"0-9²³¹¼½¾"
+NOT_LATIN = re.compile("[^\\x00-\u024f]")
+LATIN_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Pieces remembered by each worker in each of two generations; when one is full, the older is forgotten.
-REMEMBERED = 120_000
-#: Bytes of text after which a batch of results is handed on.
-BATCH_BYTES = 4 << 20
+REMEMBERED = 150_000
+#: Code points of text that are encoded together.
+BATCH_CHARS = 2 << 20
 #: Rows decoded at once.
 DECODE_ROWS = 256
 
@@ -64,20 +68,15 @@ class Codec:
         never = len(self.rank) + 1
         #: For each token: the tokens along its right (left) edge, each with the rank of the merge that ends it.
         self.right_edge, self.left_edge = [self._edge(i, made, 1, never) for i in range(len(self.bytes))], [self._edge(i, made, 0, never) for i in range(len(self.bytes))]
-        self.matches = ahocorasick.Automaton()
-        self.one = [vocab.get(c, -1) for c in byte_chars()]
-        reachable = {i for i in self.one if i >= 0} | {*made}
-        for i in sorted(reachable):
-            word = self.bytes[i].decode("latin-1")
-            self.matches.add_word(word, (len(word), i))
-        self.matches.make_automaton()
+        self._build({i for i in (vocab.get(c, -1) for c in byte_chars()) if i >= 0} | {*made})
         self.size = [len(w) for w in self.bytes]
         self.sizes = np.array(self.size, np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
-        self.known: dict[str, list[int]] = {}
-        self.before: dict[str, list[int]] = {}
-        self.tested: dict[tuple[int, int], bool] = {}
+        #: Ids of pieces, as the bytes of 32-bit numbers.
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.tested: dict[int, bool] = {}
 
     @staticmethod
     def _edge(token: int, made: dict, side: int, never: int) -> list[tuple[int, int]]:
@@ -88,6 +87,45 @@ class Codec:
             out.append((token, until))
         return out
 
+    def _build(self, tokens: set[int]) -> None:
+        """The automaton over the tokens' bytes: a state for each prefix of a token, and for each state the longest token that
+        is a suffix of it, the next shorter one by way of `shorter`."""
+        self.next: dict[int, int] = {}
+        ends: dict[int, int] = {}
+        states, parent = 1, [(0, 0)]
+        for t in sorted(tokens):
+            at = 0
+            for byte in self.bytes[t]:
+                key = at << 8 | byte
+                if key not in self.next:
+                    self.next[key] = states
+                    parent.append((at, byte))
+                    states += 1
+                at = self.next[key]
+            ends[at] = t
+        depth = [0] * states
+        for state in range(1, states):
+            depth[state] = depth[parent[state][0]] + 1
+        self.fail, self.token, self.shorter = [0] * states, [ends.get(state, -1) for state in range(states)], [0] * states
+        for state in sorted(range(1, states), key=depth.__getitem__):
+            up, byte = parent[state]
+            to = self.fail[up]
+            while up and to and to << 8 | byte not in self.next:
+                to = self.fail[to]
+            self.fail[state] = to = self.next.get(to << 8 | byte, 0) if up else 0
+            self.shorter[state] = to if self.token[to] >= 0 else self.shorter[to]
+        self.trie_size = len(self.next)
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after one more byte; steps that fall back to shorter suffixes are remembered."""
+        at, key = state, state << 8 | byte
+        while at and at << 8 | byte not in self.next:
+            at = self.fail[at]
+        to = self.next.get(at << 8 | byte, 0)
+        if len(self.next) < self.trie_size + 8 * REMEMBERED:
+            self.next[key] = to
+        return to
+
     def compatible(self, a: int, b: int) -> bool:
         """Whether the encoding of the bytes of a and b is a, b: no pair (x, y) on their edges merges while both stand.
 
@@ -102,51 +140,63 @@ class Codec:
                     fits = False
         if len(self.tested) > 4 * REMEMBERED:
             self.tested.clear()
-        self.tested[a, b] = fits
+        self.tested[a << 32 | b] = fits
         return fits
 
-    def piece(self, piece: str) -> list[int]:
-        text = piece.encode().decode("latin-1")
-        n, tested = len(text), self.tested
-        last = [-1] * (n + 1)  # the last token of each prefix
-        for end, (size, token) in self.matches.iter(text):  # of tokens that end together, the longest comes first
-            if last[end + 1] < 0:
-                start = end + 1 - size
-                if start:
-                    before = last[start]
-                    if before < 0:
-                        continue
-                    fits = tested.get((before, token))
-                    if not (self.compatible(before, token) if fits is None else fits):
-                        continue
-                last[end + 1] = token
-        ids, at = [], n
-        while at:
-            ids.append(last[at])
-            at -= self.size[last[at]]
-        return ids[::-1]
-
-    def encode(self, text: str) -> np.ndarray:
-        parts = self.split_special.split(text) if any(s in text for s in self.special) else [text]
-        found: list[list[int]] = []
-        for part in parts:
-            if part in self.special:
-                found.append([self.special[part]])
-                continue
-            pieces = PIECE.findall(part)
-            ids = list(map(self.known.get, pieces))
-            if None in ids:
-                ids = [self.remember(p) if i is None else i for p, i in zip(pieces, ids)]
-            found += ids
-        return np.fromiter(chain.from_iterable(found), np.int32)
-
-    def remember(self, piece: str) -> list[int]:
-        ids = self.known.get(piece) or self.before.get(piece) or self.piece(piece)
-        if len(piece) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.before, self.known = self.known, {}
-            self.known[piece] = ids
-        return ids
+    def learn(self, pieces: set[str]) -> None:
+        """Encode pieces and remember them. They go in the order of their bytes, so that the states and last tokens of the
+        prefixes that a piece shares with the one before it are there already."""
+        step, token, shorter, size, tested = self.next, self.token, self.shorter, self.size, self.tested
+        states, last, before = [0], [-1], b""
+        for raw, piece in sorted((p.encode(), p) for p in pieces):
+            same, n = 0, min(len(before), len(raw))
+            while same < n and before[same] == raw[same]:
+                same += 1
+            del states[same + 1 :], last[same + 1 :]
+            state = states[same]
+            for end in range(same, len(raw)):
+                to = step.get(state << 8 | raw[end])
+                state = self.step(state, raw[end]) if to is None else to
+                states.append(state)
+                at, found = state if token[state] >= 0 else shorter[state], -1
+                while at:  # the tokens that end here, the longest first
+                    t = token[at]
+                    left = last[end + 1 - size[t]]
+                    if left < 0:
+                        fits = size[t] == end + 1
+                    else:
+                        fits = tested.get(left << 32 | t)
+                        if fits is None:
+                            fits = self.compatible(left, t)
+                    if fits:
+                        found = t
+                        break
+                    at = shorter[at]
+                last.append(found)
+            ids, at = [], len(raw)
+            while at:
+                ids.append(last[at])
+                at -= size[last[at]]
+            self.known[piece] = array("i", ids[::-1]).tobytes()
+            before = raw
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text. Pieces that are not known yet are gathered over all texts and encoded together."""
+        if len(self.known) >= REMEMBERED:
+            self.before, self.known = self.known, {}
+        split, new = [], set()
+        for text in texts:
+            pieces: list[str] = []
+            cut = PIECE if NOT_LATIN.search(text) else LATIN_PIECE
+            for part in self.split_special.split(text) if any(s in text for s in self.special) else [text]:
+                pieces += [part] if part in self.special else cut.findall(part)
+            split.append(pieces)
+            new.update(set(pieces).difference(self.known))
+        for p in [p for p in new if p in self.before or p in self.special]:
+            self.known[p] = self.before.get(p) or array("i", [self.special[p]]).tobytes()
+            new.discard(p)
+        self.learn(new)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in split]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """Texts of several lists of ids, one after another, by where each begins and the last ends."""
@@ -179,17 +229,15 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocab_path)
         for b in batches:
-            first, flat, sizes, seen = 0, [], [], 0
+            first, texts, seen = 0, [], 0
             for row, text in enumerate(b.column(1), 1):
-                text = text.as_py() or ""
-                ids = c.encode(text)
-                flat.append(ids)
-                sizes.append(len(ids))
-                seen += len(text)
-                if seen >= BATCH_BYTES or row == b.num_rows:
-                    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(first, row - first), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(flat)))], names=[id_col, "ids"])
-                    first, flat, sizes, seen = row, [], [], 0
+                texts.append(text.as_py() or "")
+                seen += len(texts[-1])
+                if seen >= BATCH_CHARS or row == b.num_rows:
+                    ids = c.encode(texts)
+                    offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(first, row - first), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], names=[id_col, "ids"])
+                    first, texts, seen = row, [], 0
 
     kind = docs.schema[id_col].dataType.simpleString()
     return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
