@@ -29,9 +29,9 @@ _SPACE, _LETTER, _NUMBER = r"\t-\r \x85\xa0", r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"
 NOT_LATIN = re.compile("[^\\x00-\u024f]")
 LATIN_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Pieces remembered by each worker in each of two generations; when one is full, the older is forgotten.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Code points of text that are encoded together.
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 #: Rows decoded at once.
 DECODE_ROWS = 256
 
@@ -65,9 +65,8 @@ class Codec:
             a, b = vocab[left], vocab[right]
             self.rank[a, b] = rank
             made.setdefault(vocab[left + right], (a, b, rank))
-        never = len(self.rank) + 1
-        #: For each token: the tokens along its right (left) edge, each with the rank of the merge that ends it.
-        self.right_edge, self.left_edge = [self._edge(i, made, 1, never) for i in range(len(self.bytes))], [self._edge(i, made, 0, never) for i in range(len(self.bytes))]
+        #: The merge that makes each token, and what comes after all merges.
+        self.made, self.never = made, len(self.rank) + 1
         self._build({i for i in (vocab.get(c, -1) for c in byte_chars()) if i >= 0} | {*made})
         self.size = [len(w) for w in self.bytes]
         self.sizes = np.array(self.size, np.int64)
@@ -78,12 +77,12 @@ class Codec:
         self.before: dict[str, bytes] = {}
         self.tested: dict[int, bool] = {}
 
-    @staticmethod
-    def _edge(token: int, made: dict, side: int, never: int) -> list[tuple[int, int]]:
-        out, until = [(token, never)], never
-        while token in made:
-            until = made[token][2]
-            token = made[token][side]
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
+        """The tokens along a token's left (0) or right (1) edge, each with the rank of the merge that ends it."""
+        out, until = [(token, self.never)], self.never
+        while token in self.made:
+            until = self.made[token][2]
+            token = self.made[token][side]
             out.append((token, until))
         return out
 
@@ -122,7 +121,7 @@ class Codec:
         while at and at << 8 | byte not in self.next:
             at = self.fail[at]
         to = self.next.get(at << 8 | byte, 0)
-        if len(self.next) < self.trie_size + 8 * REMEMBERED:
+        if len(self.next) < self.trie_size + REMEMBERED:
             self.next[key] = to
         return to
 
@@ -132,13 +131,13 @@ class Codec:
         The merge must come before the one that takes x into a. It may tie with the one that takes y into b: of equal
         pairs the leftmost merges first.
         """
-        rank, fits = self.rank.get, True
-        for x, x_ends in self.right_edge[a]:
-            for y, y_ends in self.left_edge[b]:
+        rank, left, fits = self.rank.get, self._edge(b, 0), True
+        for x, x_ends in self._edge(a, 1):
+            for y, y_ends in left:
                 r = rank((x, y))
                 if r is not None and r < x_ends and r <= y_ends:
                     fits = False
-        if len(self.tested) > 4 * REMEMBERED:
+        if len(self.tested) >= 2 * REMEMBERED:
             self.tested.clear()
         self.tested[a << 32 | b] = fits
         return fits

@@ -24,8 +24,8 @@ BITS = 64
 CUT_BITS = 12
 #: The trie is cut at this depth at least, so that small inputs are dealt out as large ones are.
 LEAST_BITS = 4
-#: Hashes whose bits are counted at once.
-CHUNK = 1 << 16
+#: Hashes whose bits are counted at once, and node pairs that descend at once.
+CHUNK, FRONTIER = 1 << 15, 1 << 15
 
 
 def fingerprint(text: str | None, k: int = 3, seed: int = 42) -> int:
@@ -104,7 +104,7 @@ def trie_join(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator
     stack = [(0, start)]
     while stack:
         depth, (al, ah, bl, bh, err) = stack.pop()
-        if len(al) > 1 << 19:
+        if len(al) > FRONTIER:
             half = len(al) // 2
             stack += [(depth, tuple(x[half:] for x in (al, ah, bl, bh, err))), (depth, tuple(x[:half] for x in (al, ah, bl, bh, err)))]
             continue
