@@ -96,11 +96,12 @@ def search_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", factor: float = 64.0, query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k highest inner products with other rows of vectors.
 
-    Ids are taken as unique; a row is no candidate of a query with its id. Only vectors of one length are compared. All
-    candidates are returned where there are fewer than k. Both tables are counted first, to size the blocks.
+    A row is no candidate of a query with its id. Of query rows that share an id the one with the smallest vector counts;
+    candidate rows count one by one. Null ids take no part. Only vectors of one length are compared. All candidates are
+    returned where there are fewer than k. Both tables are counted first, to size the blocks.
     """
     c = quantised(vectors, id_col, vec_col, factor).withColumn("d", F.size("v"))
-    q = quantised(queries, id_col, vec_col, factor).withColumn("d", F.size("v"))
+    q = quantised(queries, id_col, vec_col, factor).groupBy("id").agg(F.min("v").alias("v")).withColumn("d", F.size("v"))
     n_q, n_c = max(1, -(-q.count() // query_rows)), max(1, -(-c.count() // candidate_rows))
     q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int")).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
     c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_c)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))

@@ -126,3 +126,5 @@ def test_op3_ties_bad_rows_and_blocks(spark, spread):
         want += [(i, r, j, -s) for r, (s, j) in enumerate(best, 1)]
     assert got == want
     assert topk.top_k(df.limit(0), q.limit(0)).count() == 0
+    again = [tuple(r) for r in topk.top_k(df, q.union(q), k=7).orderBy("query_id", "rank").collect()]
+    assert again == want
