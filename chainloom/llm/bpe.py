@@ -43,35 +43,60 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-class Codec:
-    """Encoder and decoder for one vocabulary file."""
+class Vocabulary:
+    """Decoder for one vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, to_byte = spec["model"], {c: b for b, c in enumerate(byte_chars())}
-        vocab: dict[str, int] = model["vocab"]
+        self.model, to_byte = spec["model"], {c: b for b, c in enumerate(byte_chars())}
+        vocab: dict[str, int] = self.model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.bytes = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
         for word, i in vocab.items():
             self.bytes[i] = bytes(to_byte[c] for c in word)
         for word, i in self.special.items():
             self.bytes[i] = word.encode()
+        self.sizes = np.array([len(w) for w in self.bytes], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+
+    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of several lists of ids, one after another, by where each begins and the last ends."""
+        sizes = self.sizes[ids]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        data = self.blob[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
+        at = ends[offsets - offsets[0]]
+        inner = at[:-1][at[:-1] < len(data)]
+        try:
+            data.tobytes().decode()
+            whole = not ((data[inner] & 0xC0) == 0x80).any()  # no text begins within a character
+        except UnicodeDecodeError:
+            whole = False
+        if not whole:
+            return pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])], pa.string())
+        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data))
+
+
+class Codec(Vocabulary):
+    """Encoder for one vocabulary file, with its merges and the automaton over its tokens."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        vocab = self.model["vocab"]
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.rank: dict[tuple[int, int], int] = {}
-        made: dict[int, tuple[int, int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
+        #: The merge that makes each token, and what comes after all merges.
+        self.made: dict[int, tuple[int, int, int]] = {}
+        for rank, pair in enumerate(self.model.pop("merges")):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             a, b = vocab[left], vocab[right]
             self.rank[a, b] = rank
-            made.setdefault(vocab[left + right], (a, b, rank))
-        #: The merge that makes each token, and what comes after all merges.
-        self.made, self.never = made, len(self.rank) + 1
-        self._build({i for i in (vocab.get(c, -1) for c in byte_chars()) if i >= 0} | {*made})
-        self.size = [len(w) for w in self.bytes]
-        self.sizes = np.array(self.size, np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-        self.blob = np.frombuffer(b"".join(self.bytes), np.uint8)
+            self.made.setdefault(vocab[left + right], (a, b, rank))
+        self.never = len(self.rank) + 1
+        self.size = self.sizes.tolist()
+        self._build({i for i in (vocab.get(c, -1) for c in byte_chars()) if i >= 0} | {*self.made})
+        del self.model
         #: Ids of pieces, as the bytes of 32-bit numbers.
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -197,28 +222,20 @@ class Codec:
         self.learn(new)
         return [np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32) for pieces in split]
 
-    def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
-        """Texts of several lists of ids, one after another, by where each begins and the last ends."""
-        sizes = self.sizes[ids]
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        data = self.blob[np.repeat(self.starts[ids] - ends[:-1], sizes) + np.arange(ends[-1])]
-        at = ends[offsets - offsets[0]]
-        inner = at[:-1][at[:-1] < len(data)]
-        try:
-            data.tobytes().decode()
-            whole = not ((data[inner] & 0xC0) == 0x80).any()  # no text begins within a character
-        except UnicodeDecodeError:
-            whole = False
-        if not whole:
-            return pa.array([data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(at[:-1], at[1:])], pa.string())
-        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data))
-
 
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@lru_cache(maxsize=2)
+def vocabulary(path: str) -> Vocabulary:
+    """The decoder alone: a task that decodes has no need of the automaton's memory."""
+    v = Vocabulary(path)
+    del v.model, v.bytes
+    return v
+
+
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) for each row; null texts count as empty and give an empty array. Other columns are ignored.
 
@@ -246,7 +263,7 @@ def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFr
     """(id, ids, decoded) for each row of tokens(id, ids); null ids give an empty text. Bytes that are not UTF-8 are replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(vocab_path)
+        c = vocabulary(vocab_path)
         for b in batches:
             lists = b.column(1).fill_null([]) if b.column(1).null_count else b.column(1)
             offsets = lists.offsets.to_numpy()
