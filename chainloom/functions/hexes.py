@@ -10,8 +10,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Text = Column | str
-#: Base of the limbs in which 256-bit numbers are added up, and digits of one limb.
+#: Base of the limbs in which numbers of any length are added up, and digits of one limb; the same for 256-bit numbers.
 LIMB, LIMB_DIGITS = 10**9, 9
+WIDE_DIGITS, WIDE_LIMBS = 18, 5
 
 
 def _col(c: Text) -> Column:
@@ -55,13 +56,35 @@ def hex_to_long_keep_zero(s: Text) -> Column:
     return F.when(_col(s) != "", hex_to_long(s))
 
 
-def hex_to_decimal_string(s: Text) -> Column:
-    """Exact decimal text of up to 256 bits and more; empty text stays empty.
+def _number(value: int, kind: str) -> Column:
+    return F.expr(f"cast('{value}' as {kind})")
+
+
+def _wide_text(digits: Column) -> Column:
+    """Decimal digits, with leading zeros, of up to 64 hex digits: four 64-bit words times powers of 2**64, limb by limb.
 
-    The hex digits are folded seven at a time into limbs of nine decimal digits, the lowest first.
+    A word times a limb has at most 38 digits, and so has the sum of four, so decimals hold them exactly.
     """
-    s = _col(s)
-    digits = _bare(s)
+    wide, base = F.lpad(digits, 64, "0"), 10**WIDE_DIGITS
+    words = [F.conv(F.substring(wide, 49 - 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    sums = []
+    for limb in range(WIDE_LIMBS):
+        parts = [w * _number((1 << (64 * i)) // base**limb % base, "decimal(18,0)") for i, w in enumerate(words)]
+        sums.append((parts[0] + parts[1] + parts[2] + parts[3]).cast("decimal(38,0)"))
+
+    def step(acc: Column, x: Column) -> Column:
+        t = (x + acc["carry"]).cast("decimal(38,0)")
+        low = (t % _number(base, "decimal(19,0)")).cast("decimal(18,0)")
+        carry = ((t - low).cast("decimal(38,0)") / _number(base, "decimal(19,0)")).cast("decimal(38,0)")
+        return F.struct(carry.alias("carry"), F.concat(F.lpad(low.cast("string"), WIDE_DIGITS, "0"), acc["text"]).alias("text"))
+
+    start = F.struct(_number(0, "decimal(38,0)").alias("carry"), F.lit("").alias("text"))
+    return F.aggregate(F.array(*sums), start, step, lambda acc: acc["text"])
+
+
+def _long_text(digits: Column) -> Column:
+    """Decimal digits, with leading zeros, of hex digits of any number, folded seven at a time into limbs of nine decimal
+    digits, the lowest first."""
     padded = F.lpad(digits, ((F.length(digits) + 6) / 7).cast("int") * 7, "0")
     groups = F.transform(F.sequence(F.lit(0), (F.length(padded) / 7).cast("int") - 1), lambda i: F.conv(F.substring(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("bigint"))
     empty = F.array().cast("array<bigint>")
@@ -76,9 +99,17 @@ def hex_to_decimal_string(s: Text) -> Column:
 
         return F.aggregate(limbs, first, step, lambda acc: F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"]))
 
-    limbs = F.when(F.length(digits) > 0, F.aggregate(groups, empty, add)).otherwise(empty)
-    text = F.regexp_replace(F.array_join(F.reverse(F.transform(limbs, lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0"))), ""), "^0+", "")
-    exact = F.when(text == "", "0").otherwise(text)
+    limbs = F.aggregate(groups, empty, add)
+    return F.array_join(F.reverse(F.transform(limbs, lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0"))), "")
+
+
+def hex_to_decimal_string(s: Text) -> Column:
+    """Exact decimal text of 256 bits and more; empty text stays empty. Short numbers take the shorter way."""
+    s = _col(s)
+    digits = _bare(s)
+    size = F.length(digits)
+    text = F.when(size == 0, "0").when(size <= 31, hex_to_decimal(s).cast("string")).when(size <= 64, _wide_text(digits)).otherwise(_long_text(digits))
+    exact = F.regexp_replace(text, "^0+(?=[0-9])", "")
     return F.when(s == "", "").when(_is_hex(s), exact).when(_is_decimal(s), F.regexp_replace(s, "^(-?)0+(?=[0-9])", "$1"))
 
 

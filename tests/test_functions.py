@@ -12,7 +12,7 @@ def one(spark, column):
     return spark.range(1).select(column.alias("x")).first().x
 
 
-@pytest.mark.parametrize("text", ["0x0", "0xff", "0xFF", "0x" + "f" * 16, "0x" + "f" * 31, "0x" + "f" * 64, "0x" + "1" * 40, "0xde0b6b3a7640000", "0x8" + "0" * 63, "0x3b9aca00", "0x" + "0" * 10 + "1"])
+@pytest.mark.parametrize("text", ["0x0", "0xff", "0xFF", "0x" + "f" * 16, "0x" + "f" * 31, "0x" + "f" * 64, "0x" + "1" * 40, "0xde0b6b3a7640000", "0x8" + "0" * 63, "0x3b9aca00", "0x" + "0" * 10 + "1", "0x" + "f" * 32, "0x" + "9" * 64, "0x" + "1" + "0" * 63, "0x" + "c" * 65, "0x" + "f" * 200])
 def test_hex(spark, text):
     n = int(text, 16)
     assert one(spark, hexes.hex_to_decimal_string(F.lit(text))) == str(n)
