@@ -29,7 +29,7 @@ _SPACE, _LETTER, _NUMBER = r"\t-\r \x85\xa0", r"A-Za-zªµºÀ-ÖØ-öø-ɏ", r"
 NOT_LATIN = re.compile("[^\\x00-\u024f]")
 LATIN_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 #: Pieces remembered by each worker in each of two generations; when one is full, the older is forgotten.
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 #: Code points of text that are encoded together.
 BATCH_CHARS = 1 << 20
 #: Rows decoded at once.

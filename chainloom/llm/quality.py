@@ -29,7 +29,7 @@ TRAIN_ROWS, LEARNERS, PASSES = 12_000, 4, 3
 #: Of the updates: step, its offset, and the weights of the two penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.01, 0.01
 #: Code points of text read at once, and words remembered by a worker.
-BLOCK, REMEMBERED = 1 << 20, 100_000
+BLOCK, REMEMBERED = 1 << 20, 50_000
 
 WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
