@@ -69,17 +69,16 @@ def _big_endian(raw: Column, at: int, size: int) -> Column:
     return F.conv(F.hex(F.substring(raw, at + 1, size)), 16, 10).cast("decimal(20,0)")
 
 
-#: Offset, size and kind of the fields of a binary block header; the rest is extra data.
+#: Offset, size in bytes and kind of the fields of a binary block header; extra_len bytes of extra data follow.
 HEADER_FIELDS = {
-    "height": (0, 8, "long"), "ts": (8, 8, "long"), "size": (16, 8, "long"), "tx_count": (24, 8, "long"), "gas_limit": (32, 8, "long"), "gas_used": (40, 8, "long"), "base_fee": (48, 8, "decimal"),
-    "hash": (56, 32, "hex"), "parent_hash": (88, 32, "hex"), "ext_data_hash": (120, 32, "hex"), "miner": (152, 16, "hex"),
+    "height": (0, 8, "long"), "ts": (8, 8, "long"), "hash": (16, 32, "hex"), "parent_hash": (48, 32, "hex"), "size": (80, 4, "long"), "tx_count": (84, 4, "long"), "gas_limit": (88, 8, "long"), "gas_used": (96, 8, "long"),
+    "base_fee": (104, 8, "decimal"), "miner": (112, 20, "hex"), "ext_data_hash": (132, 32, "hex"), "extra_len": (164, 4, "long"),
 }
 
 
 def decode_cblock_records(df: DataFrame, raw_col: str = "raw", fields: dict[str, tuple[int, int, str]] = HEADER_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """(headers, rows too short to be one): fixed-layout binary records with the given fields and a tail, extra_data."""
-    end = max(at + size for at, size, _ in fields.values())
-    whole = F.length(raw_col) >= end
+    """(headers, rows too short for their header or extra data): fixed-layout binary records, with extra_data at the end."""
+    fixed = max(at + size for at, size, _ in fields.values())
     raw = F.col(raw_col)
 
     def field(at: int, size: int, kind: str) -> Column:
@@ -87,8 +86,11 @@ def decode_cblock_records(df: DataFrame, raw_col: str = "raw", fields: dict[str,
             return F.concat(F.lit("0x"), F.lower(F.hex(F.substring(raw, at + 1, size))))
         return _big_endian(raw, at, size) if kind == "decimal" else _big_endian(raw, at, size).cast("bigint")
 
-    columns = [field(*f).alias(name) for name, f in fields.items()]
-    return df.where(whole).select(*columns, F.substring(raw, F.lit(end + 1), F.length(raw)).alias("extra_data")), df.where(~F.coalesce(whole, F.lit(False)))
+    extra = field(*fields["extra_len"])
+    whole = F.when(F.length(raw_col) >= fixed, F.length(raw_col) >= fixed + extra).otherwise(False)
+    columns = [field(*f).alias(name) for name, f in fields.items() if name != "extra_len"]
+    good = df.where(whole).select(*columns, F.substring(raw, F.lit(fixed + 1), extra.cast("int")).alias("extra_data"))
+    return good, df.where(~F.coalesce(whole, F.lit(False)))
 
 
 def c_block_headers(blocks: DataFrame, block_col: str = "block") -> DataFrame:

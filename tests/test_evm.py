@@ -69,10 +69,13 @@ def test_assembly_and_traces(spark, nb):
 
 
 def test_binary_records(spark):
-    raw = b"".join(n.to_bytes(8, "big") for n in (1, 2, 3, 4, 5, 6, 2**64 - 1)) + bytes(range(112)) + b"tail"
-    good, bad = readers.decode_cblock_records(spark.createDataFrame([(bytearray(raw),), (bytearray(b"short"),)], "raw binary"))
-    r = good.first()
-    assert (r.height, r.gas_used, r.base_fee, bytes(r.extra_data), r.hash) == (1, 6, 2**64 - 1, b"tail", "0x" + bytes(range(32)).hex()) and bad.count() == 1
+    n = lambda v, size: v.to_bytes(size, "big")
+    raw = n(1, 8) + n(2, 8) + bytes(range(32)) + bytes(32) + n(3, 4) + n(4, 4) + n(5, 8) + n(6, 8) + n(2**64 - 1, 8) + b"\x01" * 20 + b"\x02" * 32 + n(4, 4) + b"tail"
+    assert len(raw) == 172
+    good, bad = readers.decode_cblock_records(spark.createDataFrame([(bytearray(raw),), (bytearray(raw[:-1]),), (bytearray(b"short"),), (None,)], "raw binary"))
+    (r,) = good.collect()
+    assert (r.height, r.ts, r.size, r.tx_count, r.gas_limit, r.gas_used, r.base_fee, bytes(r.extra_data)) == (1, 2, 3, 4, 5, 6, 2**64 - 1, b"tail") and bad.count() == 3
+    assert (r.hash, r.miner, r.ext_data_hash) == ("0x" + bytes(range(32)).hex(), "0x" + "01" * 20, "0x" + "02" * 32)
     x = readers.raw_x_txs(spark.createDataFrame([(1, bytearray((1600000000).to_bytes(8, "big") + b"zz"))], "idx int, raw binary")).first()
     assert (x.ts, bytes(x.tx_bytes)) == (1600000000, b"zz")
     pages = spark.createDataFrame([('{"vertices":[{"hash":"v","timestamp":"2020-09-13T12:26:40.123456789Z","transactions":["t"]}]}',)], "page string")
