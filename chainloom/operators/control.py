@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Fixed values of the request controller: errors in a window above which load halves, wanted p95 in milliseconds, samples
-#: that a decision needs, and bounds of the recommended parallelism.
-MAX_ERRORS, MAX_P95_MS, MIN_SAMPLES, PARALLELISM = 10, 2000.0, 10, (2, 200)
+#: that a decision needs, and bounds of the recommended parallelism (a tenth of the most, and the most).
+MAX_ERRORS, MAX_P95_MS, MIN_SAMPLES, PARALLELISM = 10, 1000, 10, (20, 200)
 
 
 def check_sequence(df: DataFrame, order: str, keys: tuple[str, ...] = ()) -> DataFrame:
@@ -63,7 +63,9 @@ def request_health(log: DataFrame, ts: str = "ts", ms: str = "duration_ms", ok:
     at = F.when(F.col("i") == F.floor(F.col("c") * F.lit(95) / F.lit(100)), F.col("_ms"))
     out = ranked.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("_ok"), 0).otherwise(1)).alias("errors"), F.max(at).alias("p"))
     p95 = F.when(F.col("n") >= MIN_SAMPLES, F.col("p"))
-    room = F.floor(F.least(F.lit(20.0), F.greatest(F.lit(1.0), F.lit(MAX_P95_MS) / F.greatest(F.col("p"), F.lit(1.0)))))
+    # Growth below half the wanted p95: the further below, the faster, from 1 to 20.
+    share = F.col("p").cast("double") / (MAX_P95_MS / 2)
+    room = F.least(F.lit(20), F.greatest(F.lit(1), F.floor(1.0 / (share + 0.1))))
     advice = F.when(p95.isNull(), now).when(F.col("errors") > MAX_ERRORS, F.floor(now / 2)).when(p95 > MAX_P95_MS, now - 2).when(p95 < MAX_P95_MS / 2, now + room).otherwise(now)
     return out.select(*keys, F.col("w.start").alias("win_start"), "n", "errors", p95.alias("p95"), F.least(F.lit(high), F.greatest(F.lit(low), advice)).cast("int").alias("parallelism"))
 

@@ -209,15 +209,34 @@ def utxo_history(outputs: DataFrame, spend_rows: DataFrame, txs: DataFrame, addr
     return made.unionByName(used).unionByName(imported).distinct()
 
 
+#: Columns of the warehouse's row, in order, with the UTXO table's column that each one shows.
+EXPORT_COLUMNS = {
+    "UTXO_ID": "utxo_id", "TRANSACTION_HASH": "tx_hash", "BLOCK_INDEX": "block_number", "OUTPUT_INDEX": "output_index", "TIMESTAMP": "block_timestamp", "TX_TYPE": "tx_type", "OUTPUT_TYPE": "utxo_type", "ADDRESS": "addresses", "CONSUMING_TRANSACTION_HASH": "consuming_tx",
+    "ASSET_ID": "asset_id", "LOCKTIME": "platform_locktime", "THRESHOLD": "threshold", "PUBLIC_KEY": "credentials", "SIGNATURE": "credentials", "AMOUNT": "amount", "GROUP_ID": "group_id", "PAYLOAD": "payload", "FX_ID": "fx_id", "CREATED_ON": "created_on", "CONSUMED_ON": "consumed_on",
+    "PLATFORM_LOCKTIME": "platform_locktime", "STAKED": "staked", "STAKEABLE_LOCKTIME": "stakeable_locktime", "REWARD": "is_reward", "LAST_UPDATED": "last_updated", "CONSUMING_TRANSACTION_TIMESTAMP": "consuming_ts", "STAKING_START_TIME": "stake_start", "STAKING_END_TIME": "stake_end",
+    "NODE_ID": "node_id", "REWARD_ADDRESSES": "reward_addresses", "CONSUMING_BLOCK_HEIGHT": "consuming_block",
+}
+EXPORT_TIMES = ("TIMESTAMP", "LAST_UPDATED", "CONSUMING_TRANSACTION_TIMESTAMP", "STAKING_START_TIME", "STAKING_END_TIME")
+
+
 def utxo_export_row(utxos: DataFrame) -> DataFrame:
-    """The warehouse's row: first owner and first credential, times as text, reward addresses as JSON; columns that utxos
-    lacks are null."""
+    """The warehouse's 31 columns: first owner and first credential, times as text, reward addresses as JSON; columns that
+    utxos lacks are null, and times empty."""
     kinds = dict(utxos.dtypes)
-    c = lambda n, k="string": F.col(n) if n in kinds else F.lit(None).cast(k)
-    cred = F.get(c("credentials", "array<struct<public_key:string,signature:string>>"), F.lit(0))
-    times = {n: rfc3339(c(n, "bigint")).alias(n) for n in ("block_timestamp", "consuming_ts", "stake_start", "stake_end", "last_updated")}
-    plain = "store_chain utxo_id tx_hash output_index amount asset_id threshold utxo_type platform_locktime staked block_number created_on consumed_on consuming_tx consuming_block utxo_bytes payload group_id tx_type fx_id is_reward stakeable_locktime node_id".split()
-    return utxos.select(*(c(n).alias(n) for n in plain), F.get(c("addresses", "array<string>"), F.lit(0)).alias("address"), *times.values(), cred["public_key"].alias("public_key"), F.to_json(c("reward_addresses", "array<string>")).alias("reward_addresses"))
+
+    def shown(name: str, source: str) -> Column:
+        has = source in kinds
+        if name in EXPORT_TIMES:
+            return rfc3339(F.col(source) if has else F.lit(None).cast("bigint"))
+        if not has:
+            return F.lit(None).cast("string")
+        if name in ("PUBLIC_KEY", "SIGNATURE"):
+            return F.get(source, F.lit(0))[name.lower()]
+        if name == "ADDRESS":
+            return F.get(source, F.lit(0))
+        return F.to_json(source) if name == "REWARD_ADDRESSES" else F.col(source)
+
+    return utxos.select(*(shown(*x).alias(x[0].lower()) for x in EXPORT_COLUMNS.items()))
 
 
 def rank_latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -147,7 +147,7 @@ def ingest_stats_100(v: Views) -> DataFrame:
     w as (select chain, us // 1800000000 * 1800 - 1800 * k as win_start, ms, ok from e, range(4) r(k)),
     l as (select chain, win_start, count(*) as n, count(*) filter (not ok) as errors, list_sort(list(ms)) as x from w group by all),
     p as (select chain, win_start, n, errors, case when n >= 10 then x[(n * 95 // 100) + 1] end as p95 from l)
-    select chain, win_start, n, errors, p95, least(200, greatest(2, case when p95 is null then 2 when errors > 10 then 1 when p95 > 2000 then 0 when p95 < 1000 then 2 + floor(least(20.0, greatest(1.0, 2000.0 / greatest(p95, 1)))) else 2 end))::int as parallelism from p
+    select chain, win_start, n, errors, p95, least(200, greatest(20, case when p95 is null then 20 when errors > 10 then 10 when p95 > 1000 then 18 when p95 < 500 then 20 + least(20, greatest(1, floor(1.0::double / (p95::double / 500.0::double + 0.1::double)))) else 20 end))::int as parallelism from p
 """)
 def sliding_p95(v: Views) -> DataFrame:
     log = v.table("events").select((F.col("user_id") % 4).alias("chain"), F.col("ts").cast("timestamp").alias("ts"), F.round(F.col("value") * 100).cast("bigint").alias("duration_ms"), (F.col("event_type") != "error").alias("success"))
@@ -216,10 +216,10 @@ def staking_outputs_map(v: Views) -> DataFrame:
     return utxo.staking_outputs_map(v.out, rewards).withColumn("utxo_ids", F.array_join("utxo_ids", ","))
 
 
-@query("select utxo_id, addresses[1]::varchar as address, strftime(make_timestamp(created_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ') as block_timestamp, coalesce(strftime(make_timestamp(consuming_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ'), '') as consuming_ts, amount, consuming_tx from utxos", "utxos")
+@query("select utxo_id, addresses[1]::varchar as address, strftime(make_timestamp(created_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ') as timestamp, coalesce(strftime(make_timestamp(consuming_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ'), '') as consuming_transaction_timestamp, amount, consuming_tx as consuming_transaction_hash from utxos", "utxos")
 def utxo_export_row(v: Views) -> DataFrame:
-    rows = utxo.utxo_export_row(v.utxos.withColumns({"store_chain": F.col("created_on"), "block_timestamp": F.col("created_ts"), "addresses": F.col("addresses").cast("array<string>")}))
-    return rows.select("utxo_id", "address", "block_timestamp", "consuming_ts", "amount", "consuming_tx")
+    rows = utxo.utxo_export_row(v.utxos.withColumns({"block_timestamp": F.col("created_ts"), "addresses": F.col("addresses").cast("array<string>")}))
+    return rows.select("utxo_id", "address", "timestamp", "consuming_transaction_timestamp", "amount", "consuming_transaction_hash")
 
 
 @query("select utxo_id, '0x' || utxo_id || right(sha256(unhex(utxo_id)), 8) as checked from line", "line")
