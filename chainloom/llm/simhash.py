@@ -26,6 +26,10 @@ CUT_BITS = 12
 LEAST_BITS = 4
 #: Hashes whose bits are counted at once, and node pairs that descend at once.
 CHUNK, FRONTIER = 1 << 15, 1 << 15
+#: For pairs of a Jaccard similarity of 0.8: bits that may differ in a sketch's first 64 bits, and in its 128 bits.
+WIDE_BITS, SKETCH_BITS = 16, 30
+#: Depth of the histograms from which the tries of the size classes are cut.
+CLASS_CUT_BITS = 10
 
 
 def fingerprint(text: str | None, k: int = 3, seed: int = 42) -> int:
@@ -54,8 +58,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
 
 
-def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS) -> list[tuple[int, int]]:
-    """(depth, prefix) of the subtrees: nodes with more than leaf_rows rows, and those above LEAST_BITS, are split,
+def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS, least: int = LEAST_BITS) -> list[tuple[int, int]]:
+    """(depth, prefix) of the subtrees: nodes with more than leaf_rows rows, and those above the depth least, are split,
     down to the given depth."""
     full = np.zeros(1 << depth, np.int64)
     for prefix, n in counts.items():
@@ -66,7 +70,7 @@ def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS) -> l
     leaves, nodes = [], [(0, 0)]
     while nodes:
         d, p = nodes.pop()
-        if levels[d][p] and d < depth and (d < LEAST_BITS or levels[d][p] > leaf_rows):
+        if levels[d][p] and d < depth and (d < least or levels[d][p] > leaf_rows):
             nodes += [(d + 1, 2 * p + 1), (d + 1, 2 * p)]
         elif levels[d][p]:
             leaves.append((d, p))
@@ -235,3 +239,171 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     groups = near_duplicates(docs, id_col, text_col, **how)
     gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)
+
+
+def shingle_set(text: str | None, k: int, seed: int = 42) -> np.ndarray:
+    """The distinct XXH64 of a text's k-word shingles, sorted; fewer words make one shingle, none give an empty set."""
+    words = (text or "").encode().lower().split()
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(k)))) if len(words) >= k else [b" ".join(words)] if words else []
+    return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), shingles), np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit SimHash fingerprints of a set of hashes: of the hashes themselves, and of the hashes mixed anew."""
+    out = []
+    for turn in (False, True):
+        ones = np.zeros(BITS, np.int64)
+        for at in range(0, len(hashes), CHUNK):
+            h = hashes[at : at + CHUNK]
+            if turn:
+                h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+                h ^= h >> np.uint64(32)
+            ones += np.unpackbits(h.astype("<u8", copy=False).view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
+        out.append(int(np.packbits(ones * 2 > len(hashes)).view("<u8")[0]))
+    return out[0], out[1]
+
+
+def size_classes(similarity: float, most: int = 1 << 40) -> np.ndarray:
+    """First sizes of the classes: sets that are similar enough are in one class or in neighbouring ones."""
+    first = [0, 1]
+    while first[-1] < most:
+        first.append(int(first[-1] / similarity + 1e-6) + 1)
+    return np.array(first, np.int64)
+
+
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
+    """(id, node, n, cls, fp, fp2, shingles) for each row of docs; node names the set of shingles, n is its size."""
+    first = size_classes(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [shingle_set(t.as_py(), shingle_words) for t in b.column(1)]
+            blobs = [s.astype("<u8", copy=False).tobytes() for s in sets]
+            node = np.fromiter(map(xxhash.xxh64_intdigest, blobs), np.uint64, len(sets))
+            n = np.fromiter(map(len, sets), np.int64, len(sets))
+            fps = np.array([sketch(s) for s in sets], np.uint64).reshape(-1, 2)
+            cls = np.searchsorted(first, n, side="right").astype(np.int32)
+            columns = [b.column(0), *map(pa.array, (node.view(np.int64), n, cls, fps[:, 0].copy().view(np.int64), fps[:, 1].copy().view(np.int64))), pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "node", "n", "cls", "fp", "fp2", "shingles"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, node bigint, n bigint, cls int, fp bigint, fp2 bigint, shingles binary")
+
+
+def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs (i, j) of a task that its sizes and sketches allow to be similar: within one leaf, or across its two.
+
+    Rows are compared in blocks, with those of a fitting size only. At WIDE_BITS nearly every node pair of a trie of a leaf's
+    depth is within budget, so the trie decides on the pairs of leaves and is not descended further.
+    """
+    leaf, n = table.column("leaf").to_numpy(), table.column("n").to_numpy()
+    fp, fp2 = (table.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
+    order = np.argsort(n, kind="stable")
+    first = leaf[order] == leaf.min()
+    same = bool(first.all())
+    a, b = order[first], order if same else order[~first]
+    high = n[b]
+    for at in range(0, len(a), 128):
+        i = a[at : at + 128]
+        lo, hi = np.searchsorted(high, (n[i[0]] * similarity - 1e-6, n[i[-1]] / similarity + 1e-6))
+        for w in range(max(lo, at) if same else lo, hi, 8192):
+            j = b[w : min(w + 8192, hi)]
+            x, y = np.nonzero(np.bitwise_count(fp[i][:, None] ^ fp[j]) <= WIDE_BITS)
+            if same:
+                x, y = (v[at + x < w + y] for v in (x, y))
+            u, v = i[x], j[y]
+            bits = np.bitwise_count(fp[u] ^ fp[v]) + np.bitwise_count(fp2[u] ^ fp2[v])
+            ok = (bits <= SKETCH_BITS) & (np.minimum(n[u], n[v]) >= np.maximum(n[u], n[v]) * similarity - 1e-6)
+            yield u[ok], v[ok]
+
+
+def with_candidates(table: pa.Table, similarity: float) -> pa.Table:
+    """The rows of a task that have a candidate in it."""
+    seen = np.zeros(table.num_rows, bool)
+    for i, j in near_pairs(table, similarity):
+        seen[i] = seen[j] = True
+    return table.filter(pa.array(seen))
+
+
+def confirmed_links(table: pa.Table, similarity: float) -> pa.Table:
+    """A spanning forest (u, v) of the candidate pairs of a task whose sets have the Jaccard similarity.
+
+    Pairs that are linked already are not compared again.
+    """
+    node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
+    ends = np.concatenate(([0], np.cumsum(n)))
+    every = np.frombuffer(b"".join(s.as_py() for s in table.column("shingles")), "<u8")
+    names, ids = np.unique(every, return_inverse=True)
+    marked = np.zeros(len(names), bool)
+    forest = Forest(len(node))
+    for us, vs in near_pairs(table, similarity):
+        for u in np.unique(us).tolist():
+            v = vs[us == u]
+            # Some at a time, so that a link found spares the later comparisons.
+            for at in range(0, len(v), 256):
+                w = v[at : at + 256]
+                w = w[forest.up[w] != forest.up[u]]
+                if not len(w):
+                    continue
+                own = ids[ends[u] : ends[u + 1]]
+                marked[own] = True
+                starts = np.cumsum(n[w]) - n[w]
+                common = np.add.reduceat(marked[np.concatenate([ids[ends[x] : ends[x + 1]] for x in w.tolist()])], starts, dtype=np.int64)
+                marked[own] = False
+                w = w[common >= similarity * (n[u] + n[w] - common) - 1e-6]
+                if len(w):
+                    forest.add(np.full(len(w), u), w)
+    child = np.flatnonzero(forest.up != np.arange(len(node)))
+    return pa.table({"u": node[child], "v": node[forest.up[child]]})
+
+
+def similar_links(rows: DataFrame, similarity: float, leaf_rows: int | None = None) -> DataFrame:
+    """Links (u, v) of nodes in sketches() that connect what the confirmed candidate pairs connect.
+
+    The trie of each size class is cut into leaves; tasks are the pairs of leaves of one or two neighbouring classes. A first
+    pass finds the rows that have candidates, so only those take their shingles to the second, which compares them.
+    """
+    spark = rows.sparkSession
+    nodes = materialize(rows.groupBy("node").agg(*(F.min(c).alias(c) for c in ("n", "cls", "fp", "fp2"))), "nodes")
+    prefix = F.shiftrightunsigned("fp", BITS - CLASS_CUT_BITS)
+    counts: dict[int, dict[int, int]] = {}
+    for cls, p, n in nodes.groupBy("cls", prefix.alias("p")).count().collect():
+        counts.setdefault(cls, {})[p] = n
+    total = sum(sum(c.values()) for c in counts.values())
+    leaf_rows = leaf_rows or min(1 << 16, max(256, total // 32))
+    leaves = [(cls, leaf) for cls in sorted(counts) for leaf in cut_trie(counts[cls], leaf_rows, CLASS_CUT_BITS, 0)]
+    tasks: dict[int, list[int]] = {}
+    for k, (a, b) in enumerate(leaf_pairs([leaf for _, leaf in leaves], WIDE_BITS, CLASS_CUT_BITS)):
+        if leaves[b][0] - leaves[a][0] <= 1:
+            for x in {a, b}:
+                tasks.setdefault(x, []).append(k)
+    plan = [(cls, p, x, tasks[x]) for x, (cls, (d, top)) in enumerate(leaves) for p in range(top << (CLASS_CUT_BITS - d), (top + 1) << (CLASS_CUT_BITS - d)) if p in counts[cls]]
+    plan = spark.createDataFrame(plan, "cls int, p bigint, leaf int, tasks array<int>")
+    dealt = nodes.withColumn("p", prefix).join(F.broadcast(plan), ["cls", "p"]).select(F.explode("tasks").alias("task"), "leaf", "node", "n", "fp", "fp2")
+    found = dealt.groupBy("task").applyInArrow(lambda t: with_candidates(t, similarity), dealt.schema)
+    found = materialize(found, "candidates")
+    sets = rows.select("node", "shingles").join(found.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    return found.join(sets, "node").groupBy("task").applyInArrow(lambda t: confirmed_links(t, similarity), "u bigint, v bigint")
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, leaf_rows: int | None = None) -> DataFrame:
+    """(id, component_id) for each row of docs: the smallest id that it reaches over pairs of the Jaccard similarity or more.
+
+    Similarity is that of the sets of shingles, and exact; a pair is compared if its sketches are within WIDE_BITS and
+    SKETCH_BITS. Texts with equal sets form one node. Null ids are treated as in near_duplicates().
+    """
+    rows = materialize(sketches(docs, id_col, text_col, shingle_words, similarity), "sketches")
+    roots = components(similar_links(rows, similarity, leaf_rows))
+    nodes = rows.groupBy("node").agg(F.min(id_col).alias("least"))
+    of = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    of = materialize(of, "roots")
+    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
+    return rows.select(id_col, "node").join(of.join(least, "root").select("node", "component_id"), "node").select(id_col, "component_id")
+
+
+def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """docs without the rows that are not the smallest id of their group in similar_groups(); null ids stay."""
+    groups = similar_groups(docs, id_col, text_col, **how)
+    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    return docs.join(gone, id_col, "left_anti").select(docs.columns)

@@ -24,11 +24,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near-duplicate documents the smallest id.
-
-    The fingerprints are of five-word shingles; three differing bits of 64 stand for a similarity well above 0.8.
-    """
-    return simhash.keep_one(docs, shingle_words=5, max_bits=3)
+    """Of each component of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more the smallest id."""
+    return simhash.keep_one_similar(docs, shingle_words=5, similarity=0.8)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
