@@ -1,13 +1,17 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts are added up by cells (source, language, topic). The cells' weights are raked to each target marginal in turn,
-again and again, until all hold. A document's probability is its cell's fitted tokens against its tokens, scaled so that a given share
+again and again: a fixed number of rounds, or until all hold to a tolerance. A document's probability is its cell's fitted tokens against its tokens, scaled so that a given share
 of all tokens is expected to stay, with cells that would need more than all their documents kept whole; those carry a weight
-above one instead. A hash of the id against the probability decides, alike in every run.
+above one instead, and sample() repeats their documents by it. A hash of the id against the probability decides, alike in
+every run.
 """
 
 from __future__ import annotations
 
+import warnings
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,6 +21,8 @@ from chainloom.llm.shared import materialize
 WORDS = "[^\\x20\\x09-\\x0D]+"
 #: Rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
 ROUNDS, FLATTEN = 8, 0.7
+#: Share of all weight by which a margin of sample() may miss its target, and the rounds after which raking to it gives up.
+TOLERANCE, MOST_ROUNDS = 1e-6, 200
 #: Share of all tokens that is to stay.
 KEEP = 0.8
 MARGINS = ("source", "lang", "topic")
@@ -38,11 +44,20 @@ def default_targets(cells: DataFrame, margin: str, flatten: float = FLATTEN) ->
     return cells.groupBy(margin).agg(F.sum("tokens").alias("t")).select(margin, F.pow(F.col("t").cast("double"), F.lit(flatten)).alias("target"))
 
 
-def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def residuals(fitted: DataFrame) -> DataFrame:
+    """(margin, value, share, target, residual) of cells with weight and <margin>_share: what raking has left of each margin."""
+    keys = [c[: -len("_share")] for c in fitted.columns if c.endswith("_share")]
+    parts = [fitted.groupBy(F.lit(k).alias("margin"), F.col(k).cast("string").alias("value")).agg(F.sum("weight").alias("share"), F.max(f"{k}_share").alias("target")) for k in keys]
+    return reduce(DataFrame.unionByName, parts).withColumn("residual", F.col("share") - F.col("target"))
+
+
+def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float | None = None) -> DataFrame:
     """cells(margins..., tokens) with weight, the raked tokens; targets: for each margin a table (margin, target).
 
     Each target is scaled to a sum of one over the values that occur; a value without a target gets none of the weight.
-    The fit is of cells, not of documents, and stays in Spark, since the sources may be many.
+    The fit is of cells, not of documents, and stays in Spark, since the sources may be many. With a tolerance, raking goes on
+    after the given rounds until no margin misses its target by more; a table whose margins cannot all hold stops at
+    MOST_ROUNDS with a warning that names the worst margins.
     """
     keys, everything = list(targets), Window.partitionBy()
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -52,12 +67,19 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
         scaled = present.withColumn(f"{k}_share", F.coalesce(F.try_divide("target", F.sum("target").over(everything)), F.lit(0.0))).drop("target")
         out = out.join(scaled, k)
     out = materialize(out.select(*keys, "tokens", "weight", *(f"{k}_share" for k in keys)), "mix-cells")
-    for r in range(rounds):
+    for r in range(rounds if tolerance is None else max(rounds, MOST_ROUNDS)):
         for k in keys:
             margin = F.sum("weight").over(Window.partitionBy(k))
             out = out.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"{k}_share") / margin).otherwise(0.0))
         if r % 2 == 1:
             out = materialize(out, "mix-cells")
+            if tolerance is not None and r + 1 >= rounds:
+                worst = residuals(out).orderBy(F.abs("residual").desc()).limit(5).collect()
+                if not worst or abs(worst[0].residual) <= tolerance:
+                    break
+    else:
+        if tolerance is not None:
+            warnings.warn("margins miss their targets: " + ", ".join(f"{w.margin} {w.value!r} by {w.residual:.2g}" for w in worst), stacklevel=2)
     return out.select(*keys, "tokens", "weight")
 
 
@@ -75,7 +97,7 @@ def scale_to(fitted: DataFrame, keep: float) -> float:
     return scale
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN, tolerance: float | None = None) -> DataFrame:
     """One row for each row of docs: (id, source, lang, topic, n_tokens, probability, weight, kept).
 
     docs needs source and lang; the topic is topic()'s. Null values of a margin form a value of their own, "". A cell of
@@ -88,14 +110,24 @@ def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: floa
     rows = materialize(rows, "mix-rows")
     cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
     given = targets or {}
-    fitted = fit_cells(cells, {k: given[k] if k in given else default_targets(cells, k, flatten) for k in MARGINS}, rounds)
+    fitted = fit_cells(cells, {k: given[k] if k in given else default_targets(cells, k, flatten) for k in MARGINS}, rounds, tolerance)
     scale = scale_to(fitted, keep)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") * scale / F.col("tokens")).otherwise(1.0)
     p = fitted.select(*MARGINS, F.round(F.least(ratio, F.lit(1.0)), 9).alias("probability"), F.round(F.greatest(ratio, F.lit(1.0)), 6).alias("weight"))
     return rows.join(p, list(MARGINS)).select(F.col("id").alias(id_col), *MARGINS, "n_tokens", "probability", "weight", (uniform(F.col("id"), seed) < F.col("probability")).alias("kept"))
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """docs without the rows that mix() does not keep. Rows of one id go together; rows with a null id stay."""
-    gone = mix(docs, id_col=id_col, **how).where(~F.col("kept")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+def sample(docs: DataFrame, id_col: str = "doc_id", seed: int = 0, tolerance: float | None = TOLERANCE, **how) -> DataFrame:
+    """docs without the rows that mix() does not keep, and with those of a weight above one repeated by it.
+
+    A weight's whole part is the number of copies, and a second hash of the id decides on one more by the fraction, so the
+    expected tokens of each cell are in proportion to its raked weight. Rows of one id go together, by the least of their
+    cells; rows with a null id stay once.
+    """
+    mixed = mix(docs, id_col=id_col, seed=seed, tolerance=tolerance, **how)
+    whole = F.floor("weight")
+    more = (uniform(F.col(id_col), seed + 1) < F.col("weight") - whole).cast("long")
+    times = mixed.groupBy(id_col).agg(F.min(F.when(F.col("kept"), whole + more).otherwise(0)).alias("mix_times"))
+    out = docs.join(times.where("mix_times <> 1"), id_col, "left").where("mix_times is null or mix_times > 0")
+    copies = F.explode(F.sequence(F.lit(1), F.coalesce("mix_times", F.lit(1)).cast("int"))).alias("mix_copy")
+    return out.select(*docs.columns, copies).select(docs.columns)

@@ -29,7 +29,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents sampled so that sources, languages and topics meet their flattened shares."""
+    """Documents sampled, or repeated where a cell is too small, so that sources, languages and topics meet their flattened shares."""
     return mixing.sample(docs)
 
 
