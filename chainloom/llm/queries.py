@@ -70,7 +70,7 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents")).drop("bucket")
+    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,42 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that a join may broadcast; a larger side is shuffled instead.
+BROADCAST_ROWS = 1 << 16
+#: A key is hot if it has more than one in so many of all rows, so there are fewer hot keys than this.
+HOT_SHARE = 1024
+
+
+def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df, to be broadcast if it has at most BROADCAST_ROWS rows; df should be a written table, since it is counted."""
+    most = BROADCAST_ROWS if rows is None else rows
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def join_keyed(rows: DataFrame, keyed: DataFrame, key: str, n_rows: str, how: str = "inner") -> DataFrame:
+    """rows joined with keyed, which has one row for each key and in n_rows how many rows have it; how: inner or left.
+
+    Both are written tables. A small keyed table is broadcast. Else the hot keys are, of which there are fewer than
+    HOT_SHARE, and only rows with other keys are shuffled, so no task gets more than one key's share of 1 / HOT_SHARE.
+    """
+    if keyed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(keyed.drop(n_rows)), key, how)
+    hot = F.col(n_rows) * HOT_SHARE > rows.count()
+    some, rest = keyed.where(hot).drop(n_rows), keyed.where(~hot).drop(n_rows)
+    return rows.join(F.broadcast(some), key).unionByName(rows.join(F.broadcast(some.select(key)), key, "left_anti").join(rest, key, how))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """docs without the rows whose id (null equals null) and digest of the text are in gone(id, digest), a written table."""
+    gone = if_small(gone.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct())
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (digest(docs[text_col]) == gone["__digest"]), "left_anti")
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of the text in UTF-8; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
 def held_out(doc_id: Column) -> Column:
     """True for the fold that no model learns from."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))

@@ -1,35 +1,47 @@
 """SimHash near-duplicates: fingerprints of word shingles, joined by a binary trie over the fingerprints.
 
-The trie of all fingerprints is cut into subtrees of a bounded number of rows. Pairs of subtrees whose prefixes differ in
-no more bits than the Hamming budget become tasks; within a task the two subtrees are traversed together, bit by bit,
-adding up differing bits and leaving every node pair that is over budget. A task returns a spanning forest of its links
-(never all pairs of a group), and the components are joined over tasks with alternating large-star and small-star rounds.
+Fingerprints that differ in few bits agree in a whole block of bits: of b + 1 blocks, b differing bits leave one alone. So
+the fingerprints are rotated to put each block first in turn, and a trie over each rotation is joined with itself: pairs of
+nodes descend together, bit by bit, add up differing bits and are left once they are over budget, which is zero within the
+leading block. Each trie is cut into subtrees of a bounded number of rows, split as deep as it takes; a task has a subtree,
+or two that agree in the leading block. A task returns a spanning forest of its links (never all pairs of a group), and the
+components are joined over tasks with alternating large-star and small-star rounds.
+
+For sets of shingles of a given Jaccard similarity the bits that may differ are too many for that. There, rows meet in the
+buckets of their least shingle hashes; a bucket's trie is joined with a wide budget, and exact Jaccard confirms each link.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import materialize, small_batches
+from chainloom.llm.shared import if_small, join_keyed, materialize, small_batches, text_digest, without_rows
 
 BITS = 64
-#: Depth of the histogram from which the trie is cut: 2**12 counters at most reach the driver, whatever the input.
-CUT_BITS = 12
-#: The trie is cut at this depth at least, so that small inputs are dealt out as large ones are.
-LEAST_BITS = 4
+#: Bits of the trie that the first histogram covers at most, and those of each node that is split further: its counters are
+#: what the driver gets.
+FIRST_BITS, STEP_BITS = 17, 8
+#: The trie is cut at this depth at least, so that small inputs make enough tasks; rows of a subtree, and how many subtrees
+#: there may be before they get larger.
+LEAST_BITS, LEAF_ROWS, SUBTREES = 4, 1 << 17, 1 << 15
+#: Pairs of fingerprints that are compared at once.
+PAIRS = 1 << 20
 #: Hashes whose bits are counted at once, and node pairs that descend at once.
 CHUNK, FRONTIER = 1 << 15, 1 << 15
-#: For pairs of a Jaccard similarity of 0.8: bits that may differ in a sketch's first 64 bits, and in its 128 bits.
-WIDE_BITS, SKETCH_BITS = 16, 30
-#: Depth of the histograms from which the tries of the size classes are cut.
-CLASS_CUT_BITS = 10
+#: Least hashes of a set by which it is put into buckets. Of two sets of similarity 0.8, none is shared by 0.2**8 of all pairs.
+KEYS = 8
+#: Bits of 64 that may differ in such a pair: 10 are expected at similarity 0.8, with a deviation of 3.
+WIDE_BITS = 24
+#: Rows and shingles that a bucket, or a part of one, may hold.
+BUCKET_ROWS, BUCKET_SHINGLES = 1 << 13, 1 << 22
 
 
 def fingerprint(text: str | None, k: int = 3, seed: int = 42) -> int:
@@ -39,28 +51,34 @@ def fingerprint(text: str | None, k: int = 3, seed: int = 42) -> int:
         return 0
     n = max(1, len(words) - k + 1)
     shingles = map(b" ".join, zip(*(words[i : i + n] for i in range(k)))) if len(words) >= k else [b" ".join(words)]
-    hashes = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), shingles), np.uint64, n).astype("<u8", copy=False)
+    return majority(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), shingles), np.uint64, n))
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(BITS, np.int64)
-    for at in range(0, n, CHUNK):
-        ones += np.unpackbits(hashes[at : at + CHUNK].view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n).view("<u8")[0])
+    for at in range(0, len(hashes), CHUNK):
+        ones += np.unpackbits(hashes[at : at + CHUNK].astype("<u8", copy=False).view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes)).view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(id, fp): one row for each row of docs; null and blank texts have fingerprint zero. Other columns are ignored."""
+    """(id, digest, fp): one row for each row of docs; null and blank texts have fingerprint zero. Other columns are ignored."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), shingle_words) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=[id_col, "fp"])
+            texts = [t.as_py() or "" for t in b.column(1)]
+            fps = np.fromiter((fingerprint(t, shingle_words) for t in texts), np.uint64, b.num_rows)
+            digests = pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), digests, pa.array(fps.view(np.int64))], names=["id", "digest", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, fp bigint")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"id {kind}, digest binary, fp bigint")
 
 
-def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS, least: int = LEAST_BITS) -> list[tuple[int, int]]:
-    """(depth, prefix) of the subtrees: nodes with more than leaf_rows rows, and those above the depth least, are split,
-    down to the given depth."""
+def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int, least: int) -> list[tuple[int, int, int]]:
+    """(depth, prefix, rows) of the subtrees: nodes with more than leaf_rows rows, and those above the depth least, are
+    split, down to the given depth."""
     full = np.zeros(1 << depth, np.int64)
     for prefix, n in counts.items():
         full[prefix] = n
@@ -73,39 +91,41 @@ def cut_trie(counts: dict[int, int], leaf_rows: int, depth: int = CUT_BITS, leas
         if levels[d][p] and d < depth and (d < least or levels[d][p] > leaf_rows):
             nodes += [(d + 1, 2 * p + 1), (d + 1, 2 * p)]
         elif levels[d][p]:
-            leaves.append((d, p))
+            leaves.append((d, p, int(levels[d][p])))
     return leaves
 
 
-def leaf_pairs(leaves: list[tuple[int, int]], budget: int, depth: int = CUT_BITS) -> list[tuple[int, int]]:
-    """Indexes (a <= b) of subtrees whose prefixes differ in at most budget of the bits that both have."""
-    d = np.array([x[0] for x in leaves], np.int64)
-    p = np.array([x[1] << (depth - x[0]) for x in leaves], np.int64)
-    pairs = []
-    for a in range(len(leaves)):
-        both = np.minimum(d[a], d[a:])
-        errors = np.bitwise_count((p[a] ^ p[a:]) >> (depth - both))
-        pairs += [(a, a + int(b)) for b in np.flatnonzero(errors <= budget)]
-    return pairs
+def products(al: np.ndarray, ah: np.ndarray, bl: np.ndarray, bh: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All index pairs of the ranges al to ah with those of bl to bh, some PAIRS at a time."""
+    n = ah - al
+    i = np.repeat(al, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    low, wide = np.repeat(bl, n), np.repeat(bh - bl, n)
+    upto, at = np.cumsum(wide), 0
+    while at < len(i):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + PAIRS, side="right")))
+        w = wide[at:end]
+        yield np.repeat(i[at:end], w), np.repeat(low[at:end], w) + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+        at = end
 
 
-def trie_join(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of the sorted distinct fingerprints in a and b that differ in at most budget bits; same: a is b.
+def trie_join(a: np.ndarray, b: np.ndarray, budget: int, same: bool, free: int = 0, roots: tuple[np.ndarray, ...] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of the fingerprints in a and b that differ in at most budget bits; same: a is b.
 
     A node is a range of a sorted array. Node pairs descend together in blocks, so memory is bounded; a node pair with
-    few fingerprint pairs left is finished by comparing those.
+    few fingerprint pairs left is finished by comparing those. Within the first free bits no error is allowed. roots: ranges
+    (from and to in a, from and to in b) that are joined each for itself, if the arrays hold several tries.
     """
     ones: dict[tuple[int, int], np.ndarray] = {}
 
     def split(side: int, x: np.ndarray, depth: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         if (side, depth) not in ones:
             bit = (x >> np.uint64(BITS - 1 - depth)) & np.uint64(1)
-            ones[side, depth] = np.concatenate(([0], np.cumsum(bit, dtype=np.int64)))
+            ones[side, depth] = np.concatenate((np.zeros(1, np.int32), np.cumsum(bit, dtype=np.int32)))
         c = ones[side, depth]
         return hi - (c[hi] - c[lo])
 
-    start = tuple(np.array([v], np.int64) for v in (0, len(a), 0, len(b), 0))
-    stack = [(0, start)]
+    start = roots or tuple(np.array([v], np.int64) for v in (0, len(a), 0, len(b)))
+    stack = [(0, (*start, np.zeros(len(start[0]), np.int64)))]
     while stack:
         depth, (al, ah, bl, bh, err) = stack.pop()
         if len(al) > FRONTIER:
@@ -114,16 +134,12 @@ def trie_join(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator
             continue
         work = (ah - al) * (bh - bl)
         few = (work <= 16) | (depth == BITS)
-        if few.any():
-            n, lo, wide, low = work[few], al[few], (bh - bl)[few], bl[few]
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            wide = np.repeat(wide, n)
-            i, j = np.repeat(lo, n) + at // wide, np.repeat(low, n) + at % wide
+        for i, j in products(*(x[few] for x in (al, ah, bl, bh))):
             near = np.bitwise_count(a[i] ^ b[j]) <= budget
             if same:
                 near &= i < j
             yield i[near], j[near]
-            al, ah, bl, bh, err = (x[~few] for x in (al, ah, bl, bh, err))
+        al, ah, bl, bh, err = (x[~few] for x in (al, ah, bl, bh, err))
         if not len(al):
             continue
         am, bm, twin = split(0, a, depth, al, ah), split(int(not same), b, depth, bl, bh), (al == bl) if same else np.zeros(len(al), bool)
@@ -133,7 +149,7 @@ def trie_join(a: np.ndarray, b: np.ndarray, budget: int, same: bool) -> Iterator
                 l1, h1 = (am, ah) if x else (al, am)
                 l2, h2 = (bm, bh) if y else (bl, bm)
                 e = err + (x != y)
-                ok = (h1 > l1) & (h2 > l2) & (e <= budget)
+                ok = (h1 > l1) & (h2 > l2) & (e <= (budget if depth >= free else 0))
                 if (x, y) == (1, 0):
                     ok &= ~twin
                 parts.append(tuple(v[ok] for v in (l1, h1, l2, h2, e)))
@@ -160,85 +176,165 @@ class Forest:
             up[:] = up[up]
 
 
-def task_links(table: pa.Table, budget: int) -> pa.Table:
+def turned(fp: Column, by: int) -> Column:
+    """fp rotated to the left."""
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, BITS - by)) if by else fp
+
+
+def task_links(table: pa.Table, budget: int, width: int) -> pa.Table:
     """A spanning forest of the links between the one or two subtrees of a task, as (u, v) fingerprints."""
-    leaf = table.column("leaf").to_numpy()
+    leaf, by = table.column("leaf").to_numpy(), int(table.column("by")[0].as_py())
     fp = table.column("fp").to_numpy().view(np.uint64)
+    key = (fp << np.uint64(by)) | (fp >> np.uint64(BITS - by)) if by else fp
     first = leaf == leaf.min()
-    a, same = np.sort(fp[first]), bool(first.all())
-    b = a if same else np.sort(fp[~first])
-    nodes, shift = (a, 0) if same else (np.concatenate((a, b)), len(a))
+    one, two = np.flatnonzero(first), np.flatnonzero(~first)
+    one, two, same = one[np.argsort(key[one])], two[np.argsort(key[two])], not len(two)
+    nodes, shift = fp[np.concatenate((one, two))], 0 if same else len(one)
     forest = Forest(len(nodes))
-    for i, j in trie_join(a, b, budget, same):
+    for i, j in trie_join(key[one], key[one] if same else key[two], budget, same, width):
         forest.add(i, j + shift)
     child = np.flatnonzero(forest.up != np.arange(len(nodes)))
     return pa.table({"u": nodes[child].view(np.int64), "v": nodes[forest.up[child]].view(np.int64)})
 
 
-def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int = 1 << 16) -> DataFrame:
-    """Links (u, v) that connect just what pairs of the distinct fingerprints in fps(fp) within max_bits connect."""
-    spark = fps.sparkSession
-    prefix = F.shiftrightunsigned("fp", BITS - CUT_BITS)
-    counts = {r[0]: r[1] for r in fps.groupBy(prefix.alias("p")).count().collect()}
-    leaves = cut_trie(counts, leaf_rows)
-    tasks: dict[int, list[int]] = {}
-    for k, (a, b) in enumerate(leaf_pairs(leaves, max_bits)):
-        for x in {a, b}:
-            tasks.setdefault(x, []).append(k)
-    rows = [(p, x, tasks[x]) for x, (d, top) in enumerate(leaves) for p in range(top << (CUT_BITS - d), (top + 1) << (CUT_BITS - d)) if p in counts]
-    # At most 2**CUT_BITS rows, each with the tasks of a prefix (299 at most for three bits), so it may be broadcast.
-    plan = spark.createDataFrame(rows, "p bigint, leaf int, tasks array<int>")
-    dealt = fps.select("fp", prefix.alias("p")).join(F.broadcast(plan), "p").select(F.explode("tasks").alias("task"), "leaf", "fp")
-    return dealt.groupBy("task").applyInArrow(lambda t: task_links(t, max_bits), "u bigint, v bigint")
-
+def leaf_tasks(leaves: list[tuple[int, int, int]], width: int, budget: int) -> list[list[tuple[int, int]]]:
+    """For each subtree (depth, prefix, rows) the tasks that it is in, as pairs of subtrees (a <= b): one of its own, and one
+    with each that agrees in the first width bits and differs in at most budget of the other bits that both have."""
+    tasks: list[list[tuple[int, int]]] = [[(x, x)] for x in range(len(leaves))]
+    blocks: dict[int, list[int]] = {}
+    for x, (d, p, _) in enumerate(leaves):
+        if d > width:
+            blocks.setdefault(p >> (d - width), []).append(x)
+    for members in blocks.values():
+        for k, a in enumerate(members):
+            for b in members[k + 1 :]:
+                d = min(leaves[a][0], leaves[b][0])
+                if ((leaves[a][1] >> (leaves[a][0] - d)) ^ (leaves[b][1] >> (leaves[b][0] - d))).bit_count() <= budget:
+                    tasks[a].append((a, b))
+                    tasks[b].append((a, b))
+    return tasks
+
+
+def signed(x: int) -> int:
+    return x - (1 << BITS) if x >> (BITS - 1) else x
+
+
+def cut_leaves(fps: DataFrame, by: int, leaf_rows: int, first_bits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """The subtrees (depth, prefix, rows) of the trie of the rotated fingerprints, and (bits, prefix, subtree) of all prefixes
+    that lead to one. Subtrees with too many rows are split further, as deep as it takes."""
+    spark, leaves, places = fps.sparkSession, [], []
+    depth, bits, nodes = 0, first_bits, [0]
+    while nodes:
+        rows = fps.select(F.shiftrightunsigned(turned(F.col("fp"), by), BITS - bits).alias("p"))
+        rows = rows.withColumn("x", F.shiftrightunsigned("p", bits - depth) if depth else F.lit(0).cast("bigint"))
+        if depth:
+            rows = rows.join(F.broadcast(spark.createDataFrame([(x,) for x in nodes], "x bigint")), "x")
+        counts: dict[int, dict[int, int]] = {x: {} for x in nodes}
+        for x, p, n in rows.groupBy("x", "p").count().collect():
+            counts[x][p % (1 << (bits - depth))] = n
+        deeper = []
+        for x in nodes:
+            for d, p, n in cut_trie(counts[x], leaf_rows, bits - depth, 0 if depth else LEAST_BITS):
+                if n > leaf_rows and depth + d == bits < BITS:
+                    deeper.append(x << d | p)
+                    continue
+                rest = bits - depth - d
+                places += [(bits, (x << d | p) << rest | q, len(leaves)) for q in range(1 << rest) if (p << rest | q) in counts[x]]
+                leaves.append((depth + d, x << d | p, n))
+        depth, bits, nodes = bits, min(bits + STEP_BITS, BITS), deeper
+    return leaves, places
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root): each linked node and the smallest node that it reaches, by large-star and small-star rounds."""
 
-    def mark(df: DataFrame) -> tuple:
-        return tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
+    """Links (u, v) that connect just what pairs of the distinct fingerprints in fps(fp) within max_bits connect.
 
+    fps is a written table. A fingerprint goes to max_bits + 1 tasks, and to more only from a block of bits that more than
+    leaf_rows fingerprints share.
+    """
+    spark, width, n = fps.sparkSession, BITS // (max_bits + 1), fps.count()
+    leaf_rows = leaf_rows or max(LEAF_ROWS, n // SUBTREES)
+    first_bits = min(FIRST_BITS, LEAST_BITS + (n // leaf_rows).bit_length())
+    dealt, tasks_before = [], 0
+    for by in range(0, width * (max_bits + 1), width):
+        leaves, places = cut_leaves(fps, by, leaf_rows, first_bits)
+        tasks = leaf_tasks(leaves, width, max_bits)
+        number = {t: tasks_before + k for k, t in enumerate(sorted({t for mine in tasks for t in mine}))}
+        tasks_before += len(number)
+        for bits in sorted({b for b, *_ in places}):
+            # At most 2**FIRST_BITS rows, and 2**STEP_BITS more for each subtree that was split further.
+            plan = spark.createDataFrame([(signed(p), x, [number[t] for t in tasks[x]]) for b, p, x in places if b == bits], "p bigint, leaf int, tasks array<int>")
+            prefix = F.shiftrightunsigned(turned(F.col("fp"), by), BITS - bits)
+            dealt.append(fps.withColumn("p", prefix).join(F.broadcast(plan), "p").select(F.explode("tasks").alias("task"), "leaf", F.lit(by).alias("by"), "fp"))
+    if not dealt:
+        return spark.createDataFrame([], "u bigint, v bigint")
+    return reduce(DataFrame.unionByName, dealt).groupBy("task").applyInArrow(lambda t: task_links(t, max_bits, width), "u bigint, v bigint")
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root): each linked node and the smallest node that it reaches, by large-star and small-star rounds.
+
+    Rounds go on until the links are stars: each node has one link, to a node that has none of its own.
+    """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
     edges = materialize(edges, "links")
-    seen = mark(edges)
-    for _ in range(max_rounds):
-        if not seen[0]:
-            break
+    while not stars(edges):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = materialize(small.distinct(), "links")
-        now = mark(edges)
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
+        edges = materialize(small.where("u <> v").distinct(), "links")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int = 1 << 16) -> DataFrame:
+def stars(edges: DataFrame) -> bool:
+    """Whether each u occurs once and is no v."""
+    ends = edges.select("u", F.lit(1).alias("n")).union(edges.select("v", F.lit(0)).distinct())
+    seen = ends.groupBy("u").agg(F.sum("n").alias("links"), F.min("n").alias("least"))
+    return seen.where("links > 1 or (links = 1 and least = 0)").isEmpty()
+
+
+def _with_least(rows: DataFrame, node: str, links: DataFrame) -> DataFrame:
+    """rows(id, digest, node, ...) with first, the smallest (id, digest) of the row's component; null ids come last."""
+    who = F.struct(F.col("id").isNull().alias("unknown"), F.col("id").alias("id"), F.col("digest").alias("digest"))
+    nodes = materialize(rows.groupBy(node).agg(F.min(who).alias("least"), F.count(F.lit(1)).alias("n_rows")), "nodes")
+    roots = components(links).withColumnRenamed("node", node)
+    of = materialize(nodes.join(roots, node, "left").select(node, "least", "n_rows", F.coalesce("root", node).alias("root")), "roots")
+    least = of.groupBy("root").agg(F.min("least").alias("first"))
+    return join_keyed(rows, materialize(of.join(least, "root").select(node, "first", "n_rows"), "firsts"), node, "n_rows")
+
+
+def near_groups(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, leaf_rows: int | None) -> DataFrame:
+    rows = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    fps = materialize(rows.select("fp").distinct(), "distinct")
+    return _with_least(rows, "fp", hamming_links(fps, max_bits, leaf_rows))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
     """One row for each row of docs: (id, fp, component_id).
 
     component_id is the smallest id that the row reaches over fingerprints differing in at most max_bits bits. Equal
     fingerprints form one node, so copies cost one row each. Null and blank texts share fingerprint zero. A null id keeps
-    its row and takes part as a text, but is never a component_id unless its component has no other id.
+    its row and takes part as a text, but is never a component_id unless its component has no other id. Texts of any length
+    are read whole; an empty table gives an empty result; other columns are ignored.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    nodes = materialize(rows.groupBy("fp").agg(F.min(id_col).alias("least")), "nodes")
-    roots = components(hamming_links(nodes.select("fp"), max_bits, leaf_rows))
-    of = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.join(of.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    groups = near_groups(docs, id_col, text_col, shingle_words, max_bits, leaf_rows)
+    return groups.select(F.col("id").alias(id_col), "fp", F.col("first.id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the rows that are not the smallest id of their component; repeated rows of that id all stay, and so do null ids."""
-    groups = near_duplicates(docs, id_col, text_col, **how)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+def _first_only(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    others = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest")))
+    gone = materialize(groups.where(others).select("id", "digest"), "near-gone")
+    return without_rows(docs, gone, id_col, text_col, text_digest)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
+    """Of each component of near_duplicates() the smallest id; of an id with several texts in it, the one of least digest.
+
+    Rows are decided one by one: an id's texts in other components are not touched. Rows that repeat the id and the text of
+    the one that stays remain with it.
+    """
+    return _first_only(docs, near_groups(docs, id_col, text_col, shingle_words, max_bits, leaf_rows), id_col, text_col)
 
 
 def shingle_set(text: str | None, k: int, seed: int = 42) -> np.ndarray:
@@ -248,162 +344,204 @@ def shingle_set(text: str | None, k: int, seed: int = 42) -> np.ndarray:
     return np.unique(np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), shingles), np.uint64))
 
 
-def sketch(hashes: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit SimHash fingerprints of a set of hashes: of the hashes themselves, and of the hashes mixed anew."""
-    out = []
-    for turn in (False, True):
-        ones = np.zeros(BITS, np.int64)
-        for at in range(0, len(hashes), CHUNK):
-            h = hashes[at : at + CHUNK]
-            if turn:
-                h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-                h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-                h ^= h >> np.uint64(32)
-            ones += np.unpackbits(h.astype("<u8", copy=False).view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
-        out.append(int(np.packbits(ones * 2 > len(hashes)).view("<u8")[0]))
-    return out[0], out[1]
-
-
-def size_classes(similarity: float, most: int = 1 << 40) -> np.ndarray:
-    """First sizes of the classes: sets that are similar enough are in one class or in neighbouring ones."""
-    first = [0, 1]
-    while first[-1] < most:
-        first.append(int(first[-1] / similarity + 1e-6) + 1)
-    return np.array(first, np.int64)
-
-
-def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float) -> DataFrame:
-    """(id, node, n, cls, fp, fp2, shingles) for each row of docs; node names the set of shingles, n is its size."""
-    first = size_classes(similarity)
+def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
+    """(id, digest, node, n, fp, keys, shingles) for each row of docs; node names the set of shingles, n is its size, keys are
+    its least hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = [shingle_set(t.as_py(), shingle_words) for t in b.column(1)]
+            texts = [t.as_py() or "" for t in b.column(1)]
+            sets = [shingle_set(t, shingle_words) for t in texts]
             blobs = [s.astype("<u8", copy=False).tobytes() for s in sets]
-            node = np.fromiter(map(xxhash.xxh64_intdigest, blobs), np.uint64, len(sets))
+            node, fp = (np.fromiter(map(f, x), np.uint64, len(sets)) for f, x in ((xxhash.xxh64_intdigest, blobs), (majority, sets)))
             n = np.fromiter(map(len, sets), np.int64, len(sets))
-            fps = np.array([sketch(s) for s in sets], np.uint64).reshape(-1, 2)
-            cls = np.searchsorted(first, n, side="right").astype(np.int32)
-            columns = [b.column(0), *map(pa.array, (node.view(np.int64), n, cls, fps[:, 0].copy().view(np.int64), fps[:, 1].copy().view(np.int64))), pa.array(blobs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[id_col, "node", "n", "cls", "fp", "fp2", "shingles"])
+            keys = pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
+            digests = pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary())
+            columns = [b.column(0), digests, *map(pa.array, (node.view(np.int64), n, fp.view(np.int64))), keys, pa.array(blobs, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "node", "n", "fp", "keys", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, node bigint, n bigint, cls int, fp bigint, fp2 bigint, shingles binary")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"id {kind}, digest binary, node bigint, n bigint, fp bigint, keys array<bigint>, shingles binary")
 
 
-def near_pairs(table: pa.Table, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs (i, j) of a task that its sizes and sketches allow to be similar: within one leaf, or across its two.
+def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFrame:
+    """(task, part, level, last, node, n, fp, keys): nodes(node, n, fp, keys) in the buckets that they share with others.
 
-    Rows are compared in blocks, with those of a fitting size only. At WIDE_BITS nearly every node pair of a trie of a leaf's
-    depth is within budget, so the trie decides on the pairs of leaves and is not descended further.
+    A node is in the bucket of each of its keys. The rows of a bucket that is too large go to buckets of two keys instead. If
+    one of those is too large yet, its members share much: they are dealt to parts, and tasks are the pairs of parts.
+    level: how many keys name the bucket; last: the largest of them.
     """
-    leaf, n = table.column("leaf").to_numpy(), table.column("n").to_numpy()
-    fp, fp2 = (table.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
-    order = np.argsort(n, kind="stable")
-    first = leaf[order] == leaf.min()
-    same = bool(first.all())
-    a, b = order[first], order if same else order[~first]
-    high = n[b]
-    for at in range(0, len(a), 128):
-        i = a[at : at + 128]
-        lo, hi = np.searchsorted(high, (n[i[0]] * similarity - 1e-6, n[i[-1]] / similarity + 1e-6))
-        for w in range(max(lo, at) if same else lo, hi, 8192):
-            j = b[w : min(w + 8192, hi)]
-            x, y = np.nonzero(np.bitwise_count(fp[i][:, None] ^ fp[j]) <= WIDE_BITS)
-            if same:
-                x, y = (v[at + x < w + y] for v in (x, y))
-            u, v = i[x], j[y]
-            bits = np.bitwise_count(fp[u] ^ fp[v]) + np.bitwise_count(fp2[u] ^ fp2[v])
-            ok = (bits <= SKETCH_BITS) & (np.minimum(n[u], n[v]) >= np.maximum(n[u], n[v]) * similarity - 1e-6)
-            yield u[ok], v[ok]
-
-
-def with_candidates(table: pa.Table, similarity: float) -> pa.Table:
-    """The rows of a task that have a candidate in it."""
-    seen = np.zeros(table.num_rows, bool)
-    for i, j in near_pairs(table, similarity):
-        seen[i] = seen[j] = True
-    return table.filter(pa.array(seen))
 
-
-def confirmed_links(table: pa.Table, similarity: float) -> pa.Table:
-    """A spanning forest (u, v) of the candidate pairs of a task whose sets have the Jaccard similarity.
+    too_large = (F.col("in_rows") > bucket_rows) | (F.col("in_shingles") > bucket_shingles)
+
+    def sized(rows: DataFrame, name: str) -> tuple[DataFrame, bool]:
+        sizes = rows.groupBy("task").agg(F.count(F.lit(1)).alias("in_rows"), F.sum("n").alias("in_shingles")).where("in_rows > 1")
+        sizes = materialize(sizes.withColumn("n_rows", F.col("in_rows")), name)
+        return join_keyed(rows, sizes, "task", "n_rows"), not sizes.where(too_large).isEmpty()
+
+    info = ("node", "n", "fp", "keys")
+    one, crowded = sized(nodes.select(F.explode("keys").alias("task"), *info), "buckets")
+    fits = one.where(~too_large).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), F.col("task").alias("last"), *info)
+    if not crowded:
+        return fits
+    second = F.explode(F.filter("keys", lambda k: _unsigned(k) > _unsigned(F.col("task")))).alias("last")
+    over = materialize(one.where(too_large).select("task", second, *info), "crowded")
+    two, _ = sized(over.withColumn("task", F.xxhash64("task", "last")), "crowded-buckets")
+    parts = F.greatest(F.ceil(F.col("in_rows") / bucket_rows), F.ceil(F.col("in_shingles") / bucket_shingles)).cast("int")
+    two = two.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    # Each part meets every other: a row goes to as many tasks as its bucket has parts.
+    two = two.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    task = F.xxhash64("task", F.least("mine", "other"), F.greatest("mine", "other"))
+    return fits.unionByName(two.select(task.alias("task"), F.col("mine").alias("part"), F.lit(2).alias("level"), "last", *info))
+
+
+def _unsigned(x: Column) -> Column:
+    """A number that orders 64-bit numbers as unsigned ones."""
+    return x.bitwiseXOR(F.lit(-(2**63)).cast("bigint"))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of whole groups, from batches that come sorted by the key; several small groups go into one table."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        k = b.column(key).to_numpy()
+        if not len(k):
+            continue
+        # The first row of the batch's last group: what comes before is whole.
+        cut = int(np.flatnonzero(k != k[-1])[-1]) + 1 if k[0] != k[-1] else 0
+        if held and held[-1].column(key)[-1].as_py() != k[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class Buckets:
+    """The rows of some whole tasks, and the pairs of rows that their sketches allow to be similar."""
+
+    def __init__(self, table: pa.Table, similarity: float):
+        column = {c: table.column(c).to_numpy() for c in ("task", "part", "level", "last", "node", "n")}
+        fp = table.column("fp").to_numpy().view(np.uint64)
+        self.order = order = np.lexsort((fp, column["part"], column["task"]))
+        self.similarity, self.fp = similarity, fp[order]
+        self.task, self.part, self.level, self.last, self.node, self.n = (v[order] for v in column.values())
+        self.last = self.last.view(np.uint64)
+        keys = table.column("keys").combine_chunks()
+        keys = keys if isinstance(keys, pa.ListArray) else pa.concat_arrays(keys.chunks)
+        offsets = keys.offsets.to_numpy()
+        size = np.diff(offsets)
+        held = np.arange(KEYS) < size[:, None]
+        self.keys = np.zeros((len(order), KEYS), np.uint64)
+        self.keys[held] = keys.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64)
+        self.keys, self.held = self.keys[order], held[order]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Row pairs (in the sorted order) within the budget, of fitting sizes."""
+        start = np.flatnonzero(np.concatenate(([True], (self.task[1:] != self.task[:-1]) | (self.part[1:] != self.part[:-1]))))
+        end = np.append(start[1:], len(self.task))
+        # A task of one part is joined with itself, one of two parts across them.
+        next_same = np.append(self.task[start[1:]] == self.task[start[:-1]], False)
+        before_same = np.append(False, next_same[:-1])
+        own, two = ~next_same & ~before_same, np.flatnonzero(next_same)
+        for same, roots in ((True, (start[own], end[own], start[own], end[own])), (False, (start[two], end[two], start[two + 1], end[two + 1]) if len(two) else None)):
+            if roots is None or not len(roots[0]):
+                continue
+            for i, j in trie_join(self.fp, self.fp, WIDE_BITS, same, roots=roots):
+                ok = np.minimum(self.n[i], self.n[j]) >= np.maximum(self.n[i], self.n[j]) * self.similarity - 1e-6
+                yield i[ok], j[ok]
+
+    def first_shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the pairs share no keys up to their bucket's last but those that name it: a pair counts in one bucket only."""
+        out = np.zeros(len(i), bool)
+        for at in range(0, len(i), 1 << 16):
+            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            low = self.held[a] & (self.keys[a] <= self.last[a][:, None])
+            shared = ((self.keys[a][:, :, None] == self.keys[b][:, None, :]) & self.held[b][:, None, :]).any(2) & low
+            out[at : at + (1 << 16)] = shared.sum(1) == self.level[a]
+        return out
+
+
+def with_candidates(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """The rows (task, part, level, last, node, n, fp, keys) of whole tasks that have a candidate in their task."""
+    for table in whole_groups(batches, "task"):
+        b = Buckets(table, similarity)
+        seen = np.zeros(table.num_rows, bool)
+        for i, j in b.pairs():
+            new = ~(seen[i] & seen[j])
+            i, j = i[new], j[new]
+            ok = b.first_shared(i, j)
+            seen[i[ok]] = seen[j[ok]] = True
+        yield from table.filter(pa.array(seen[np.argsort(b.order)])).combine_chunks().to_batches()
+
+
+def confirmed_links(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """A spanning forest (u, v) of the candidate pairs of each task whose sets have the Jaccard similarity.
 
     Pairs that are linked already are not compared again.
     """
-    node, n = table.column("node").to_numpy(), table.column("n").to_numpy()
-    ends = np.concatenate(([0], np.cumsum(n)))
-    every = np.frombuffer(b"".join(s.as_py() for s in table.column("shingles")), "<u8")
-    names, ids = np.unique(every, return_inverse=True)
-    marked = np.zeros(len(names), bool)
-    forest = Forest(len(node))
-    for us, vs in near_pairs(table, similarity):
-        for u in np.unique(us).tolist():
-            v = vs[us == u]
-            # Some at a time, so that a link found spares the later comparisons.
-            for at in range(0, len(v), 256):
-                w = v[at : at + 256]
-                w = w[forest.up[w] != forest.up[u]]
-                if not len(w):
-                    continue
-                own = ids[ends[u] : ends[u + 1]]
-                marked[own] = True
-                starts = np.cumsum(n[w]) - n[w]
-                common = np.add.reduceat(marked[np.concatenate([ids[ends[x] : ends[x + 1]] for x in w.tolist()])], starts, dtype=np.int64)
-                marked[own] = False
-                w = w[common >= similarity * (n[u] + n[w] - common) - 1e-6]
-                if len(w):
-                    forest.add(np.full(len(w), u), w)
-    child = np.flatnonzero(forest.up != np.arange(len(node)))
-    return pa.table({"u": node[child], "v": node[forest.up[child]]})
-
-
-def similar_links(rows: DataFrame, similarity: float, leaf_rows: int | None = None) -> DataFrame:
+    for table in whole_groups(batches, "task"):
+        b = Buckets(table, similarity)
+        ends = np.concatenate(([0], np.cumsum(b.n)))
+        blobs = table.column("shingles")
+        every = np.frombuffer(b"".join(blobs[int(x)].as_py() for x in b.order), "<u8")
+        forest = Forest(len(b.node))
+        for us, vs in b.pairs():
+            new = forest.up[us] != forest.up[vs]
+            us, vs = us[new], vs[new]
+            ok = b.first_shared(us, vs)
+            us, vs = us[ok], vs[ok]
+            for u in np.unique(us).tolist():
+                v, own = vs[us == u], every[ends[u] : ends[u + 1]]
+                # Some at a time, so that a link found spares the later comparisons.
+                for at in range(0, len(v), 64):
+                    w = v[at : at + 64]
+                    w = w[forest.up[w] != forest.up[u]]
+                    if not len(w):
+                        continue
+                    other = np.concatenate([every[ends[x] : ends[x + 1]] for x in w.tolist()])
+                    place = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                    common = np.add.reduceat(own[place] == other, np.cumsum(b.n[w]) - b.n[w], dtype=np.int64)
+                    w = w[common >= similarity * (b.n[u] + b.n[w] - common) - 1e-6]
+                    if len(w):
+                        forest.add(np.full(len(w), u), w)
+        child = np.flatnonzero(forest.up != np.arange(len(b.node)))
+        yield pa.RecordBatch.from_arrays([pa.array(b.node[child]), pa.array(b.node[forest.up[child]])], names=["u", "v"])
+
+
+def similar_links(rows: DataFrame, similarity: float, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
     """Links (u, v) of nodes in sketches() that connect what the confirmed candidate pairs connect.
 
-    The trie of each size class is cut into leaves; tasks are the pairs of leaves of one or two neighbouring classes. A first
-    pass finds the rows that have candidates, so only those take their shingles to the second, which compares them.
+    A first pass finds the rows that have candidates in a bucket, so only those take their shingles to the second.
     """
-    spark = rows.sparkSession
-    nodes = materialize(rows.groupBy("node").agg(*(F.min(c).alias(c) for c in ("n", "cls", "fp", "fp2"))), "nodes")
-    prefix = F.shiftrightunsigned("fp", BITS - CLASS_CUT_BITS)
-    counts: dict[int, dict[int, int]] = {}
-    for cls, p, n in nodes.groupBy("cls", prefix.alias("p")).count().collect():
-        counts.setdefault(cls, {})[p] = n
-    total = sum(sum(c.values()) for c in counts.values())
-    leaf_rows = leaf_rows or min(1 << 16, max(256, total // 32))
-    leaves = [(cls, leaf) for cls in sorted(counts) for leaf in cut_trie(counts[cls], leaf_rows, CLASS_CUT_BITS, 0)]
-    tasks: dict[int, list[int]] = {}
-    for k, (a, b) in enumerate(leaf_pairs([leaf for _, leaf in leaves], WIDE_BITS, CLASS_CUT_BITS)):
-        if leaves[b][0] - leaves[a][0] <= 1:
-            for x in {a, b}:
-                tasks.setdefault(x, []).append(k)
-    plan = [(cls, p, x, tasks[x]) for x, (cls, (d, top)) in enumerate(leaves) for p in range(top << (CLASS_CUT_BITS - d), (top + 1) << (CLASS_CUT_BITS - d)) if p in counts[cls]]
-    plan = spark.createDataFrame(plan, "cls int, p bigint, leaf int, tasks array<int>")
-    dealt = nodes.withColumn("p", prefix).join(F.broadcast(plan), ["cls", "p"]).select(F.explode("tasks").alias("task"), "leaf", "node", "n", "fp", "fp2")
-    found = dealt.groupBy("task").applyInArrow(lambda t: with_candidates(t, similarity), dealt.schema)
-    found = materialize(found, "candidates")
-    sets = rows.select("node", "shingles").join(found.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    return found.join(sets, "node").groupBy("task").applyInArrow(lambda t: confirmed_links(t, similarity), "u bigint, v bigint")
-
-
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, leaf_rows: int | None = None) -> DataFrame:
+    nodes = rows.groupBy("node").agg(F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
+    nodes = materialize(nodes, "nodes")
+    dealt = bucketed(nodes, bucket_rows, bucket_shingles)
+    dealt = small_batches(dealt.repartition("task").sortWithinPartitions("task"))
+    found = materialize(dealt.mapInArrow(lambda it: with_candidates(it, similarity), dealt.schema), "candidates")
+    sets = rows.select("node", "shingles").join(if_small(found.select("node").distinct()), "node", "left_semi").dropDuplicates(["node"])
+    pairs = found.join(sets, "node").repartition("task").sortWithinPartitions("task")
+    return pairs.mapInArrow(lambda it: confirmed_links(it, similarity), "u bigint, v bigint")
+
+
+def similar(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float, bucket_rows: int, bucket_shingles: int) -> DataFrame:
+    rows = materialize(sketches(docs, id_col, text_col, shingle_words), "sketches")
+    return _with_least(rows.drop("shingles", "keys"), "node", similar_links(rows, similarity, bucket_rows, bucket_shingles))
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
     """(id, component_id) for each row of docs: the smallest id that it reaches over pairs of the Jaccard similarity or more.
 
-    Similarity is that of the sets of shingles, and exact; a pair is compared if its sketches are within WIDE_BITS and
-    SKETCH_BITS. Texts with equal sets form one node. Null ids are treated as in near_duplicates().
+    Similarity is that of the sets of shingles, and exact; a pair is compared if it shares one of its KEYS least hashes (two,
+    where many rows share one) and its sketches are within WIDE_BITS. Texts with equal sets form one node, texts without words
+    too. Null ids are treated as in near_duplicates().
     """
-    rows = materialize(sketches(docs, id_col, text_col, shingle_words, similarity), "sketches")
-    roots = components(similar_links(rows, similarity, leaf_rows))
-    nodes = rows.groupBy("node").agg(F.min(id_col).alias("least"))
-    of = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    of = materialize(of, "roots")
-    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows.select(id_col, "node").join(of.join(least, "root").select("node", "component_id"), "node").select(id_col, "component_id")
-
-
-def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """docs without the rows that are not the smallest id of their group in similar_groups(); null ids stay."""
-    groups = similar_groups(docs, id_col, text_col, **how)
-    gone = groups.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti").select(docs.columns)
+    return similar(docs, id_col, text_col, shingle_words, similarity, bucket_rows, bucket_shingles).select(F.col("id").alias(id_col), F.col("first.id").alias("component_id"))
+
+
+def keep_one_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
+    """Of each group of similar_groups() one text, chosen and kept as in keep_one()."""
+    return _first_only(docs, similar(docs, id_col, text_col, shingle_words, similarity, bucket_rows, bucket_shingles), id_col, text_col)

@@ -2,22 +2,33 @@
 
 A vector is cut into segments; with the mean and the deviation of each segment of the query and of a candidate, the inner
 product of the two is at most the sum over segments of w (mean * mean + deviation * deviation) - which, by
-|q - x|^2 = |q|^2 + |x|^2 - 2 q.x, is a lower bound of their distance. Bounds go from one segment to many; a candidate that
-stays under a query's k-th best score so far at any resolution is left, and only survivors get their exact product.
+|q - x|^2 = |q|^2 + |x|^2 - 2 q.x, is a lower bound of their distance. Bounds go from few segments to many; a pair whose bound
+is under the query's k-th best score so far at any resolution is left, and only survivors get their exact product.
 
-Queries and candidates are dealt to blocks of bounded size; a task has one block of each and returns k rows a query.
+Every query starts with a threshold from a bounded sample of candidates, which all blocks share. Candidates are dealt to cells
+by the signs of their segments' means; the range of a cell's statistics bounds the scores of all its members, so queries are
+sent to those cells alone that may hold one of their best. Large cells are cut into blocks; a task has one block of candidates
+and one of queries, and returns what may be among the k best.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Rows of a block of queries, of a block of candidates, and of the candidates bounded at once.
-QUERY_ROWS, CANDIDATE_ROWS, BATCH = 4096, 32768, 2048
+from chainloom.llm.shared import materialize
+
+#: Rows of a block of queries and of a block of candidates.
+QUERY_ROWS, CANDIDATE_ROWS = 8192, 32768
+#: Queries and candidates that are bounded together in a task, and pairs that are multiplied at once.
+QUERY_BATCH, BATCH, PAIRS = 1024, 2048, 1 << 16
+#: Candidates from which the first thresholds come, and segments by whose signs cells are made, at most.
+SEEDS, SIGNS = 1024, 8
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, factor: float) -> DataFrame:
@@ -28,96 +39,182 @@ def quantised(vectors: DataFrame, id_col: str, vec_col: str, factor: float) -> D
     return rows.select(F.col(id_col).cast("bigint").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * factor).cast("bigint")).alias("v"))
 
 
+def edges_of(d: int, segments: int) -> np.ndarray:
+    return np.linspace(0, d, segments + 1).astype(int)
+
+
 def segment_stats(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """Means and deviations of each of the segments, both times the root of its length."""
-    edges = np.linspace(0, x.shape[1], segments + 1).astype(int)
+    edges = edges_of(x.shape[1], segments)
     w = np.diff(edges)
     mean = np.add.reduceat(x, edges[:-1], axis=1) / w
     square = np.add.reduceat(x * x, edges[:-1], axis=1) / w
     return mean * np.sqrt(w), np.sqrt(np.maximum(square - mean * mean, 0)) * np.sqrt(w)
 
 
-def search_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query id, candidate id, score) of the k best candidates of each query, ties to the smaller candidate id.
+def resolutions(d: int) -> list[int]:
+    """Numbers of segments, coarse to fine: every second power of two, and half of the components."""
+    return sorted({2**r for r in range(0, 16, 2) if 2**r <= d // 2} | ({d // 2} if d >= 2 else set()))
+
+
+def largest(x: np.ndarray) -> float:
+    return float(np.abs(x.astype(np.float64)).max(initial=0))
+
 
-    Sums of products that floats hold exactly are computed as floats, others as 64-bit whole numbers.
+def products(q: np.ndarray, c: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Exact inner products of the pairs of rows."""
+    return np.einsum("ij,ij->i", q[i], c[j])
+
+
+def best_of(who: np.ndarray, what: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores of each who, ties to the smaller what; by who, then rank."""
+    order = np.lexsort((what, ~score, who))  # ~ turns the order of whole numbers around, and cannot overflow
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(who)), bool), np.diff(who[order]) != 0)))
+    rank = np.arange(len(who)) - np.repeat(first, np.diff(np.append(first, len(who))))
+    return order[rank < k]
+
+
+def search_block(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, candidate id, score) of the candidates that may be among the k best of each query; qid has no repeats.
+
+    floor: a score that k candidates of each query are known to reach, or -inf. Products that floats hold exactly are computed
+    as floats, others as 64-bit whole numbers.
     """
     d = q.shape[1]
-    big = max(float(np.abs(q.astype(np.float64)).max(initial=0)) * float(np.abs(c.astype(np.float64)).max(initial=0)) * max(d, 1), 1.0)
-    exact = np.float64 if big < 2**53 else np.int64
-    qe, fq, fc = q.astype(exact), q.astype(np.float64), c.astype(np.float64)
-    order = np.argsort(cid, kind="stable")
-    cid, c, fc = cid[order], c[order], fc[order]
-    best_s = np.empty((len(qid), 0), exact)
-    best_i = np.empty((len(qid), 0), np.int64)
-    levels = [2**r for r in range(1, 16) if 2**r <= d // 2][::2]
-    q_stats = [np.hstack(segment_stats(fq, s)) for s in levels]
+    big = max(largest(q) * largest(c) * max(d, 1), 1.0)
+    exact = np.float32 if big < 2**24 else np.float64 if big < 2**53 else np.int64
     slack = 1e-9 * big + 1e-6
-    for at in range(0, len(cid), BATCH):
-        ids, part, fpart = cid[at : at + BATCH], c[at : at + BATCH].astype(exact), fc[at : at + BATCH]
-        if best_s.shape[1] < k:
-            alive_q, alive_c = np.arange(len(qid)), np.arange(len(ids))
-        else:
-            floor = best_s[:, k - 1].astype(np.float64)
-            alive_q, alive_c = np.arange(len(qid)), np.arange(len(ids))
-            for s, qs in zip(levels, q_stats):
-                bound = qs[alive_q] @ np.hstack(segment_stats(fpart[alive_c], s)).T
-                may = bound + slack >= floor[alive_q][:, None]
-                alive_q, alive_c = alive_q[may.any(1)], alive_c[may.any(0)]
-                if not len(alive_q) or not len(alive_c):
-                    break
-            if not len(alive_q) or not len(alive_c):
-                continue
-        scores = qe[alive_q] @ part[alive_c].T
-        new_i = np.broadcast_to(ids[alive_c], scores.shape)
-        all_s, all_i = np.hstack((best_s[alive_q], scores)), np.hstack((best_i[alive_q], new_i))
-        own = all_i == qid[alive_q][:, None]
-        # Columns stand by id within the batch and batches by id, so a stable sort gives ties to the smaller id.
-        key = np.where(own, np.inf, -all_s.astype(np.float64)) if exact is np.float64 else None
-        if key is None:
-            rank = np.stack([np.lexsort((i, [-int(x) for x in s], o)) for s, i, o in zip(all_s, all_i, own)])
-        elif all_s.shape[1] > 4 * k:
-            cut = np.partition(key, k, axis=1)[:, k][:, None]
-            rank = np.stack([(lambda w: w[np.argsort(row[w], kind="stable")][: k + 1])(np.flatnonzero(row <= x)) for row, x in zip(key, cut)])
-        else:
-            rank = np.argsort(key, axis=1, kind="stable")
-        rank = rank[:, : k + 1]
-        top_s, top_i = np.take_along_axis(all_s, rank, 1), np.take_along_axis(all_i, rank, 1)
-        if len(alive_q) == len(qid):
-            best_s, best_i = top_s, top_i
-        else:
-            best_s[alive_q], best_i[alive_q] = top_s[:, : best_s.shape[1]], top_i[:, : best_s.shape[1]]
-    width = best_s.shape[1]
-    who, what, score = np.repeat(qid, width), best_i.ravel(), best_s.ravel()
-    keep = who != what
-    return who[keep], what[keep], score[keep].astype(np.int64)
+    fq, fc, qe, ce = q.astype(np.float64), c.astype(np.float64), q.astype(exact), c.astype(exact)
+    stats = [(np.hstack(segment_stats(fq, s)), np.hstack(segment_stats(fc, s))) for s in resolutions(d)]
+    floor = floor.copy()
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for lo in range(0, len(qid), QUERY_BATCH):
+        rows = np.arange(lo, min(lo + QUERY_BATCH, len(qid)))
+        best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for at in range(0, len(cid), BATCH):
+            columns = np.arange(at, min(at + BATCH, len(cid)))
+            i, j = np.nonzero(qid[rows][:, None] != cid[columns])  # a query's own rows are no candidates of it
+            i, j = rows[i], columns[j]
+            for qs, cs in stats:
+                if len(i) * 4 > len(rows) * len(columns):  # many pairs: their bounds from one matrix product
+                    bound = (qs[rows] @ cs[columns].T)[i - lo, j - at]
+                else:
+                    bound = np.concatenate([products(qs, cs, i[p : p + PAIRS], j[p : p + PAIRS]) for p in range(0, len(i), PAIRS)] or [np.zeros(0)])
+                may = bound + slack >= floor[i]
+                i, j = i[may], j[may]
+            score = np.concatenate([products(qe, ce, i[p : p + PAIRS], j[p : p + PAIRS]) for p in range(0, len(i), PAIRS)] or [np.zeros(0, exact)]).astype(np.int64)
+            may = score >= floor[i]
+            best = tuple(np.concatenate(x) for x in zip(best, (i[may], cid[j[may]], score[may])))
+            kept = best_of(*best, k)
+            best = tuple(x[kept] for x in best)
+            full = np.flatnonzero(np.bincount(best[0] - lo, minlength=len(rows)) == k) + lo
+            last = np.searchsorted(best[0], full, side="right") - 1
+            floor[full] = np.maximum(floor[full], best[2][last])
+        out.append(best)
+    who, what, score = (np.concatenate(x) for x in zip(*out))
+    return qid[who], what, score
+
+
+def as_matrix(vectors: pa.Array) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
+def with_floor(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """queries with floor: the k-th best score among at most SEEDS candidates, those of the smallest hash of their id; null
+    where fewer than k of them can be compared."""
+    rows = candidates.orderBy(F.xxhash64("id"), "id", "v").limit(SEEDS).select("id", "v", "d").collect()
+    by: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for d in {r.d for r in rows}:
+        mine = [r for r in rows if r.d == d]
+        by[d] = np.array([r.id for r in mine], np.int64), np.array([r.v for r in mine], np.int64).reshape(len(mine), d)
+    sent = queries.sparkSession.sparkContext.broadcast(by)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, sizes = b.column("id").to_numpy(), b.column("d").to_numpy()
+            floors: list[float | None] = [None] * b.num_rows
+            for d in set(sizes.tolist()) & set(sent.value):
+                at = np.flatnonzero(sizes == d)
+                who, _, score = search_block(ids[at], as_matrix(b.column("v").take(pa.array(at))), np.full(len(at), -np.inf), *sent.value[d], k)
+                order = np.argsort(ids[at])
+                for x, n, least in zip(*np.unique(who, return_counts=True), np.minimum.reduceat(score[np.argsort(who, kind="stable")], np.unique(np.sort(who), return_index=True)[1]) if len(who) else ()):
+                    if n == k:
+                        floors[at[order[np.searchsorted(ids[at], x, sorter=order)]]] = float(least)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(floors, pa.float64())], names=[*b.schema.names, "floor"])
+
+    return queries.mapInArrow(run, "id bigint, v array<bigint>, d int, floor double")
+
+
+def segments_of(rows: DataFrame, signs: int) -> DataFrame:
+    """rows(v, d) with stats, for each of some segments its mean and deviation, times the root of its length."""
+
+    def one(s: Column) -> Column:
+        start = F.floor(F.col("d") * s / signs).cast("int")
+        n = F.floor(F.col("d") * (s + 1) / signs).cast("int") - start
+        part = F.transform(F.slice("v", start + 1, n), lambda x: x.cast("double"))
+        both = F.aggregate(part, F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("xx")), lambda a, x: F.struct((a["x"] + x).alias("x"), (a["xx"] + x * x).alias("xx")))
+        return F.struct(both["x"].alias("x"), both["xx"].alias("xx"), n.alias("n"))
+
+    sums = F.transform(F.sequence(F.lit(0), F.lit(signs - 1)), one)
+    mean = lambda t: F.coalesce(F.try_divide(t["x"], F.sqrt(t["n"].cast("double"))), F.lit(0.0))
+    return rows.withColumn("stats", F.transform(sums, lambda t: F.struct(mean(t).alias("m"), F.sqrt(F.greatest(t["xx"] - mean(t) * mean(t), F.lit(0.0))).alias("s"))))
+
+
+def may_hold(cell: Column, signs: int) -> Column:
+    """Whether a cell's ranges of statistics allow a member that reaches the query's floor."""
+
+    def term(s: Column) -> Column:
+        q = F.get(F.col("stats"), s)
+        t = F.greatest(q["m"] * F.get(cell["lo"], s), q["m"] * F.get(cell["hi"], s)) + q["s"] * F.get(cell["dev"], s)
+        return t + F.abs(t) * 1e-9 + 1e-6
+
+    bound = F.aggregate(F.sequence(F.lit(0), F.lit(signs - 1)), F.lit(0.0), lambda a, s: a + term(s))
+    return F.col("floor").isNull() | (bound >= F.col("floor"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", factor: float = 64.0, query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k highest inner products with other rows of vectors.
 
     A row is no candidate of a query with its id. Of query rows that share an id the one with the smallest vector counts;
-    candidate rows count one by one. Null ids take no part. Only vectors of one length are compared. All candidates are
-    returned where there are fewer than k. Both tables are counted first, to size the blocks.
+    candidate rows count one by one. Null ids take no part. Only vectors of one length are compared, vectors of length 0 give
+    no results. All candidates are returned where there are fewer than k. Products beyond 64 bits wrap.
     """
-    c = quantised(vectors, id_col, vec_col, factor).withColumn("d", F.size("v"))
+    # Of rows that repeat an id and a vector k are enough: they are dealt as one.
+    c = quantised(vectors, id_col, vec_col, factor).groupBy("id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("copies"))
+    c = c.withColumn("d", F.size("v")).where("d > 0")
     q = quantised(queries, id_col, vec_col, factor).groupBy("id").agg(F.min("v").alias("v")).withColumn("d", F.size("v"))
-    n_q, n_c = max(1, -(-q.count() // query_rows)), max(1, -(-c.count() // candidate_rows))
-    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int")).withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(n_c - 1))))
-    c = c.withColumn("cb", F.pmod(F.xxhash64("id"), F.lit(n_c)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+    c = materialize(c, "topk-candidates")
+    n_c = c.count()
+    signs = min(SIGNS, max(1, (n_c // candidate_rows).bit_length()))
+    c = segments_of(c, signs)
+    bits = F.transform("stats", lambda t, s: F.when(t["m"] >= 0, F.pow(F.lit(2), s)).otherwise(0).cast("int"))
+    c = c.withColumn("cell", F.aggregate(bits, F.lit(0), lambda a, x: a + x))
+    c = materialize(c, "topk-cells")
+    q = materialize(segments_of(with_floor(q, c, k), signs), "topk-queries")
+    n_q = max(1, -(-q.count() // query_rows))
+
+    each = [F.get(F.col("stats"), F.lit(s)) for s in range(signs)]
+    ranges = [F.array(*(f(t[x]) for t in each)).alias(name) for name, f, x in (("lo", F.min, "m"), ("hi", F.max, "m"), ("dev", F.max, "s"))]
+    cells = c.groupBy("d", "cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).cast("int").alias("parts"), *ranges)
+    # At most 2**SIGNS cells for each length of vectors: one row a length.
+    cells = materialize(cells.groupBy("d").agg(F.collect_list(F.struct("cell", "parts", "lo", "hi", "dev")).alias("cells")), "topk-ranges")
+    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int")).join(cells, "d")
+    q = q.withColumn("to", F.explode(F.filter("cells", lambda x: may_hold(x, signs)))).select("id", "v", "d", "floor", "qb", F.col("to.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("to.parts") - 1)).alias("part"))
+    sizes = cells.select("d", F.inline("cells")).select("d", "cell", "parts")
+    c = c.join(sizes, ["d", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    c = c.select("id", "v", "copies", "d", "cell", "part", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"))
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        def rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-            v = t.column("v").combine_chunks()
-            v = v.flatten() if isinstance(v, pa.ListArray) else pa.concat_arrays([x.flatten() for x in v.chunks])
-            return t.column("id").to_numpy(), v.to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
-
         names = ["query_id", "vec_id", "score"]
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], pa.int64())] * 3, names=names)
-        return pa.table(list(search_block(*rows(left), *rows(right), k)), names=names)
+        matrix = lambda t: as_matrix(t.column("v").combine_chunks() if t.column("v").num_chunks == 1 else pa.concat_arrays(t.column("v").chunks))
+        floor = np.nan_to_num(left.column("floor").to_numpy().astype(np.float64), nan=-np.inf)
+        times = right.column("copies").to_numpy()
+        ids, rows = np.repeat(right.column("id").to_numpy(), times), np.repeat(matrix(right), times, axis=0)
+        return pa.table(list(search_block(left.column("id").to_numpy(), matrix(left), floor, ids, rows, k)), names=names)
 
-    keys = ("d", "qb", "cb")
+    keys = ("d", "cell", "part", "qb")
     found = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(block, "query_id bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from chainloom.llm import exact_dedup, queries, simhash, topk
 
 DOCS = "doc_id bigint, text string, lang string, fp string, id int, norm string"
@@ -85,7 +87,7 @@ def test_op7_against_sql(spark, sf, duck, same_rows):
 
 def test_op7_edges(spark):
     texts = [None, "", " \n", "a b", "ab ", "a\x0bb   ", " ab", "x" * 200_000, "x" * 200_000, "ab"]
-    got = {r.doc_id: r for r in exact_dedup.duplicate_groups(docs(spark, texts), bucket_rows=2).collect()}
+    got = {r.doc_id: r for r in exact_dedup.duplicate_groups(docs(spark, texts), bucket_keys=2).collect()}
     assert [got[i].keep_id for i in range(10)] == [2, 2, 2, 5, 5, 5, 6, 7, 7, 5]
     assert [got[i].group_size for i in range(10)] == [3, 3, 3, 4, 4, 4, 1, 2, 2, 4]
     assert got[0].text_sha256 == hashlib.sha256(b"").hexdigest()
@@ -94,6 +96,31 @@ def test_op7_edges(spark):
     assert sorted((r.doc_id is None, r.keep_id, r.group_size, r.kept) for r in exact_dedup.duplicate_groups(twice).collect()) == [(False, 0, 4, False), (False, 0, 4, True), (False, 0, 4, True), (True, 0, 4, False)]
 
 
+def test_op7_compares_bytes_where_hashes_collide(spark):
+    texts = ["ab", "a b", "cd", "xyz", "x yz", "zzz", None, "q" * 40, "w" * 40]
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.duplicate_groups(docs(spark, texts), hash_of=lambda norm: F.length(norm) % 3).collect()}
+    assert got == {0: (1, 2), 1: (1, 2), 2: (2, 1), 3: (4, 2), 4: (4, 2), 5: (5, 1), 6: (6, 1), 7: (7, 1), 8: (8, 1)}
+
+
+def test_ids_of_any_type(spark):
+    df = spark.createDataFrame([("b", "x y"), ("a", "xy"), ("c", "z")], "doc_id string, text string")
+    assert sorted((r.doc_id, r.keep_id, r.kept) for r in exact_dedup.duplicate_groups(df).collect()) == [("a", "b", False), ("b", "b", True), ("c", "c", True)]
+    assert sorted(r.doc_id for r in exact_dedup.drop_duplicates(df).collect()) == ["b", "c"]
+
+
+def test_an_id_with_several_texts_loses_none_that_has_no_copy(spark):
+    long = " ".join(f"w{i}" for i in range(200))
+    near = long.replace("w77 ", "w77 more ")
+    rows = [(1, "A B"), (5, "A B"), (5, "other text"), (5, "other text"), (None, "A B"), (None, "alone"), (7, long), (8, near), (8, "not near"), (7, near)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    key = lambda d: sorted(map(tuple, d.collect()), key=str)
+    want = sorted([(1, "A B"), (5, "other text"), (5, "other text"), (None, "alone"), (7, long), (8, "not near"), (7, near)], key=str)
+    assert key(exact_dedup.drop_duplicates(df)) == want
+    first = min(long, near, key=lambda t: hashlib.sha256(t.encode()).digest())
+    for one in (simhash.keep_one(df, shingle_words=5, max_bits=15), simhash.keep_one_similar(df)):
+        assert key(one) == sorted([x for x in want if x[1] not in (long, near)] + [(7, first)], key=str)
+
+
 def test_directory_doubles_where_it_must():
     rng = np.random.default_rng(0)
     counts = {int(p): int(n) for p, n in zip(rng.choice(256, 90, False), rng.integers(1, 50, 90))} | {7: 5000}
@@ -128,3 +155,47 @@ def test_op3_ties_bad_rows_and_blocks(spark, spread):
     assert topk.top_k(df.limit(0), q.limit(0)).count() == 0
     again = [tuple(r) for r in topk.top_k(df, q.union(q), k=7).orderBy("query_id", "rank").collect()]
     assert again == want
+
+
+def test_op3_own_rows_are_no_candidates_however_many(spark):
+    rng = np.random.default_rng(4)
+    own = [(7, [1.0] * 8)] * 2040
+    rows = own + [(100 + i, [float(x) for x in rng.normal(size=8)]) for i in range(58)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert topk.top_k(df, df.where("vec_id = 7"), k=20).count() == 20
+    twice = spark.createDataFrame([(1, [1.0, 2.0]), *[(2, [1.0, 1.0])] * 30, (3, [5.0, 5.0])], "vec_id bigint, embedding array<double>")
+    assert [r.vec_id for r in topk.top_k(twice, twice.where("vec_id = 1"), k=20).orderBy("rank").collect()] == [3] + [2] * 19
+
+
+def test_op3_multiplies_only_what_its_bounds_leave(spark, monkeypatch):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    v, ids = np.floor(64 * np.array([r.embedding for r in rows], np.float64)).astype(np.int64), np.array([r.vec_id for r in rows])
+    q = ids % 20 == 0
+    done = []
+    real = topk.products
+    monkeypatch.setattr(topk, "products", lambda a, b, i, j: (done.append((len(i), a.shape[1])), real(a, b, i, j))[1])
+    who, what, score = topk.search_block(ids[q], v[q], np.full(q.sum(), -np.inf), ids, v, 20)
+    pairs = q.sum() * (len(ids) - 1)
+    assert sum(n for n, d in done if d == 64) == pairs  # one batch: nothing is known before it
+    done.clear()
+    floor = np.array([np.sort(score[who == i])[0] for i in ids[q]], float)
+    again = topk.search_block(ids[q], v[q], floor, ids, v, 20)
+    exact = sum(n for n, d in done if d == v.shape[1] and n)
+    assert {x for x in zip(*map(tuple, again))} == {x for x in zip(who, what, score)}
+    assert exact < 0.7 * pairs
+
+
+def test_op3_cells_leave_out_what_cannot_reach_the_floor(spark):
+    """Clustered vectors: queries are sent to few of the cells, and the results are those of all pairs."""
+    rng = np.random.default_rng(6)
+    centres = rng.choice([-4.0, 4.0], (6, 8)).repeat(4, axis=1)
+    v = centres[np.arange(600) % 6] + rng.normal(size=(600, 32)) / 4
+    df = spark.createDataFrame([(i, [float(y) for y in x]) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in topk.top_k(df, df.where("vec_id % 20 = 0"), k=5, query_rows=8, candidate_rows=20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    w = np.floor(64 * v).astype(int)
+    s = w @ w.T
+    for i in range(0, 600, 20):
+        best = sorted((-s[i, j], j) for j in range(600) if j != i)[:5]
+        assert sorted(got[i]) == [(r, j, -x) for r, (x, j) in enumerate(best, 1)]

@@ -62,7 +62,7 @@ def test_crowded_copies_and_leaves(spark):
         for b in range(4, a):
             if jaccard(texts[a], texts[b]) >= 0.8:
                 root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
-    for leaf_rows in (8, None):
-        got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), leaf_rows=leaf_rows).collect()}
+    for how in ({"bucket_rows": 8}, {"bucket_shingles": 1000}, {}):
+        got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), **how).collect()}
         assert got == dict(enumerate(root))
     assert simhash.similar_groups(docs(spark, [])).count() == 0
