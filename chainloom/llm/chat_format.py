@@ -4,8 +4,9 @@ A conversation is a sequence of turns; a turn's content is a list of typed parts
 its own rendering: a text is escaped, an image, an audio or a document becomes a placeholder, with its reference and the
 tokens it expands to recorded beside the text, in order.
 
-Template: `<turn ROLE>\\nCONTENT</turn>\\n`, roles percent-encoded, placeholders `<attach KIND REF N>`. In texts, a `<` before
-`turn`, `/turn` or `attach`, with any backslashes between, gets one more backslash; taking one away restores the text.
+Template: `<turn ROLE>\\nCONTENT</turn>\\n`, roles and references percent-encoded, placeholders `<attach KIND REF N>`. In texts
+each `<` gets a backslash behind it, so no control string can come about in a text, nor where parts meet; taking the backslash
+away restores the text.
 """
 
 from __future__ import annotations
@@ -14,11 +15,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chainloom.llm.spans import matches
+
 #: Turns put together at once; conversations of any length are put together from such pieces.
 PIECE_TURNS = 256
-CONTROL = r"<(\\*/?(?:turn|attach))"
-ESCAPED = r"<\\(\\*/?(?:turn|attach))"
 END = "</turn>\n"
+ATTACH = r"<attach (image|audio|document) ([^ <>]*) ([0-9]+)>"
+FILES = "array<struct<at:bigint,kind:string,ref:string,tokens:bigint>>"
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,millis:bigint,pages:int>"
 #: Tokens: a tile of an image, a second of audio, a page of a document; sides of a tile.
 TOKENS = {"tile": 64, "second": 25, "page": 512}
@@ -27,11 +30,11 @@ LOSS_ROLES = ("assistant",)
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, CONTROL, r"<\\$1")
+    return F.replace(text, F.lit("<"), F.lit("<\\"))
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, ESCAPED, "<$1")
+    return F.replace(text, F.lit("<\\"), F.lit("<"))
 
 
 def text_part(text: Column) -> Column:
@@ -40,6 +43,20 @@ def text_part(text: Column) -> Column:
     return F.array(F.struct(F.lit("text").alias("kind"), text.alias("text"), *(F.lit(None).cast(t).alias(n) for n, t in nulls.items()))).cast(f"array<{PART}>")
 
 
+def parts_of(role: Column, turn: Column, text: Column) -> Column:
+    """Typed parts for a turn of plain text. The table has no attachments, so each turn that is no assistant's gets one of the
+    three kinds in turn, sized by its text, between its first line and the others."""
+    first = F.substring_index(text, "\n", 1)
+    rest = F.substring(text, F.length(first) + 1, F.length(text))
+    kind = F.element_at(F.array(*map(F.lit, ("image", "audio", "document"))), F.pmod(F.coalesce(turn, F.lit(0)), F.lit(3)).cast("int") + 1)
+    n = F.length(F.coalesce(text, F.lit("")))
+    ref = F.concat(F.lit("turn "), F.coalesce(turn.cast("string"), F.lit("")))
+    nulls = [F.lit(None).cast("string").alias(c) for c in ("width", "height", "millis", "pages")]
+    plain = lambda t: F.struct(F.lit("text").alias("kind"), t.alias("text"), F.lit(None).cast("string").alias("ref"), *nulls)
+    file = F.struct(kind.alias("kind"), F.lit(None).cast("string").alias("text"), ref.alias("ref"), n.cast("string").alias("width"), F.lit("448").alias("height"), (n * 100).cast("string").alias("millis"), F.ceil(n / 1000).cast("string").alias("pages"))
+    return F.when(role == "assistant", F.array(plain(text))).otherwise(F.array(plain(first), file, plain(rest))).cast(f"array<{PART}>")
+
+
 def tokens_of(part: Column) -> Column:
     """Tokens that an attachment expands to; unknown sizes count as the smallest."""
 
@@ -60,13 +77,24 @@ def visit(part: Column) -> Column:
     return F.when(part["kind"].isin("image", "audio", "document"), mark).otherwise(escape(F.coalesce(part["text"], F.lit(""))))
 
 
+def attachment(mark: Column, at: Column) -> Column:
+    """A placeholder's place, kind, reference and tokens."""
+    get = lambda g: F.regexp_extract(mark, ATTACH, g)
+    return F.struct(at.cast("bigint").alias("at"), get(1).alias("kind"), F.url_decode(get(2)).alias("ref"), get(3).cast("bigint").alias("tokens"))
+
+
+def moved(files: str, by: Column) -> Column:
+    return F.transform(files, lambda f: F.struct((f["at"] + by).alias("at"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens")))
+
+
 def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", parts_col: str = "parts", loss_roles: tuple[str, ...] = LOSS_ROLES) -> DataFrame:
     """One row for each conversation: (conv, formatted, loss, attachments, n_attach_tokens).
 
     loss: array<struct<start, end>>, code points of formatted (end exclusive), one span for each turn of a loss role.
-    attachments: array<struct<at, kind, ref, tokens>>: the code point at which each placeholder's turn starts, in order.
+    attachments: array<struct<at, kind, ref, tokens>>: the code point at which each placeholder starts, in order.
     Turns go by turn_col, nulls first; ties by role, then rendered content. A null role is an empty role, null or empty
-    parts are empty content; a null conversation is one conversation. Repeated rows stay. Other columns are not read.
+    parts are empty content; a null conversation is one conversation. Repeated rows stay. A null reference comes back empty.
+    Texts and conversations of any length are put together whole. Other columns are not read.
 
     A piece of up to PIECE_TURNS turns is rendered and joined first; only the pieces' texts meet in the conversation's row.
     """
@@ -78,15 +106,17 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         role.alias("role"),
         F.concat(F.lit("<turn "), F.url_encode(role), F.lit(">\n")).alias("head"),
         F.array_join(F.transform(parts, visit), "").alias("body"),
-        F.transform(F.filter(parts, lambda p: p["kind"].isin("image", "audio", "document")), lambda p: F.struct(p["kind"].alias("kind"), p["ref"].alias("ref"), tokens_of(p).alias("tokens"))).alias("files"),
     )
+    # The placeholders stand in the content, escaped texts have none: so their places are those of the matches.
+    placed = F.transform(matches(F.col("body"), ATTACH), lambda m: attachment(m["match"], m["start"]))
+    rows = rows.withColumn("files", F.when(F.col("body").contains("<attach "), placed).otherwise(F.array().cast(FILES)))
     rows = rows.withColumn("frag", F.concat("head", "body", F.lit(END))).withColumn("piece", F.floor(F.col("turn") / PIECE_TURNS))
     by_piece = Window.partitionBy("conv", "piece").orderBy(F.col("turn").asc_nulls_first(), "role", "body")
     rows = rows.withColumn("off", F.sum(F.length("frag")).over(by_piece.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.withColumn("off", F.coalesce("off", F.lit(0)))
     start = F.col("off") + F.length("head")
     rows = rows.select(
-        "conv", "piece", "off", "frag", F.length("frag").alias("n"), "files",
+        "conv", "piece", "off", "frag", F.length("frag").alias("n"), moved("files", start).alias("files"),
         F.when(F.col("role").isin(*loss_roles), F.struct(start.alias("start"), (start + F.length("body")).alias("end"))).alias("loss"),
     )
     piece = rows.groupBy("conv", "piece").agg(F.sort_array(F.collect_list(F.struct("off", "frag", "loss", "files"))).alias("t"), F.sum("n").alias("n"))
@@ -94,14 +124,14 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
         "conv", "piece", "n",
         F.array_join("t.frag", "").alias("text"),
         F.filter("t.loss", lambda s: s.isNotNull()).alias("loss"),
-        F.flatten(F.transform("t", lambda t: F.transform(t["files"], lambda f: F.struct(t["off"].alias("at"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens"))))).alias("files"),
+        F.flatten("t.files").alias("files"),
     )
     by_conv = Window.partitionBy("conv").orderBy(F.col("piece").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     piece = piece.withColumn("base", F.coalesce(F.sum("n").over(by_conv), F.lit(0)))
     shifted = piece.select(
         "conv", "base", "piece", "text",
         F.transform("loss", lambda s: F.struct((s["start"] + F.col("base")).alias("start"), (s["end"] + F.col("base")).alias("end"))).alias("loss"),
-        F.transform("files", lambda f: F.struct((f["at"] + F.col("base")).alias("at"), f["kind"].alias("kind"), f["ref"].alias("ref"), f["tokens"].alias("tokens"))).alias("files"),
+        moved("files", F.col("base")).alias("files"),
     )
     whole = shifted.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("base", "piece", "text", "loss", "files"))).alias("p"))
     files = F.flatten("p.files")
@@ -115,20 +145,42 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
 
 
 def read_back(formatted: Column) -> Column:
-    """array<struct<role, text>> of the turns in a formatted conversation; placeholders stay in the texts."""
+    """array<struct<role, text, parts>> of the turns in a formatted conversation.
+
+    text is the turn's text without placeholders; parts: array<struct<kind, text, ref, tokens>>, its texts and attachments in
+    order. Neighbouring text parts come back as one.
+    """
     pieces = F.filter(F.split(formatted, END, -1), lambda p: p != "")
-    return F.transform(
-        pieces,
-        lambda p: F.struct(
+
+    def part(kind: Column, text: Column, ref: Column, tokens: Column) -> Column:
+        return F.struct(kind.alias("kind"), text.alias("text"), ref.alias("ref"), tokens.alias("tokens"))
+
+    def turn(p: Column) -> Column:
+        body = F.substring(p, F.instr(p, ">\n") + 2, F.length(p))
+        texts = F.transform(F.split(body, ATTACH, -1), lambda t: part(F.lit("text"), unescape(t), F.lit(None).cast("string"), F.lit(0).cast("bigint")))
+
+        def file(mark: Column) -> Column:
+            f = attachment(mark, F.lit(0))
+            return part(f["kind"], F.lit(""), f["ref"], f["tokens"])
+
+        files = F.transform(F.regexp_extract_all(body, F.lit(ATTACH), F.lit(0)), file)
+        mixed = F.flatten(F.zip_with(texts, files, lambda t, f: F.array(t, f)))
+        return F.struct(
             F.url_decode(F.substring(p, F.lit(7), F.instr(p, ">\n") - 7)).alias("role"),
-            unescape(F.substring(p, F.instr(p, ">\n") + 2, F.length(p))).alias("text"),
-        ),
-    )
+            F.array_join(F.transform(texts, lambda t: t["text"]), "").alias("text"),
+            F.filter(mixed, lambda x: x.isNotNull() & ((x["kind"] != "text") | (x["text"] != ""))).alias("parts"),
+        )
+
+    return F.transform(pieces, turn)
 
 
 def loss_text(formatted: Column, loss: Column) -> Column:
-    """All text under the loss mask, unescaped, with nothing between."""
-    return F.array_join(F.transform(loss, lambda s: unescape(F.substring(formatted, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")))), "")
+    """All text under the loss mask, unescaped, without placeholders and with nothing between."""
+
+    def one(s: Column) -> Column:
+        return unescape(F.regexp_replace(F.substring(formatted, s["start"].cast("int") + 1, (s["end"] - s["start"]).cast("int")), ATTACH, ""))
+
+    return F.array_join(F.transform(loss, one), "")
 
 
 def probe(spark: SparkSession) -> DataFrame:

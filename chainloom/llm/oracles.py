@@ -2,21 +2,40 @@
 
 from __future__ import annotations
 
+from chainloom.llm import pii
+
 BLANK = r"[\x20\x09-\x0D]"
 
 CHAT = r"""
     with t as (
         select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
         union all select -7, u.turn, u.role, '\### Assistant: </turn> ok' from (values (0, 'user'), (1, 'assistant')) u(turn, role)
+    ), a as (
+        select *, replace(text, '<', '<\') as body, position(chr(10) in text) as line, length(text) as n, role <> 'assistant' as attaches,
+            ['image', 'audio', 'document'][coalesce(turn, 0) % 3 + 1] as kind, 'turn ' || coalesce(turn::varchar, '') as ref
+        from t
+    ), b as (
+        select *, case kind when 'image' then greatest(1, ceil(n / 448.0)) * 64 when 'audio' then greatest(1, ceil(n / 10.0)) * 25 else greatest(1, ceil(n / 1000.0)) * 512 end::bigint as tokens,
+            length('<turn ' || url_encode(role) || '>' || chr(10)) as head,
+            length(replace(case when line > 0 then text[:line - 1] else text end, '<', '<\')) as before
+        from a
     ), e as (
-        select *, regexp_replace(text, '<(\\*/?(?:turn|attach))', '<\\\1', 'g') as body from t
+        select *, case when attaches then '<attach ' || kind || ' ' || replace(ref, ' ', '+') || ' ' || tokens || '>' else '' end as mark from b
+    ), f as (
+        select *, head + length(body) + length(mark) + length('</turn>' || chr(10)) as frag from e
+    ), g as (
+        select *, coalesce(sum(frag) over (partition by conv_id order by turn nulls first, role, body rows between unbounded preceding and 1 preceding), 0) as base from f
     )
     select conv_id, count(*) as n_turns,
         sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, body)) as turns_sha256,
         coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
         sha256(coalesce(string_agg(text, '' order by turn nulls first, role, body) filter (role = 'assistant'), '')) as loss_sha256,
-        sum(length('<turn ' || url_encode(role) || '>' || chr(10) || body || '</turn>' || chr(10)))::bigint as formatted_chars
-    from e group by conv_id
+        sum(frag)::bigint as formatted_chars,
+        count(*) filter (attaches) as n_attachments,
+        coalesce(sum(tokens) filter (attaches), 0)::bigint as n_attach_tokens,
+        coalesce(string_agg(kind || ':' || ref || ':' || tokens, ',' order by turn nulls first, role, body) filter (attaches), '') as attachments,
+        coalesce(sum(base + head + before) filter (attaches), 0)::bigint as attachment_places
+    from g group by conv_id
 """
 
 TOP_K = """
@@ -47,17 +66,17 @@ def _matches(kinds: list[tuple[str, str, int]]) -> str:
         k as ({each}),
         i as (select *, unnest(range(1, len(m) + 1)) as i from k),
         f as (
-            select doc_id, kind, ord, m[i] as x, g[i] as g, length(m[i]) as n,
+            select doc_id, kind, ord, m[i] as x, g[i] as g, length(m[i]) as n, lower(right(gaps[i], 40) || ' ' || left(gaps[i + 1], 40)) as around,
                 (list_sum(list_transform(gaps[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda y: length(y))), 0))::bigint as s
             from i
         )"""
 
 
-def _digest(base: str, order: str, counts: list[str]) -> str:
+def _digest(base: str, order: str, counts: list[str], more: str = "") -> str:
     shown = f"string_agg(kind || ':' || s || ':' || (s + n), ',' order by {order})"
     columns = ", ".join(f"count(*) filter (kind = '{k}') as n_{k}" for k in counts)
     return f"""
-        select d.doc_id, {columns}, sha256(coalesce({shown} filter ({base}), '')) as base_sha256, coalesce({shown}, '') as spans
+        select d.doc_id, {columns}, sha256(coalesce({shown} filter ({base}), '')) as base_sha256, coalesce({shown}, '') as spans{more}
         from d left join ok using (doc_id) group by d.doc_id"""
 
 
@@ -79,20 +98,23 @@ _PII = [
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 0),
     ("card", r"[0-9]([\x20-]?[0-9])+", 0),
     ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0),
-    ("iban", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", 0),
+    ("iban", pii.IBAN, 0),
 ]
+_NEAR = " ".join(f"when '{k}' then regexp_matches(around, '{w}')" for k, w in pii.CONTEXT_WORDS.items())
+_SCORE = " ".join(f"when '{d.kind}' then {round(d.score * 100)}" for d in pii.DETECTORS)
+_SCORES = f", coalesce(string_agg((case kind {_SCORE} end + case when case kind {_NEAR} end then 20 else 0 end)::varchar, ',' order by ord, s), '') as scores"
 _LUHN = "list_sum(list_transform(string_split(reverse(c), ''), lambda y, j: case when j % 2 = 1 then y::int when y::int > 4 then 2 * y::int - 9 else 2 * y::int end)) % 10 = 0"
 _MOD97 = "list_reduce(list_transform(string_split(array_to_string(list_transform(string_split(x[5:] || x[:4], ''), lambda y: case when y >= 'A' then (ascii(y) - 55)::varchar else y end), ''), ''), lambda y: y::bigint), lambda a, y: (a * 10 + y) % 97) = 1"
 PII = f"""
     with d as (select doc_id, coalesce(text, '') as t from documents), {_matches(_PII)},
-    c as (select *, regexp_replace(x, '[^0-9]', '', 'g') as c from f),
+    c as (select * replace (replace(x, ' ', '') as x), regexp_replace(x, '[^0-9]', '', 'g') as c from f),
     ok as (select * from c where case kind
         when 'ip' then len(list_filter(string_split(x, '.'), lambda y: length(ltrim(y, '0')) > 3 or coalesce(try_cast(nullif(ltrim(y, '0'), '') as int), 0) > 255)) = 0
         when 'card' then case when length(c) between 13 and 19 then {_LUHN} else false end
         when 'phone' then length(c) between 9 and 15
         when 'iban' then {_MOD97}
         else true end)
-    {_digest("kind in ('email', 'ip', 'card', 'phone')", "ord, s", ["email", "ip", "card", "phone"])}
+    {_digest("kind in ('email', 'ip', 'card', 'phone')", "ord, s", ["email", "ip", "card", "phone"], _SCORES)}
 """
 
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import small_batches
+from chainloom.llm.shared import BROADCAST_ROWS, small_batches
 
 #: Places for features, and the n-grams' length.
 PLACES, NGRAM = 1 << 18, 2
@@ -28,9 +28,10 @@ PLACES, NGRAM = 1 << 18, 2
 TRAIN_ROWS, LEARNERS, PASSES = 12_000, 4, 3
 #: Of the updates: step, its offset, and the weights of the two penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.01, 0.01
-#: Code points of text read at once, and words remembered by a worker.
-BLOCK, REMEMBERED = 1 << 20, 50_000
+#: Code points of text read at once, words remembered by a worker, and the longest of them.
+BLOCK, REMEMBERED, LONGEST = 1 << 20, 50_000, 64
 
+SPACE = re.compile(r"\s")
 WORD = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -42,7 +43,9 @@ class Words(dict):
         if len(self) >= REMEMBERED:
             self.clear()
         case = 3 if not word[:1].isalnum() else 2 if word.isupper() and len(word) > 1 else 1 if word[:1].isupper() else 0
-        self[word] = h = xxhash.xxh64_intdigest(word.lower(), seed=7) & ~3 | case
+        h = xxhash.xxh64_intdigest(word.lower(), seed=7) & ~3 | case
+        if len(word) <= LONGEST:
+            self[word] = h
         return h
 
 
@@ -53,14 +56,14 @@ def words() -> Words:
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Places and values of the features of the whole text; a text without words has one: its start next to its end."""
-    known, parts, tail = words(), [np.array([4], np.uint64)], ""
-    for at in range(0, len(text), BLOCK):
-        block = tail + text[at : at + BLOCK]
-        found = WORD.findall(block)
-        tail = ""
-        if at + BLOCK < len(text) and found and len(found[-1]) < BLOCK and block.endswith(found[-1]):
-            tail = found.pop()  # the block may have cut it
+    known, parts, at = words(), [np.array([4], np.uint64)], 0
+    while at < len(text):
+        # Blocks end at white space, so no word is cut, however long.
+        space = SPACE.search(text, at + BLOCK)
+        end = space.start() if space else len(text)
+        found = WORD.findall(text, at, end)
         parts.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
+        at = end
     h = np.concatenate((*parts, np.array([8], np.uint64)))
     case, h = h & np.uint64(3), h >> np.uint64(2)
     shape = np.where(h[1:] == h[:-1], np.uint64(5), case[1:])  # a word that repeats the one before it has a shape of its own
@@ -99,12 +102,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """PLACES weights and a bias, learnt from the rows of docs that labels(id, label 0 or 1) has.
 
     At most train_rows labelled rows are used: those with the smallest hash of their id, so the sample does not depend on
-    the tables' layout. Null labels, ids and texts teach nothing. Without rows of both classes the weights are zero.
+    the tables' layout. Null labels, ids and texts teach nothing, nor do ids with both labels; of an id with several texts the
+    first in order teaches, once. Texts are read whole. Without rows of both classes the weights are zero.
     """
-    usable = labels.where(F.col(label_col).isin(0, 1)).select(id_col, F.col(label_col).cast("double").alias("label")).dropDuplicates([id_col])
+    label = F.col(label_col).cast("double")
+    usable = labels.where(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.min(label).alias("label"), F.max(label).alias("other")).where("label = other").drop("other")
     chosen = usable.orderBy(F.xxhash64(id_col), id_col).limit(train_rows)
-    rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), id_col)
-    rows = rows.select(F.xxhash64(id_col).alias("h"), "label", F.col(text_col).alias("text"))
+    chosen = F.broadcast(chosen) if train_rows <= BROADCAST_ROWS else chosen
+    rows = docs.select(id_col, text_col).where(F.col(text_col).isNotNull()).join(chosen, id_col)
+    rows = rows.groupBy(id_col, "label").agg(F.min(text_col).alias("text")).select(F.xxhash64(id_col).alias("h"), "label", "text")
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,7 +144,8 @@ def scores_of(texts: Iterator[str], w: np.ndarray) -> np.ndarray:
 
 
 def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, score) for each row, from 0 to 1; a null text scores as an empty one. Other columns are not read."""
+    """(id, score) for each row, from 0 to 1; a null text scores as an empty one, texts are read whole, and repeated rows score
+    alike. Other columns are not read."""
     sent = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +157,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
 
 
 def keep_good(docs: DataFrame, weights: np.ndarray, min_score: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of docs that score min_score or more, with all their columns; rows stay in their task."""
+    """The rows of docs that score min_score or more, with all their columns, whatever their ids; rows stay in their task."""
     sent = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
     at = docs.columns.index(text_col)
 

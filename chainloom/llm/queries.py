@@ -26,8 +26,10 @@ def vocabulary() -> str:
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(chat_format.probe(spark))
-    chats = chat_format.format_chats(turns.withColumn("parts", chat_format.text_part(F.col("text"))))
-    read = chats.select("conv_id", "formatted", chat_format.read_back(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("formatted"), F.col("loss")).alias("loss"))
+    chats = chat_format.format_chats(turns.withColumn("parts", chat_format.parts_of(F.col("role"), F.col("turn"), F.col("text"))))
+    read = chats.select("conv_id", "formatted", "attachments", "n_attach_tokens", chat_format.read_back(F.col("formatted")).alias("turns"), chat_format.loss_text(F.col("formatted"), F.col("loss")).alias("loss"))
+    files = F.flatten(F.transform("turns", lambda t: F.filter(t["parts"], lambda x: x["kind"] != "text")))
+    listed_files = F.array_join(F.transform(files, lambda f: F.concat_ws(":", f["kind"], f["ref"], f["tokens"])), ",")
     return read.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),
@@ -35,6 +37,10 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        F.size("attachments").cast("long").alias("n_attachments"),
+        "n_attach_tokens",
+        listed_files.alias("attachments"),
+        F.aggregate("attachments", F.lit(0).cast("bigint"), lambda a, f: a + f["at"]).alias("attachment_places"),
     )
 
 
@@ -62,7 +68,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found, _ = secrets.findings(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    # Two runs, as a ledger has them: the first meets half of the documents, the second all, and scans what is new to it.
+    _, ledger = secrets.findings(docs.where(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 2 == 0))
+    found, _ = secrets.findings(docs, ledger=ledger)
     kinds = tuple(r.kind for r in secrets.RULES)
     base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE))
     counts = (count_kind(F.col("found"), k).alias(f"n_{k}") for k in secrets.BASE)
@@ -87,7 +96,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = tuple(d.kind for d in pii.DETECTORS)
     base = F.filter("found", lambda s: s["kind"].isin(*pii.BASE))
     counts = (count_kind(F.col("found"), k).alias(f"n_{k}") for k in pii.BASE)
-    return found.select("doc_id", *counts, F.sha2(listed(base, ("kind,start", *kinds)), 256).alias("base_sha256"), listed(F.col("found"), ("kind,start", *kinds)).alias("spans"))
+    # The scores that nearby words adjusted, in hundredths, in the order of the spans.
+    scores = F.array_join(F.transform("found", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")
+    return found.select("doc_id", *counts, F.sha2(listed(base, ("kind,start", *kinds)), 256).alias("base_sha256"), listed(F.col("found"), ("kind,start", *kinds)).alias("spans"), scores.alias("scores"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_topk, op4_langid, op5_quality, op6_secrets, op7_exact_dedup, op8_bpe, op9_mixing, op10_pii)}

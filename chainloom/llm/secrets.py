@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import materialize
+from chainloom.llm.shared import join_keyed, materialize
 from chainloom.llm.spans import matches
 
 FINDING = "array<struct<rule:string,kind:string,start:int,end:int>>"
@@ -77,7 +77,7 @@ def scan(versions: DataFrame, paths: DataFrame, ledger: DataFrame | None = None,
         wanted = wanted.join(seen, "blob", "left").select("blob", "of", F.array_except(names, F.coalesce("seen", F.array().cast("array<string>"))).alias("rules")).where(F.size("rules") > 0)
     else:
         wanted = wanted.withColumn("rules", names)
-    wanted = wanted.withColumnRenamed("blob", "b").hint("shuffle_hash")
+    wanted = wanted.withColumnRenamed("blob", "b")
     blobs = versions.join(wanted, F.col("path").eqNullSafe(F.col("of")) & (F.col("blob") == F.col("b")))
     none = F.array().cast(FINDING)
     found = F.concat(*(F.when(F.array_contains("rules", r.name), r.spans(F.col("content"))).otherwise(none) for r in rules))
@@ -87,7 +87,8 @@ def scan(versions: DataFrame, paths: DataFrame, ledger: DataFrame | None = None,
 def findings(versions: DataFrame, path_col: str = "doc_id", content_col: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
     """(findings, new ledger rows): for each version its path and `found`, the spans of all rules in order of rule and start.
 
-    Versions with null paths, repeated rows and empty contents keep their rows. The new rows are to be added to the ledger;
+    Versions with null paths, repeated rows and empty contents keep their rows; contents are scanned whole. Spans with one
+    start are in the order of the rules. The new rows are to be added to the ledger;
     with the ledger of an earlier run, contents and rule versions that it has are not read again.
     """
     contents = addressed(versions, path_col, content_col)
@@ -98,4 +99,8 @@ def findings(versions: DataFrame, path_col: str = "doc_id", content_col: str = "
         known = known.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found"))
     current = F.array(*(F.lit(r.name) for r in rules))
     kept = known.select("blob", F.filter("found", lambda s: F.array_contains(current, s["rule"])).alias("found"))
-    return paths.join(kept, "blob").select(F.col("path").alias(path_col), F.lower(F.hex("blob")).alias("blob"), "found"), new
+    order = F.transform(F.col("found"), lambda s: F.struct(F.array_position(current, s["rule"]).alias("o"), s["start"].alias("start"), s.alias("s")))
+    kept = kept.withColumn("found", F.transform(F.sort_array(order), lambda x: x["s"]))
+    kept = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("n_rows")).join(kept, "blob")
+    joined = join_keyed(paths, materialize(kept, "secret-blobs"), "blob", "n_rows")
+    return joined.select(F.col("path").alias(path_col), F.lower(F.hex("blob")).alias("blob"), "found"), new

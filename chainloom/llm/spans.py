@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Lengths that are added up at once when positions are found.
-STEP = 64
+#: Sums that make one of the next level, and levels: the last has few sums for any text that fits in a row.
+STEP, LEVELS = 64, 4
 CONTEXT = 40
 
 
@@ -26,7 +26,8 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
 
     start and end count code points, end exclusive; sub is the given group; before and after are up to CONTEXT code points
     around the match, as far as the neighbouring matches. The pattern must not match an empty string. Positions are sums of
-    the lengths of the matches and of what lies between them, added up in steps, so that many matches stay cheap.
+    the lengths of the matches and of what lies between them. These are added up by runs of STEP, runs of runs, and so on, and
+    a position takes less than STEP sums of each kind, so the time grows with the number of matches.
     """
     p = F.lit(pattern)
     found = F.struct(
@@ -35,20 +36,26 @@ def matches(text: Column, pattern: str, group: int | None = None) -> Column:
         F.split(text, pattern, -1).alias("gaps"),
     )
 
-    def placed(v: Column, steps: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(steps) / STEP).cast("int")), lambda b: _total(F.slice(steps, b * STEP + 1, F.lit(STEP))))
+    def runs(sums: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor(F.size(sums) / STEP).cast("int")), lambda r: _total(F.slice(sums, r * STEP + 1, F.lit(STEP))))
 
-        def span(b: Column, x: Column, i: Column) -> Column:
-            block = F.floor(i / STEP).cast("int")
-            start = _total(F.slice(b, F.lit(1), block)) + _total(F.slice(steps, block * STEP + 1, i % STEP)) + F.length(F.get(v["gaps"], i))
+    def placed(v: Column, sums: list[Column]) -> Column:
+        if len(sums) < LEVELS:
+            return let(runs(sums[-1]), lambda more: placed(v, [*sums, more]))
+
+        def span(x: Column, i: Column) -> Column:
+            start = F.length(F.get(v["gaps"], i))
+            for level, s in enumerate(sums):
+                run = F.floor(i / STEP ** (level + 1)).cast("int") * STEP if level < LEVELS - 1 else F.lit(0)
+                start = start + _total(F.slice(s, run + 1, F.floor(i / STEP**level).cast("int") - run))
             return F.struct(
                 start.alias("start"), (start + F.length(x)).alias("end"), x.alias("match"), F.get(v["g"], i).alias("sub"),
                 F.substring(F.get(v["gaps"], i), -CONTEXT, CONTEXT).alias("before"), F.substring(F.get(v["gaps"], i + 1), 1, CONTEXT).alias("after"),
             )
 
-        return let(blocks, lambda b: F.transform(v["m"], lambda x, i: span(b, x, i)))
+        return F.transform(v["m"], span)
 
-    return let(found, lambda v: let(F.transform(v["m"], lambda x, j: F.length(F.get(v["gaps"], j)) + F.length(x)), lambda steps: placed(v, steps)))
+    return let(found, lambda v: let(F.transform(v["m"], lambda x, j: F.length(F.get(v["gaps"], j)) + F.length(x)), lambda steps: placed(v, [steps])))
 
 
 def listed(spans: Column, order: tuple[str, ...]) -> Column:
