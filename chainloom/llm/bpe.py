@@ -236,45 +236,55 @@ def vocabulary(path: str) -> Vocabulary:
     return v
 
 
+def encoded(batches: Iterator[pa.RecordBatch], vocab_path: str, id_col: str) -> Iterator[pa.RecordBatch]:
+    c = codec(vocab_path)
+    for b in batches:
+        first, texts, seen = 0, [], 0
+        for row, text in enumerate(b.column(1), 1):
+            texts.append(text.as_py() or "")
+            seen += len(texts[-1])
+            if seen >= BATCH_CHARS or row == b.num_rows:
+                ids = c.encode(texts)
+                offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, row - first), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], names=[id_col, "ids"])
+                first, texts, seen = row, [], 0
+
+
+def decoded(batches: Iterator[pa.RecordBatch], c: Vocabulary, id_col: str) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        lists = b.column(1).fill_null([]) if b.column(1).null_count else b.column(1)
+        offsets = lists.offsets.to_numpy()
+        for at in range(0, b.num_rows, DECODE_ROWS):
+            some = offsets[at : at + DECODE_ROWS + 1]
+            texts = c.decode(lists.values[some[0] : some[-1]].to_numpy(), some)
+            n = len(some) - 1
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), lists.slice(at, n), texts], names=[id_col, "ids", "decoded"])
+
+
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>) for each row; null texts count as empty and give an empty array. Other columns are ignored.
+    """(id, ids array<int>) for each row; null texts count as empty and give an empty array. Repeated rows are encoded each,
+    texts are read whole, other columns are ignored.
 
     vocab_path must be readable where the executors run, as part of their installation.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(vocab_path)
-        for b in batches:
-            first, texts, seen = 0, [], 0
-            for row, text in enumerate(b.column(1), 1):
-                texts.append(text.as_py() or "")
-                seen += len(texts[-1])
-                if seen >= BATCH_CHARS or row == b.num_rows:
-                    ids = c.encode(texts)
-                    offsets = pa.array(np.cumsum([0, *map(len, ids)]).astype(np.int32))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(first, row - first), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(ids)))], names=[id_col, "ids"])
-                    first, texts, seen = row, [], 0
-
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(lambda it: encoded(it, vocab_path, id_col), f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(tokens: DataFrame, vocab_path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, ids, decoded) for each row of tokens(id, ids); null ids give an empty text. Bytes that are not UTF-8 are replaced."""
+    kind = tokens.schema[id_col].dataType.simpleString()
+    return small_batches(tokens.select(id_col, "ids")).mapInArrow(lambda it: decoded(it, vocabulary(vocab_path), id_col), f"`{id_col}` {kind}, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """decode(encode(docs)) by one worker a task, which needs the vocabulary but once."""
+    kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = vocabulary(vocab_path)
-        for b in batches:
-            lists = b.column(1).fill_null([]) if b.column(1).null_count else b.column(1)
-            offsets = lists.offsets.to_numpy()
-            for at in range(0, b.num_rows, DECODE_ROWS):
-                some = offsets[at : at + DECODE_ROWS + 1]
-                texts = c.decode(lists.values[some[0] : some[-1]].to_numpy(), some)
-                n = len(some) - 1
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, n), lists.slice(at, n), texts], names=[id_col, "ids", "decoded"])
+        yield from decoded(encoded(batches, vocab_path, id_col), codec(vocab_path), id_col)
 
-    kind = tokens.schema[id_col].dataType.simpleString()
-    return small_batches(tokens.select(id_col, "ids")).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
 
 
 def digests(decoded: DataFrame, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts are added up by cells (source, language, topic). The cells' weights are raked to each target marginal in turn,
-again and again: a fixed number of rounds, or until all hold to a tolerance. A document's probability is its cell's fitted tokens against its tokens, scaled so that a given share
+again and again, until all hold to a tolerance. A document's probability is its cell's fitted tokens against its tokens, scaled so that a given share
 of all tokens is expected to stay, with cells that would need more than all their documents kept whole; those carry a weight
 above one instead, and sample() repeats their documents by it. A hash of the id against the probability decides, alike in
 every run.
@@ -16,13 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chainloom.llm.shared import materialize
+from chainloom.llm.shared import join_keyed, materialize
 
 WORDS = "[^\\x20\\x09-\\x0D]+"
-#: Rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
-ROUNDS, FLATTEN = 8, 0.7
-#: Share of all weight by which a margin of sample() may miss its target, and the rounds after which raking to it gives up.
+#: Least rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
+ROUNDS, FLATTEN = 16, 0.7
+#: Share of all weight by which a margin may miss its target, and the rounds after which raking gives up, with a warning: margins
+#: that contradict each other never hold.
 TOLERANCE, MOST_ROUNDS = 1e-6, 200
+#: Cells of one value of a margin that may meet in one task.
+WINDOW_CELLS = 1 << 18
 #: Share of all tokens that is to stay.
 KEEP = 0.8
 MARGINS = ("source", "lang", "topic")
@@ -34,9 +37,14 @@ def topic(text: Column) -> Column:
     return F.when(text.contains(" | "), "table").when(text.contains("@"), "contact").when(F.lower(text).contains("license"), "licence").otherwise("prose")
 
 
-def uniform(id_col: Column, seed: int = 0) -> Column:
-    """A number from 0 to below 1 by a hash of the id and a seed."""
-    return F.conv(F.substring(F.sha2(F.concat(F.coalesce(id_col.cast("string"), F.lit("")), F.lit(f":{seed}")), 256), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+def uniform(key: Column, seed: int = 0) -> Column:
+    """A number from 0 to below 1 by a hash of the key and a seed."""
+    return F.conv(F.substring(F.sha2(F.concat(key, F.lit(f":{seed}")), 256), 1, 13), 16, 10).cast("bigint") / F.lit(float(1 << 52))
+
+
+def draw(id_col: Column, text: Column, seed: int = 0) -> Column:
+    """The number that decides on a row: by its id, or by its text where the id is null."""
+    return uniform(F.coalesce(id_col.cast("string"), F.sha2(F.coalesce(text, F.lit("")), 256)), seed)
 
 
 def default_targets(cells: DataFrame, margin: str, flatten: float = FLATTEN) -> DataFrame:
@@ -51,32 +59,40 @@ def residuals(fitted: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).withColumn("residual", F.col("share") - F.col("target"))
 
 
-def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float | None = None) -> DataFrame:
+def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float | None = TOLERANCE) -> DataFrame:
     """cells(margins..., tokens) with weight, the raked tokens; targets: for each margin a table (margin, target).
 
     Each target is scaled to a sum of one over the values that occur; a value without a target gets none of the weight.
-    The fit is of cells, not of documents, and stays in Spark, since the sources may be many. With a tolerance, raking goes on
-    after the given rounds until no margin misses its target by more; a table whose margins cannot all hold stops at
-    MOST_ROUNDS with a warning that names the worst margins.
+    The fit is of cells, not of documents, and stays in Spark, since the sources may be many. A step adds cells up by a margin:
+    in a window where no value of it has over WINDOW_CELLS cells, else by partial sums that are joined back. Raking goes on after the given rounds until no margin misses its target by more than the
+    tolerance (None: it stops there); a table whose margins cannot all hold stops at MOST_ROUNDS with a warning that names the
+    worst margins.
     """
-    keys, everything = list(targets), Window.partitionBy()
+    keys = list(targets)
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
     for k, t in targets.items():
-        # At most one row for each value of the margin; joined before raking, so the rounds need only windows.
-        present = cells.select(k).distinct().join(t, k, "left").select(k, F.coalesce("target", F.lit(0.0)).alias("target"))
-        scaled = present.withColumn(f"{k}_share", F.coalesce(F.try_divide("target", F.sum("target").over(everything)), F.lit(0.0))).drop("target")
-        out = out.join(scaled, k)
-    out = materialize(out.select(*keys, "tokens", "weight", *(f"{k}_share" for k in keys)), "mix-cells")
+        # At most one row for each value of the margin.
+        present = materialize(cells.select(k).distinct().join(t, k, "left").select(k, F.coalesce("target", F.lit(0.0)).alias("target")), "mix-targets")
+        total = present.agg(F.sum("target")).first()[0] or 0.0
+        out = out.join(present.select(k, F.coalesce(F.try_divide("target", F.lit(float(total))), F.lit(0.0)).alias(f"{k}_share")), k)
+    shares = [f"{k}_share" for k in keys]
+    out = materialize(out.select(*keys, "tokens", "weight", *shares), "mix-cells")
+    crowded = {k for k in keys if not out.groupBy(k).count().where(F.col("count") > WINDOW_CELLS).isEmpty()}
     for r in range(rounds if tolerance is None else max(rounds, MOST_ROUNDS)):
         for k in keys:
-            margin = F.sum("weight").over(Window.partitionBy(k))
-            out = out.withColumn("weight", F.when(margin > 0, F.col("weight") * F.col(f"{k}_share") / margin).otherwise(0.0))
-        if r % 2 == 1:
-            out = materialize(out, "mix-cells")
-            if tolerance is not None and r + 1 >= rounds:
-                worst = residuals(out).orderBy(F.abs("residual").desc()).limit(5).collect()
-                if not worst or abs(worst[0].residual) <= tolerance:
-                    break
+            if k in crowded:
+                rows = out.join(out.groupBy(k).agg(F.sum("weight").alias("in_margin")), k)
+            else:
+                rows = out.withColumn("in_margin", F.sum("weight").over(Window.partitionBy(k)))
+            weight = F.when(F.col("in_margin") > 0, F.col("weight") * F.col(f"{k}_share") / F.col("in_margin")).otherwise(0.0)
+            out = rows.select(*keys, "tokens", weight.alias("weight"), *shares)
+        if r % 2 == 0 and not crowded and r + 1 < rounds:
+            continue
+        out = materialize(out, "mix-cells")
+        if tolerance is not None and r + 1 >= rounds:
+            worst = residuals(out).orderBy(F.abs("residual").desc()).limit(5).collect()
+            if not worst or abs(worst[0].residual) <= tolerance:
+                break
     else:
         if tolerance is not None:
             warnings.warn("margins miss their targets: " + ", ".join(f"{w.margin} {w.value!r} by {w.residual:.2g}" for w in worst), stacklevel=2)
@@ -97,37 +113,54 @@ def scale_to(fitted: DataFrame, keep: float) -> float:
     return scale
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN, tolerance: float | None = None) -> DataFrame:
-    """One row for each row of docs: (id, source, lang, topic, n_tokens, probability, weight, kept).
+def _cell(docs: DataFrame, text_col: str, topic_col: str | None) -> dict[str, Column]:
+    kind = topic(F.col(text_col)) if topic_col is None else F.coalesce(F.col(topic_col).cast("string"), F.lit(""))
+    return {"source": F.coalesce("source", F.lit("")), "lang": F.coalesce("lang", F.lit("")), "topic": kind}
 
-    docs needs source and lang; the topic is topic()'s. Null values of a margin form a value of their own, "". A cell of
-    documents without words has no tokens to rake: it gets probability 1, since keeping it costs none. weight is what a kept
-    document counts for: over one where all of a cell is too little for its target. Rows with a repeated id share a decision
-    if they share a cell. An empty table gives an empty result.
-    """
-    words = F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit(WORDS)).cast("bigint")
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang"), topic(F.col(text_col)).alias("topic"), words.alias("n_tokens"))
-    rows = materialize(rows, "mix-rows")
-    cells = materialize(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "mix-cells")
-    given = targets or {}
+
+def _fitted(rows: DataFrame, targets: dict[str, DataFrame] | None, keep: float, rounds: int, flatten: float, tolerance: float | None) -> DataFrame:
+    """(cell, probability, weight, n_rows) from rows(cell, n_tokens)."""
+    cells = rows.groupBy(*(F.col(f"cell.{k}").alias(k) for k in MARGINS)).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n_rows"))
+    cells, given = materialize(cells, "mix-cells"), targets or {}
     fitted = fit_cells(cells, {k: given[k] if k in given else default_targets(cells, k, flatten) for k in MARGINS}, rounds, tolerance)
     scale = scale_to(fitted, keep)
     ratio = F.when(F.col("tokens") > 0, F.col("weight") * scale / F.col("tokens")).otherwise(1.0)
-    p = fitted.select(*MARGINS, F.round(F.least(ratio, F.lit(1.0)), 9).alias("probability"), F.round(F.greatest(ratio, F.lit(1.0)), 6).alias("weight"))
-    return rows.join(p, list(MARGINS)).select(F.col("id").alias(id_col), *MARGINS, "n_tokens", "probability", "weight", (uniform(F.col("id"), seed) < F.col("probability")).alias("kept"))
+    p = fitted.join(cells.select(*MARGINS, "n_rows"), list(MARGINS))
+    return materialize(p.select(F.struct(*MARGINS).alias("cell"), F.round(F.least(ratio, F.lit(1.0)), 9).alias("probability"), F.round(F.greatest(ratio, F.lit(1.0)), 6).alias("weight"), "n_rows"), "mix-fitted")
+
+
+def n_words(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORDS)).cast("bigint")
+
+
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None, seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN, tolerance: float | None = TOLERANCE) -> DataFrame:
+    """One row for each row of docs: (id, source, lang, topic, n_tokens, probability, weight, kept).
+
+    docs needs source and lang; the topic is topic_col, or topic()'s. Null values of a margin form a value of their own, "". A
+    cell of documents without words has no tokens to rake: it gets probability 1, since keeping it costs none. weight is what a
+    kept document counts for: over one where all of a cell is too little for its target. Each row is decided for itself, by its
+    id, or by its text where the id is null: rows that repeat the id share a decision if they share a cell. An empty table gives
+    an empty result; very long texts count whole.
+    """
+    cell = F.struct(*(c.alias(k) for k, c in _cell(docs, text_col, topic_col).items()))
+    rows = docs.select(F.col(id_col).alias("id"), cell.alias("cell"), n_words(F.col(text_col)).alias("n_tokens"), draw(F.col(id_col), F.col(text_col), seed).alias("draw"))
+    rows = materialize(rows, "mix-rows")
+    p = _fitted(rows, targets, keep, rounds, flatten, tolerance)
+    return join_keyed(rows, p, "cell", "n_rows").select(F.col("id").alias(id_col), "cell.*", "n_tokens", "probability", "weight", (F.col("draw") < F.col("probability")).alias("kept"))
 
 
-def sample(docs: DataFrame, id_col: str = "doc_id", seed: int = 0, tolerance: float | None = TOLERANCE, **how) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text", topic_col: str | None = None, seed: int = 0, rounds: int = ROUNDS, flatten: float = FLATTEN, tolerance: float | None = TOLERANCE) -> DataFrame:
     """docs without the rows that mix() does not keep, and with those of a weight above one repeated by it.
 
-    A weight's whole part is the number of copies, and a second hash of the id decides on one more by the fraction, so the
-    expected tokens of each cell are in proportion to its raked weight. Rows of one id go together, by the least of their
-    cells; rows with a null id stay once.
+    A weight's whole part is the number of copies, and a second draw decides on one more by the fraction, so the expected
+    tokens of each cell are in proportion to its raked weight. Each row is decided for itself, as in mix().
     """
-    mixed = mix(docs, id_col=id_col, seed=seed, tolerance=tolerance, **how)
-    whole = F.floor("weight")
-    more = (uniform(F.col(id_col), seed + 1) < F.col("weight") - whole).cast("long")
-    times = mixed.groupBy(id_col).agg(F.min(F.when(F.col("kept"), whole + more).otherwise(0)).alias("mix_times"))
-    out = docs.join(times.where("mix_times <> 1"), id_col, "left").where("mix_times is null or mix_times > 0")
-    copies = F.explode(F.sequence(F.lit(1), F.coalesce("mix_times", F.lit(1)).cast("int"))).alias("mix_copy")
-    return out.select(*docs.columns, copies).select(docs.columns)
+    cell = F.struct(*(c.alias(k) for k, c in _cell(docs, text_col, topic_col).items()))
+    p = _fitted(docs.select(cell.alias("cell"), n_words(F.col(text_col)).alias("n_tokens")), targets, keep, rounds, flatten, tolerance)
+    p = p.select(F.col("cell").alias("__cell"), F.struct("probability", "weight").alias("__mix"), F.col("n_rows").alias("__rows"))
+    out = join_keyed(docs.withColumn("__cell", cell), p, "__cell", "__rows")
+    weight = F.col("__mix.weight")
+    whole = F.floor(weight).cast("int")
+    more = (draw(F.col(id_col), F.col(text_col), seed + 1) < weight - whole).cast("int")
+    out = out.where(draw(F.col(id_col), F.col(text_col), seed) < F.col("__mix.probability")).withColumn("__times", F.explode(F.sequence(F.lit(1), whole + more)))
+    return out.select(docs.columns)

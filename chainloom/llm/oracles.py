@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chainloom.llm import pii
+from chainloom.llm import mixing, pii
 
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -118,7 +118,7 @@ PII = f"""
 """
 
 
-def _raked(rounds: int = 8, scales: int = 16) -> str:
+def _raked(rounds: int = mixing.ROUNDS, scales: int = 16) -> str:
     out, last = "", "c0"
     for r in range(rounds):
         for k in ("source", "lang", "topic"):

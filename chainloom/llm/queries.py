@@ -83,8 +83,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = vocabulary()
-    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary()))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -173,16 +173,16 @@ def test_op3_multiplies_only_what_its_bounds_leave(spark, monkeypatch):
     q = ids % 20 == 0
     done = []
     real = topk.products
-    monkeypatch.setattr(topk, "products", lambda a, b, i, j: (done.append((len(i), a.shape[1])), real(a, b, i, j))[1])
+    # Bounds are doubles; exact products of these small numbers are single floats.
+    monkeypatch.setattr(topk, "products", lambda a, b, i, j: (done.append(len(i) if a.dtype == np.float32 else 0), real(a, b, i, j))[1])
     who, what, score = topk.search_block(ids[q], v[q], np.full(q.sum(), -np.inf), ids, v, 20)
     pairs = q.sum() * (len(ids) - 1)
-    assert sum(n for n, d in done if d == 64) == pairs  # one batch: nothing is known before it
+    assert sum(done) == pairs  # one batch: nothing is known before it
     done.clear()
     floor = np.array([np.sort(score[who == i])[0] for i in ids[q]], float)
     again = topk.search_block(ids[q], v[q], floor, ids, v, 20)
-    exact = sum(n for n, d in done if d == v.shape[1] and n)
     assert {x for x in zip(*map(tuple, again))} == {x for x in zip(who, what, score)}
-    assert exact < 0.7 * pairs
+    assert 0 < sum(done) < 0.7 * pairs
 
 
 def test_op3_cells_leave_out_what_cannot_reach_the_floor(spark):

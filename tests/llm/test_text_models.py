@@ -1,11 +1,16 @@
 """Language identification and quality on the held-out fold; BPE against its library; mixing against a plain loop."""
 
 import hashlib
+import math
+import re
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from chainloom.llm import bpe, langid, mixing, quality, queries
+from chainloom.llm.shared import held_out
 
 BIG = "/root/testdata/sf0.01"
 DOCS = "doc_id bigint, text string, lang string, source string, score string, w int"
@@ -63,12 +68,121 @@ def test_op5_edges(spark):
     assert kept.schema == docs.schema and kept.count() == len(ODD) + 2
 
 
+LONG = ["some Words, and MORE words!! " * 50, "a1!é中" * 40, "wörd\tand\u3000more" * 30, "x" * 200 + " " + "y" * 90]
+
+
 def test_blocks_of_long_texts_do_not_change_features(monkeypatch):
-    text = "some Words, and MORE words!! " * 50
-    whole = quality.features(text)
-    monkeypatch.setattr(quality, "BLOCK", 37)
-    cut = quality.features(text)
-    assert (whole[0] == cut[0]).all() and np.allclose(whole[1], cut[1])
+    huge = "ab" * 1_500_000
+    for text in (*LONG, huge, huge + " " + "Word " * 300_000):
+        monkeypatch.setattr(quality, "BLOCK", 1 << 20)
+        cut = quality.features(text)
+        monkeypatch.setattr(quality, "BLOCK", 1 << 30)
+        whole = quality.features(text)
+        assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+        if len(text) < 10_000:
+            monkeypatch.setattr(quality, "BLOCK", 37)
+            cut = quality.features(text)
+            assert (whole[0] == cut[0]).all() and (whole[1] == cut[1]).all()
+
+
+def test_blocks_of_long_texts_do_not_change_bundles(monkeypatch):
+    huge = "".join(map(chr, np.random.default_rng(1).integers(0x4E00, 0x4E40, 1_500_000))) * 2
+    for text in (*LONG, "  a   b!!c " * 60, "ΑΣ ΑΣΑ" * 50, "\t".join("some words with tabs alone".split() * 99), huge):
+        monkeypatch.setattr(langid, "BLOCK", 1 << 19)
+        cut = langid.bundles([text], [0], 1)
+        monkeypatch.setattr(langid, "BLOCK", 1 << 30)
+        whole = langid.bundles([text], [0], 1)
+        assert (cut == whole).all() and whole.any()
+        if len(text) < 10_000:
+            monkeypatch.setattr(langid, "BLOCK", 7)
+            assert (langid.bundles([text], [0], 1) == whole).all()
+
+
+def slow_bundle(text):
+    out, letters = np.zeros(langid.DIM, np.int64), [0]
+    for c in f" {(text or '').lower()} ":
+        code = ord(c) if c.isalpha() else 0
+        if code or letters[-1]:
+            letters.append(code)
+    for a, b, c in zip(letters, letters[1:], letters[2:]):
+        if b:
+            out += langid.letter_vector(a, 2).astype(np.int64) * langid.letter_vector(b, 1) * langid.letter_vector(c, 0)
+    return out
+
+
+def test_op4_predictions_against_plain_loops(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").orderBy("doc_id").collect()
+    vectors = {r.doc_id: slow_bundle(r.text) for r in docs}
+    sums = {}
+    for r in docs:
+        if r.lang is not None and r.text is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            sums[r.lang] = sums.get(r.lang, 0) + vectors[r.doc_id]
+    for r in queries.op4_langid(spark, sf).collect():
+        v = vectors[r.doc_id]
+        if not v.any():
+            assert (r.lang_pred, r.score) == ("und", 0)
+            continue
+        cosines = {lang: float(v @ p / np.sqrt(float(v @ v) * float(p @ p))) for lang, p in sums.items()}
+        assert abs(cosines[r.lang_pred] - max(cosines.values())) < 1e-9 and abs(r.score - max(0, cosines[r.lang_pred])) < 1e-9
+
+
+def slow_features(text):
+    """Counts of places by the rule as the module states it, word by word."""
+    words = [4]
+    shapes = [0]
+    for w in re.findall(r"[^\W_]+|[^\w\s]+|_+", text or ""):
+        case = 3 if not w[0].isalnum() else 2 if w.isupper() and len(w) > 1 else 1 if w[0].isupper() else 0
+        h = xxhash.xxh64_intdigest(w.lower(), seed=7) >> 2
+        shapes.append(5 if h == words[-1] >> 2 else case)
+        words.append(h << 2)
+    words.append(8)
+    shapes.append(5 if words[-1] >> 2 == words[-2] >> 2 else 0)
+    h, mix, mask = [w >> 2 for w in words], 0x9E3779B97F4A7C15, 2**64 - 1
+    grams = h[1:-1] + [(a * 31 + b + 1000) & mask for a, b in zip(shapes[1:], shapes[2:])] + [((a * mix) & mask) ^ b for a, b in zip(h, h[1:])]
+    counts = {}
+    for g in grams:
+        place = ((g * mix) & mask) >> 46
+        counts[place] = counts.get(place, 0) + 1
+    size = math.sqrt(sum(counts.values()))
+    return {p: math.sqrt(n) / size for p, n in counts.items()}
+
+
+def test_op5_weights_and_scores_against_plain_loops(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    hashed = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "xxhash64(doc_id)").collect()}
+    features = {i: slow_features(t) for i, t in texts.items()}
+    bias, mean = quality.PLACES, {}
+    for learner in range(quality.LEARNERS):
+        z, n = {}, {}
+        weight = lambda p: 0.0 if abs(z.get(p, 0.0)) <= quality.L1 else -(z[p] - math.copysign(quality.L1, z[p])) / ((quality.BETA + math.sqrt(n[p])) / quality.ALPHA + quality.L2)  # noqa: E731, B023
+        mine = sorted((hashed[i], labels[i], i) for i in labels if i in texts and texts[i] is not None and hashed[i] % quality.LEARNERS == learner)
+        for _, y, i in mine * quality.PASSES:
+            x = {**features[i], bias: 1.0}
+            w = {p: weight(p) for p in x}
+            g = 1 / (1 + math.exp(-sum(w[p] * v for p, v in x.items()))) - y
+            for p, v in x.items():
+                sigma = (math.sqrt(n.get(p, 0.0) + (g * v) ** 2) - math.sqrt(n.get(p, 0.0))) / quality.ALPHA
+                z[p] = z.get(p, 0.0) + g * v - sigma * w[p]
+                n[p] = n.get(p, 0.0) + (g * v) ** 2
+        for p in n:
+            mean[p] = mean.get(p, 0.0) + weight(p) / quality.LEARNERS
+    docs, table = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = quality.train(docs, table.where(~held_out(table.doc_id)))
+    assert {p for p in range(len(got)) if abs(got[p]) > 1e-4} <= set(mean) and all(abs(got[p] - w) < 1e-4 for p, w in mean.items())
+    for r in queries.op5_quality(spark, sf).collect():
+        s = sum(mean.get(p, 0.0) * v for p, v in features[r.doc_id].items()) + mean[bias]
+        assert abs(r.score - 1 / (1 + math.exp(-s))) < 1e-3
+
+
+def test_op5_clashing_labels_and_repeated_rows_teach_once(spark):
+    rows = [(i, f"text {i} " + ("good fine" if i % 2 else "BAD!!"), "en", "s", "", 0) for i in range(40)]
+    labels = [(i, i % 2) for i in range(40)]
+    docs = spark.createDataFrame(rows, DOCS)
+    table = lambda x: spark.createDataFrame(x, "doc_id bigint, quality int")
+    want = quality.train(docs.where("doc_id not in (3, 4)"), table(labels))
+    assert np.allclose(want, quality.train(docs, table(labels + [(3, 0), (4, 1), (4, 0)])))
+    assert np.allclose(want, quality.train(docs.where("doc_id not in (3, 4)").union(docs.where("doc_id in (7, 8)")), table(labels + labels)))
 
 
 @pytest.fixture(scope="module")
@@ -127,8 +241,9 @@ def test_op9_margins_hold(spark):
 
 
 def test_op9_edges(spark):
-    got = mixing.mix(odd(spark)).toPandas()
+    few = {"rounds": 2, "tolerance": None}
+    got = mixing.mix(odd(spark), **few).toPandas()
     assert len(got) == len(ODD) + 2 and got.probability.between(0, 1).all()
     assert mixing.mix(odd(spark).limit(0)).count() == 0
-    assert mixing.sample(odd(spark)).columns == odd(spark).columns
-    assert mixing.mix(spark.createDataFrame([(1, " ", "en", "s", "", 0)], DOCS)).first().kept
+    assert mixing.sample(odd(spark), **few).columns == odd(spark).columns
+    assert mixing.mix(spark.createDataFrame([(1, " ", "en", "s", "", 0)], DOCS), **few).first().kept
