@@ -1,4 +1,9 @@
-"""A corpus from raw documents to token ids, in five stages; each stage's result is written and read again by the next."""
+"""A corpus from raw documents to token ids, in five stages; each stage's result is written and read again by the next.
+
+Stages decide row by row, never by id alone: rows with one id and different texts are different documents, and rows that repeat
+both go the same way. Null texts count as empty, null ids are kept as they are. An empty table gives an empty result, texts are
+read whole, and columns that documents does not have are carried along, whatever their names, up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -24,7 +29,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more the smallest id."""
+    """Of each component of documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more the smallest id,
+    and of an id with several such texts the one of least digest."""
     return simhash.keep_one_similar(docs, shingle_words=5, similarity=0.8)
 
 
@@ -35,9 +41,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of what they decode to."""
-    path = queries.vocabulary()
-    tokens = bpe.decode(bpe.encode(docs, path), path)
-    return bpe.digests(tokens, keep=("ids",))
+    return bpe.digests(bpe.round_trip(docs, queries.vocabulary()), keep=("ids",))
 
 
 STAGES: list[tuple[str, Stage]] = [
