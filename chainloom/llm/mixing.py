@@ -21,9 +21,9 @@ from chainloom.llm.shared import join_keyed, materialize
 WORDS = "[^\\x20\\x09-\\x0D]+"
 #: Least rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
 ROUNDS, FLATTEN = 16, 0.7
-#: Share of all weight by which a margin may miss its target, and the rounds after which raking gives up, with a warning: margins
-#: that contradict each other never hold.
-TOLERANCE, MOST_ROUNDS = 1e-6, 200
+#: Share of all weight by which a margin may miss its target. Margins that contradict each other never hold: raking gives up, with
+#: a warning, once so many rounds have not brought the worst of them nearer, or after so many in all.
+TOLERANCE, STALLED, MOST_ROUNDS = 1e-6, 6, 200
 #: Cells of one value of a margin that may meet in one task.
 WINDOW_CELLS = 1 << 18
 #: Share of all tokens that is to stay.
@@ -65,8 +65,7 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
     Each target is scaled to a sum of one over the values that occur; a value without a target gets none of the weight.
     The fit is of cells, not of documents, and stays in Spark, since the sources may be many. A step adds cells up by a margin:
     in a window where no value of it has over WINDOW_CELLS cells, else by partial sums that are joined back. Raking goes on after the given rounds until no margin misses its target by more than the
-    tolerance (None: it stops there); a table whose margins cannot all hold stops at MOST_ROUNDS with a warning that names the
-    worst margins.
+    tolerance (None: it stops there); with margins that cannot all hold it gives up, with a warning that names the worst.
     """
     keys = list(targets)
     out = cells.withColumn("weight", F.col("tokens").cast("double"))
@@ -77,6 +76,11 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
         out = out.join(present.select(k, F.coalesce(F.try_divide("target", F.lit(float(total))), F.lit(0.0)).alias(f"{k}_share")), k)
     shares = [f"{k}_share" for k in keys]
     out = materialize(out.select(*keys, "tokens", "weight", *shares), "mix-cells")
+    misses: list[float] = []
+
+    def warn(worst: list) -> None:
+        warnings.warn("margins miss their targets: " + ", ".join(f"{w.margin} {w.value!r} by {w.residual:.2g}" for w in worst), stacklevel=3)
+
     crowded = {k for k in keys if not out.groupBy(k).count().where(F.col("count") > WINDOW_CELLS).isEmpty()}
     for r in range(rounds if tolerance is None else max(rounds, MOST_ROUNDS)):
         for k in keys:
@@ -93,9 +97,13 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
             worst = residuals(out).orderBy(F.abs("residual").desc()).limit(5).collect()
             if not worst or abs(worst[0].residual) <= tolerance:
                 break
+            misses.append(abs(worst[0].residual))
+            if len(misses) > STALLED and misses[-1] > 0.99 * misses[-1 - STALLED]:
+                warn(worst)
+                break
     else:
         if tolerance is not None:
-            warnings.warn("margins miss their targets: " + ", ".join(f"{w.margin} {w.value!r} by {w.residual:.2g}" for w in worst), stacklevel=2)
+            warn(worst)
     return out.select(*keys, "tokens", "weight")
 
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 from test_text_models import slow_features, tokens
 
@@ -61,7 +62,10 @@ def slow_mix(rows, seed=0):
     return out
 
 
-def test_nulls_clashes_and_empty_tables(spark, sf):
+@pytest.mark.filterwarnings("ignore:margins miss")
+def test_nulls_clashes_and_empty_tables(spark, sf, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_ROUNDS", 2)
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
     docs = table(spark, sf, "documents")
     odd = [(None, None, None, None, None), (1, None, "en", "s", 0), (1, "", None, None, None), (1, " ", "en", "s", 1), (2, "x" * 300_000, "en", "s", 1), (None, "y z", "en", None, 1), (None, "y z", "en", None, 1)]
     rows = spark.createDataFrame(odd, docs.schema).union(docs.limit(40)).withColumn("id", F.lit("clash")).withColumn("digest", F.lit(b"x")).withColumn("node", F.lit(1))
