@@ -73,4 +73,4 @@ def chain_kind(rows: DataFrame, chain_dim: DataFrame, alias_col: str = "chain")
     """(rows with kind and canonical chain_id, rows with an unknown chain). chain_dim(alias, network, kind, chain_id) is a
     list of the few chains of a network and of their names."""
     known = rows.join(chain_dim.withColumnRenamed("alias", alias_col), alias_col)
-    return known, rows.join(chain_dim, rows[alias_col] == chain_dim.alias, "left_anti")
+    return known, rows.join(chain_dim, rows[alias_col] == chain_dim["alias"], "left_anti")

@@ -142,7 +142,7 @@ def c_balances(utxos: DataFrame, now: Column) -> DataFrame:
 def all_categories(sums: DataFrame, categories: tuple[str, ...]) -> DataFrame:
     """sums with a row of nulls for each category of the fixed list that has none."""
     dim = sums.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, categories))).alias("category"))
-    return F.broadcast(dim).join(sums, "category", "left")
+    return dim.join(sums, "category", "left")
 
 
 def balances_json(sums: DataFrame, categories: tuple[str, ...], asset: str = "asset_id") -> DataFrame:

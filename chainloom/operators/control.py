@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chainloom.operators.ordered import lagged, numbered, running_sum
+
 #: Fixed values of the request controller: errors in a window above which load halves, wanted p95 in milliseconds, samples
 #: that a decision needs, and bounds of the recommended parallelism (a tenth of the most, and the most).
 MAX_ERRORS, MAX_P95_MS, MIN_SAMPLES, PARALLELISM = 10, 1000, 10, (20, 200)
@@ -13,8 +15,7 @@ MAX_ERRORS, MAX_P95_MS, MIN_SAMPLES, PARALLELISM = 10, 1000, 10, (20, 200)
 
 def check_sequence(df: DataFrame, order: str, keys: tuple[str, ...] = ()) -> DataFrame:
     """Rows whose number is not the one before plus one, with `previous`: gaps, repeats and disorder of each key."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    rows = df.select(*keys, order).withColumn("previous", F.lag(order).over(w))
+    rows = lagged(df.select(*keys, order), order, (order,), keys)
     return rows.where(F.col("previous").isNotNull() & (F.col(order) != F.col("previous") + 1))
 
 
@@ -39,8 +40,7 @@ def sync_progress(marks: DataFrame, heads: DataFrame, key: str = "chain", rate:
 
 def ingest_stats_by_count(log: DataFrame, order: str, ms: str, size: str, n: int = 100, keys: tuple[str, ...] = ()) -> DataFrame:
     """Per window of n blocks of each key: count, least, largest and total milliseconds, and bytes."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    rows = log.withColumn("win", F.floor((F.row_number().over(w) - 1) / n).cast("bigint"))
+    rows = numbered(log, (order,), keys, "win").withColumn("win", F.floor(F.col("win") / n).cast("bigint"))
     return rows.groupBy(*keys, "win").agg(F.count(F.lit(1)).alias("n"), F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"), F.sum(ms).alias("sum_ms"), F.sum(size).alias("bytes"))
 
 
@@ -70,9 +70,27 @@ def request_health(log: DataFrame, ts: str = "ts", ms: str = "duration_ms", ok:
     return out.select(*keys, F.col("w.start").alias("win_start"), "n", "errors", p95.alias("p95"), F.least(F.lit(high), F.greatest(F.lit(low), advice)).cast("int").alias("parallelism"))
 
 
-def consumer_metrics(frames: DataFrame, ts: str = "ts", width: str = "10 seconds") -> DataFrame:
-    """Per window of time of a frame log(ts, blocks, bytes, txs): batches, blocks, bytes and transactions."""
-    return frames.groupBy(F.window(ts, width)).agg(F.count(F.lit(1)).alias("batches"), F.sum("blocks").alias("blocks"), F.sum("bytes").alias("bytes"), F.sum("txs").alias("txs"))
+def consumer_metrics(frames: DataFrame, ts: str = "ts", width_s: int = 1) -> DataFrame:
+    """Per report of a frame log(ts in seconds, blocks, bytes, txs): what came in its window, and totals and rates up to it.
+
+    (window, batches, blocks, bytes, txs, total_blocks, total_txs, recent_rate, avg_rate): blocks a second since the last
+    window that had any (the first: over the window itself), and since the log began.
+    """
+    start = frames.agg(F.min(ts)).first()[0] or 0
+    by = frames.groupBy(F.floor((F.col(ts) - start) / width_s).cast("bigint").alias("window")).agg(F.count(F.lit(1)).alias("batches"), F.sum("blocks").alias("blocks"), F.sum("bytes").alias("bytes"), F.sum("txs").alias("txs"))
+    by = running_sum(running_sum(lagged(by, "window", ("window",)), "blocks", ("window",), name="total_blocks"), "txs", ("window",), name="total_txs")
+    recent = (F.col("window") - F.coalesce("previous", F.lit(-1))) * width_s
+    return by.withColumns({"recent_rate": F.col("blocks") / recent, "avg_rate": F.col("total_blocks") / ((F.col("window") + 1) * width_s)}).drop("previous")
+
+
+def export_range(exported: DataFrame, heads: DataFrame, keys: tuple[str, ...] = ("chain",), batch: int = 1000) -> DataFrame:
+    """(keys, first, last, full): the next blocks to export of each key, from the one after the last exported (0 where there is
+    none) to a batch further or the newest; keys that are caught up have no row. full: whether there may be more at once."""
+    last = heads.groupBy(*keys).agg(F.max("height").alias("head"))
+    rows = last.join(exported.groupBy(*keys).agg(F.max("height").alias("done")), list(keys), "left")
+    first = F.coalesce(F.col("done") + 1, F.lit(0).cast("bigint"))
+    rows = rows.withColumn("first", first).where(F.col("first") <= F.col("head")).withColumn("last", F.least(F.col("first") + batch - 1, F.col("head")))
+    return rows.select(*keys, "first", "last", (F.col("last") - F.col("first") + 1 == batch).alias("full"))
 
 
 def duration_histogram(log: DataFrame, ms: str, bounds: list[float]) -> DataFrame:
@@ -137,13 +155,13 @@ def min_unique_prefix(ids: DataFrame, col: str = "id", low: int = 3, high: int =
 
 def delta_encode(dim: DataFrame, order: tuple[str, ...] = ("ts", "id"), ts: str = "ts", keys: tuple[str, ...] = ()) -> DataFrame:
     """dim with delta, the time since the row before (its own time for the first)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return dim.withColumn("delta", F.col(ts) - F.coalesce(F.lag(ts).over(w), F.lit(0).cast("bigint")))
+    rows = lagged(dim, ts, order, keys, "delta")
+    return rows.withColumn("delta", F.col(ts) - F.coalesce("delta", F.lit(0).cast("bigint")))
 
 
 def delta_decode(encoded: DataFrame, order: str = "pos", keys: tuple[str, ...] = ()) -> DataFrame:
     """encoded with ts, the running sum of delta in order."""
-    return encoded.withColumn("ts", F.sum("delta").over(Window.partitionBy(*keys).orderBy(order)))
+    return running_sum(encoded, "delta", (order,), keys, "ts")
 
 
 def fix_timestamps(txs: DataFrame, dim: DataFrame, id_col: str = "tx_id", ts_col: str = "ts", on_missing: str = "keep") -> DataFrame:

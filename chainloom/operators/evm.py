@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from chainloom.functions.hexes import hex_to_base64, hex_to_decimal, hex_to_decimal_string, hex_to_long
 from chainloom.functions.rules import normalise_to, partition_date
@@ -101,29 +105,54 @@ def evm_logs(nb: DataFrame) -> DataFrame:
     )
 
 
-def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_field: str, max_depth: int = 1024) -> DataFrame:
-    """Every node of JSON trees: roots' other columns, `node` (typed, without its children's rows) and `path array<int>`.
+#: Nodes of call trees that a task sends back together.
+NODES = 4096
+
+
+def _walk(text: str, children_field: str) -> Iterator[tuple[str, list[int]]]:
+    """(JSON, path) of the nodes of a JSON tree in pre-order, each without its children."""
+    try:
+        root = json.loads(text)
+    except ValueError:
+        return
+    stack = [(root, [])]
+    while stack:
+        node, path = stack.pop()
+        if isinstance(node, dict):
+            below = node.pop(children_field, None) or []
+            yield json.dumps(node), path
+            stack += [(below[i], [*path, i]) for i in range(len(below) - 1, -1, -1)]
+
 
-    Level by level: a level's children are opened and numbered, until a level is empty. Nodes' raw JSON is kept only while
-    they have children to open. Sorting by path gives pre-order, since arrays compare element by element.
+def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_field: str) -> DataFrame:
+    """Every node of JSON trees: roots' other columns, `node` (typed, without its children), `path array<int>` and `position`,
+    its place in pre-order from 0.
+
+    A tree is opened where its row is, in one pass, however deep it is: there is no shuffle. Text that is no JSON, and nodes
+    that are no objects, give no rows.
     """
     keys = [c for c in roots.columns if c != node_col]
-    level = roots.where(F.col(node_col).isNotNull()).select(*keys, F.from_json(node_col, child_schema).alias("node"), F.array().cast("array<int>").alias("path"))
-    levels = []
-    for depth in range(max_depth):
-        levels.append(level)
-        deeper = level.where(F.size(f"node.{children_field}") > 0)
-        if depth and depth % 8 == 0 and roots.sparkSession.sparkContext.getCheckpointDir():
-            deeper = deeper.checkpoint()
-        if deeper.isEmpty():
-            break
-        level = deeper.select(*keys, "path", F.posexplode(f"node.{children_field}").alias("i", "raw")).select(*keys, F.from_json("raw", child_schema).alias("node"), F.concat("path", F.array("i")).alias("path"))
-    else:
-        raise ValueError(f"trees are deeper than {max_depth}")
-    out = levels[0]
-    for x in levels[1:]:
-        out = out.unionByName(x)
-    return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def together(b: pa.RecordBatch, found: list[tuple[int, str, list[int], int]]) -> pa.RecordBatch:
+            rows, nodes, paths, places = zip(*found)
+            at = pa.array(rows, pa.int64())
+            columns = [b.column(k).take(at) for k in keys]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(nodes), pa.array(paths, pa.list_(pa.int32())), pa.array(places, pa.int64())], names=[*keys, "node", "path", "position"])
+
+        for b in batches:
+            found: list[tuple[int, str, list[int], int]] = []
+            for row, text in enumerate(b.column(node_col)):
+                for place, (node, path) in enumerate(_walk(text.as_py() or "", children_field)):
+                    found.append((row, node, path, place))
+                    if len(found) >= NODES:
+                        yield together(b, found)
+                        found = []
+            if found:
+                yield together(b, found)
+
+    kinds = T.StructType([roots.schema[k] for k in keys]).add("node", "string").add("path", T.ArrayType(T.IntegerType())).add("position", "long")
+    return roots.mapInArrow(run, kinds).withColumn("node", F.from_json("node", child_schema))
 
 
 def evm_internal_txs(nb: DataFrame) -> DataFrame:
@@ -131,9 +160,7 @@ def evm_internal_txs(nb: DataFrame) -> DataFrame:
     transaction. Null traces give no rows; null values are 0."""
     roots = _each(nb, "traces", "trace", "tx_pos").select("blockhash", "blocknumber", "blocktimestamp", "partition_date", "tx_pos", F.col("trace.txHash").alias("transactionhash"), F.nullif("trace.result", F.lit("null")).alias("tree"))
     n = F.col("node")
-    nodes = flatten_tree(roots, "tree", CALL, "calls").where(F.col("node").isNotNull())
-    order = Window.partitionBy("blocknumber", "blockhash", "tx_pos").orderBy("path")
-    nodes = nodes.withColumn("trace_position", (F.row_number().over(order) - 1).cast("bigint"))
+    nodes = flatten_tree(roots, "tree", CALL, "calls").where(F.col("node").isNotNull()).withColumnRenamed("position", "trace_position")
     index = F.concat_ws("_", F.lit("call_0"), F.array_join(F.transform("path", lambda i: i.cast("string")), "_"))
     return _select(
         nodes,

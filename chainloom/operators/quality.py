@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chainloom.operators.ordered import value_at
+
 #: Upper bounds of the magnitudes by which differences are reported.
 MAGNITUDES = (10, 100, 1000, 10000)
 
@@ -52,11 +56,11 @@ def diff_distribution(diffs: DataFrame, col: str = "diff") -> DataFrame:
 
 
 def diff_summary(diffs: DataFrame, col: str = "diff") -> DataFrame:
-    """One row: least, largest and median absolute difference (the one at index n/2 in order)."""
+    """One row: least, largest and median absolute difference (the one at index n/2 in order), and their number."""
     rows = diffs.where(F.col(col) != 0).select(F.abs(col).alias("d"))
-    counts = rows.groupBy("d").agg(F.count(F.lit(1)).alias("c"))
-    upto = counts.withColumn("upto", F.sum("c").over(Window.orderBy("d"))).withColumn("n", F.sum("c").over(Window.partitionBy()))
-    return upto.agg(F.min("d").alias("least"), F.max("d").alias("most"), F.min(F.when(F.col("upto") > F.floor(F.col("n") / 2), F.col("d"))).alias("median"), F.max("n").alias("n"))
+    n = rows.count()
+    median = value_at(rows, "d", n // 2) if n else None
+    return rows.agg(F.min("d").alias("least"), F.max("d").alias("most"), F.lit(median).cast(rows.schema["d"].dataType).alias("median"), F.nullif(F.count(F.lit(1)), F.lit(0)).alias("n"))
 
 
 def top_diffs(diffs: DataFrame, k: int = 5, col: str = "abs_diff") -> DataFrame:
@@ -79,23 +83,39 @@ def header_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
     return {"missing": sorted(low(b) - low(a)), "extra": sorted(low(a) - low(b))}
 
 
-def leaves(df: DataFrame, id_col: str, json_col: str, match: tuple[str, ...] = ("utxoId", "txHash"), skip: tuple[str, ...] = (), max_depth: int = 32) -> DataFrame:
-    """(id, path, value): the leaves of JSON answers, level by level. Elements of arrays go by the first of `match` that they
-    have (txHash with rewardType), else by place; fields in skip are left out."""
-    level = df.select(F.col(id_col).alias("id"), F.lit("$").alias("path"), F.col(json_col).alias("j"))
-    found = []
-    for _ in range(max_depth):
-        keys = F.json_object_keys("j")
-        size = F.json_array_length("j")
-        found.append(level.where(keys.isNull() & size.isNull()).select("id", "path", F.col("j").alias("value")))
-        name = [F.get_json_object("x", f"$.{m}") for m in match]
-        tag = F.coalesce(*(F.concat(n, F.coalesce(F.concat(F.lit(":"), F.get_json_object("x", "$.rewardType")), F.lit(""))) if m == "txHash" else n for m, n in zip(match, name)), F.col("i").cast("string"))
-        objects = level.where(keys.isNotNull()).select("id", "path", F.explode(F.from_json("j", "map<string,string>")).alias("k", "x")).where(~F.col("k").isin(*skip) if skip else F.lit(True)).select("id", F.concat("path", F.lit("."), "k").alias("path"), F.col("x").alias("j"))
-        items = level.where(size.isNotNull() & keys.isNull()).select("id", "path", F.posexplode(F.from_json("j", "array<string>")).alias("i", "x")).select("id", F.concat("path", F.lit("["), tag, F.lit("]")).alias("path"), F.col("x").alias("j"))
-        level = objects.unionByName(items)
-        if level.isEmpty():
-            return reduce(DataFrame.unionByName, found)
-    raise ValueError(f"answers are deeper than {max_depth}")
+def _leaves(text: str | None, match: tuple[str, ...], skip: tuple[str, ...]) -> Iterator[tuple[str, str | None]]:
+    try:
+        # Numbers stay as they are written.
+        stack = [("$", json.loads(text or "null", parse_int=str, parse_float=str, parse_constant=str))]
+    except ValueError:
+        stack = [("$", text)]
+    while stack:
+        path, x = stack.pop()
+        if isinstance(x, dict):
+            stack += [(f"{path}.{k}", v) for k, v in x.items() if k not in skip]
+        elif isinstance(x, list):
+            for i, v in enumerate(x):
+                name = next((m for m in match if isinstance(v, dict) and v.get(m) is not None), None)
+                tag = str(i) if name is None else f"{v[name]}:{v['rewardType']}" if name == "txHash" and v.get("rewardType") is not None else v[name]
+                stack.append((f"{path}[{tag}]", v))
+        else:
+            yield path, str(x).lower() if isinstance(x, bool) else x
+
+
+def leaves(df: DataFrame, id_col: str, json_col: str, match: tuple[str, ...] = ("utxoId", "txHash"), skip: tuple[str, ...] = ()) -> DataFrame:
+    """(id, path, value): the leaves of JSON answers of any depth, in one pass. Elements of arrays go by the first of `match`
+    that they have (txHash with rewardType), else by place; fields in skip are left out. Text that is no JSON is one leaf."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row, text in enumerate(b.column(1)):
+                found = list(_leaves(text.as_py(), match, skip))
+                if found:
+                    paths, values = zip(*found)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([row] * len(found))), pa.array(paths), pa.array(values, pa.string())], names=["id", "path", "value"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return df.select(id_col, json_col).mapInArrow(run, f"id {kind}, path string, value string")
 
 
 def diff_nested(a: DataFrame, b: DataFrame, id_col: str, json_col: str, skip: tuple[str, ...] = (), approx: dict[str, float] | None = None) -> DataFrame:

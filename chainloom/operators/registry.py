@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from chainloom.functions.rules import evm_chain_id, parse_genesis
+from chainloom.operators.control import fix_timestamps
 from chainloom.operators.staking import PRIMARY
 
 
@@ -32,9 +33,29 @@ def subnet_blockchains(p_txs: DataFrame) -> DataFrame:
     return rows.select(F.col("tx_id").alias("blockchain_id"), F.col("chain_name").alias("name"), F.col("height").alias("block"), F.col("block_ts").alias("ts"), evm_chain_id(F.col("genesis").cast("string")).alias("evm_chain_id"), "subnet_id", "vm_id")
 
 
-def primary_network_seed(spark: SparkSession, chain_ids: dict[str, str], primary: str = PRIMARY) -> DataFrame:
-    """The primary network's own chains, which no transaction creates; chain_ids: name to id, of one network."""
-    return spark.createDataFrame([(i, name, 0, 0, primary) for name, i in sorted(chain_ids.items())], "blockchain_id string, name string, block bigint, ts bigint, subnet_id string")
+#: Fixed values of the primary network: its first time, the block that stands for none, and the names, ids and machines of its
+#: chains on the main and on the test network (5).
+SEED_TS, SEED_BLOCK = 1599696000, -1
+SEED_CHAINS = {
+    1: (
+        (PRIMARY, "P-Chain", "platformvm", None),
+        ("2oYMBNV4eNHyqk2fjjV5nVQLDbtmNJzq5s3qs3Lo6ftnC6FByM", "X-Chain", "jvYyfQTxGMJLuGWa55kdP2p2zSUYsQ5Raupu4TW34ZAUBAbtq", None),
+        ("2q9e4r6Mu3U68nU1fYjgbR6JvwrRx36CohpAX5UQxse55x1Q5", "C-Chain", "mgj786NP7uDwBCcq6YwThhaN8FLyybkCa4zBWTQbNgmK6k9A6", 43114),
+    ),
+    5: (
+        (PRIMARY, "P-Chain", "platformvm", None),
+        ("2JVSBoinj9C2J33VntvzYtVJNZdN2NKiwwKjcumHUWEb5DbBrm", "X-Chain", "jvYyfQTxGMJLuGWa55kdP2p2zSUYsQ5Raupu4TW34ZAUBAbtq", None),
+        ("yH8D7ThNJkxmtkuv2jgBa4P1Rn3Qpr4pPr7QYNfcdoS6k6HWp", "C-Chain", "mgj786NP7uDwBCcq6YwThhaN8FLyybkCa4zBWTQbNgmK6k9A6", 43113),
+    ),
+}
+
+
+def primary_network_seed(spark: SparkSession, network: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(the subnet's row, its chains): what no transaction creates. The subnet has one empty owner."""
+    owner = F.struct(F.lit(0).cast("bigint").alias("threshold"), F.lit(0).cast("decimal(20,0)").alias("locktime"), F.array(F.lit("")).alias("addresses"))
+    subnet = spark.range(1).select(F.lit(PRIMARY).alias("subnet_id"), F.lit(SEED_BLOCK).cast("bigint").alias("created_height"), F.lit(SEED_TS).cast("bigint").alias("created_ts"), owner.alias("create_owner"), owner.alias("current_owner"), F.lit(False).alias("is_l1"))
+    chains = [(i, name, SEED_BLOCK, SEED_TS, evm, PRIMARY, vm) for i, name, vm, evm in SEED_CHAINS[network]]
+    return subnet, spark.createDataFrame(chains, "blockchain_id string, name string, block bigint, ts bigint, evm_chain_id bigint, subnet_id string, vm_id string")
 
 
 def list_subnets(subnet_rows: DataFrame, chains: DataFrame) -> DataFrame:
@@ -57,8 +78,11 @@ def blockchain_order() -> list[Column]:
     return [F.desc("block"), F.desc("blockchain_id")]
 
 
-def assets(x_txs: DataFrame, native: DataFrame | None = None) -> DataFrame:
-    """Created assets over both eras, the last of an id; native: rows of the same columns for what no transaction creates."""
+def assets(x_txs: DataFrame, native: DataFrame | None = None, times: DataFrame | None = None) -> DataFrame:
+    """Created assets over both eras, the last of an id. times(id, ts): the repaired times of the first era's transactions;
+    native: rows of the same columns for what no transaction creates."""
+    if times is not None:
+        x_txs = fix_timestamps(x_txs, times)
     rows = x_txs.where(F.col("tx_type") == "CreateAssetTx").select(F.col("tx_id").alias("asset_id"), F.col("asset_name").alias("name"), F.col("asset_symbol").alias("symbol"), F.col("asset_denomination").alias("denomination"), F.col("ts").alias("created_ts"), F.lit("secp256k1").alias("type"), F.lit("fixed").alias("cap"))
     rows = rows if native is None else rows.unionByName(native)
     rest = [c for c in rows.columns if c != "asset_id"]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chainloom.functions.rules import rfc3339
 from chainloom.sources.schemas import OUT
@@ -17,9 +16,9 @@ from chainloom.sources.schemas import OUT
 P, X, C = "p", "x", "c"
 #: Labels of P transactions that make or spend outputs (advancing time does neither).
 P_TX_TYPES = (
-    "AddValidatorTx AddDelegatorTx AddSubnetValidatorTx AddPermissionlessValidatorTx AddPermissionlessDelegatorTx RemoveSubnetValidatorTx CreateSubnetTx CreateChainTx TransformSubnetTx TransferSubnetOwnershipTx ConvertSubnetToL1Tx "
-    "RegisterL1ValidatorTx SetL1ValidatorWeightTx IncreaseL1ValidatorBalanceTx DisableL1ValidatorTx RewardValidatorTx ImportTx ExportTx BaseTx"
-).split()
+    "AddValidatorTx", "AddDelegatorTx", "AddSubnetValidatorTx", "AddPermissionlessValidatorTx", "AddPermissionlessDelegatorTx", "RemoveSubnetValidatorTx", "CreateSubnetTx", "CreateChainTx", "TransformSubnetTx", "TransferSubnetOwnershipTx", "ConvertSubnetToL1Tx",
+    "RegisterL1ValidatorTx", "SetL1ValidatorWeightTx", "IncreaseL1ValidatorBalanceTx", "DisableL1ValidatorTx", "RewardValidatorTx", "ImportTx", "ExportTx", "BaseTx",
+)
 #: Kinds of output with their family and label; other kinds are dropped.
 OUTPUT_KINDS = {
     "transfer": ("secp256k1fx", "TRANSFER"),
@@ -237,8 +236,3 @@ def utxo_export_row(utxos: DataFrame) -> DataFrame:
         return F.to_json(source) if name == "REWARD_ADDRESSES" else F.col(source)
 
     return utxos.select(*(shown(*x).alias(x[0].lower()) for x in EXPORT_COLUMNS.items()))
-
-
-def rank_latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key by an order."""
-    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")

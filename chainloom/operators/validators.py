@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from chainloom.functions.rules import format_fee
 from chainloom.operators.staking import PRIMARY
@@ -28,15 +31,14 @@ def delegators(p_txs: DataFrame, primary: str = PRIMARY) -> DataFrame:
     return p_txs.where(F.col("tx_type").isin(*DELEGATOR_TYPES)).select(F.col("tx_id").alias("tx_hash"), "node_id", subnet.alias("subnet_id"), F.col("weight").alias("amount"), F.col("start_ts").alias("start"), F.col("end_ts").alias("end"), F.col("delegator_owner").alias("owner"), "height")
 
 
-def link_delegators(dels: DataFrame, vals: DataFrame, keys: tuple[str, ...] = ("node_id", "subnet_id"), start: str = "start", end: str = "end", id_col: str = "tx_hash", bucket: int | None = None) -> DataFrame:
+def link_delegators(dels: DataFrame, vals: DataFrame, keys: tuple[str, ...] = ("node_id", "subnet_id"), start: str = "start", end: str = "end", id_col: str = "tx_hash", bucket: int | None = 100 * 86_400) -> DataFrame:
     """dels with validator_tx: the first validator, by start then id, of the same keys whose interval has the delegator's
-    start; null without one. bucket: width of time buckets that bound the join of keys with many terms, so that a hot key is
-    spread over its times."""
+    start; null without one. bucket: width of the time buckets by which keys with many terms are spread, None for none."""
     v = vals.select(*keys, F.col(start).alias("v_start"), F.col(end).alias("v_end"), F.col(id_col).alias("validator_tx"))
     d, on = dels.select(*keys, id_col, start).distinct(), list(keys)
     if bucket:
         d = d.withColumn("_b", F.floor(F.col(start) / bucket))
-        v = v.withColumn("_b", F.explode(F.sequence(F.floor(F.col("v_start") / bucket), F.floor(F.col("v_end") / bucket))))
+        v = v.where("v_end >= v_start").withColumn("_b", F.explode(F.sequence(F.floor(F.col("v_start") / bucket), F.floor(F.col("v_end") / bucket))))
         on.append("_b")
     hit = d.join(v, on).where(F.col(start).between(F.col("v_start"), F.col("v_end")))
     first = hit.groupBy(*keys, id_col, start).agg(F.min(F.struct("v_start", "validator_tx")).alias("v"))
@@ -55,34 +57,38 @@ def complete_delegators(dels: DataFrame, reward_txs: DataFrame) -> DataFrame:
     return dels.join(txs, "tx_hash", "left").withColumn("completed", F.col("reward_tx").isNotNull())
 
 
-def apply_removals(vals: DataFrame, removals: DataFrame, replay: bool = False) -> DataFrame:
+def apply_removals(vals: DataFrame, removals: DataFrame) -> DataFrame:
     """vals with remove_tx and remove_ts; removals(tx_id, node_id, subnet_id, ts).
 
-    A removal takes the oldest start that is neither removed nor rewarded, of its node and subnet: the k-th removal the k-th
-    such validator, which is so where removals follow their own registrations. replay: exact for any order, by going through
-    a node's events in time; a node's events must fit in a task.
+    A removal takes, of its node and subnet, the oldest start that is by then neither removed nor rewarded; one that finds none
+    takes nothing. A reward counts from vals' reward_ts, or from the start if it only has reward_tx. The rule goes by time, so
+    the events of a node and subnet pass through one task in order; it keeps those that are open.
     """
     keys = ["node_id", "subnet_id"]
-    live = vals.where(F.col("reward_tx").isNull()) if "reward_tx" in vals.columns else vals
-    if replay:
-        events = live.select(*keys, F.col("start").alias("ts"), F.lit(0).alias("is_removal"), F.col("tx_hash").alias("id"), "start").unionByName(removals.select(*keys, "ts", F.lit(1).alias("is_removal"), F.col("tx_id").alias("id"), F.lit(None).cast("bigint").alias("start")))
-
-        def play(pdf):
-            open_, out = [], []
-            for e in pdf.sort_values(["ts", "is_removal", "id"]).itertuples():
-                if not e.is_removal:
-                    open_.append((e.start, e.id))
-                elif open_:
-                    taken = min(open_)
-                    open_.remove(taken)
-                    out.append((taken[1], e.id, e.ts))
-            return type(pdf)(out, columns=["tx_hash", "remove_tx", "remove_ts"])
-
-        matched = events.groupBy(*keys).applyInPandas(play, "tx_hash string, remove_tx string, remove_ts bigint")
-    else:
-        v = live.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("start", "tx_hash"))).select(*keys, "k", "tx_hash")
-        r = removals.withColumn("k", F.row_number().over(Window.partitionBy(*keys).orderBy("ts", "tx_id"))).select(*keys, "k", F.col("tx_id").alias("remove_tx"), F.col("ts").alias("remove_ts"))
-        matched = v.join(r, [*keys, "k"]).select("tx_hash", "remove_tx", "remove_ts")
+    kinds = {k: vals.schema[k].dataType.simpleString() for k in (*keys, "tx_hash")}
+    until = F.col("reward_ts").cast("bigint") if "reward_ts" in vals.columns else F.when(F.col("reward_tx").isNotNull(), F.col("start").cast("bigint")) if "reward_tx" in vals.columns else F.lit(None).cast("bigint")
+    starts = vals.select(*keys, F.col("start").cast("bigint").alias("ts"), F.lit(0).alias("is_removal"), F.col("tx_hash").cast("string").alias("id"), until.alias("until"))
+    ends = removals.select(*keys, F.col("ts").cast("bigint").alias("ts"), F.lit(1).alias("is_removal"), F.col("tx_id").cast("string").alias("id"), F.lit(None).cast("bigint").alias("until"))
+    events = starts.unionByName(ends).repartition(*keys).sortWithinPartitions(*keys, "ts", "is_removal", "id")
+
+    def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, waiting = None, deque()
+        for b in batches:
+            taken = []
+            for node, subnet, ts, is_removal, name, end in zip(*(b.column(c).to_pylist() for c in (*keys, "ts", "is_removal", "id", "until"))):
+                if (node, subnet) != at:
+                    at, waiting = (node, subnet), deque()
+                if not is_removal:
+                    waiting.append((name, end))
+                    continue
+                while waiting and waiting[0][1] is not None and waiting[0][1] <= ts:
+                    waiting.popleft()
+                if waiting:
+                    taken.append((waiting.popleft()[0], name, ts))
+            if taken:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*taken)], names=["tx_hash", "remove_tx", "remove_ts"])
+
+    matched = events.mapInArrow(play, "tx_hash string, remove_tx string, remove_ts bigint").withColumn("tx_hash", F.col("tx_hash").cast(kinds["tx_hash"]))
     return vals.join(matched, "tx_hash", "left")
 
 
@@ -99,9 +105,8 @@ def delegator_totals(vals: DataFrame, dels: DataFrame, now: Column, id_col: str
 
 
 def list_validators(vals: DataFrame, subnet: str | None = None, nodes: list[str] | None = None, status: str | None = None) -> DataFrame:
-    """Validators of a subnet and of nodes with a status, all filters together; order with list_order() and page them."""
-    out = vals if subnet is None else vals.where(F.col("subnet_id") == subnet)
-    out = out if not nodes else out.where(F.col("node_id").isin(nodes))
+    """Validators of a subnet, or of nodes where no subnet is named, with a status; order with list_order() and page them."""
+    out = vals.where(F.col("subnet_id") == subnet) if subnet is not None else vals.where(F.col("node_id").isin(nodes)) if nodes else vals
     return out if status is None else out.where(F.col("validation_status") == status)
 
 

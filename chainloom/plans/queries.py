@@ -65,9 +65,22 @@ def hex_round_trip(v: Views) -> DataFrame:
     return v.line.select("utxo_id", hexes.hex_to_long(h(F.col("amount"))).alias("n"), hexes.hex_to_long_or_null(h(F.col("part") % 10)).alias("nonzero"), hexes.hex_to_decimal_string(h(F.col("amount"))).alias("n_text"), hexes.hex_to_base64(F.concat(F.lit("0x"), F.left("utxo_id", F.lit(16)))).alias("b64"))
 
 
-@query("select utxo_id, (('0x' || left(utxo_id, 15))::hugeint * 1152921504606846976 + ('0x' || substr(utxo_id, 16, 15))::hugeint)::varchar as n from line", "line")
+def _wide_sql() -> str:
+    """Decimal text of 64 hex digits: four words times powers of 2**64, limb by limb of 18 decimal digits, then the carries."""
+    base = 10**18
+    words = ", ".join(f"('0x' || substr(utxo_id, {49 - 16 * i}, 16))::hugeint as w{i}" for i in range(4))
+    limbs = ", ".join(" + ".join(f"w{i} * {(1 << (64 * i)) // base**k % base}::hugeint" for i in range(4)) + f" as s{k}" for k in range(5))
+    steps, carry = "", "0::hugeint"
+    for k in range(5):
+        steps += f", c{k} as (select *, (s{k} + {carry}) % {base}::hugeint as d{k}, (s{k} + {carry}) // {base}::hugeint as r{k} from {'limbs' if k == 0 else f'c{k - 1}'})"
+        carry = f"r{k}"
+    digits = " || ".join(f"lpad(d{k}::varchar, 18, '0')" for k in range(4, -1, -1))
+    return f"with w as (select utxo_id, {words} from line), limbs as (select utxo_id, {limbs} from w){steps} select utxo_id, ltrim({digits}, '0') as n from c4"
+
+
+@query(_wide_sql(), "line")
 def uint256_decimal(v: Views) -> DataFrame:
-    return v.line.select("utxo_id", hexes.hex_to_decimal_string(F.concat(F.lit("0x"), F.left("utxo_id", F.lit(30)))).alias("n"))
+    return v.line.select("utxo_id", hexes.hex_to_decimal_string(F.concat(F.lit("0x"), "utxo_id")).alias("n"))
 
 
 @query("""
@@ -85,13 +98,11 @@ def topics_pivot(v: Views) -> DataFrame:
     select sender, coalesce(utxo_id, tx_id::varchar, sender::varchar) as id, row_number() over (partition by sender order by tx_id nulls first, utxo_id nulls first) - 1 as position, case when utxo_id is not null then 2 when tx_id is not null then 1 else 0 end as depth from n
 """, "tx", "outs")
 def call_tree_flatten(v: Views) -> DataFrame:
-    from pyspark.sql.window import Window
-
     leaf = v.out.groupBy("sender", "tx_id").agg(F.transform(F.sort_array(F.collect_list("utxo_id")), lambda u: F.struct(u.alias("id"))).alias("calls"))
     mid = v.tx.select("sender", "tx_id").join(leaf, ["sender", "tx_id"], "left").groupBy("sender").agg(F.sort_array(F.collect_list(F.struct("tx_id", "calls"))).alias("c"))
     root = mid.select("sender", F.to_json(F.struct(s("sender").alias("id"), F.transform("c", lambda t: F.struct(t["tx_id"].cast("string").alias("id"), t["calls"].alias("calls"))).alias("calls"))).alias("tree"))
     nodes = evm.flatten_tree(root, "tree", "id string, calls array<string>", "calls")
-    return nodes.select("sender", F.col("node.id").alias("id"), (F.row_number().over(Window.partitionBy("sender").orderBy("path")) - 1).cast("bigint").alias("position"), F.size("path").alias("depth"))
+    return nodes.select("sender", F.col("node.id").alias("id"), "position", F.size("path").alias("depth"))
 
 
 # Order of blocks, ingestion, times
@@ -164,6 +175,27 @@ def delta_encode(v: Views) -> DataFrame:
     return control.delta_encode(v.tx.select("sender", "tx_id", "ts"), ("ts", "tx_id"), keys=("sender",))
 
 
+@query("select tx_id, ts, ts - coalesce(lag(ts) over (order by ts, tx_id), 0) as delta from tx", "tx")
+def delta_encode_all(v: Views) -> DataFrame:
+    """One order over the whole table."""
+    return control.delta_encode(v.tx.select("tx_id", "ts"), ("ts", "tx_id"))
+
+
+@query("select utxo_id, sum(part % 1000) over (order by utxo_id)::bigint as ts from line", "line")
+def delta_decode_all(v: Views) -> DataFrame:
+    return control.delta_decode(v.line.select("utxo_id", (F.col("part") % 1000).alias("delta")), "utxo_id").select("utxo_id", "ts")
+
+
+@query("select * from (select tx_id, lag(tx_id) over (order by tx_id) as previous from tx) where previous is not null and tx_id <> previous + 1", "tx")
+def sequence_gaps_all(v: Views) -> DataFrame:
+    return control.check_sequence(v.tx, "tx_id")
+
+
+@query("with w as (select *, (row_number() over (order by tx_id) - 1) // 100 as win from tx) select win, count(*) as n, min(value) as min_ms, max(value) as max_ms, sum(value)::bigint as sum_ms, sum(sender)::bigint as bytes from w group by win", "tx")
+def ingest_stats_all(v: Views) -> DataFrame:
+    return control.ingest_stats_by_count(v.tx, "tx_id", "value", "sender", 100)
+
+
 @query("with d as (select tx_id as id, min(ship_ts) as ts from line where part % 3 = 0 group by 1) select tx_id, coalesce(d.ts, tx.ts) as ts from tx left join d on d.id = tx.tx_id", "tx", "line")
 def timestamp_fix_keep(v: Views) -> DataFrame:
     dim = v.line.where("part % 3 = 0").groupBy(F.col("tx_id").alias("id")).agg(F.min("ship_ts").alias("ts"))
@@ -180,7 +212,8 @@ def timestamp_dim(v: Views) -> DataFrame:
 
 @query("select utxo_id, unnest(addresses) as address, output_index from outs", "outs")
 def outputs_exploded(v: Views) -> DataFrame:
-    return v.out.select("utxo_id", F.explode("addresses").alias("address"), "output_index")
+    index = utxo.address_index(v.out.withColumn("store_chain", F.col("created_on")))
+    return index.join(v.out.select("utxo_id", "output_index"), "utxo_id").select("utxo_id", "address", "output_index")
 
 
 @query("select utxo_id, unnest(list_distinct([created_on, consumed_on])) as store_chain, amount from outs", "outs")
@@ -349,10 +382,13 @@ def pending_three_kinds(v: Views) -> DataFrame:
 _STAKERS = "tx_type in ('AddValidatorTx', 'AddDelegatorTx') or (tx_type in ('AddPermissionlessValidatorTx', 'AddPermissionlessDelegatorTx') and subnet_id = 'primary')"
 
 
-@query(f"with b as (select * from p_txs where height % 7 = 0 and ({_STAKERS})) select distinct 'node' as kind, node_id as key from b union select 'address', case when tx_type like '%ValidatorTx' then v_owner else d_owner end from b", "p_txs")
+@query(f"""with st as (select * from p_txs where {_STAKERS}), owner as (select tx_id, node_id, case when tx_type like '%ValidatorTx' then v_owner else d_owner end as address from st),
+    b as (select node_id, address from owner where tx_id in (select tx_id from p_txs where status = 'O') union all select node_id, address from owner where tx_id in (select staking_tx_id from p_txs where tx_type = 'RewardValidatorTx' and status = 'O'))
+    select 'node' as kind, node_id as key from b union select 'address', address from b""", "p_txs")
 def affected_keys(v: Views) -> DataFrame:
-    batch = v.p_txs.where("height % 7 = 0")
-    return staking.affected_stakers(batch.withColumn("subnet_id", F.when(F.col("subnet_id") == "primary", staking.PRIMARY)), staking.staking_records(v.p_txs, "primary"))
+    """The batch: transactions of open lines."""
+    named = lambda df: df.withColumn("subnet_id", F.when(F.col("subnet_id") == "primary", staking.PRIMARY))
+    return staking.affected_stakers(named(v.p_txs.where("status = 'O'")), staking.staking_records(named(v.p_txs)))
 
 
 _LINK = "j as (select d.*, v.tx_hash as validator_tx, row_number() over (partition by d.tx_hash order by v.start, v.tx_hash) as r from delegator d left join validator v on v.node_id = d.node_id and v.subnet_id = d.subnet_id and d.start between v.start and v.\"end\")"
@@ -382,15 +418,19 @@ def delegator_totals(v: Views) -> DataFrame:
     return validators.delegator_totals(v.validator, linked, F.lit(NOW)).select("tx_hash", "delegator_count", long("delegated_amount").alias("delegated_amount"))
 
 
-@query(f"with x as (select tx_hash, start, {_STATUS} as st from validator), r as (select tx_hash, start, row_number() over (order by start desc, tx_hash desc) as position from x where st = 'active') select tx_hash, start, position::int as position, case when (select count(*) from r) > 10 then base64('10'::blob) end as next_token from r where position <= 10", "validator")
+@query(f"with x as (select tx_hash, start, {_STATUS} as st from validator), r as (select tx_hash, start, row_number() over (order by start desc, tx_hash desc) as position from x where st = 'completed') select tx_hash, start, position::int as position, case when (select count(*) from r) > 10 then base64('10'::blob) end as next_token from r where position <= 10", "validator")
 def validator_top(v: Views) -> DataFrame:
-    rows = validators.list_validators(_with_status(v), subnet="primary", status="active")
+    rows = validators.list_validators(_with_status(v), subnet="primary", nodes=["a subnet goes before nodes"], status="completed")
     return balances.paginate(rows.select("subnet_id", "tx_hash", "start"), validators.list_order(), 10).drop("subnet_id")
 
 
-@query("with v as (select * from validator), o as (select tx_hash, node_id, row_number() over (partition by node_id order by start, tx_hash) as k from v), r as (select node_id, utxo_id, ship_ts, row_number() over (partition by node_id order by ship_ts, utxo_id) as k from (select supp as node_id, utxo_id, ship_ts from line where flag = 'R' and part % 50 = 0)) select o.tx_hash, r.utxo_id as remove_tx, r.ship_ts as remove_ts from o left join r on o.node_id = r.node_id and o.k = r.k", "validator", "line")
+@query("""with e as (select node_id, start as ts, 0 as is_removal, tx_hash as id from validator union all select supp, ship_ts, 1, utxo_id from line where flag = 'R'),
+    w as (select *, sum(1 - is_removal) over o as starts, sum(is_removal) over o as ends from e window o as (partition by node_id order by ts, is_removal, id rows unbounded preceding)),
+    q as (select *, greatest(0, -min(starts - ends) over (partition by node_id order by ts, is_removal, id rows unbounded preceding)) as idle from w),
+    r as (select node_id, id, ts, ends - idle as k, idle = coalesce(lag(idle) over (partition by node_id order by ts, is_removal, id), 0) as takes, is_removal from q)
+    select v.tx_hash, r.id as remove_tx, r.ts as remove_ts from (select tx_hash, node_id, row_number() over (partition by node_id order by start, tx_hash) as k from validator) v left join r on r.node_id = v.node_id and r.k = v.k and r.is_removal = 1 and r.takes""", "validator", "line")
 def validator_removals(v: Views) -> DataFrame:
-    removals = v.line.where("flag = 'R' and part % 50 = 0").select(F.col("utxo_id").alias("tx_id"), F.col("supp").alias("node_id"), F.lit("primary").alias("subnet_id"), F.col("ship_ts").alias("ts"))
+    removals = v.line.where("flag = 'R'").select(F.col("utxo_id").alias("tx_id"), F.col("supp").alias("node_id"), F.lit("primary").alias("subnet_id"), F.col("ship_ts").alias("ts"))
     return validators.apply_removals(v.validator, removals).select("tx_hash", "remove_tx", "remove_ts")
 
 

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: A moment in the middle of the tables' time, in Unix seconds.
 NOW = 893_462_400
@@ -77,13 +78,13 @@ class Views:
 
     @cached_property
     def p_txs(self) -> DataFrame:
-        """Staking, reward, subnet and chain transactions by the kind of part."""
+        """Staking and reward transactions by the kind of part; a reward's stake is the line before it in its order."""
         kinds = ["AddValidatorTx", "AddDelegatorTx", "AddPermissionlessValidatorTx", "AddPermissionlessDelegatorTx", "RewardValidatorTx"]
         owner = lambda c: F.struct(F.lit(1).cast("bigint").alias("threshold"), F.lit(0).cast("decimal(20,0)").alias("locktime"), F.array(s(c)).alias("addresses"))
         return self.out.select(
             F.col("utxo_id").alias("tx_id"), F.col("block_number").alias("height"), F.col("created_ts").alias("block_ts"), F.col("part").alias("tx_index"), F.get(F.array(*map(F.lit, kinds)), (F.col("part") % 5).cast("int")).alias("tx_type"),
             s("supp").alias("node_id"), F.when(F.col("supp") % 3 == 0, "other").otherwise("primary").alias("subnet_id"), F.col("amount").alias("weight"), F.col("created_ts").alias("start_ts"), (F.col("created_ts") + 100 * DAY).alias("end_ts"),
-            owner("sender").alias("validator_owner"), owner(F.col("supp") + 100_000).alias("delegator_owner"), F.sha2(s("tx_id"), 256).alias("staking_tx_id"),
+            owner("sender").alias("validator_owner"), owner(F.col("supp") + 100_000).alias("delegator_owner"), F.lag("utxo_id").over(Window.partitionBy("tx_id").orderBy("output_index", "utxo_id")).alias("staking_tx_id"), "status",
         )
 
 
@@ -98,7 +99,7 @@ SQL = {
     "validator": f"select s_suppkey as node_id, 'primary' as subnet_id, 'v' || s_suppkey || '-' || k as tx_hash, ({BASE} + (s_suppkey % 50) * {DAY} + k * 400 * {DAY})::bigint as start, ({BASE} + (s_suppkey % 50) * {DAY} + k * 400 * {DAY} + 300 * {DAY})::bigint as \"end\", round(s_acctbal * 100)::bigint as amount from supplier, (values (0), (1), (2)) t(k)",
     "delegator": f"select supp as node_id, 'primary' as subnet_id, utxo_id as tx_hash, ship_ts as start, ship_ts + {DAY} * (10 + part % 60) as \"end\", amount, flag = 'R' as completed from line",
     "p_txs": f"""select utxo_id as tx_id, block_number as height, created_ts as block_ts, part as tx_index, ['AddValidatorTx', 'AddDelegatorTx', 'AddPermissionlessValidatorTx', 'AddPermissionlessDelegatorTx', 'RewardValidatorTx'][(part % 5)::int + 1] as tx_type, supp::varchar as node_id,
-        case when supp % 3 = 0 then 'other' else 'primary' end as subnet_id, amount as weight, created_ts as start_ts, created_ts + 100 * {DAY} as end_ts, sender::varchar as v_owner, (supp + 100000)::varchar as d_owner, sha256(tx_id::varchar) as staking_tx_id from outs""",
+        case when supp % 3 = 0 then 'other' else 'primary' end as subnet_id, amount as weight, created_ts as start_ts, created_ts + 100 * {DAY} as end_ts, sender::varchar as v_owner, (supp + 100000)::varchar as d_owner, lag(utxo_id) over (partition by tx_id order by output_index, utxo_id) as staking_tx_id, status from outs""",
 }
 _NEEDS = {"tx": (), "line": (), "outs": ("line", "tx"), "utxos": ("line", "tx", "outs"), "validator": (), "delegator": ("line",), "p_txs": ("line", "tx", "outs")}
 

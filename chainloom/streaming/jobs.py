@@ -5,16 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from chainloom.operators.control import export_range
 from chainloom.operators.evm import transform_batch
 from chainloom.operators.registry import address_chains
 from chainloom.sources.readers import from_block
 from chainloom.sources.schemas import NORMALIZED_BLOCK
-from chainloom.sources.sinks import write_export_batch
+from chainloom.sources.sinks import last_committed, write_export_batch
 
 
 def block_stream(spark: SparkSession, path: str, start: int = 1, files_per_trigger: int = 10, schema: str = NORMALIZED_BLOCK) -> DataFrame:
@@ -56,27 +57,30 @@ def stream_health(log: DataFrame, ts: str = "ts", late: str = "2 minutes", keys:
 def pair_halves(halves: DataFrame, retention_ms: int | None = None) -> DataFrame:
     """(utxo_id, created_ts, consuming_ts) once both an output and its spend have come, in either order.
 
-    halves(utxo_id, half 'output' or 'spend', ts): the first half of an output waits as state; a retention, in milliseconds
-    of processing time, lets it go, else it waits for ever.
+    halves(utxo_id, half 'output' or 'spend', ts): the first half of an output waits as state, and leaves it with the second;
+    a retention, in milliseconds of processing time, lets lonely halves go, else they wait for ever. An output is made and
+    spent once, so a half that comes again after its pair is one that was delivered twice.
     """
 
     def pair(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        made, used, done = state.get if state.exists else (None, None, False)
+        made, used = state.get if state.exists else (None, None)
         for pdf in rows:
             for half, ts in zip(pdf.half, pdf.ts):
                 made, used = (int(ts), used) if half == "output" else (made, int(ts))
-        if made is not None and used is not None and not done:
-            done = True
+        if made is not None and used is not None:
+            if state.exists:
+                state.remove()
             yield pd.DataFrame({"utxo_id": [key[0]], "created_ts": [made], "consuming_ts": [used]})
-        state.update((made, used, done))
+            return
+        state.update((made, used))
         if retention_ms:
             state.setTimeoutDuration(retention_ms)
 
     wait = GroupStateTimeout.ProcessingTimeTimeout if retention_ms else GroupStateTimeout.NoTimeout
-    return halves.groupBy("utxo_id").applyInPandasWithState(pair, "utxo_id string, created_ts bigint, consuming_ts bigint", "made bigint, used bigint, done boolean", "append", wait)
+    return halves.groupBy("utxo_id").applyInPandasWithState(pair, "utxo_id string, created_ts bigint, consuming_ts bigint", "made bigint, used bigint", "append", wait)
 
 
 class Sequence(StatefulProcessor):
@@ -105,9 +109,18 @@ def stream_sequence(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("chain").transformWithStateInPandas(Sequence(), "chain string, previous bigint, height bigint", "append", "none")
 
 
-def incremental(read: Callable[[], DataFrame], derive: Callable[[DataFrame], DataFrame], after: Column) -> DataFrame:
-    """derive() over the rows that a consumer has not seen; batch and stream give the same facts."""
-    return derive(read().where(after))
+def export_next(blocks: DataFrame, heads: DataFrame, root: str, batch: int = 1000, prefix: str = "", transform: Callable[[DataFrame], dict[str, DataFrame]] = transform_batch) -> tuple[int, bool]:
+    """Export one batch of blocks(block_number, ...) after those that the root's manifest has: (blocks in range, whether the
+    batch was full). A scheduler runs it again at once after a full batch, and later after a part of one or an error."""
+    spark = blocks.sparkSession
+    done = last_committed(spark, root, prefix)
+    todo = export_range(spark.createDataFrame([("", done)] if done >= 0 else [], "chain string, height bigint"), heads.select(F.lit("").alias("chain"), "height"), batch=batch).first()
+    if todo is None:
+        return 0, False
+    rows = blocks.where(F.col("block_number").between(todo.first, todo.last)).drop("block_number")
+    # A batch is named by its last block, so the manifest says how far the export has come.
+    write_export_batch(transform(rows), root, todo.last, prefix)
+    return todo.last - todo.first + 1, todo.full
 
 
-__all__ = ["address_chains", "block_stream", "incremental", "pair_halves", "run_export", "stream_address_chains", "stream_health", "stream_sequence"]
+__all__ = ["address_chains", "block_stream", "export_next", "pair_halves", "run_export", "stream_address_chains", "stream_health", "stream_sequence"]

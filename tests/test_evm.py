@@ -51,6 +51,16 @@ def test_calls_are_in_preorder(nb):
     assert rows[0].revert and rows[0].type == "CREATE" and rows[0].to_address == "0x" and not rows[1].revert and rows[1].from_address == "0xb"
 
 
+def test_trees_of_any_depth(spark):
+    tree = "{}"
+    for i in range(1500):
+        tree = f'{{"type":"t{i}","calls":[{tree}]}}'
+    rows = spark.createDataFrame([(1, tree), (2, None), (3, "no json"), (4, '[1]'), (5, '{"calls":null}')], "k int, tree string")
+    got = evm.flatten_tree(rows, "tree", "type string", "calls").collect()
+    assert [(r.k, r.position) for r in got] == [(1, i) for i in range(1501)] + [(5, 0)]
+    assert got[0].node.type == "t1499" and got[1500].path == [0] * 1500
+
+
 def test_strict_schema(spark):
     kind = T.StructType.fromDDL("a string, b array<struct<c string>>")
     lines = spark.createDataFrame([('{"a":"1","b":[{"c":"x"}]}',), ('{"a":"1","z":2,"b":[{"c":"x"},{"d":1}]}',)], "value string")

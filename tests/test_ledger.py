@@ -1,11 +1,12 @@
 """Typed transactions of three chains to the UTXO table, and the queries over it at the edges of time."""
 
+import random
 from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
 
-from chainloom.operators import balances, control, quality, registry, staking, utxo, validators
+from chainloom.operators import balances, control, ordered, quality, registry, staking, utxo, validators
 from chainloom.sources.schemas import IN, OUT
 from chainloom.streaming import jobs
 
@@ -97,12 +98,56 @@ def test_categories(spark):
     assert '"lockedStaked":[]' in text and '"amount":"8"' in text and "pendingExport" in text
 
 
-def test_removals_pair_and_replay(spark):
+def test_removals_take_the_oldest_open_start(spark):
     v = spark.createDataFrame([("v1", "n", "s", 10), ("v2", "n", "s", 20), ("v3", "m", "s", 5)], "tx_hash string, node_id string, subnet_id string, start bigint")
-    r = spark.createDataFrame([("r1", "n", "s", 15), ("r2", "n", "s", 30), ("r3", "k", "s", 1)], "tx_id string, node_id string, subnet_id string, ts bigint")
-    for replay in (False, True):
-        got = {x.tx_hash: x.remove_tx for x in validators.apply_removals(v, r, replay).collect()}
-        assert got == {"v1": "r1", "v2": "r2", "v3": None}
+    r = spark.createDataFrame([("r0", "n", "s", 9), ("r1", "n", "s", 15), ("r2", "n", "s", 30), ("r3", "k", "s", 1)], "tx_id string, node_id string, subnet_id string, ts bigint")
+    assert {x.tx_hash: x.remove_tx for x in validators.apply_removals(v, r).collect()} == {"v1": "r1", "v2": "r2", "v3": None}
+    rng = random.Random(3)
+    vals = [(f"v{i}", f"n{rng.randrange(4)}", "s", rng.randrange(100), rng.choice([None, rng.randrange(150)])) for i in range(120)]
+    removals = [(f"r{i}", f"n{rng.randrange(4)}", "s", rng.randrange(130)) for i in range(90)]
+    want, gone = {}, set()
+    for name, node, _, ts in sorted(removals, key=lambda x: (x[3], x[0])):
+        live = sorted((start, h) for h, n, _, start, paid in vals if n == node and start <= ts and h not in gone and (paid is None or paid > ts))
+        if live:
+            gone.add(live[0][1])
+            want[live[0][1]] = name
+    rows = spark.createDataFrame(vals, "tx_hash string, node_id string, subnet_id string, start bigint, reward_ts bigint")
+    got = validators.apply_removals(rows, spark.createDataFrame(removals, r.schema)).collect()
+    assert {x.tx_hash: x.remove_tx for x in got if x.remove_tx} == want and len(got) == 120
+
+
+def test_global_orders(spark):
+    rng = random.Random(5)
+    ids = rng.sample(range(10_000), 700)
+    df = spark.createDataFrame([(i, rng.randrange(50)) for i in ids], "id bigint, x bigint").repartition(7)
+    rows = {r.id: r for r in ordered.numbered(ordered.running_sum(ordered.lagged(df, "x", ("id",)), "x", ("id",)), ("id",)).collect()}
+    total, last = 0, None
+    for n, i in enumerate(sorted(ids)):
+        total += rows[i].x
+        assert (rows[i].n, rows[i].total, rows[i].previous) == (n, total, last)
+        last = rows[i].x
+    xs = sorted(r.x for r in rows.values())
+    assert all(ordered.value_at(df, "x", k, buckets=3) == xs[k] for k in (0, 1, 350, 699))
+    assert quality.diff_summary(df.withColumnRenamed("x", "diff").limit(0)).collect() == [(None, None, None, None)]
+
+
+def test_seed_and_export_ranges(spark):
+    subnet, chains = registry.primary_network_seed(spark, 5)
+    s = subnet.first()
+    assert (s.subnet_id, s.created_height, s.created_ts, s.current_owner.addresses, s.is_l1) == ("11111111111111111111111111111111LpoYY", -1, 1599696000, [""], False)
+    assert [(c.name, c.block, c.evm_chain_id) for c in chains.orderBy("name").collect()] == [("C-Chain", -1, 43113), ("P-Chain", -1, None), ("X-Chain", -1, None)]
+    heights = lambda rows: spark.createDataFrame(rows, "chain string, height bigint")
+    got = control.export_range(heights([("a", 4), ("b", 99), ("c", 10)]), heights([("a", 50), ("b", 99), ("c", 15), ("d", 2)]), batch=10).collect()
+    assert sorted(map(tuple, got)) == [("a", 5, 14, True), ("c", 11, 15, False), ("d", 0, 2, False)]
+
+
+def test_exports_come_batch_by_batch(spark, tmp_path):
+    from chainloom.sources import sinks
+
+    blocks = spark.range(25).select(F.col("id").alias("block_number"), F.col("id").alias("n"))
+    run = lambda head: jobs.export_next(blocks, spark.createDataFrame([(head,)], "height bigint"), str(tmp_path), batch=10, transform=lambda b: {"t": b})
+    assert [run(24), run(24), run(24), run(24)] == [(10, True), (10, True), (5, False), (0, False)]
+    assert sorted(r.n for r in sinks.read_export(spark, str(tmp_path), "t").collect()) == list(range(25))
 
 
 def test_frames_and_sequence(spark):
