@@ -86,7 +86,7 @@ def assets(x_txs: DataFrame, native: DataFrame | None = None, times: DataFrame |
     rows = x_txs.where(F.col("tx_type") == "CreateAssetTx").select(F.col("tx_id").alias("asset_id"), F.col("asset_name").alias("name"), F.col("asset_symbol").alias("symbol"), F.col("asset_denomination").alias("denomination"), F.col("ts").alias("created_ts"), F.lit("secp256k1").alias("type"), F.lit("fixed").alias("cap"))
     rows = rows if native is None else rows.unionByName(native)
     rest = [c for c in rows.columns if c != "asset_id"]
-    return rows.groupBy("asset_id").agg(F.max_by(F.struct(*rest), F.struct("created_ts", "name")).alias("r")).select("asset_id", "r.*")
+    return rows.groupBy("asset_id").agg(F.max_by(F.struct(*rest), F.struct("created_ts", "name", "symbol", "denomination")).alias("r")).select("asset_id", "r.*")
 
 
 def address_chains(touches: DataFrame, addresses: str = "addresses", chains: str = "chains") -> DataFrame:

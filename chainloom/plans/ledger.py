@@ -137,7 +137,7 @@ def assets_described(v: Views) -> DataFrame:
 
 
 @query("""with t as (select (p_partkey % 1000)::varchar as asset_id, p_name as name, p_brand as symbol, p_size::int as denomination, case when p_partkey % 1000 < 300 then 5000000 + p_partkey % 1000 else p_partkey end::bigint as created_ts from part where p_partkey % 4 <> 0 union all select 'native', 'Native', 'N', 9, 0),
-    r as (select *, row_number() over (partition by asset_id order by created_ts desc, name desc) as i from t) select asset_id, name, symbol, denomination, created_ts from r where i = 1""")
+    r as (select *, row_number() over (partition by asset_id order by created_ts desc, name desc, symbol desc, denomination desc) as i from t) select asset_id, name, symbol, denomination, created_ts from r where i = 1""")
 def assets_listed(v: Views) -> DataFrame:
     """The first era's times are repaired; ids that occur again keep their last row."""
     repaired = v.table("part").where("p_partkey % 1000 < 300").select((F.col("p_partkey") % 1000).alias("n")).distinct().select(s("n").alias("id"), (F.col("n") + 5_000_000).cast("bigint").alias("ts"))
