@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chainloom.llm.shared import join_keyed, materialize
+from chainloom.llm.shared import discard, join_keyed, materialize
 
 WORDS = "[^\\x20\\x09-\\x0D]+"
 #: Least rounds of raking over all margins; the exponent that flattens the margins' own shares into default targets.
@@ -75,7 +75,7 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
         total = present.agg(F.sum("target")).first()[0] or 0.0
         out = out.join(present.select(k, F.coalesce(F.try_divide("target", F.lit(float(total))), F.lit(0.0)).alias(f"{k}_share")), k)
     shares = [f"{k}_share" for k in keys]
-    out = materialize(out.select(*keys, "tokens", "weight", *shares), "mix-cells")
+    out = written = materialize(out.select(*keys, "tokens", "weight", *shares), "mix-cells")
     misses: list[float] = []
 
     def warn(worst: list) -> None:
@@ -92,7 +92,9 @@ def fit_cells(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROU
             out = rows.select(*keys, "tokens", weight.alias("weight"), *shares)
         if r % 2 == 0 and not crowded and r + 1 < rounds:
             continue
-        out = materialize(out, "mix-cells")
+        last, written = written, materialize(out, "mix-cells")
+        discard(last)
+        out = written
         if tolerance is not None and r + 1 >= rounds:
             worst = residuals(out).orderBy(F.abs("residual").desc()).limit(5).collect()
             if not worst or abs(worst[0].residual) <= tolerance:

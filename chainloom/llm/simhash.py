@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import if_small, join_keyed, materialize, small_batches, text_digest, without_rows
+from chainloom.llm.shared import discard, if_small, join_keyed, materialize, small_batches, text_digest, without_rows
 
 BITS = 64
 #: Bits of the trie that the first histogram covers at most, and those of each node that is split further: its counters are
@@ -283,7 +283,8 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = materialize(small.where("u <> v").distinct(), "links")
+        last, edges = edges, materialize(small.where("u <> v").distinct(), "links")
+        discard(last)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
