@@ -29,7 +29,7 @@ def _is_decimal(s: Column) -> Column:
 
 def _bare(s: Column) -> Column:
     """Hex digits without prefix and leading zeros."""
-    return F.regexp_replace(F.substring(s, F.lit(3), F.length(s)), "^0+", "")
+    return F.ltrim(F.substring(s, F.lit(3), F.length(s)), F.lit("0"))
 
 
 def hex_to_decimal(s: Text) -> Column:
