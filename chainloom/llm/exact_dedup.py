@@ -24,6 +24,8 @@ BLANKS = "[\\x20\\x09-\\x0D]"
 #: Keys that a bucket may hold, and the directory's depth beyond which it is not split. Hashes of keys are distinct and evenly
 #: spread, so a bucket at that depth is overfull only if there are 2**MAX_DEPTH times as many keys.
 BUCKET_KEYS, MAX_DEPTH = 1 << 16, 20
+#: Repeated hashes, of 8 bytes each, that may be broadcast to pick the texts that are shipped.
+SENT_KEYS = 1 << 20
 
 
 def normalised(text: Column) -> Column:
@@ -112,7 +114,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # At most 2**MAX_DEPTH slots, some for each bucket's worth of keys.
     directory = spark.createDataFrame(list(enumerate(build_directory(counts, bucket_keys, depth))), "slot bigint, bucket bigint")
 
-    repeated = entries.join(if_small(keys.select("h")), "h", "left_semi").withColumn("slot", slot).join(F.broadcast(directory), "slot")
+    repeated = entries.join(if_small(keys.select("h"), SENT_KEYS), "h", "left_semi").withColumn("slot", slot).join(F.broadcast(directory), "slot")
     # A few entries of each text and input task, by a part of the id; then one row of each goes to the owner of its bucket.
     part = F.pmod(F.xxhash64("id"), F.lit(8))
     rank = F.struct((-F.col("n")).alias("n"), F.col("id").isNull().alias("unknown"), F.col("id").alias("least"))

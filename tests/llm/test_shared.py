@@ -15,6 +15,7 @@ def shuffled(monkeypatch):
     def on():
         monkeypatch.setattr(shared, "BROADCAST_ROWS", 0)
         monkeypatch.setattr(shared, "HOT_SHARE", 20)
+        monkeypatch.setattr(exact_dedup, "SENT_KEYS", 0)
 
     return on
 
