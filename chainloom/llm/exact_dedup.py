@@ -23,7 +23,7 @@ from chainloom.llm.shared import if_small, join_keyed, materialize, small_batche
 BLANKS = "[\\x20\\x09-\\x0D]"
 #: Keys that a bucket may hold, and the directory's depth beyond which it is not split. Hashes of keys are distinct and evenly
 #: spread, so a bucket at that depth is overfull only if there are 2**MAX_DEPTH times as many keys.
-BUCKET_KEYS, MAX_DEPTH = 1 << 16, 20
+BUCKET_KEYS, MAX_DEPTH = 1 << 12, 20
 #: Repeated hashes, of 8 bytes each, that may be broadcast to pick the texts that are shipped.
 SENT_KEYS = 1 << 20
 
