@@ -176,6 +176,10 @@ class Forest:
             up[:] = up[up]
 
 
+#: A subtree: depth, prefix, rows.
+Leaf = tuple[int, int, int]
+
+
 def turned(fp: Column, by: int) -> Column:
     """fp rotated to the left."""
     return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, BITS - by)) if by else fp
@@ -197,7 +201,7 @@ def task_links(table: pa.Table, budget: int, width: int) -> pa.Table:
     return pa.table({"u": nodes[child].view(np.int64), "v": nodes[forest.up[child]].view(np.int64)})
 
 
-def leaf_tasks(leaves: list[tuple[int, int, int]], width: int, budget: int) -> list[list[tuple[int, int]]]:
+def leaf_tasks(leaves: list[Leaf], width: int, budget: int) -> list[list[tuple[int, int]]]:
     """For each subtree (depth, prefix, rows) the tasks that it is in, as pairs of subtrees (a <= b): one of its own, and one
     with each that agrees in the first width bits and differs in at most budget of the other bits that both have."""
     tasks: list[list[tuple[int, int]]] = [[(x, x)] for x in range(len(leaves))]
@@ -219,32 +223,42 @@ def signed(x: int) -> int:
     return x - (1 << BITS) if x >> (BITS - 1) else x
 
 
-def cut_leaves(fps: DataFrame, by: int, leaf_rows: int, first_bits: int) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """The subtrees (depth, prefix, rows) of the trie of the rotated fingerprints, and (bits, prefix, subtree) of all prefixes
-    that lead to one. Subtrees with too many rows are split further, as deep as it takes."""
-    spark, leaves, places = fps.sparkSession, [], []
-    depth, bits, nodes = 0, first_bits, [0]
+def rotations(fps: DataFrame, width: int, bits: int) -> DataFrame:
+    """(fp, by, p): the fingerprints with each rotation's leading bits."""
+    each = [F.struct(F.lit(by).alias("by"), F.shiftrightunsigned(turned(F.col("fp"), by), BITS - bits).alias("p")) for by in range(0, BITS - width + 1, width)]
+    return fps.select("fp", F.explode(F.array(*each)).alias("r")).select("fp", "r.by", "r.p")
+
+
+def cut_leaves(fps: DataFrame, width: int, leaf_rows: int, first_bits: int) -> tuple[dict[int, list[Leaf]], list[tuple[int, int, int, int]]]:
+    """The subtrees (depth, prefix, rows) of each rotation's trie, and (bits, rotation, prefix, subtree) of all prefixes that
+    lead to one. Subtrees with too many rows are split further, as deep as it takes."""
+    leaves: dict[int, list[Leaf]] = {by: [] for by in range(0, BITS - width + 1, width)}
+    places = []
+    depth, bits, nodes = 0, first_bits, [(by, 0) for by in leaves]
     while nodes:
-        rows = fps.select(F.shiftrightunsigned(turned(F.col("fp"), by), BITS - bits).alias("p"))
-        rows = rows.withColumn("x", F.shiftrightunsigned("p", bits - depth) if depth else F.lit(0).cast("bigint"))
+        rows = rotations(fps, width, bits).withColumn("x", F.shiftrightunsigned("p", bits - depth) if depth else F.lit(0).cast("bigint"))
         if depth:
-            rows = rows.join(F.broadcast(spark.createDataFrame([(x,) for x in nodes], "x bigint")), "x")
-        counts: dict[int, dict[int, int]] = {x: {} for x in nodes}
-        for x, p, n in rows.groupBy("x", "p").count().collect():
-            counts[x][p % (1 << (bits - depth))] = n
+            rows = rows.join(F.broadcast(fps.sparkSession.createDataFrame(nodes, "by int, x bigint")), ["by", "x"])
+        counts: dict[tuple[int, int], dict[int, int]] = {node: {} for node in nodes}
+        for by, x, p, n in rows.groupBy("by", "x", "p").count().collect():
+            counts[by, x][p % (1 << (bits - depth))] = n
         deeper = []
-        for x in nodes:
-            for d, p, n in cut_trie(counts[x], leaf_rows, bits - depth, 0 if depth else LEAST_BITS):
+        for by, x in nodes:
+            for d, p, n in cut_trie(counts[by, x], leaf_rows, bits - depth, 0 if depth else LEAST_BITS):
                 if n > leaf_rows and depth + d == bits < BITS:
-                    deeper.append(x << d | p)
+                    deeper.append((by, x << d | p))
                     continue
                 rest = bits - depth - d
-                places += [(bits, (x << d | p) << rest | q, len(leaves)) for q in range(1 << rest) if (p << rest | q) in counts[x]]
-                leaves.append((depth + d, x << d | p, n))
+                places += [(bits, by, signed((x << d | p) << rest | q), len(leaves[by])) for q in range(1 << rest) if (p << rest | q) in counts[by, x]]
+                leaves[by].append((depth + d, x << d | p, n))
         depth, bits, nodes = bits, min(bits + STEP_BITS, BITS), deeper
     return leaves, places
 
 
+def signed(x: int) -> int:
+    return x - (1 << BITS) if x >> (BITS - 1) else x
+
+
 def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
     """Links (u, v) that connect just what pairs of the distinct fingerprints in fps(fp) within max_bits connect.
 
@@ -254,17 +268,19 @@ def hamming_links(fps: DataFrame, max_bits: int = 3, leaf_rows: int | None = Non
     spark, width, n = fps.sparkSession, BITS // (max_bits + 1), fps.count()
     leaf_rows = leaf_rows or max(LEAF_ROWS, n // SUBTREES)
     first_bits = min(FIRST_BITS, LEAST_BITS + (n // leaf_rows).bit_length())
-    dealt, tasks_before = [], 0
-    for by in range(0, width * (max_bits + 1), width):
-        leaves, places = cut_leaves(fps, by, leaf_rows, first_bits)
-        tasks = leaf_tasks(leaves, width, max_bits)
-        number = {t: tasks_before + k for k, t in enumerate(sorted({t for mine in tasks for t in mine}))}
-        tasks_before += len(number)
-        for bits in sorted({b for b, *_ in places}):
-            # At most 2**FIRST_BITS rows, and 2**STEP_BITS more for each subtree that was split further.
-            plan = spark.createDataFrame([(signed(p), x, [number[t] for t in tasks[x]]) for b, p, x in places if b == bits], "p bigint, leaf int, tasks array<int>")
-            prefix = F.shiftrightunsigned(turned(F.col("fp"), by), BITS - bits)
-            dealt.append(fps.withColumn("p", prefix).join(F.broadcast(plan), "p").select(F.explode("tasks").alias("task"), "leaf", F.lit(by).alias("by"), "fp"))
+    leaves, places = cut_leaves(fps, width, leaf_rows, first_bits)
+    tasks: dict[tuple[int, int], list[int]] = {}
+    before = 0
+    for by in leaves:
+        mine = leaf_tasks(leaves[by], width, max_bits)
+        number = {t: before + k for k, t in enumerate(sorted({t for x in mine for t in x}))}
+        before += len(number)
+        tasks |= {(by, x): [number[t] for t in ts] for x, ts in enumerate(mine)}
+    dealt = []
+    for bits in sorted({b for b, *_ in places}):
+        # At most 2**FIRST_BITS rows a rotation, and 2**STEP_BITS more for each subtree that was split further.
+        plan = spark.createDataFrame([(by, p, x, tasks[by, x]) for b, by, p, x in places if b == bits], "by int, p bigint, leaf int, tasks array<int>")
+        dealt.append(rotations(fps, width, bits).join(F.broadcast(plan), ["by", "p"]).select(F.explode("tasks").alias("task"), "leaf", "by", "fp"))
     if not dealt:
         return spark.createDataFrame([], "u bigint, v bigint")
     return reduce(DataFrame.unionByName, dealt).groupBy("task").applyInArrow(lambda t: task_links(t, max_bits, width), "u bigint, v bigint")
