@@ -66,6 +66,11 @@ def products(q: np.ndarray, c: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.n
     return np.einsum("ij,ij->i", q[i], c[j])
 
 
+def in_parts(q: np.ndarray, c: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """products() of some pairs at a time."""
+    return np.concatenate([products(q, c, i[at : at + PAIRS], j[at : at + PAIRS]) for at in range(0, len(i), PAIRS)] or [np.zeros(0, q.dtype)])
+
+
 def best_of(who: np.ndarray, what: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
     """Places of the k highest scores of each who, ties to the smaller what; by who, then rank."""
     order = np.lexsort((what, ~score, who))  # ~ turns the order of whole numbers around, and cannot overflow
@@ -83,26 +88,30 @@ def search_block(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, cid: np.ndar
     d = q.shape[1]
     big = max(largest(q) * largest(c) * max(d, 1), 1.0)
     exact = np.float32 if big < 2**24 else np.float64 if big < 2**53 else np.int64
-    slack = 1e-9 * big + 1e-6
+    # Single floats bound the many pairs of a matrix product, doubles the few that are left; each with the slack of its rounding.
+    slack, wide_slack = 1e-9 * big + 1e-6, 1e-5 * big + 1e-6
     fq, fc, qe, ce = q.astype(np.float64), c.astype(np.float64), q.astype(exact), c.astype(exact)
     stats = [(np.hstack(segment_stats(fq, s)), np.hstack(segment_stats(fc, s))) for s in resolutions(d)]
+    kind = np.float32 if big < 1e30 else np.float64  # larger sums would overflow single floats
+    single = [(qs.astype(kind), cs.astype(kind)) for qs, cs in stats]
     floor = floor.copy()
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for lo in range(0, len(qid), QUERY_BATCH):
         rows = np.arange(lo, min(lo + QUERY_BATCH, len(qid)))
         best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for at in range(0, len(cid), BATCH):
-            columns = np.arange(at, min(at + BATCH, len(cid)))
-            i, j = np.nonzero(qid[rows][:, None] != cid[columns])  # a query's own rows are no candidates of it
-            i, j = rows[i], columns[j]
-            for qs, cs in stats:
-                if len(i) * 4 > len(rows) * len(columns):  # many pairs: their bounds from one matrix product
-                    bound = (qs[rows] @ cs[columns].T)[i - lo, j - at]
-                else:
-                    bound = np.concatenate([products(qs, cs, i[p : p + PAIRS], j[p : p + PAIRS]) for p in range(0, len(i), PAIRS)] or [np.zeros(0)])
-                may = bound + slack >= floor[i]
-                i, j = i[may], j[may]
-            score = np.concatenate([products(qe, ce, i[p : p + PAIRS], j[p : p + PAIRS]) for p in range(0, len(i), PAIRS)] or [np.zeros(0, exact)]).astype(np.int64)
+            columns = slice(at, min(at + BATCH, len(cid)))
+            alive, pairs = qid[rows][:, None] != cid[columns], None  # a query's own rows are no candidates of it
+            known = np.isfinite(floor[rows]).any()
+            for (qs, cs), (q1, c1) in zip(stats, single) if known else ():
+                if pairs is None and np.count_nonzero(alive) * 4 > alive.size:
+                    alive &= q1[rows] @ c1[columns].T >= (floor[rows] - wide_slack).astype(kind)[:, None]
+                    continue
+                i, j = pairs or (x + y for x, y in zip(np.nonzero(alive), (lo, at)))
+                may = in_parts(qs, cs, i, j) + slack >= floor[i]
+                pairs = i[may], j[may]
+            i, j = pairs or (x + y for x, y in zip(np.nonzero(alive), (lo, at)))
+            score = in_parts(qe, ce, i, j).astype(np.int64)
             may = score >= floor[i]
             best = tuple(np.concatenate(x) for x in zip(best, (i[may], cid[j[may]], score[may])))
             kept = best_of(*best, k)
@@ -136,10 +145,12 @@ def with_floor(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
             for d in set(sizes.tolist()) & set(sent.value):
                 at = np.flatnonzero(sizes == d)
                 who, _, score = search_block(ids[at], as_matrix(b.column("v").take(pa.array(at))), np.full(len(at), -np.inf), *sent.value[d], k)
-                order = np.argsort(ids[at])
-                for x, n, least in zip(*np.unique(who, return_counts=True), np.minimum.reduceat(score[np.argsort(who, kind="stable")], np.unique(np.sort(who), return_index=True)[1]) if len(who) else ()):
-                    if n == k:
-                        floors[at[order[np.searchsorted(ids[at], x, sorter=order)]]] = float(least)
+                least: dict[int, list[int]] = {}
+                for i, x in zip(who.tolist(), score.tolist()):
+                    least.setdefault(i, []).append(x)
+                for row in at:
+                    if len(least.get(int(ids[row]), ())) == k:
+                        floors[row] = float(min(least[int(ids[row])]))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(floors, pa.float64())], names=[*b.schema.names, "floor"])
 
     return queries.mapInArrow(run, "id bigint, v array<bigint>, d int, floor double")

@@ -137,7 +137,7 @@ def test_op3_against_sql(spark, sf, duck, same_rows):
     same_rows(queries.op3_topk(spark, sf).toPandas(), duck.execute(queries.ORACLE_SQL["op3_topk"]).df())
 
 
-@pytest.mark.parametrize("spread", [1.0, 1e6])
+@pytest.mark.parametrize("spread", [1.0, 1e6, 1e8])
 def test_op3_ties_bad_rows_and_blocks(spark, spread):
     rng = np.random.default_rng(3)
     base = np.round(rng.normal(size=(40, 16)), 1) * spread
