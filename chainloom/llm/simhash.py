@@ -14,7 +14,7 @@ buckets of their least shingle hashes; a bucket's trie is joined with a wide bud
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial, reduce
 
 import numpy as np
@@ -311,20 +311,20 @@ def stars(edges: DataFrame) -> bool:
     return seen.where("links > 1 or (links = 1 and least = 0)").isEmpty()
 
 
-def _with_least(rows: DataFrame, node: str, links: DataFrame) -> DataFrame:
-    """rows(id, digest, node, ...) with first, the smallest (id, digest) of the row's component; null ids come last."""
+def _with_least(rows: DataFrame, node: str, carried: tuple[str, ...], links_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """rows(id, digest, node, ...) with first, the smallest (id, digest) of the row's component; null ids come last. links_of:
+    the links between the nodes of a table (node, carried columns), which has one row for each."""
     who = F.struct(F.col("id").isNull().alias("unknown"), F.col("id").alias("id"), F.col("digest").alias("digest"))
-    nodes = materialize(rows.groupBy(node).agg(F.min(who).alias("least"), F.count(F.lit(1)).alias("n_rows")), "nodes")
-    roots = components(links).withColumnRenamed("node", node)
+    nodes = materialize(rows.groupBy(node).agg(F.min(who).alias("least"), F.count(F.lit(1)).alias("n_rows"), *(F.min(c).alias(c) for c in carried)), "nodes")
+    roots = components(links_of(nodes.select(node, *carried))).withColumnRenamed("node", node)
     of = materialize(nodes.join(roots, node, "left").select(node, "least", "n_rows", F.coalesce("root", node).alias("root")), "roots")
     least = of.groupBy("root").agg(F.min("least").alias("first"))
-    return join_keyed(rows, materialize(of.join(least, "root").select(node, "first", "n_rows"), "firsts"), node, "n_rows")
+    return join_keyed(rows.select("id", "digest", node), materialize(of.join(least, "root").select(node, "first", "n_rows"), "firsts"), node, "n_rows")
 
 
 def near_groups(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, leaf_rows: int | None) -> DataFrame:
     rows = materialize(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    fps = materialize(rows.select("fp").distinct(), "distinct")
-    return _with_least(rows, "fp", hamming_links(fps, max_bits, leaf_rows))
+    return _with_least(rows, "fp", (), lambda fps: hamming_links(fps, max_bits, leaf_rows))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
@@ -529,13 +529,11 @@ def confirmed_links(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(b.node[child]), pa.array(b.node[forest.up[child]])], names=["u", "v"])
 
 
-def similar_links(rows: DataFrame, similarity: float, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
-    """Links (u, v) of nodes in sketches() that connect what the confirmed candidate pairs connect.
+def similar_links(nodes: DataFrame, rows: DataFrame, similarity: float, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
+    """Links (u, v) of nodes(node, n, fp, keys) that connect what the confirmed candidate pairs connect; rows: sketches().
 
     A first pass finds the rows that have candidates in a bucket, so only those take their shingles to the second.
     """
-    nodes = rows.groupBy("node").agg(F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("keys").alias("keys"))
-    nodes = materialize(nodes, "nodes")
     dealt = bucketed(nodes, bucket_rows, bucket_shingles)
     dealt = small_batches(dealt.repartition("task").sortWithinPartitions("task"))
     found = materialize(dealt.mapInArrow(lambda it: with_candidates(it, similarity), dealt.schema), "candidates")
@@ -546,7 +544,7 @@ def similar_links(rows: DataFrame, similarity: float, bucket_rows: int = BUCKET_
 
 def similar(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float, bucket_rows: int, bucket_shingles: int) -> DataFrame:
     rows = materialize(sketches(docs, id_col, text_col, shingle_words), "sketches")
-    return _with_least(rows.drop("shingles", "keys"), "node", similar_links(rows, similarity, bucket_rows, bucket_shingles))
+    return _with_least(rows, "node", ("n", "fp", "keys"), lambda nodes: similar_links(nodes, rows, similarity, bucket_rows, bucket_shingles))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
