@@ -29,8 +29,8 @@ def test_joins_beyond_the_broadcast_bound(spark, sf, shuffled):
     hot = docs.union(docs.limit(1).crossJoin(spark.range(60)).select((F.col("id") + 10_000).alias("doc_id"), "text", "lang", "source", "n_chars"))
     few = {"rounds": 2, "tolerance": None}
     runs = (
-        lambda: exact_dedup.duplicate_groups(hot), lambda: exact_dedup.drop_duplicates(hot), lambda: simhash.near_duplicates(hot), lambda: simhash.keep_one(hot), lambda: simhash.keep_one_similar(hot),
-        lambda: secrets.findings(hot)[0], lambda: mixing.mix(hot, **few), lambda: mixing.sample(hot, **few),
+        lambda: exact_dedup.drop_duplicates(hot), lambda: simhash.keep_one(hot), lambda: simhash.keep_one_similar(hot),
+        lambda: secrets.findings(hot)[0], lambda: mixing.sample(hot, **few),
     )
     want = [rows_of(run()) for run in runs]
     shuffled()
