@@ -397,7 +397,9 @@ def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFr
         return join_keyed(rows, sizes, "task", "n_rows"), not sizes.where(too_large).isEmpty()
 
     info = ("node", "n", "fp", "keys")
-    one, crowded = sized(nodes.select(F.explode("keys").alias("task"), *info), "buckets")
+    # Written, since it is counted and joined more than once.
+    dealt = materialize(nodes.select(F.explode("keys").alias("task"), *info), "dealt")
+    one, crowded = sized(dealt, "buckets")
     fits = one.where(~too_large).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), F.col("task").alias("last"), *info)
     if not crowded:
         return fits
