@@ -36,8 +36,9 @@ LEAST_BITS, LEAF_ROWS, SUBTREES = 4, 1 << 17, 1 << 15
 PAIRS = 1 << 20
 #: Hashes whose bits are counted at once, and node pairs that descend at once.
 CHUNK, FRONTIER = 1 << 15, 1 << 15
-#: Least hashes of a set by which it is put into buckets. Of two sets of similarity 0.8, none is shared by 0.2**8 of all pairs.
-KEYS = 8
+#: Least hashes of a set by which it is put into buckets, and those that may split a crowded one. Of two sets of similarity
+#: 0.8, none of KEYS is shared by 0.2**8 of all pairs, and but one of SECOND_KEYS by fewer yet: a crowded bucket loses no more.
+KEYS, SECOND_KEYS = 8, 12
 #: Bits of 64 that may differ in such a pair: 10 are expected at similarity 0.8, with a deviation of 3.
 WIDE_BITS = 24
 #: Rows and shingles that a bucket, or a part of one, may hold.
@@ -363,7 +364,7 @@ def shingle_set(text: str | None, k: int, seed: int = 42) -> np.ndarray:
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
     """(id, digest, node, n, fp, keys, shingles) for each row of docs; node names the set of shingles, n is its size, keys are
-    its least hashes."""
+    its SECOND_KEYS least hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -372,7 +373,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) ->
             blobs = [s.astype("<u8", copy=False).tobytes() for s in sets]
             node, fp = (np.fromiter(map(f, x), np.uint64, len(sets)) for f, x in ((xxhash.xxh64_intdigest, blobs), (majority, sets)))
             n = np.fromiter(map(len, sets), np.int64, len(sets))
-            keys = pa.array([s[:KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
+            keys = pa.array([s[:SECOND_KEYS].view(np.int64) for s in sets], pa.list_(pa.int64()))
             digests = pa.array([hashlib.sha256(t.encode()).digest() for t in texts], pa.binary())
             columns = [b.column(0), digests, *map(pa.array, (node.view(np.int64), n, fp.view(np.int64))), keys, pa.array(blobs, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "node", "n", "fp", "keys", "shingles"])
@@ -384,9 +385,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) ->
 def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFrame:
     """(task, part, level, last, node, n, fp, keys): nodes(node, n, fp, keys) in the buckets that they share with others.
 
-    A node is in the bucket of each of its keys. The rows of a bucket that is too large go to buckets of two keys instead. If
-    one of those is too large yet, its members share much: they are dealt to parts, and tasks are the pairs of parts.
-    level: how many keys name the bucket; last: the largest of them.
+    A node is in the bucket of each of its first KEYS keys. The rows of a bucket that is too large go to buckets of two keys
+    instead, of which the second may be any larger one. If one of those is too large yet, its members share much: they are
+    dealt to parts, and tasks are the pairs of parts. level: how many keys name the bucket; last: the largest of them. Of the
+    keys, those up to the last stay.
     """
 
     too_large = (F.col("in_rows") > bucket_rows) | (F.col("in_shingles") > bucket_shingles)
@@ -398,13 +400,14 @@ def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFr
 
     info = ("node", "n", "fp", "keys")
     # Written, since it is counted and joined more than once.
-    dealt = materialize(nodes.select(F.explode("keys").alias("task"), *info), "dealt")
+    dealt = materialize(nodes.select(F.explode(F.slice("keys", 1, KEYS)).alias("task"), *info), "dealt")
     one, crowded = sized(dealt, "buckets")
-    fits = one.where(~too_large).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), F.col("task").alias("last"), *info)
+    upto = F.filter("keys", lambda k: _unsigned(k) <= _unsigned(F.col("last"))).alias("keys")
+    fits = one.where(~too_large).withColumn("last", F.col("task")).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), "last", "node", "n", "fp", upto)
     if not crowded:
         return fits
     second = F.explode(F.filter("keys", lambda k: _unsigned(k) > _unsigned(F.col("task")))).alias("last")
-    over = materialize(one.where(too_large).select("task", second, *info), "crowded")
+    over = materialize(one.where(too_large).select("task", second, *info).withColumn("keys", upto), "crowded")
     two, _ = sized(over.withColumn("task", F.xxhash64("task", "last")), "crowded-buckets")
     parts = F.greatest(F.ceil(F.col("in_rows") / bucket_rows), F.ceil(F.col("in_shingles") / bucket_shingles)).cast("int")
     two = two.withColumn("parts", parts).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -453,8 +456,8 @@ class Buckets:
         keys = keys if isinstance(keys, pa.ListArray) else pa.concat_arrays(keys.chunks)
         offsets = keys.offsets.to_numpy()
         size = np.diff(offsets)
-        held = np.arange(KEYS) < size[:, None]
-        self.keys = np.zeros((len(order), KEYS), np.uint64)
+        held = np.arange(SECOND_KEYS) < size[:, None]
+        self.keys = np.zeros((len(order), SECOND_KEYS), np.uint64)
         self.keys[held] = keys.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64)
         self.keys, self.held = self.keys[order], held[order]
 
@@ -552,8 +555,8 @@ def similar(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, sim
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
     """(id, component_id) for each row of docs: the smallest id that it reaches over pairs of the Jaccard similarity or more.
 
-    Similarity is that of the sets of shingles, and exact; a pair is compared if it shares one of its KEYS least hashes (two,
-    where many rows share one) and its sketches are within WIDE_BITS. Texts with equal sets form one node, texts without words
+    Similarity is that of the sets of shingles, and exact; a pair is compared if it shares one of its KEYS least hashes (where
+    many rows share one, two of SECOND_KEYS) and its sketches are within WIDE_BITS. Texts with equal sets form one node, texts without words
     too. Null ids are treated as in near_duplicates().
     """
     return similar(docs, id_col, text_col, shingle_words, similarity, bucket_rows, bucket_shingles).select(F.col("id").alias(id_col), F.col("first.id").alias("component_id"))

@@ -66,3 +66,19 @@ def test_crowded_copies_and_leaves(spark):
         got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), **how).collect()}
         assert got == dict(enumerate(root))
     assert simhash.similar_groups(docs(spark, [])).count() == 0
+
+
+def test_crowded_buckets_keep_pairs_that_share_one_key(spark):
+    from chainloom.llm import simhash
+
+    rng, texts = np.random.default_rng(10), []
+    while len(texts) < 8:
+        words = [f"w{x}" for x in rng.integers(0, 1 << 40, 57)]
+        pair = " ".join(words), " ".join(words[:41])
+        a, b = (simhash.shingle_set(t, 5) for t in pair)
+        shared = [len(np.intersect1d(a[:k], b[:k])) for k in (simhash.KEYS, simhash.SECOND_KEYS)]
+        if shared[0] == 1 < shared[1] and (simhash.majority(a) ^ simhash.majority(b)).bit_count() <= simhash.WIDE_BITS:
+            texts += pair
+    # Every bucket of two rows is crowded.
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), similarity=0.65, bucket_rows=1).collect()}
+    assert got == {i: i - i % 2 for i in range(8)}
