@@ -51,6 +51,23 @@ TOP_K = """
     select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 """
 
+NEGATIVES = """
+    with e as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * x::double)) as v from embeddings
+        where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (
+        select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, list_inner_product(a.v, c.v)::bigint as score
+        from e a join e c on a.vec_id % 100 = 0 and len(a.v) = len(c.v) and a.vec_id <> c.vec_id
+    ), p as (
+        select anchor_id, vec_id as positive_id, score as positive_score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+    )
+    select p.anchor_id, positive_id, row_number() over w as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+    from p join s on p.anchor_id = s.anchor_id and not s.same and 80 * positive_score <= 100 * s.score and s.score <= positive_score
+    window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id)
+    qualify row_number() over w <= 5
+"""
+
 DEDUP = rf"""
     with n as (select doc_id, length(coalesce(text, '')) as n_text, regexp_replace(coalesce(text, ''), '{BLANK}', '', 'g') as norm from documents)
     select doc_id, first_value(doc_id) over w as keep_id, count(*) over (partition by norm) as group_size,
@@ -148,4 +165,4 @@ MIXING = rf"""
     from d join p using (source, lang, topic)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_chat_format": CHAT, "op3_topk": TOP_K, "op6_secrets": SECRETS, "op7_exact_dedup": DEDUP, "op9_mixing": MIXING, "op10_pii": PII}
+ORACLE_SQL: dict[str, str] = {"op1_chat_format": CHAT, "op3_topk": TOP_K, "op6_secrets": SECRETS, "op7_exact_dedup": DEDUP, "op9_mixing": MIXING, "op10_pii": PII, "op13_hard_negatives": NEGATIVES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainloom.llm import bpe, chat_format, exact_dedup, langid, mixing, pii, quality, secrets, simhash, topk
+from chainloom.llm import alignment, bpe, chat_format, exact_dedup, fingerprints, hard_negatives, langid, mixing, pii, quality, secrets, simhash, topk
 from chainloom.llm.oracles import ORACLE_SQL
 from chainloom.llm.shared import held_out, table
 from chainloom.llm.spans import count_kind, listed
@@ -17,11 +17,11 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def vocabulary() -> str:
-    """The byte-level BPE file of the installed public tokenizers."""
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """A file of the installed public tokenizers: the byte-level BPE one."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,4 +100,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed(base, ("kind,start", *kinds)), 256).alias("base_sha256"), listed(F.col("found"), ("kind,start", *kinds)).alias("spans"), scores.alias("scores"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_chat_format, op2_simhash, op3_topk, op4_langid, op5_quality, op6_secrets, op7_exact_dedup, op8_bpe, op9_mixing, op10_pii)}
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), vocabulary(), vocabulary("piece_bpe_32k.model"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+_ALL = (
+    op1_chat_format, op2_simhash, op3_topk, op4_langid, op5_quality, op6_secrets, op7_exact_dedup, op8_bpe, op9_mixing, op10_pii, op11_alignment, op12_fingerprints, op13_hard_negatives,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in _ALL}

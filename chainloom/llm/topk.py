@@ -31,12 +31,12 @@ QUERY_BATCH, BATCH, PAIRS = 1024, 2048, 1 << 16
 SEEDS, SIGNS = 1024, 8
 
 
-def quantised(vectors: DataFrame, id_col: str, vec_col: str, factor: float) -> DataFrame:
-    """(id, v): floor(factor * component) as whole numbers; vectors with nulls, NaN or infinities, or null, take no part."""
+def quantised(vectors: DataFrame, id_col: str, vec_col: str, factor: float, *more: Column) -> DataFrame:
+    """(id, v, more columns): floor(factor * component) as whole numbers; vectors with nulls, NaN or infinities, or null, take no part."""
     v = F.col(vec_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     rows = vectors.where(v.isNotNull() & F.col(id_col).isNotNull()).where(finite)
-    return rows.select(F.col(id_col).cast("bigint").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * factor).cast("bigint")).alias("v"))
+    return rows.select(F.col(id_col).cast("bigint").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * factor).cast("bigint")).alias("v"), *more)
 
 
 def edges_of(d: int, segments: int) -> np.ndarray:
