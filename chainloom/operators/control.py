@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from chainloom.operators.ordered import lagged, numbered, running_sum
+from chainloom.operators import cuts
+from chainloom.operators.ordered import lagged, numbered, running_sum, windowed
 
 #: Fixed values of the request controller: errors in a window above which load halves, wanted p95 in milliseconds, samples
 #: that a decision needs, and bounds of the recommended parallelism (a tenth of the most, and the most).
@@ -78,7 +79,7 @@ def consumer_metrics(frames: DataFrame, ts: str = "ts", width_s: int = 1) -> Dat
     """
     start = frames.agg(F.min(ts)).first()[0] or 0
     by = frames.groupBy(F.floor((F.col(ts) - start) / width_s).cast("bigint").alias("window")).agg(F.count(F.lit(1)).alias("batches"), F.sum("blocks").alias("blocks"), F.sum("bytes").alias("bytes"), F.sum("txs").alias("txs"))
-    by = running_sum(running_sum(lagged(by, "window", ("window",)), "blocks", ("window",), name="total_blocks"), "txs", ("window",), name="total_txs")
+    by = windowed(by, ("window",), lags={"previous": "window"}, sums={"total_blocks": "blocks", "total_txs": "txs"})
     recent = (F.col("window") - F.coalesce("previous", F.lit(-1))) * width_s
     return by.withColumns({"recent_rate": F.col("blocks") / recent, "avg_rate": F.col("total_blocks") / ((F.col("window") + 1) * width_s)}).drop("previous")
 
@@ -102,26 +103,42 @@ def duration_histogram(log: DataFrame, ms: str, bounds: list[float]) -> DataFram
 def frames_by_size(df: DataFrame, key: str, order: str, size: str, most: int) -> DataFrame:
     """(key, order, size, frame): consecutive rows of a key in frames of at most `most` bytes; a larger row is a frame alone.
 
-    The cut depends on all rows before, so a key's rows go through one task in order; they come as a sorted stream of
-    batches and only a counter is kept.
+    Where a frame would start next follows for each row from running sums; cuts.starts() finds the real starts. Null sizes
+    count as nothing; rows of a key that share an order are in the order of their size.
     """
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-
-    def cut(batches):
-        at, used, frame = object(), 0, 0
-        for pdf in batches:
-            out = []
-            for k, n in zip(pdf[key], pdf[size]):
-                if k != at:
-                    at, used, frame = k, 0, 0
-                elif used + n > most and used:
-                    frame, used = frame + 1, 0
-                used += n
-                out.append(frame)
-            yield pdf.assign(frame=out)
-
-    rows = df.select(key, order, size).repartition(key).sortWithinPartitions(key, order)
-    return rows.mapInPandas(cut, f"{key} {kinds[key]}, {order} {kinds[order]}, {size} {kinds[size]}, frame bigint")
+    by = (key, order, size)
+    rows = windowed(df.select(*by).withColumn("_size", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint"))), by, number="_pos", sums={"_upto": "_size"})
+    rows = cuts.located(rows.withColumn("_full", F.col("_upto") - F.col("_size") + most), (key,), "_upto", "_full", inclusive=True)
+    jumps = rows.select("_pos", F.greatest(F.col("_pos") + 1, F.col("_found")).alias("_to"))
+    return cuts.numbered_windows(rows, jumps, (key,), "frame").select(*by, "frame")
+
+
+def ingest_stats(log: DataFrame, ts: str, ms: str, size: str, n: int = 100, seconds: int = 5, order: tuple[str, ...] = (), keys: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, win, n, min_ms, max_ms, avg_ms, bytes, height, closed): the monitor's windows of each key, which close with the n-th
+    block or with the first that comes `seconds` or more after the last window closed (the first: after its own first block).
+
+    log has whole milliseconds in ts; blocks of one time are in the given order. height is the last block's, by the first column of
+    the order if one is given. The rule of the least time holds as it is: a zero is replaced by what comes next. The last window
+    of a key may still be open. Rows without a time are left out.
+    """
+    by = (*keys, ts, *order)
+    rows = windowed(log.where(F.col(ts).isNotNull()).select(*dict.fromkeys((*by, ms, size))), by, number="_pos", lags={"_last": ts, **{f"_key{i}": k for i, k in enumerate(keys)}})
+    same = F.lit(True) if not keys else F.struct(*(F.col(f"_key{i}") for i in range(len(keys)))).eqNullSafe(F.struct(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys))))
+    since = F.when(F.col("_pos").eqNullSafe(0) | ~same, F.col(ts)).otherwise(F.col("_last"))
+    rows = cuts.located(rows.withColumn("_due", since + seconds * 1000), keys, ts, "_due", inclusive=False)
+    ends = rows if not keys else cuts.key_ends(rows, keys)
+    to = F.least(F.col("_pos") + n, F.greatest(F.col("_pos"), F.col("_found")) + 1)
+    whole = to if not keys else F.least(to, F.col("_end"))
+    jumps = ends.select("_pos", whole.alias("_to"))
+    rows = cuts.numbered_windows(rows, jumps, keys, "win")
+    zero = F.max(F.when(F.col(ms) == 0, F.col("_pos"))).over(Window.partitionBy(*keys, "win"))
+    rows = rows.withColumn("_zero", zero)  # a window has n rows at most
+    least = F.coalesce(F.min(F.when(F.col("_zero").isNull() | (F.col("_pos") > F.col("_zero")), F.col(ms))), F.lit(0))
+    out = rows.groupBy(*keys, "win").agg(
+        F.count(F.lit(1)).alias("n"), least.alias("min_ms"), F.max(ms).alias("max_ms"), F.avg(ms).alias("avg_ms"), F.sum(size).alias("bytes"), F.max_by((order or (ts,))[0], "_pos").alias("height"),
+        ((F.count(F.lit(1)) == n) | (F.max(ts) >= F.min_by("_due", "_pos"))).alias("closed"),
+    )
+    return out
 
 
 def build_timestamp_dim(vertices: DataFrame, txs: DataFrame) -> DataFrame:

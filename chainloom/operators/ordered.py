@@ -32,43 +32,38 @@ def in_parts(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return checkpointed(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()))
 
 
-def before(parts: DataFrame, value: Column, how: str) -> DataFrame:
-    """(part, before): the sum of all earlier partitions' values, or the last of them that is not null. A row a partition."""
-    per = parts.groupBy(PART).agg(value.alias("v"))
+def windowed(df: DataFrame, order: tuple[str, ...], number: str | None = None, sums: dict[str, str] | None = None, lags: dict[str, str] | None = None) -> DataFrame:
+    """df with several windows over one global order, from one written table: each row's place from 0 under the name `number`,
+    running sums up to and with the row, and values of the row before (new name: column). The order must be total for sums.
+
+    What a partition needs of those before it is a row: how many they are, their sums and the last of their rows.
+    """
+    sums, lags, own = sums or {}, lags or {}, Window.partitionBy(PART).orderBy(*order)
+    parts = in_parts(df, order)
+    per = parts.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"), *(F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())), *(F.max_by(F.struct(c), F.struct(*order)).alias(f"_l{i}") for i, c in enumerate(lags.values())))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    return per.select(PART, (F.sum("v") if how == "sum" else F.last("v", ignorenulls=True)).over(earlier).alias("before"))
+    per = per.select(PART, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"), *(F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_s{i}") for i in range(len(sums))), *(F.last(f"_l{i}").over(earlier).getField(c).alias(f"_l{i}") for i, c in enumerate(lags.values())))
+    place = F.row_number().over(own)
+    new = {name: (F.coalesce(F.sum(c).over(own), F.lit(0)) + F.col(f"_s{i}")) for i, (name, c) in enumerate(sums.items())}
+    new |= {name: F.when(place == 1, F.col(f"_l{i}")).otherwise(F.lag(c).over(own)) for i, (name, c) in enumerate(lags.items())}
+    if number:
+        new[number] = (place - 1 + F.col("_n")).cast("bigint")
+    return parts.join(F.broadcast(per), PART).withColumns(new).select(*df.columns, *new)
 
 
 def lagged(df: DataFrame, col: str, order: tuple[str, ...], keys: tuple[str, ...] = (), name: str = "previous") -> DataFrame:
     """df with the column's value in the row before, of each key or of the whole table."""
-    if keys:
-        return df.withColumn(name, F.lag(col).over(Window.partitionBy(*keys).orderBy(*order)))
-    parts = in_parts(df, order)
-    ends = before(parts, F.max_by(col, F.struct(*order)), "last")
-    own = F.lag(col).over(Window.partitionBy(PART).orderBy(*order))
-    first = F.row_number().over(Window.partitionBy(PART).orderBy(*order)) == 1
-    rows = parts.withColumns({name: own, "_first": first}).join(F.broadcast(ends), PART)
-    return rows.withColumn(name, F.when(F.col("_first"), F.col("before")).otherwise(F.col(name))).select(*df.columns, name)
+    return df.withColumn(name, F.lag(col).over(Window.partitionBy(*keys).orderBy(*order))) if keys else windowed(df, order, lags={name: col})
 
 
 def numbered(df: DataFrame, order: tuple[str, ...], keys: tuple[str, ...] = (), name: str = "n") -> DataFrame:
     """df with each row's place from 0, in each key or in the whole table."""
-    if keys:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint"))
-    parts = in_parts(df, order)
-    counts = before(parts, F.count(F.lit(1)), "sum")
-    own = F.row_number().over(Window.partitionBy(PART).orderBy(*order)) - 1
-    return parts.withColumn(name, own).join(F.broadcast(counts), PART).withColumn(name, (F.col(name) + F.coalesce("before", F.lit(0))).cast("bigint")).select(*df.columns, name)
+    return df.withColumn(name, (F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1).cast("bigint")) if keys else windowed(df, order, number=name)
 
 
 def running_sum(df: DataFrame, col: str, order: tuple[str, ...], keys: tuple[str, ...] = (), name: str = "total") -> DataFrame:
     """df with the sum of the column up to and with each row, in each key or in the whole table; the order must be total."""
-    if keys:
-        return df.withColumn(name, F.sum(col).over(Window.partitionBy(*keys).orderBy(*order)))
-    parts = in_parts(df, order)
-    sums = before(parts, F.sum(col), "sum")
-    own = F.sum(col).over(Window.partitionBy(PART).orderBy(*order))
-    return parts.withColumn(name, own).join(F.broadcast(sums), PART).withColumn(name, F.col(name) + F.coalesce("before", F.lit(0))).select(*df.columns, name)
+    return df.withColumn(name, F.sum(col).over(Window.partitionBy(*keys).orderBy(*order))) if keys else windowed(df, order, sums={name: col})
 
 
 def value_at(df: DataFrame, col: str, rank: int, buckets: int = 1024):

@@ -351,13 +351,38 @@ def ingest_stats_hourly(v: Views) -> DataFrame:
 
 
 @query("""with recursive t as (select conv_id, turn, coalesce(length(text), 0) as size, row_number() over (partition by conv_id order by turn) as i from conversations),
-    f as (select conv_id, turn, size, i, size as used, 0 as frame from t where i = 1 union all select t.conv_id, t.turn, t.size, t.i, case when used + t.size > 800 and used > 0 then t.size else used + t.size end, case when used + t.size > 800 and used > 0 then frame + 1 else frame end from f join t on t.conv_id = f.conv_id and t.i = f.i + 1)
+    f as (select conv_id, turn, size, i, size as used, 0 as frame from t where i = 1 union all select t.conv_id, t.turn, t.size, t.i, case when used + t.size > 800 then t.size else used + t.size end, case when used + t.size > 800 then frame + 1 else frame end from f join t on t.conv_id = f.conv_id and t.i = f.i + 1)
     select conv_id, turn, size, frame from f""")
 def frames_cut(v: Views) -> DataFrame:
     rows = v.table("conversations").select("conv_id", "turn", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("size"))
     return control.frames_by_size(rows, "conv_id", "turn", "size", 800)
 
 
+_MONITOR = """with recursive e as (select {key} as chain, event_id, epoch_us(ts) // 1000 as t, event_id % 4 * event_id as ms, event_id % 1000 as size from events),
+    r as (select *, row_number() over (partition by chain order by t, event_id) as i, coalesce(lag(t) over (partition by chain order by t, event_id), t) as since from e),
+    w as (select chain, i, i as first, 1 as n, 0 as win, since + {ms} as due, t, ms as min_ms, ms as max_ms, ms::double as sum_ms, size::bigint as bytes, event_id as height from r where i = 1
+        union all select r.chain, r.i, case when w.n >= {n} or w.t >= w.due then r.i else w.first end, case when w.n >= {n} or w.t >= w.due then 1 else w.n + 1 end, case when w.n >= {n} or w.t >= w.due then win + 1 else win end, case when w.n >= {n} or w.t >= w.due then w.t + {ms} else w.due end, r.t,
+            case when w.n >= {n} or w.t >= w.due or w.min_ms = 0 then r.ms else least(w.min_ms, r.ms) end, case when w.n >= {n} or w.t >= w.due then r.ms else greatest(w.max_ms, r.ms) end, case when w.n >= {n} or w.t >= w.due then 0 else w.sum_ms end + r.ms, case when w.n >= {n} or w.t >= w.due then 0 else w.bytes end + r.size, r.event_id
+        from w join r on r.chain = w.chain and r.i = w.i + 1)
+    select {out}win, n, min_ms, max_ms, round(sum_ms / n, 6) as avg_ms, bytes, height, n >= {n} or t >= due as closed from w qualify i = max(i) over (partition by chain, win)"""
+
+
+def _monitored(v: Views, *keys: str) -> DataFrame:
+    k = F.col("event_id")
+    return v.table("events").select(*((F.col("user_id") % 20).alias(c) for c in keys), "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("t"), (k % 4 * k).alias("ms"), (k % 1000).alias("size"))
+
+
+@query(_MONITOR.format(key="user_id % 20", n=40, ms=36_000_000, out="chain, "))
+def ingest_windows(v: Views) -> DataFrame:
+    """Windows of 40 blocks or ten hours, whichever is first, of twenty chains; a quarter of the times are zero."""
+    return control.ingest_stats(_monitored(v, "chain"), "t", "ms", "size", 40, 36_000, ("event_id",), ("chain",)).withColumn("avg_ms", F.round("avg_ms", 6))
+
+
+@query(_MONITOR.format(key="0", n=100, ms=14_400_000, out=""))
+def ingest_windows_all(v: Views) -> DataFrame:
+    return control.ingest_stats(_monitored(v), "t", "ms", "size", 100, 14_400, ("event_id",)).withColumn("avg_ms", F.round("avg_ms", 6))
+
+
 @query("select least(3, (round(value * 100)::bigint > 1000)::int + (round(value * 100)::bigint > 5000)::int + (round(value * 100)::bigint > 20000)::int) as bucket, count(*) as n from events group by 1")
 def durations_by_bucket(v: Views) -> DataFrame:
     return control.duration_histogram(v.table("events").select(F.round(F.col("value") * 100).cast("bigint").alias("ms")), "ms", [1000, 5000, 20000])
