@@ -108,7 +108,7 @@ def frames_by_size(df: DataFrame, key: str, order: str, size: str, most: int) ->
     """
     by = (key, order, size)
     rows = windowed(df.select(*by).withColumn("_size", F.coalesce(F.col(size).cast("bigint"), F.lit(0).cast("bigint"))), by, number="_pos", sums={"_upto": "_size"})
-    rows = cuts.located(rows.withColumn("_full", F.col("_upto") - F.col("_size") + most), (key,), "_upto", "_full", inclusive=True)
+    rows = cuts.located(rows, (key,), "_upto", {"_found": F.col("_upto") - F.col("_size") + most}, inclusive=True)
     jumps = rows.select("_pos", F.greatest(F.col("_pos") + 1, F.col("_found")).alias("_to"))
     return cuts.numbered_windows(rows, jumps, (key,), "frame").select(*by, "frame")
 
@@ -121,15 +121,12 @@ def ingest_stats(log: DataFrame, ts: str, ms: str, size: str, n: int = 100, seco
     the order if one is given. The rule of the least time holds as it is: a zero is replaced by what comes next. The last window
     of a key may still be open. Rows without a time are left out.
     """
-    by = (*keys, ts, *order)
-    rows = windowed(log.where(F.col(ts).isNotNull()).select(*dict.fromkeys((*by, ms, size))), by, number="_pos", lags={"_last": ts, **{f"_key{i}": k for i, k in enumerate(keys)}})
-    same = F.lit(True) if not keys else F.struct(*(F.col(f"_key{i}") for i in range(len(keys)))).eqNullSafe(F.struct(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys))))
-    since = F.when(F.col("_pos").eqNullSafe(0) | ~same, F.col(ts)).otherwise(F.col("_last"))
-    rows = cuts.located(rows.withColumn("_due", since + seconds * 1000), keys, ts, "_due", inclusive=False)
-    ends = rows if not keys else cuts.key_ends(rows, keys)
-    to = F.least(F.col("_pos") + n, F.greatest(F.col("_pos"), F.col("_found")) + 1)
-    whole = to if not keys else F.least(to, F.col("_end"))
-    jumps = ends.select("_pos", whole.alias("_to"))
+    by, before = (*keys, ts, *order), tuple(f"_key{i}" for i in range(len(keys)))
+    rows = windowed(log.where(F.col(ts).isNotNull()).select(*dict.fromkeys((*by, ms, size))), by, number="_pos", lags={"_last": ts, **dict(zip(before, keys))})
+    rows = rows.withColumn("_due", F.when(cuts.key_changes(keys, before), F.col(ts)).otherwise(F.col("_last")) + seconds * 1000)
+    rows = cuts.located(rows, keys, ts, {"_found": F.col("_due"), "_end": F.lit((1 << 63) - 1)}, inclusive=False)
+    to = F.least(F.col("_pos") + n, F.greatest(F.col("_pos"), F.col("_found")) + 1, F.col("_end"))
+    jumps = rows.select("_pos", to.alias("_to"))
     rows = cuts.numbered_windows(rows, jumps, keys, "win")
     zero = F.max(F.when(F.col(ms) == 0, F.col("_pos"))).over(Window.partitionBy(*keys, "win"))
     rows = rows.withColumn("_zero", zero)  # a window has n rows at most

@@ -20,31 +20,26 @@ from chainloom.operators.ordered import checkpointed, numbered, windowed
 BLOCK, MOST = 1 << 16, 1 << 22
 
 
-def located(rows: DataFrame, keys: tuple[str, ...], value: str, threshold: str, inclusive: bool) -> DataFrame:
-    """rows(_pos, ...) with _found: the global place of the first row of the key whose value is above the row's threshold (from it
-    on: inclusive=False), the place after the key's last if there is none. Values must not fall within a key in the order of _pos.
+def located(rows: DataFrame, keys: tuple[str, ...], value: str, thresholds: dict[str, Column], inclusive: bool) -> DataFrame:
+    """rows(_pos, ...) with, for each threshold, the global place of the first row of the key whose value is above it (from it on:
+    inclusive=False), or the place after the key's last if there is none. Values must not fall within a key in the order of _pos.
 
     Rows and thresholds are sorted together; a threshold's place is the number of rows before it.
     """
-    marks = rows.select(*keys, F.col(value).alias("_v"), F.lit(0 if inclusive else 1).alias("_kind"), "_pos", F.lit(1).alias("_row"))
-    asked = rows.select(*keys, F.col(threshold).alias("_v"), F.lit(1 if inclusive else 0).alias("_kind"), "_pos", F.lit(0).alias("_row"))
-    found = windowed(marks.unionByName(asked), (*keys, "_v", "_kind", "_pos"), sums={"_found": "_row"}).where("_row = 0").select("_pos", "_found")
+    marks = rows.select(*keys, F.col(value).alias("_v"), F.lit(0 if inclusive else 1).alias("_kind"), "_pos", F.lit("").alias("_of"), F.lit(1).alias("_row"))
+    asked = F.explode(F.array(*(F.struct(t.alias("_v"), F.lit(n).alias("_of")) for n, t in thresholds.items()))).alias("x")
+    asked = rows.select(*keys, asked, "_pos").select(*keys, "x._v", F.lit(1 if inclusive else 0).alias("_kind"), "_pos", "x._of", F.lit(0).alias("_row"))
+    found = windowed(marks.unionByName(asked), (*keys, "_v", "_kind", "_pos", "_of"), sums={"_found": "_row"}).where("_row = 0")
+    found = found.groupBy("_pos").agg(*(F.max(F.when(F.col("_of") == n, F.col("_found"))).alias(n) for n in thresholds))
     return checkpointed(rows.join(found, "_pos"))
 
 
-def key_ends(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """rows with _end, the place after the last row of their key; one row a key is joined, and a large key is no large side."""
-    return _join(rows, rows.groupBy(*keys).agg((F.max("_pos") + 1).alias("_end")), keys)
-
-
-def _join(rows: DataFrame, per_key: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """rows with the columns of a table that has one row a key; null keys are equal."""
-    names = {k: f"_of_{k}" for k in keys}
-    right = per_key.withColumnsRenamed(names)
-    on: Column = F.lit(True)
-    for k, n in names.items():
-        on = on & F.col(k).eqNullSafe(F.col(n))
-    return rows.join(right, on).drop(*names.values())
+def key_changes(keys: tuple[str, ...], before: tuple[str, ...]) -> Column:
+    """Whether a row's key is not that of the row before, in columns of windowed()'s lags; true for the first row."""
+    same = F.col("_pos") > 0
+    for k, b in zip(keys, before):
+        same = same & F.col(k).eqNullSafe(F.col(b))
+    return ~same
 
 
 def _exits(t: pa.Table) -> pa.Table:
@@ -71,9 +66,9 @@ def _marks(t: pa.Table) -> pa.Table:
     return pa.table([pa.array(out, pa.int64())], names=["_pos"])
 
 
-def starts(jumps: DataFrame, block: int = BLOCK) -> DataFrame:
+def starts(jumps: DataFrame, block: int | None = None) -> DataFrame:
     """(_pos): the places on the chain from place 0 of jumps(_pos, _to), where places go from 0 without gaps and _to > _pos."""
-    jumps = checkpointed(jumps.select("_pos", "_to"))
+    block, jumps = block or BLOCK, checkpointed(jumps.select("_pos", "_to"))
     n, longest = jumps.agg(F.count(F.lit(1)), F.max(F.col("_to") - F.col("_pos"))).first()
     if not n:
         return jumps.select("_pos")
@@ -114,5 +109,9 @@ def numbered_windows(rows: DataFrame, jumps: DataFrame, keys: tuple[str, ...], n
     counted = windowed(flagged, ("_pos",), sums={"_window": "_start"})
     if not keys:
         return counted.withColumn(name, (F.col("_window") - 1).cast("bigint"))
-    base = counted.groupBy(*keys).agg(F.min("_window").alias("_base"))
-    return _join(counted, base, keys).withColumn(name, (F.col("_window") - F.col("_base")).cast("bigint"))
+    # The first row of each key is a start, so what a key's windows are numbered from is known from the starts alone.
+    before = tuple(f"_key{i}" for i in range(len(keys)))
+    opened = windowed(counted.where("_start = 1").select("_pos", "_window", *keys), ("_pos",), lags=dict(zip(before, keys)))
+    opened = opened.withColumn("_first", F.when(key_changes(keys, before), F.col("_window")))
+    opened = windowed(opened, ("_pos",), tops={"_base": "_first"}).select("_window", (F.col("_window") - F.col("_base")).cast("bigint").alias(name))
+    return counted.join(opened, "_window")

@@ -32,20 +32,21 @@ def in_parts(df: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return checkpointed(df.repartitionByRange(*order).withColumn(PART, F.spark_partition_id()))
 
 
-def windowed(df: DataFrame, order: tuple[str, ...], number: str | None = None, sums: dict[str, str] | None = None, lags: dict[str, str] | None = None) -> DataFrame:
+def windowed(df: DataFrame, order: tuple[str, ...], number: str | None = None, sums: dict[str, str] | None = None, lags: dict[str, str] | None = None, tops: dict[str, str] | None = None) -> DataFrame:
     """df with several windows over one global order, from one written table: each row's place from 0 under the name `number`,
-    running sums up to and with the row, and values of the row before (new name: column). The order must be total for sums.
+    running sums and maxima up to and with the row, and values of the row before (new name: column). The order must be total for sums.
 
-    What a partition needs of those before it is a row: how many they are, their sums and the last of their rows.
+    What a partition needs of those before it is a row: how many they are, their sums, maxima and the last of their rows.
     """
-    sums, lags, own = sums or {}, lags or {}, Window.partitionBy(PART).orderBy(*order)
+    sums, lags, tops, own = sums or {}, lags or {}, tops or {}, Window.partitionBy(PART).orderBy(*order)
     parts = in_parts(df, order)
-    per = parts.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"), *(F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())), *(F.max_by(F.struct(c), F.struct(*order)).alias(f"_l{i}") for i, c in enumerate(lags.values())))
+    per = parts.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"), *(F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())), *(F.max(c).alias(f"_t{i}") for i, c in enumerate(tops.values())), *(F.max_by(F.struct(c), F.struct(*order)).alias(f"_l{i}") for i, c in enumerate(lags.values())))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select(PART, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"), *(F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_s{i}") for i in range(len(sums))), *(F.last(f"_l{i}").over(earlier).getField(c).alias(f"_l{i}") for i, c in enumerate(lags.values())))
+    per = per.select(PART, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n"), *(F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_s{i}") for i in range(len(sums))), *(F.max(f"_t{i}").over(earlier).alias(f"_t{i}") for i in range(len(tops))), *(F.last(f"_l{i}").over(earlier).getField(c).alias(f"_l{i}") for i, c in enumerate(lags.values())))
     place = F.row_number().over(own)
     new = {name: (F.coalesce(F.sum(c).over(own), F.lit(0)) + F.col(f"_s{i}")) for i, (name, c) in enumerate(sums.items())}
     new |= {name: F.when(place == 1, F.col(f"_l{i}")).otherwise(F.lag(c).over(own)) for i, (name, c) in enumerate(lags.items())}
+    new |= {name: F.greatest(F.max(c).over(own), F.col(f"_t{i}")) for i, (name, c) in enumerate(tops.items())}
     if number:
         new[number] = (place - 1 + F.col("_n")).cast("bigint")
     return parts.join(F.broadcast(per), PART).withColumns(new).select(*df.columns, *new)
