@@ -85,15 +85,19 @@ def with_asset_info(df: DataFrame, assets: DataFrame, native: DataFrame | None =
 
 
 def p_category(now: Column) -> Column:
-    """The category of an output on P."""
+    """The category of an output on P. An output without a chain that uses it up is not atomic; a stake without an end has not
+    ended, and an ended one is locked as it was or plainly free."""
     locked_until = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("decimal(20,0)") > now
     platform, stakeable = locked_until("platform_locktime"), locked_until("stakeable_locktime")
-    atomic, staked = F.col("consumed_on") != "p", F.coalesce("staked", F.lit(False)) & (F.col("stake_end") > now)
+    atomic, staked = ~F.coalesce("consumed_on", F.lit("")).isin("p", ""), F.coalesce("staked", F.lit(False))
+    ended, pending = F.coalesce(F.col("stake_end") <= now, F.lit(False)), F.coalesce(F.col("stake_start") > now, F.lit(False))
     locked = platform | stakeable
     return (
         F.when(atomic & locked, "atomicMemoryLocked")
         .when(atomic, "atomicMemoryUnlocked")
-        .when(staked & (F.col("stake_start") > now), "pendingStaked")
+        .when(staked & ended & locked, "lockedNotStakeable")
+        .when(staked & ended, "unlockedUnstaked")
+        .when(staked & pending, "pendingStaked")
         .when(staked & locked, "lockedStaked")
         .when(staked, "unlockedStaked")
         .when(stakeable, "lockedStakeable")
@@ -103,7 +107,7 @@ def p_category(now: Column) -> Column:
 
 
 def x_category(now: Column) -> Column:
-    atomic, locked = F.col("consumed_on") != "x", F.coalesce(F.col("platform_locktime"), F.lit(0)).cast("decimal(20,0)") > now
+    atomic, locked = ~F.coalesce("consumed_on", F.lit("")).isin("x", ""), F.coalesce(F.col("platform_locktime"), F.lit(0)).cast("decimal(20,0)") > now
     return F.when(atomic & locked, "atomicMemoryLocked").when(atomic, "atomicMemoryUnlocked").when(locked, "locked").otherwise("unlocked")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import deque
+import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -22,7 +22,7 @@ def validators(p_txs: DataFrame, primary: str = PRIMARY) -> DataFrame:
     bls = F.when((subnet == primary) & F.col("bls.proof").isNotNull(), F.col("bls"))
     return p_txs.where(F.col("tx_type").isin(*VALIDATOR_TYPES)).select(
         F.col("tx_id").alias("tx_hash"), "node_id", subnet.alias("subnet_id"), F.col("weight").alias("amount"), format_fee(F.col("delegation_shares")).alias("fee"), F.col("start_ts").alias("start"), F.col("end_ts").alias("end"),
-        bls.alias("bls"), F.col("validator_owner").alias("validation_owner"), F.col("delegator_owner").alias("delegation_owner"), "height",
+        bls.alias("bls"), F.col("validator_owner").alias("validation_owner"), F.col("delegator_owner").alias("delegation_owner"), "height", *(["block_ts"] if "block_ts" in p_txs.columns else []),
     )
 
 
@@ -57,34 +57,37 @@ def complete_delegators(dels: DataFrame, reward_txs: DataFrame) -> DataFrame:
     return dels.join(txs, "tx_hash", "left").withColumn("completed", F.col("reward_tx").isNotNull())
 
 
-def apply_removals(vals: DataFrame, removals: DataFrame) -> DataFrame:
+def apply_removals(vals: DataFrame, removals: DataFrame, registered: str = "block_ts") -> DataFrame:
     """vals with remove_tx and remove_ts; removals(tx_id, node_id, subnet_id, ts).
 
-    A removal takes, of its node and subnet, the oldest start that is by then neither removed nor rewarded; one that finds none
-    takes nothing. A reward counts from vals' reward_ts, or from the start if it only has reward_tx. The rule goes by time, so
-    the events of a node and subnet pass through one task in order; it keeps those that are open.
+    A removal takes, of its node and subnet, the earliest start (then id) among the registrations of blocks up to its own that
+    are neither removed nor rewarded by then; the term need not have begun. One that finds none takes nothing. vals has the
+    registration's block time in `registered`; without that column all are known from the beginning. A reward counts from vals'
+    reward_ts, or from the start if it only has reward_tx. The rule goes by time, so the events of a node and subnet pass through
+    one task in order; it keeps those that are open.
     """
     keys = ["node_id", "subnet_id"]
     kinds = {k: vals.schema[k].dataType.simpleString() for k in (*keys, "tx_hash")}
     until = F.col("reward_ts").cast("bigint") if "reward_ts" in vals.columns else F.when(F.col("reward_tx").isNotNull(), F.col("start").cast("bigint")) if "reward_tx" in vals.columns else F.lit(None).cast("bigint")
-    starts = vals.select(*keys, F.col("start").cast("bigint").alias("ts"), F.lit(0).alias("is_removal"), F.col("tx_hash").cast("string").alias("id"), until.alias("until"))
-    ends = removals.select(*keys, F.col("ts").cast("bigint").alias("ts"), F.lit(1).alias("is_removal"), F.col("tx_id").cast("string").alias("id"), F.lit(None).cast("bigint").alias("until"))
-    events = starts.unionByName(ends).repartition(*keys).sortWithinPartitions(*keys, "ts", "is_removal", "id")
+    known = F.col(registered).cast("bigint") if registered in vals.columns else F.lit(-(1 << 63)).cast("bigint")
+    terms = vals.select(*keys, known.alias("ts"), F.lit(0).alias("is_removal"), F.col("tx_hash").cast("string").alias("id"), until.alias("until"), F.col("start").cast("bigint").alias("start"))
+    ends = removals.select(*keys, F.col("ts").cast("bigint").alias("ts"), F.lit(1).alias("is_removal"), F.col("tx_id").cast("string").alias("id"), F.lit(None).cast("bigint").alias("until"), F.lit(None).cast("bigint").alias("start"))
+    events = terms.unionByName(ends).repartition(*keys).sortWithinPartitions(*keys, "ts", "is_removal", "id")
 
     def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, waiting = None, deque()
+        at, waiting = None, []
         for b in batches:
             taken = []
-            for node, subnet, ts, is_removal, name, end in zip(*(b.column(c).to_pylist() for c in (*keys, "ts", "is_removal", "id", "until"))):
+            for node, subnet, ts, is_removal, name, end, start in zip(*(b.column(c).to_pylist() for c in (*keys, "ts", "is_removal", "id", "until", "start"))):
                 if (node, subnet) != at:
-                    at, waiting = (node, subnet), deque()
+                    at, waiting = (node, subnet), []
                 if not is_removal:
-                    waiting.append((name, end))
+                    heapq.heappush(waiting, (start is not None, start or 0, name, end))
                     continue
-                while waiting and waiting[0][1] is not None and waiting[0][1] <= ts:
-                    waiting.popleft()
+                while waiting and waiting[0][3] is not None and waiting[0][3] <= ts:
+                    heapq.heappop(waiting)
                 if waiting:
-                    taken.append((waiting.popleft()[0], name, ts))
+                    taken.append((heapq.heappop(waiting)[2], name, ts))
             if taken:
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*taken)], names=["tx_hash", "remove_tx", "remove_ts"])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chainloom.functions import hexes, rules
 from chainloom.operators import balances, control, evm, quality, registry, staking, utxo, validators
-from chainloom.plans.views import DAY, NOW, Views, s, with_views
+from chainloom.plans.views import BASE, DAY, NOW, Views, s, with_views
 from chainloom.sources import sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,7 +24,8 @@ def query(sql: str, *views: str) -> Callable:
         body = sql.strip()
         if views:
             head = with_views(*views)
-            body = f"{head.rstrip()}, {body[5:]}" if body.startswith("with ") else head + body
+            start = "with recursive " if body.startswith("with recursive ") else "with "
+            body = f"{start}{head[5:].rstrip()}, {body[len(start) :]}" if body.startswith(start) else head + body
         ORACLE_SQL[f.__name__] = body
         return f
 
@@ -276,9 +277,11 @@ def multisig_spendable(v: Views) -> DataFrame:
     return balances.spendable_by(v.utxos, who).select("utxo_id", "threshold")
 
 
-_CATEGORY = f"""case when consumed_on <> 'p' and (platform_locktime > {NOW} or stakeable_locktime > {NOW}) then 'atomicMemoryLocked' when consumed_on <> 'p' then 'atomicMemoryUnlocked'
-    when staked and stake_end > {NOW} and stake_start > {NOW} then 'pendingStaked' when staked and stake_end > {NOW} and (platform_locktime > {NOW} or stakeable_locktime > {NOW}) then 'lockedStaked' when staked and stake_end > {NOW} then 'unlockedStaked'
-    when stakeable_locktime > {NOW} then 'lockedStakeable' when platform_locktime > {NOW} then 'lockedPlatform' else 'unlockedUnstaked' end"""
+# An if for each question that the balance loop asks of an output, in its order.
+_LOCKED = f"greatest(coalesce(platform_locktime, 0), coalesce(stakeable_locktime, 0)) > {NOW}"
+_CATEGORY = f"""if(consumed_on is not null and consumed_on not in ('', 'p'), if({_LOCKED}, 'atomicMemoryLocked', 'atomicMemoryUnlocked'),
+    if(staked, if(stake_end is not null and stake_end <= {NOW}, if({_LOCKED}, 'lockedNotStakeable', 'unlockedUnstaked'), if(stake_start is not null and stake_start > {NOW}, 'pendingStaked', if({_LOCKED}, 'lockedStaked', 'unlockedStaked'))),
+    if({_LOCKED}, if(coalesce(stakeable_locktime, 0) > {NOW}, 'lockedStakeable', 'lockedPlatform'), 'unlockedUnstaked')))"""
 
 
 def _sums(df: DataFrame) -> DataFrame:
@@ -300,6 +303,18 @@ def balance_categories(v: Views) -> DataFrame:
     return _sums(balances.p_balances(balances.filter_unspent(v.utxos, F.lit(NOW)), F.lit(NOW)))
 
 
+#: Outputs as they may also be stored: some without the chain that uses them up, some stakes without an end or a start.
+_SPARSE = "select * replace (case part % 6 when 0 then null when 1 then '' else consumed_on end as consumed_on, case when part % 11 <> 0 then stake_end end as stake_end, case when part % 13 <> 0 then stake_start end as stake_start, nullif(platform_locktime, 0) as platform_locktime) from utxos"
+
+
+@query(f"with u as ({_SPARSE}), c as (select {_CATEGORY} as category, * from u) select category, asset_id, sum(amount)::bigint as total, count(*) as n, case when category like 'atomic%' then min(consumed_on) end as shared_chain, case when category like 'atomic%' then 'pendingExport' end as status from c group by category, asset_id", "utxos")
+def nine_categories(v: Views) -> DataFrame:
+    """All outputs, spent or not, so that each of the nine categories occurs."""
+    part = F.col("part")
+    rows = v.utxos.withColumns({"consumed_on": F.when(part % 6 == 0, None).when(part % 6 == 1, "").otherwise(F.col("consumed_on")), "stake_end": F.when(part % 11 != 0, F.col("stake_end")), "stake_start": F.when(part % 13 != 0, F.col("stake_start")), "platform_locktime": F.nullif("platform_locktime", F.lit(0))})
+    return _sums(balances.p_balances(rows, F.lit(NOW)))
+
+
 @query(_balance_sql(f"case when consumed_on <> 'x' and platform_locktime > {NOW} then 'atomicMemoryLocked' when consumed_on <> 'x' then 'atomicMemoryUnlocked' when platform_locktime > {NOW} then 'locked' else 'unlocked' end", "consuming_tx is null", "consumed_on"), "utxos")
 def balance_two_way(v: Views) -> DataFrame:
     return _sums(balances.x_balances(v.utxos.where("consuming_tx is null"), F.lit(NOW)))
@@ -425,14 +440,22 @@ def validator_top(v: Views) -> DataFrame:
     return balances.paginate(rows.select("subnet_id", "tx_hash", "start"), validators.list_order(), 10).drop("subnet_id")
 
 
-@query("""with e as (select node_id, start as ts, 0 as is_removal, tx_hash as id from validator union all select supp, ship_ts, 1, utxo_id from line where flag = 'R'),
-    w as (select *, sum(1 - is_removal) over o as starts, sum(is_removal) over o as ends from e window o as (partition by node_id order by ts, is_removal, id rows unbounded preceding)),
-    q as (select *, greatest(0, -min(starts - ends) over (partition by node_id order by ts, is_removal, id rows unbounded preceding)) as idle from w),
-    r as (select node_id, id, ts, ends - idle as k, idle = coalesce(lag(idle) over (partition by node_id order by ts, is_removal, id), 0) as takes, is_removal from q)
-    select v.tx_hash, r.id as remove_tx, r.ts as remove_ts from (select tx_hash, node_id, row_number() over (partition by node_id order by start, tx_hash) as k from validator) v left join r on r.node_id = v.node_id and r.k = v.k and r.is_removal = 1 and r.takes""", "validator", "line")
+# Registered before or after the terms of the node before; every seventh node has been paid at the ends of its terms.
+_REGISTERED = f"select *, start - (k * 7 + node_id) % 5 * 200 * {DAY} as block_ts, case when node_id % 7 = 0 then \"end\" end as reward_ts from (select *, row_number() over (partition by node_id order by start) - 1 as k from validator)"
+
+
+@query(f"""with recursive reg as ({_REGISTERED}), ev as (select node_id, block_ts as ts, 0 as is_removal, tx_hash as id, start, reward_ts from reg union all select supp, ship_ts, 1, utxo_id, null, null from line where flag = 'R'),
+    e as (select *, row_number() over (partition by node_id order by ts, is_removal, id) as i from ev),
+    s as (select node_id, i, ts, id, case when is_removal = 0 then [{{'start': start, 'id': id, 'paid': reward_ts}}] else [] end as open, null::varchar as removed from e where i = 1
+        union all select e.node_id, e.i, e.ts, e.id, case when is_removal = 0 then list_sort(list_append(live, {{'start': e.start, 'id': e.id, 'paid': e.reward_ts}})) else live[2:] end, case when is_removal = 1 then live[1].id end
+        from (select *, list_filter(open, lambda x: e_ts is null or x.paid is null or x.paid > e_ts) as live from (select s.*, e.ts as e_ts from s join e on e.node_id = s.node_id and e.i = s.i + 1)) t join e on e.node_id = t.node_id and e.i = t.i + 1)
+    select reg.tx_hash, s.id as remove_tx, s.ts as remove_ts from reg left join s on s.removed = reg.tx_hash""", "validator", "line")
 def validator_removals(v: Views) -> DataFrame:
+    """Removals may come before the start of the term that they end, and take the earliest start of those registered by then."""
     removals = v.line.where("flag = 'R'").select(F.col("utxo_id").alias("tx_id"), F.col("supp").alias("node_id"), F.lit("primary").alias("subnet_id"), F.col("ship_ts").alias("ts"))
-    return validators.apply_removals(v.validator, removals).select("tx_hash", "remove_tx", "remove_ts")
+    k = F.floor((F.col("start") - F.lit(BASE)) / (400 * DAY))
+    vals = v.validator.withColumns({"block_ts": (F.col("start") - (k * 7 + F.col("node_id")) % 5 * 200 * DAY).cast("bigint"), "reward_ts": F.when(F.col("node_id") % 7 == 0, F.col("end"))})
+    return validators.apply_removals(vals, removals).select("tx_hash", "remove_tx", "remove_ts")
 
 
 # Registry and network
