@@ -6,13 +6,18 @@ that is no number becomes null, so that one bad row never stops a job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Text = Column | str
-#: Base of the limbs in which numbers of any length are added up, and digits of one limb; the same for 256-bit numbers.
+#: Base of the decimal limbs in which numbers are added up, and digits of one limb.
 LIMB, LIMB_DIGITS = 10**9, 9
-WIDE_DIGITS, WIDE_LIMBS = 18, 5
+#: 256-bit numbers: words of six hex digits, whose products with a limb add up within 64 bits.
+WORD_DIGITS, WORDS, WIDE_LIMBS = 6, 12, 9
 
 
 def _col(c: Text) -> Column:
@@ -56,30 +61,34 @@ def hex_to_long_keep_zero(s: Text) -> Column:
     return F.when(_col(s) != "", hex_to_long(s))
 
 
-def _number(value: int, kind: str) -> Column:
-    return F.expr(f"cast('{value}' as {kind})")
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
-def _wide_text(digits: Column) -> Column:
-    """Decimal digits, with leading zeros, of up to 64 hex digits: four 64-bit words times powers of 2**64, limb by limb.
+def _limb_text(limb: Column) -> Column:
+    return F.lpad(limb.cast("string"), LIMB_DIGITS, "0")
 
-    A word times a limb has at most 38 digits, and so has the sum of four, so decimals hold them exactly.
-    """
-    wide, base = F.lpad(digits, 64, "0"), 10**WIDE_DIGITS
-    words = [F.conv(F.substring(wide, 49 - 16 * i, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
-    sums = []
-    for limb in range(WIDE_LIMBS):
-        parts = [w * _number((1 << (64 * i)) // base**limb % base, "decimal(18,0)") for i, w in enumerate(words)]
-        sums.append((parts[0] + parts[1] + parts[2] + parts[3]).cast("decimal(38,0)"))
+
+def _wide_text(digits: Column) -> Column:
+    """Decimal digits, with leading zeros, of up to 64 hex digits: words of 24 bits times the decimal limbs of their powers of two,
+    added up limb by limb, then the carries. All of it fits 64 bits."""
+    wide = F.lpad(digits, WORD_DIGITS * WORDS, "0")
+    # Two words at a time are read, and split by shifts.
+    pairs = F.array(*(F.conv(F.substring(wide, 2 * WORD_DIGITS * i + 1, 2 * WORD_DIGITS), 16, 10).cast("bigint") for i in reversed(range(WORDS // 2))))
+    mask = F.lit((1 << (4 * WORD_DIGITS)) - 1).cast("bigint")
+    halves = lambda p: [w for i in range(WORDS // 2) for x in [F.get(p, F.lit(i))] for w in (x.bitwiseAND(mask), F.shiftright(x, 4 * WORD_DIGITS))]
+
+    def limbs(w: Column) -> Column:
+        factors = [[(i, (1 << (4 * WORD_DIGITS * i)) // LIMB**k % LIMB) for i in range(WORDS)] for k in range(WIDE_LIMBS)]
+        return F.array(*(reduce(add, (F.get(w, F.lit(i)) * F.lit(f).cast("bigint") for i, f in row if f)) for row in factors))
 
     def step(acc: Column, x: Column) -> Column:
-        t = (x + acc["carry"]).cast("decimal(38,0)")
-        low = (t % _number(base, "decimal(19,0)")).cast("decimal(18,0)")
-        carry = ((t - low).cast("decimal(38,0)") / _number(base, "decimal(19,0)")).cast("decimal(38,0)")
-        return F.struct(carry.alias("carry"), F.concat(F.lpad(low.cast("string"), WIDE_DIGITS, "0"), acc["text"]).alias("text"))
+        carry = F.call_function("div", x + acc["carry"], F.lit(LIMB))
+        return F.struct(carry.alias("carry"), F.concat(_limb_text((x + acc["carry"]) % LIMB), acc["text"]).alias("text"))
 
-    start = F.struct(_number(0, "decimal(38,0)").alias("carry"), F.lit("").alias("text"))
-    return F.aggregate(F.array(*sums), start, step, lambda acc: acc["text"])
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.lit("").alias("text"))
+    return F.aggregate(_let(_let(pairs, lambda p: F.array(*halves(p))), limbs), start, step, lambda acc: acc["text"])
 
 
 def _long_text(digits: Column) -> Column:
@@ -89,7 +98,7 @@ def _long_text(digits: Column) -> Column:
     groups = F.transform(F.sequence(F.lit(0), (F.length(padded) / 7).cast("int") - 1), lambda i: F.conv(F.substring(padded, i * 7 + 1, F.lit(7)), 16, 10).cast("bigint"))
     empty = F.array().cast("array<bigint>")
 
-    def add(limbs: Column, group: Column) -> Column:
+    def fold(limbs: Column, group: Column) -> Column:
         """limbs * 16**7 + group, with carries."""
         first = F.struct(group.alias("carry"), empty.alias("out"))
 
@@ -99,8 +108,8 @@ def _long_text(digits: Column) -> Column:
 
         return F.aggregate(limbs, first, step, lambda acc: F.when(acc["carry"] > 0, F.concat(acc["out"], F.array(acc["carry"]))).otherwise(acc["out"]))
 
-    limbs = F.aggregate(groups, empty, add)
-    return F.array_join(F.reverse(F.transform(limbs, lambda x: F.lpad(x.cast("string"), LIMB_DIGITS, "0"))), "")
+    limbs = F.aggregate(groups, empty, fold)
+    return F.array_join(F.reverse(F.transform(limbs, _limb_text)), "")
 
 
 def hex_to_decimal_string(s: Text) -> Column:
@@ -108,8 +117,8 @@ def hex_to_decimal_string(s: Text) -> Column:
     s = _col(s)
     digits = _bare(s)
     size = F.length(digits)
-    text = F.when(size == 0, "0").when(size <= 31, hex_to_decimal(s).cast("string")).when(size <= 64, _wide_text(digits)).otherwise(_long_text(digits))
-    exact = F.regexp_replace(text, "^0+(?=[0-9])", "")
+    # conv() is exact up to 64 bits; longer numbers come with leading zeros, but are not zero.
+    exact = F.when(size == 0, "0").when(size <= 16, F.conv(digits, 16, 10)).when(size <= 64, F.ltrim(_wide_text(digits), F.lit("0"))).otherwise(F.ltrim(_long_text(digits), F.lit("0")))
     return F.when(s == "", "").when(_is_hex(s), exact).when(_is_decimal(s), F.regexp_replace(s, "^(-?)0+(?=[0-9])", "$1"))
 
 
