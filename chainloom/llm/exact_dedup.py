@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import if_small, join_keyed, materialize, small_batches, without_rows
+from chainloom.llm.shared import if_small, join_keyed, materialize, only_rows, small_batches
 
 BLANKS = "[\\x20\\x09-\\x0D]"
 #: Keys that a bucket may hold, and the directory's depth beyond which it is not split. Hashes of keys are distinct and evenly
@@ -136,8 +136,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """docs with the rows that stay, decided by row: an id's other texts are not touched.
 
-    Rows that repeat both the id and the text of the row that stays remain with it.
+    Of rows that repeat both the id and the text, white space aside, of the row that stays, the longest one remains.
     """
-    groups = duplicate_groups(docs, id_col, text_col, **how).where(~F.col("kept"))
-    gone = materialize(groups.select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("digest")), "dedup-gone")
-    return without_rows(docs, gone, id_col, text_col, normal_digest)
+    groups = duplicate_groups(docs, id_col, text_col, **how)
+    return only_rows(docs, groups.select(F.col(id_col).alias("id"), F.unhex("text_sha256").alias("digest"), F.col("kept").alias("stays")), id_col, text_col, normal_digest)

@@ -75,10 +75,23 @@ def join_keyed(rows: DataFrame, keyed: DataFrame, key: str, n_rows: str, how: st
     return rows.join(F.broadcast(some), key).unionByName(rows.join(F.broadcast(some.select(key)), key, "left_anti").join(rest, key, how))
 
 
-def without_rows(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
-    """docs without the rows whose id (null equals null) and digest of the text are in gone(id, digest), a written table."""
-    gone = if_small(gone.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct())
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["__id"]) & (digest(docs[text_col]) == gone["__digest"]), "left_anti")
+def only_rows(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str, digest: Callable[[Column], Column]) -> DataFrame:
+    """docs without the rows whose id (null equals null) and digest of the text are decided(id, digest, stays) not to stay.
+
+    Of rows that repeat both id and digest one stays: that of the longest text, then the greatest digest of its bytes, and any of
+    rows that do not differ in those.
+    """
+    decided = materialize(decided.groupBy("id", "digest").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n")), "decided")
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (digest(docs[text_col]) == F.col("__digest"))
+    keys = lambda rows: if_small(rows.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")))
+    docs = docs.join(keys(decided.where(~F.col("stays"))), same, "left_anti")
+    repeated = decided.where("stays and n > 1")
+    if repeated.isEmpty():
+        return docs
+    text = F.coalesce(docs[text_col], F.lit(""))
+    best = F.max_by(F.struct(*docs.columns), F.struct(F.length(text), text_digest(text))).alias("__row")
+    one = docs.join(keys(repeated), same, "left_semi").groupBy(docs[id_col].alias("__id"), digest(docs[text_col]).alias("__digest")).agg(best)
+    return docs.join(keys(repeated), same, "left_anti").unionByName(one.select("__row.*"))
 
 
 def text_digest(text: Column) -> Column:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import discard, if_small, join_keyed, materialize, small_batches, text_digest, without_rows
+from chainloom.llm.shared import discard, if_small, join_keyed, materialize, only_rows, small_batches, text_digest
 
 BITS = 64
 #: Bits of the trie that the first histogram covers at most, and those of each node that is split further: its counters are
@@ -36,8 +36,9 @@ LEAST_BITS, LEAF_ROWS, SUBTREES = 4, 1 << 17, 1 << 15
 PAIRS = 1 << 20
 #: Hashes whose bits are counted at once, and node pairs that descend at once.
 CHUNK, FRONTIER = 1 << 15, 1 << 15
-#: Least hashes of a set by which it is put into buckets, and those that may split a crowded one. Of two sets of similarity
-#: 0.8, none of KEYS is shared by 0.2**8 of all pairs, and but one of SECOND_KEYS by fewer yet: a crowded bucket loses no more.
+#: Least hashes of a set by which it is put into buckets, and those of which a pair must share two. The second names the buckets
+#: into which a crowded one is split, so crowded or not, a bucket compares the same pairs. Of two sets of similarity 0.8, none of
+#: KEYS is shared by 0.2**8 of all pairs, and but one of SECOND_KEYS by fewer yet.
 KEYS, SECOND_KEYS = 8, 12
 #: Bits of 64 that may differ in such a pair: 10 are expected at similarity 0.8, with a deviation of 3.
 WIDE_BITS = 24
@@ -341,16 +342,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _first_only(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    others = ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest")))
-    gone = materialize(groups.where(others).select("id", "digest"), "near-gone")
-    return without_rows(docs, gone, id_col, text_col, text_digest)
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("digest") == F.col("first.digest"))
+    return only_rows(docs, groups.select("id", "digest", stays.alias("stays")), id_col, text_col, text_digest)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, max_bits: int = 3, leaf_rows: int | None = None) -> DataFrame:
     """Of each component of near_duplicates() the smallest id; of an id with several texts in it, the one of least digest.
 
-    Rows are decided one by one: an id's texts in other components are not touched. Rows that repeat the id and the text of
-    the one that stays remain with it.
+    Rows are decided one by one: an id's texts in other components are not touched. Of rows that repeat the id and the text of
+    the one that stays, one remains.
     """
     return _first_only(docs, near_groups(docs, id_col, text_col, shingle_words, max_bits, leaf_rows), id_col, text_col)
 
@@ -385,10 +385,10 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) ->
 def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFrame:
     """(task, part, level, last, node, n, fp, keys): nodes(node, n, fp, keys) in the buckets that they share with others.
 
-    A node is in the bucket of each of its first KEYS keys. The rows of a bucket that is too large go to buckets of two keys
-    instead, of which the second may be any larger one. If one of those is too large yet, its members share much: they are
+    A node is in the bucket of each of its first KEYS keys, with all its keys. The rows of a bucket that is too large go to buckets
+    of two keys instead, of which the second may be any larger one. If one of those is too large yet, its members share much: they are
     dealt to parts, and tasks are the pairs of parts. level: how many keys name the bucket; last: the largest of them. Of the
-    keys, those up to the last stay.
+    keys of the second level, those up to the last stay.
     """
 
     too_large = (F.col("in_rows") > bucket_rows) | (F.col("in_shingles") > bucket_shingles)
@@ -403,7 +403,7 @@ def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFr
     dealt = materialize(nodes.select(F.explode(F.slice("keys", 1, KEYS)).alias("task"), *info), "dealt")
     one, crowded = sized(dealt, "buckets")
     upto = F.filter("keys", lambda k: _unsigned(k) <= _unsigned(F.col("last"))).alias("keys")
-    fits = one.where(~too_large).withColumn("last", F.col("task")).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), "last", "node", "n", "fp", upto)
+    fits = one.where(~too_large).withColumn("last", F.col("task")).select("task", F.lit(0).alias("part"), F.lit(1).alias("level"), "last", *info)
     if not crowded:
         return fits
     second = F.explode(F.filter("keys", lambda k: _unsigned(k) > _unsigned(F.col("task")))).alias("last")
@@ -477,13 +477,14 @@ class Buckets:
                 yield i[ok], j[ok]
 
     def first_shared(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Whether the pairs share no keys up to their bucket's last but those that name it: a pair counts in one bucket only."""
+        """Whether the pairs share two keys, and none up to their bucket's last but those that name it: a pair counts in one bucket
+        only, and in a bucket of one key just as in those of two."""
         out = np.zeros(len(i), bool)
         for at in range(0, len(i), 1 << 16):
             a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            low = self.held[a] & (self.keys[a] <= self.last[a][:, None])
-            shared = ((self.keys[a][:, :, None] == self.keys[b][:, None, :]) & self.held[b][:, None, :]).any(2) & low
-            out[at : at + (1 << 16)] = shared.sum(1) == self.level[a]
+            shared = ((self.keys[a][:, :, None] == self.keys[b][:, None, :]) & self.held[b][:, None, :]).any(2) & self.held[a]
+            low = shared & (self.keys[a] <= self.last[a][:, None])
+            out[at : at + (1 << 16)] = (low.sum(1) == self.level[a]) & (shared.sum(1) >= 2)
         return out
 
 
@@ -555,8 +556,8 @@ def similar(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, sim
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, similarity: float = 0.8, bucket_rows: int = BUCKET_ROWS, bucket_shingles: int = BUCKET_SHINGLES) -> DataFrame:
     """(id, component_id) for each row of docs: the smallest id that it reaches over pairs of the Jaccard similarity or more.
 
-    Similarity is that of the sets of shingles, and exact; a pair is compared if it shares one of its KEYS least hashes (where
-    many rows share one, two of SECOND_KEYS) and its sketches are within WIDE_BITS. Texts with equal sets form one node, texts without words
+    Similarity is that of the sets of shingles, and exact; a pair is compared if it shares one of its KEYS least hashes and a
+    larger one of its SECOND_KEYS, and its sketches are within WIDE_BITS, however many rows share the hash. Texts with equal sets form one node, texts without words
     too. Null ids are treated as in near_duplicates().
     """
     return similar(docs, id_col, text_col, shingle_words, similarity, bucket_rows, bucket_shingles).select(F.col("id").alias(id_col), F.col("first.id").alias("component_id"))

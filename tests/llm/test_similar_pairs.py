@@ -82,3 +82,43 @@ def test_crowded_buckets_keep_pairs_that_share_one_key(spark):
     # Every bucket of two rows is crowded.
     got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), similarity=0.65, bucket_rows=1).collect()}
     assert got == {i: i - i % 2 for i in range(8)}
+
+
+def test_a_crowded_bucket_compares_what_a_small_one_does(spark):
+    """Pairs that share one, two and more of their least hashes: links do not depend on how full the buckets are."""
+    from chainloom.llm import simhash
+
+    rng, texts, seen = np.random.default_rng(11), [], {1: 0, 2: 0, 3: 0}
+    while min(seen.values()) < 3:
+        words = [f"w{x}" for x in rng.integers(0, 1 << 40, 57)]
+        pair = " ".join(words), " ".join(words[: int(rng.integers(12, 50))])
+        a, b = (simhash.shingle_set(t, 5)[: simhash.SECOND_KEYS] for t in pair)
+        n = min(3, len(np.intersect1d(a, b)))
+        if n and seen[n] < 3:
+            seen[n] += 1
+            texts += pair
+    how = ({}, {"bucket_rows": 1}, {"bucket_shingles": 60})
+    small, *crowded = ({r.doc_id: r.component_id for r in simhash.similar_groups(docs(spark, texts), similarity=0.2, **h).collect()} for h in how)
+    assert crowded == [small, small] and len(set(small.values())) < len(texts)
+
+
+def test_one_of_identical_rows_stays(spark, sf):
+    from chainloom.llm import exact_dedup, simhash
+
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [(1, text), (1, text), (2, text), (3, None), (3, ""), (4, "other"), (4, "other"), (None, "x y"), (None, "x y"), (5, "a  b"), (5, "ab"), (6, "a b")]
+    table = spark.createDataFrame([(*r, "en", "s", i) for i, r in enumerate(rows)], "doc_id bigint, text string, lang string, digest string, stays int")
+    left = lambda df: sorted((r.doc_id or 0, r.text or "") for r in df.collect())
+    exact = cp.without_copies(spark, table, sf)
+    assert left(exact) == [(0, "x y"), (1, text), (3, ""), (4, "other"), (5, "a  b")] and exact.columns == table.columns
+    near = cp.without_near_copies(spark, table, sf)
+    assert left(near) == [(0, "x y"), (1, text), (3, ""), (4, "other"), (5, "a  b"), (5, "ab")]
+    both = cp.without_near_copies(spark, materialized(exact), sf)
+    assert left(both) == left(exact)
+    assert exact_dedup.drop_duplicates(table.limit(0)).count() == simhash.keep_one_similar(table.limit(0)).count() == 0
+
+
+def materialized(df):
+    from chainloom.llm.shared import materialize
+
+    return materialize(df, "test")
