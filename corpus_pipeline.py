@@ -1,7 +1,7 @@
 """A corpus from raw documents to token ids, in five stages; each stage's result is written and read again by the next.
 
-Stages decide row by row, never by id alone: rows with one id and different texts are different documents, and rows that repeat
-both go the same way. Null texts count as empty, null ids are kept as they are. An empty table gives an empty result, texts are
+Stages decide row by row, never by id alone: rows with one id and different texts are different documents, and of rows that
+repeat both the dedup stages leave one. Null texts count as empty, null ids are kept as they are. An empty table gives an empty result, texts are
 read whole, and columns that documents does not have are carried along, whatever their names, up to the last stage.
 """
 
