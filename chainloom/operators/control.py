@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -71,6 +74,41 @@ def request_health(log: DataFrame, ts: str = "ts", ms: str = "duration_ms", ok:
     return out.select(*keys, F.col("w.start").alias("win_start"), "n", "errors", p95.alias("p95"), F.least(F.lit(high), F.greatest(F.lit(low), advice)).cast("int").alias("parallelism"))
 
 
+def controlled(health: DataFrame, keys: tuple[str, ...] = ("chain",)) -> DataFrame:
+    """request_health()'s windows with the parallelism that the controller has after each, from its least on: a window's advice
+    starts from the level before. A key's windows pass through one task in order, with the level as its only state; they are a row
+    for each slide, however many requests there are."""
+    columns = [*keys, "win_start", "n", "errors", "p95"]
+    kinds = {f.name: f.dataType.simpleString() for f in health.schema.fields}
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, level = None, PARALLELISM[0]
+        for pdf in batches:
+            out = []
+            for *key, _, n, errors, p95 in pdf[columns].itertuples(index=False):
+                if key != at:
+                    at, level = key, PARALLELISM[0]
+                level = next_level(level, int(n), int(errors), None if pd.isna(p95) else float(p95))
+                out.append(level)
+            yield pdf[columns].assign(parallelism=out)
+
+    rows = health.select(columns).repartition(*keys).sortWithinPartitions(*keys, "win_start")
+    return rows.mapInPandas(walk, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", parallelism int")
+
+
+def next_level(level: int, n: int, errors: int, p95: float | None) -> int:
+    """The controller's parallelism after a look at a window of n requests."""
+    low, high = PARALLELISM
+    if n >= MIN_SAMPLES:
+        if errors > MAX_ERRORS:
+            level //= 2
+        elif p95 > MAX_P95_MS:
+            level -= 2
+        elif p95 < MAX_P95_MS / 2:
+            level += min(20, max(1, int(1.0 / (p95 / (MAX_P95_MS / 2) + 0.1))))
+    return min(high, max(low, level))
+
+
 def consumer_metrics(frames: DataFrame, ts: str = "ts", width_s: int = 1) -> DataFrame:
     """Per report of a frame log(ts in seconds, blocks, bytes, txs): what came in its window, and totals and rates up to it.
 

@@ -92,13 +92,26 @@ def pending_order(descending: bool = True) -> list[Column]:
     return [F.desc("start_time") if descending else F.asc("start_time"), F.desc("reward_type"), F.asc("tx_id")]
 
 
-def affected_stakers(p_txs: DataFrame, staking: DataFrame) -> DataFrame:
+def staker_keys(p_txs: DataFrame, primary: str = PRIMARY) -> DataFrame:
+    """(tx_id, node_id, addrs, height, tx_index) of what starts to stake on the primary network: the node, and whose answers
+    change with it; a permissionless validator has two owners."""
+    plain = F.col("tx_type").isin("AddValidatorTx", "AddDelegatorTx")
+    rows = p_txs.where(F.col("tx_type").isin(*STAKING_TYPES) & (plain | (F.col("subnet_id") == primary)))
+    own, other = (F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("validator_owner.addresses", "delegator_owner.addresses"))
+    addrs = F.when(F.col("tx_type") == "AddValidatorTx", own).when(F.col("tx_type") == "AddPermissionlessValidatorTx", F.concat(own, other)).otherwise(F.coalesce("delegator_owner.addresses", "validator_owner.addresses", F.array().cast("array<string>")))
+    return rows.select("tx_id", "node_id", addrs.alias("addrs"), "height", "tx_index")
+
+
+def _keys(node: Column, addrs: Column) -> Column:
+    return F.concat(F.array(F.struct(F.lit("node").alias("kind"), node.alias("key"))), F.transform(addrs, lambda a: F.struct(F.lit("address").alias("kind"), a.alias("key"))))
+
+
+def affected_stakers(p_txs: DataFrame, stakers: DataFrame) -> DataFrame:
     """(kind, key): nodes and addresses whose pending answers a batch of transactions changes, by starting or by ending to
-    stake; staking: all staking records so far, for what ends."""
-    begun = staking_records(p_txs).select("node_id", "reward_addrs")
-    ended = p_txs.where(F.col("tx_type") == REWARD_TX).select(F.col("staking_tx_id").alias("tx_id")).join(staking.select("tx_id", "node_id", "reward_addrs"), "tx_id").select("node_id", "reward_addrs")
-    keys = F.concat(F.array(F.struct(F.lit("node").alias("kind"), F.col("node_id").alias("key"))), F.transform(F.coalesce("reward_addrs", F.array().cast("array<string>")), lambda a: F.struct(F.lit("address").alias("kind"), a.alias("key"))))
-    return begun.unionByName(ended).select(F.explode(keys).alias("k")).select("k.kind", "k.key").where("key is not null").distinct()
+    stake; stakers: staker_keys() of all transactions so far, for what ends."""
+    begun = staker_keys(p_txs).select("node_id", "addrs")
+    ended = p_txs.where(F.col("tx_type") == REWARD_TX).select(F.col("staking_tx_id").alias("tx_id")).join(stakers.select("tx_id", "node_id", "addrs"), "tx_id").select("node_id", "addrs")
+    return begun.unionByName(ended).select(F.explode(_keys(F.col("node_id"), F.col("addrs"))).alias("k")).select("k.kind", "k.key").where("key <> ''").distinct()
 
 
 def compare_rewards(ours: DataFrame, theirs: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:

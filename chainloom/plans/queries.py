@@ -398,13 +398,13 @@ def pending_three_kinds(v: Views) -> DataFrame:
 _STAKERS = "tx_type in ('AddValidatorTx', 'AddDelegatorTx') or (tx_type in ('AddPermissionlessValidatorTx', 'AddPermissionlessDelegatorTx') and subnet_id = 'primary')"
 
 
-@query(f"""with st as (select * from p_txs where {_STAKERS}), owner as (select tx_id, node_id, case when tx_type like '%ValidatorTx' then v_owner else d_owner end as address from st),
+@query(f"""with st as (select * from p_txs where {_STAKERS}), owner as (select tx_id, node_id, unnest(case tx_type when 'AddValidatorTx' then [v_owner] when 'AddPermissionlessValidatorTx' then [v_owner, d_owner] else [d_owner] end) as address from st),
     b as (select node_id, address from owner where tx_id in (select tx_id from p_txs where status = 'O') union all select node_id, address from owner where tx_id in (select staking_tx_id from p_txs where tx_type = 'RewardValidatorTx' and status = 'O'))
     select 'node' as kind, node_id as key from b union select 'address', address from b""", "p_txs")
 def affected_keys(v: Views) -> DataFrame:
     """The batch: transactions of open lines."""
     named = lambda df: df.withColumn("subnet_id", F.when(F.col("subnet_id") == "primary", staking.PRIMARY))
-    return staking.affected_stakers(named(v.p_txs.where("status = 'O'")), staking.staking_records(named(v.p_txs)))
+    return staking.affected_stakers(named(v.p_txs.where("status = 'O'")), staking.staker_keys(named(v.p_txs)))
 
 
 _LINK = "j as (select d.*, v.tx_hash as validator_tx, row_number() over (partition by d.tx_hash order by v.start, v.tx_hash) as r from delegator d left join validator v on v.node_id = d.node_id and v.subnet_id = d.subnet_id and d.start between v.start and v.\"end\")"

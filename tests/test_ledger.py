@@ -65,7 +65,7 @@ def test_rewards(spark, ptx):
     assert (m.reward_utxo_id, int(m.reward_amount), m.completed) == ("w2", 9, True)
     assert staking.match_reward_utxo(records, r, all_matches=True).count() == 2
     assert staking.match_reward_utxo(records, r.limit(0)).first().reward_utxo_id == "NONE"
-    assert sorted(map(tuple, staking.affected_stakers(ptx.where("height = 4"), records).collect())) == [("address", "r"), ("node", "n")]
+    assert sorted(map(tuple, staking.affected_stakers(ptx.where("height = 4"), staking.staker_keys(ptx)).collect())) == [("address", "r"), ("node", "n")]
 
 
 def test_x_and_c_outputs(spark):
