@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chainloom.functions import deep_json
 from chainloom.functions.hexes import hex_to_base64, hex_to_decimal, hex_to_decimal_string, hex_to_long
 from chainloom.functions.rules import normalise_to, partition_date
 from chainloom.sources.schemas import CALL
@@ -109,19 +110,28 @@ def evm_logs(nb: DataFrame) -> DataFrame:
 NODES = 4096
 
 
+#: Places of paths that they hold together: paths get long in deep trees.
+PLACES = 1 << 20
+
+
 def _walk(text: str, children_field: str) -> Iterator[tuple[str, list[int]]]:
-    """(JSON, path) of the nodes of a JSON tree in pre-order, each without its children."""
+    """(JSON, path) of the nodes of a JSON tree in pre-order, each without its children; children that are no list are none. A
+    node whose own fields are nested too deeply to be written is null."""
     try:
-        root = json.loads(text)
+        root = deep_json.loads(text)
     except ValueError:
         return
     stack = [(root, [])]
     while stack:
         node, path = stack.pop()
         if isinstance(node, dict):
-            below = node.pop(children_field, None) or []
-            yield json.dumps(node), path
-            stack += [(below[i], [*path, i]) for i in range(len(below) - 1, -1, -1)]
+            below = node.pop(children_field, None)
+            try:
+                yield json.dumps(node), path
+            except RecursionError:
+                yield "null", path
+            if isinstance(below, list):
+                stack += [(below[i], [*path, i]) for i in range(len(below) - 1, -1, -1)]
 
 
 def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_field: str) -> DataFrame:
@@ -142,12 +152,14 @@ def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_fi
 
         for b in batches:
             found: list[tuple[int, str, list[int], int]] = []
+            places = 0
             for row, text in enumerate(b.column(node_col)):
                 for place, (node, path) in enumerate(_walk(text.as_py() or "", children_field)):
                     found.append((row, node, path, place))
-                    if len(found) >= NODES:
+                    places += len(path)
+                    if len(found) >= NODES or places >= PLACES:
                         yield together(b, found)
-                        found = []
+                        found, places = [], 0
             if found:
                 yield together(b, found)
 

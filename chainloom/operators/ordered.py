@@ -8,22 +8,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 PART = "_part"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the shared folder of the session, or to a temporary one in local mode only."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one in local mode only."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         base = spark.conf.get("spark.checkpoint.dir", None)
         if not base and not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(base or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the shared folder of the session."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

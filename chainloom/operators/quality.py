@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from chainloom.functions import deep_json
 from chainloom.operators.ordered import value_at
 
 #: Upper bounds of the magnitudes by which differences are reported.
@@ -86,7 +86,7 @@ def header_diff(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
 def _leaves(text: str | None, match: tuple[str, ...], skip: tuple[str, ...]) -> Iterator[tuple[str, str | None]]:
     try:
         # Numbers stay as they are written.
-        stack = [("$", json.loads(text or "null", parse_int=str, parse_float=str, parse_constant=str))]
+        stack = [("$", deep_json.loads(text or "null", numbers_as_text=True))]
     except ValueError:
         stack = [("$", text)]
     while stack:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from chainloom.functions import hexes, rules
 from chainloom.operators import balances, control, evm, quality, registry, staking, utxo, validators
 from chainloom.plans.views import BASE, DAY, NOW, Views, s, with_views
-from chainloom.sources import sinks
+from chainloom.operators.ordered import shared_folder
+from chainloom.sources import merge_store, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -166,6 +168,21 @@ def sliding_p95(v: Views) -> DataFrame:
     return control.request_health(log, width="2 hours", slide="30 minutes").withColumn("win_start", F.unix_seconds("win_start"))
 
 
+@query("""
+    with recursive e as (select user_id % 4 as chain, epoch_us(ts) as us, round(value * 100)::bigint as ms, event_type <> 'error' as ok from events),
+    w as (select chain, us // 1800000000 * 1800 - 1800 * k as win_start, ms, ok from e, range(4) r(k)),
+    l as (select chain, win_start, count(*) as n, count(*) filter (not ok) as errors, list_sort(list(ms)) as x from w group by all),
+    p as (select chain, win_start, n, errors, case when n >= 10 then x[(n * 95 // 100) + 1] end as p95, row_number() over (partition by chain order by win_start) as i from l),
+    s as (select chain, 0::bigint as i, 20 as level from p group by chain
+        union all select p.chain, p.i, least(200, greatest(20, case when p95 is null then level when errors > 10 then level // 2 when p95 > 1000 then level - 2 when p95 < 500 then level + least(20, greatest(1, floor(1.0::double / (p95::double / 500.0::double + 0.1::double)))) else level end))::int from s join p on p.chain = s.chain and p.i = s.i + 1)
+    select p.chain, win_start, n, errors, p95, level as parallelism from p join s on s.chain = p.chain and s.i = p.i
+""")
+def controller_levels(v: Views) -> DataFrame:
+    """As sliding_p95, with the level that the controller has after each window."""
+    log = v.table("events").select((F.col("user_id") % 4).alias("chain"), F.col("ts").cast("timestamp").alias("ts"), F.round(F.col("value") * 100).cast("bigint").alias("duration_ms"), (F.col("event_type") != "error").alias("success"))
+    return control.controlled(control.request_health(log, width="2 hours", slide="30 minutes")).withColumn("win_start", F.unix_seconds("win_start"))
+
+
 @query("select len, (select count(distinct utxo_id) from line) as n, (select count(distinct left(utxo_id, 2 * len)) from line) as n_distinct from (values (3), (4), (5), (6), (7), (8)) t(len)", "line")
 def min_unique_prefix(v: Views) -> DataFrame:
     return control.prefix_counts(v.line, "utxo_id", unit=2)
@@ -239,6 +256,17 @@ def merge_spend(v: Views) -> DataFrame:
     return utxo.merge_spend(v.out.select("utxo_id", "amount"), v.spend, ("utxo_id",))
 
 
+@query("with sp as (select utxo_id, consuming_tx, consuming_ts from utxos where flag = 'A') select outs.utxo_id, amount, created_ts, sp.consuming_tx, sp.consuming_ts from outs left join sp using (utxo_id)", "utxos")
+def merged_in_batches(v: Views) -> DataFrame:
+    """Outputs and spends of three spans of time, merged one after another into a stored table."""
+    store = merge_store.MergeStore(v.spark, f"{shared_folder(v.spark)}/merged-{uuid.uuid4().hex}", ("utxo_id",), 8)
+    bounds = [-1, BASE + 800 * DAY, BASE + 1600 * DAY, 1 << 40]
+    for k, (low, high) in enumerate(zip(bounds, bounds[1:])):
+        some = lambda df, ts: df.where((F.col(ts) >= low) & (F.col(ts) < high))  # noqa: B023, E731
+        store.merge(k, some(v.out, "created_ts").select("utxo_id", "amount", "created_ts").unionByName(some(v.spend, "consuming_ts"), allowMissingColumns=True))
+    return store.read()
+
+
 @query("select tx_id, arg_max(part, utxo_id) filter (flag = 'A') as a, arg_max(supp, utxo_id) filter (status = 'O') as b, max(utxo_id) filter (flag <> 'N') as c from line group by tx_id", "line")
 def upsert_merge(v: Views) -> DataFrame:
     rows = v.line.select("tx_id", F.col("utxo_id").alias("seq"), F.when(F.col("flag") == "A", F.col("part")).alias("a"), F.when(F.col("status") == "O", F.col("supp")).alias("b"), F.when(F.col("flag") != "N", F.col("utxo_id")).alias("c"))

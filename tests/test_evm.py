@@ -7,7 +7,8 @@ import zstandard
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainloom.operators import evm
+from chainloom.functions import deep_json
+from chainloom.operators import evm, quality
 from chainloom.sources import readers, schemas, sinks
 from chainloom.streaming import jobs
 
@@ -61,6 +62,32 @@ def test_trees_of_any_depth(spark):
     assert got[0].node.type == "t1499" and got[1500].path == [0] * 1500
 
 
+def test_trees_beyond_the_stack(spark):
+    """Trees that the standard parser has no stack for give their rows, and what is broken or odd ends no job."""
+    n = 6000
+    tree = '{"calls":[' * n + '{"type":"leaf"}' + "]}" * n
+    odd = '{"type":"odd","x":' + "[" * 100_000 + "]" * 100_000 + ',"calls":[{"type":"below"}]}'
+    rows = spark.createDataFrame([(1, tree), (2, "[" * 100_000), (3, '{"calls":5,"type":"five"}'), (4, odd)], "k int, tree string")
+    got = evm.flatten_tree(rows, "tree", "type string", "calls").select("k", "position", "node.type", F.size("path").alias("depth")).collect()
+    assert [r.position for r in got if r.k == 1] == list(range(n + 1)) and next(r for r in got if r.k == 1 and r.type == "leaf").depth == n
+    assert [(r.k, r.type, r.depth) for r in got if r.k > 1] == [(3, "five", 0), (4, None, 0), (4, "below", 1)]
+    deep = '{"a":' * 100_000 + "1.50" + "}" * 100_000
+    found = quality.leaves(spark.createDataFrame([(1, deep), (2, deep[:-1])], "id int, answer string"), "id", "answer").select("id", F.length("path").alias("n"), F.left("value", F.lit(9)).alias("value")).collect()
+    assert [tuple(r) for r in found] == [(1, 200_001, "1.50"), (2, 1, deep[:9])]
+
+
+@pytest.mark.parametrize("text", ["1", "-0.5e3", '"a\\u00e9\\n"', "[]", "{}", "[1, [2, {}], []]", '{"a": {"b": [true, false, null]}, "c": -1}', " [ 1 , 2 ] ", '{"a":1,"a":2}', "NaN", "[-Infinity]", "", "[", "[1", "[1,]", '{"a"}', '{"a":}', "{1:2}", "1 2", "tru", "[1}", '{"a":1]', "\"", "01", "-"])
+def test_deep_parser_agrees_with_the_standard_one(text):
+    for as_text in (False, True):
+        try:
+            want = json.loads(text, parse_int=str, parse_float=str, parse_constant=str) if as_text else json.loads(text)
+        except ValueError:
+            with pytest.raises(ValueError):
+                deep_json.deep(text, as_text)
+        else:
+            assert repr(deep_json.deep(text, as_text)) == repr(want)
+
+
 def test_strict_schema(spark):
     kind = T.StructType.fromDDL("a string, b array<struct<c string>>")
     lines = spark.createDataFrame([('{"a":"1","b":[{"c":"x"}]}',), ('{"a":"1","z":2,"b":[{"c":"x"},{"d":1}]}',)], "value string")
