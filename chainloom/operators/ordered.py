@@ -72,18 +72,31 @@ def running_sum(df: DataFrame, col: str, order: tuple[str, ...], keys: tuple[str
     return df.withColumn(name, F.sum(col).over(Window.partitionBy(*keys).orderBy(*order))) if keys else windowed(df, order, sums={name: col})
 
 
-def value_at(df: DataFrame, col: str, rank: int, buckets: int = 1024):
-    """The value at a rank (from 0) in the order of a numeric column without nulls, by narrowing to one of some buckets of equal
-    width until it holds but one value: a few counters reach the driver at a time."""
-    low, high = df.agg(F.min(col), F.max(col)).first()
-    rows = df.select(F.col(col).alias("x"))
-    while low != high:
-        width = float(high - low)
-        place = F.least(F.floor((F.col("x") - F.lit(low)).cast("double") / F.lit(width) * buckets), F.lit(buckets - 1))
-        found = rows.where(F.col("x").between(F.lit(low), F.lit(high))).groupBy(place.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high")).orderBy("b").collect()
-        for r in found:
-            if rank < r.n:
-                low, high = r.low, r.high
-                break
-            rank -= r.n
-    return low
+#: One over the rank error of the sketch, as a share of the rows.
+SKETCH = 10_000
+
+
+def value_at(df: DataFrame, col: str, rank: int, n: int | None = None):
+    """The value at a rank (from 0) in the order of a numeric column without nulls; df should be a written table.
+
+    Two passes whatever the spread: a quantile sketch brackets the rank, then one pass counts what lies below the bracket and the
+    values inside it, of which there are few but for ties; those are walked in parts.
+    """
+    n = df.count() if n is None else n
+    at = lambda r: min(1.0, max(0.0, r / n))
+    # Twice the error to either side; the ends of the column where the rank is near them.
+    wide = 2.0 * n / SKETCH + 2
+    low, high, least, most = df.agg(F.percentile_approx(col, F.lit(at(rank - wide)), SKETCH), F.percentile_approx(col, F.lit(at(rank + wide)), SKETCH), F.min(col), F.max(col)).first()
+    low, high = (least if rank - wide <= 0 else low), (most if rank + wide >= n else high)
+    kind = df.schema[col].dataType
+    x, low, high = F.col(col), F.lit(low).cast(kind), F.lit(high).cast(kind)
+    inside = df.where(x <= high).groupBy(F.when(x >= low, x).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    inside = checkpointed(inside)
+    below = inside.where("x is null").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if below > rank:
+        raise ArithmeticError("the sketch missed the rank")
+    upto = windowed(inside.where("x is not null"), ("x",), sums={"upto": "n"})
+    found = upto.where(F.col("upto") > rank - below).agg(F.min("x")).first()[0]
+    if found is None:
+        raise ArithmeticError("the sketch missed the rank")
+    return found

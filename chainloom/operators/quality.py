@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from chainloom.functions import deep_json
-from chainloom.operators.ordered import value_at
+from chainloom.operators.ordered import checkpointed, value_at
 
 #: Upper bounds of the magnitudes by which differences are reported.
 MAGNITUDES = (10, 100, 1000, 10000)
@@ -57,9 +57,9 @@ def diff_distribution(diffs: DataFrame, col: str = "diff") -> DataFrame:
 
 def diff_summary(diffs: DataFrame, col: str = "diff") -> DataFrame:
     """One row: least, largest and median absolute difference (the one at index n/2 in order), and their number."""
-    rows = diffs.where(F.col(col) != 0).select(F.abs(col).alias("d"))
+    rows = checkpointed(diffs.where(F.col(col) != 0).select(F.abs(col).alias("d")))
     n = rows.count()
-    median = value_at(rows, "d", n // 2) if n else None
+    median = value_at(rows, "d", n // 2, n) if n else None
     return rows.agg(F.min("d").alias("least"), F.max("d").alias("most"), F.lit(median).cast(rows.schema["d"].dataType).alias("median"), F.nullif(F.count(F.lit(1)), F.lit(0)).alias("n"))
 
 

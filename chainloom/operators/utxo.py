@@ -215,24 +215,29 @@ EXPORT_COLUMNS = {
     "PLATFORM_LOCKTIME": "platform_locktime", "STAKED": "staked", "STAKEABLE_LOCKTIME": "stakeable_locktime", "REWARD": "is_reward", "LAST_UPDATED": "last_updated", "CONSUMING_TRANSACTION_TIMESTAMP": "consuming_ts", "STAKING_START_TIME": "stake_start", "STAKING_END_TIME": "stake_end",
     "NODE_ID": "node_id", "REWARD_ADDRESSES": "reward_addresses", "CONSUMING_BLOCK_HEIGHT": "consuming_block",
 }
-EXPORT_TIMES = ("TIMESTAMP", "LAST_UPDATED", "CONSUMING_TRANSACTION_TIMESTAMP", "STAKING_START_TIME", "STAKING_END_TIME")
+EXPORT_TIMES = ("TIMESTAMP", "LAST_UPDATED", "CONSUMING_TRANSACTION_TIMESTAMP", "STAKING_START_TIME", "STAKING_END_TIME", "PLATFORM_LOCKTIME", "STAKEABLE_LOCKTIME")
+#: Those that are empty if they are not above zero, and the last second that such a text can show.
+POSITIVE_TIMES, LAST_SECOND = ("TIMESTAMP", "LAST_UPDATED"), 253_402_300_799
 
 
 def utxo_export_row(utxos: DataFrame) -> DataFrame:
-    """The warehouse's 31 columns: first owner and first credential, times as text, reward addresses as JSON; columns that
-    utxos lacks are null, and times empty."""
+    """The warehouse's 31 columns: first owner and first credential, times as text (LOCKTIME as a number), reward addresses as JSON
+    where there are any; columns that utxos lacks are null, and times empty, as are those after the year 9999."""
     kinds = dict(utxos.dtypes)
 
     def shown(name: str, source: str) -> Column:
         has = source in kinds
         if name in EXPORT_TIMES:
-            return rfc3339(F.col(source) if has else F.lit(None).cast("bigint"))
+            at = (F.col(source) if has else F.lit(None)).cast("decimal(20,0)")
+            shown_at = F.when(at.between(1, LAST_SECOND), at.cast("bigint"))
+            # A time of zero is shown where it is one: a lock that was never set has none.
+            return rfc3339(shown_at) if name in POSITIVE_TIMES else F.when(at == 0, "1970-01-01T00:00:00Z").otherwise(rfc3339(shown_at))
         if not has:
             return F.lit(None).cast("string")
         if name in ("PUBLIC_KEY", "SIGNATURE"):
             return F.get(source, F.lit(0))[name.lower()]
         if name == "ADDRESS":
             return F.get(source, F.lit(0))
-        return F.to_json(source) if name == "REWARD_ADDRESSES" else F.col(source)
+        return F.when(F.size(source) > 0, F.to_json(source)) if name == "REWARD_ADDRESSES" else F.col(source)
 
     return utxos.select(*(shown(*x).alias(x[0].lower()) for x in EXPORT_COLUMNS.items()))

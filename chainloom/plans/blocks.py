@@ -174,11 +174,24 @@ def vertices_opened(v: Views) -> DataFrame:
     return readers.read_vertices(nested(v).select(F.to_json(F.struct(F.array(vertex).alias("vertices"))).alias("page")))
 
 
-@query(f"with {_O} select max(num) as last_block, count(*) filter (num >= 1000) as from_1000, count(*) filter (num % 100 = 0 and num between 500 and 5000) as sampled from o")
+@query(f"with {_O} select max(num) as last_block from o")
 def block_reads(v: Views) -> DataFrame:
     rows = nested(v).select(hexes.hex_to_long("block.number").alias("block_number"), F.explode("block.transactions.hash").alias("t"))
-    last = readers.warehouse_last_block(rows, "block_number")
-    return last.withColumns({"from_1000": F.lit(readers.from_block(rows, 1000).count()).cast("bigint"), "sampled": F.lit(readers.sample_blocks(rows, 100, 500, 5000).count()).cast("bigint")})
+    return readers.warehouse_last_block(rows, "block_number")
+
+
+@query(f"with {_O} select num as block_number, {hx('k')} as t from o where num >= 1000")
+def blocks_from(v: Views) -> DataFrame:
+    return readers.from_block(_numbered(v), 1000)
+
+
+@query(f"with {_O} select num as block_number, {hx('k')} as t from o where num % 100 = 0 and num between 500 and 5000")
+def blocks_sampled(v: Views) -> DataFrame:
+    return readers.sample_blocks(_numbered(v), 100, 500, 5000)
+
+
+def _numbered(v: Views) -> DataFrame:
+    return nested(v).select(hexes.hex_to_long("block.number").alias("block_number"), F.explode("block.transactions.hash").alias("t"))
 
 
 @query(f"with {_O} select k, case when k % 3 = 0 then '$: extra' when k % 3 = 1 then '$.calls[]: odd' else '' end as unknown from o where k % 13 <> 0")

@@ -71,6 +71,18 @@ def p_outputs_made(v: Views) -> DataFrame:
     return made(utxo.p_outputs(p_typed(v)), "tx_id")
 
 
+_LABELS = "[" + ", ".join(f"'{t}'" for t in (*utxo.P_TX_TYPES, "AdvanceTimeTx", "UnknownTx")) + "][(tx_id % 21)::int + 1]"
+
+
+@query(f"""with {_TYPED}, r as (select *, {_LABELS} as tx_type, row_number() over (partition by tx_id order by case role when 0 then 0 when 3 then 1 when 1 then 2 else 3 end, output_index, utxo_id) - 1 as i from typed)
+    select tx_type, case role when 1 then 'stake' when 2 then 'export' else 'out' end as role, count(*) as n, count(distinct tx_id) as n_txs, sum(i)::bigint as places, sum(amount)::bigint as amount from r where {_KNOWN} and tx_id % 21 < 19 group by all""", "outs")
+def p_types(v: Views) -> DataFrame:
+    """Outputs of each of the nineteen types of P transactions, and of two that make none."""
+    label = F.get(F.array(*map(F.lit, (*utxo.P_TX_TYPES, "AdvanceTimeTx", "UnknownTx"))), (F.col("n") % 21).cast("int"))
+    rows = utxo.p_outputs(p_typed(v).withColumn("tx_type", label))
+    return rows.groupBy("tx_type", "role").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("tx_id").alias("n_txs"), F.sum("output_index").alias("places"), long(F.sum("amount")).alias("amount"))
+
+
 @query(f"""with {_TYPED}, r as (select *, row_number() over (partition by tx_id order by role, output_index, utxo_id) - 1 as i from typed)
     select tx_id::varchar as tx_id, case when role = 1 then tx_id::varchar else 'a' || part % 5 end as asset_id, i as output_index, ['out', 'state', 'operation', 'export'][role + 1] as role, case when role = 3 then case when tx_id % 2 = 0 then 'x' else 'c' end else 'x' end as consumed_on, false as staked, {_OUT_COLUMNS} from r where {_KNOWN}""", "outs")
 def x_outputs_made(v: Views) -> DataFrame:

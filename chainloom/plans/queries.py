@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +13,7 @@ from chainloom.functions import hexes, rules
 from chainloom.operators import balances, control, evm, quality, registry, staking, utxo, validators
 from chainloom.plans.views import BASE, DAY, NOW, Views, s, with_views
 from chainloom.operators.ordered import shared_folder
-from chainloom.sources import merge_store, sinks
+from chainloom.sources import merge_store, ranked, sinks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -279,10 +280,33 @@ def staking_outputs_map(v: Views) -> DataFrame:
     return utxo.staking_outputs_map(v.out, rewards).withColumn("utxo_ids", F.array_join("utxo_ids", ","))
 
 
-@query("select utxo_id, addresses[1]::varchar as address, strftime(make_timestamp(created_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ') as timestamp, coalesce(strftime(make_timestamp(consuming_ts * 1000000), '%Y-%m-%dT%H:%M:%SZ'), '') as consuming_transaction_timestamp, amount, consuming_tx as consuming_transaction_hash from utxos", "utxos")
+_AT = lambda c, least=0: f"case when {c} >= {least} then strftime(make_timestamp(({c})::bigint * 1000000), '%Y-%m-%dT%H:%M:%SZ') else '' end"
+
+
+@query(f"""select utxo_id, tx_id as transaction_hash, block_number as block_index, output_index, {_AT("created_ts * (part % 9)", 1)} as timestamp, case when staked then 'AddValidatorTx' else 'BaseTx' end as tx_type, case when part % 7 = 0 then 'STAKEABLE_LOCK' else 'TRANSFER' end as output_type, addresses[1]::varchar as address,
+    consuming_tx as consuming_transaction_hash, asset_id, platform_locktime as locktime, threshold, case when part % 4 > 0 then 'k' || supp end as public_key, case when part % 4 > 0 then 's' || part end as signature, amount, case when part % 5 = 0 then part % 8 end as group_id, case when part % 5 = 0 then 'p' || part end as payload, 'secp256k1fx' as fx_id, created_on, consumed_on,
+    {_AT("platform_locktime")} as platform_locktime, staked, {_AT("nullif(stakeable_locktime, 0)")} as stakeable_locktime, part % 6 = 0 as reward, {_AT("ship_ts", 1)} as last_updated, {_AT("consuming_ts")} as consuming_transaction_timestamp, {_AT("stake_start")} as staking_start_time, {_AT("stake_end")} as staking_end_time,
+    case when staked then supp::varchar end as node_id, case part % 3 when 1 then '["r' || supp || '"]' when 2 then '["r' || supp || '","é"]' end as reward_addresses, case when flag = 'A' then (block_number + 9)::varchar end as consuming_block_height from utxos""", "utxos")
 def utxo_export_row(v: Views) -> DataFrame:
-    rows = utxo.utxo_export_row(v.utxos.withColumns({"block_timestamp": F.col("created_ts"), "addresses": F.col("addresses").cast("array<string>")}))
-    return rows.select("utxo_id", "address", "timestamp", "consuming_transaction_timestamp", "amount", "consuming_transaction_hash")
+    part, supp = F.col("part"), s("supp")
+    text = lambda name: F.concat(F.lit(name), supp)
+    one = F.struct(text("k").alias("public_key"), F.concat(F.lit("s"), s(part)).alias("signature"))
+    rows = v.utxos.withColumns({
+        "tx_hash": F.col("tx_id"), "block_timestamp": F.col("created_ts") * (part % 9), "tx_type": F.when(F.col("staked"), "AddValidatorTx").otherwise("BaseTx"), "utxo_type": F.when(part % 7 == 0, "STAKEABLE_LOCK").otherwise("TRANSFER"), "addresses": F.col("addresses").cast("array<string>"),
+        "credentials": F.when(part % 4 == 1, F.array(one)).when(part % 4 > 1, F.array(one, one)).otherwise(F.array().cast("array<struct<public_key:string,signature:string>>")), "group_id": F.when(part % 5 == 0, part % 8), "payload": F.when(part % 5 == 0, F.concat(F.lit("p"), s(part))), "fx_id": F.lit("secp256k1fx"),
+        "stakeable_locktime": F.nullif("stakeable_locktime", F.lit(0)), "is_reward": part % 6 == 0, "last_updated": F.col("ship_ts"), "node_id": F.when(F.col("staked"), supp), "reward_addresses": F.when(part % 3 == 0, F.array().cast("array<string>")).when(part % 3 == 1, F.array(text("r"))).otherwise(F.array(text("r"), F.lit("é"))),
+        "consuming_block": F.when(F.col("flag") == "A", s(F.col("block_number") + 9)),
+    })
+    return utxo.utxo_export_row(rows)
+
+
+@query("select utxo_id, amount, position::int as position, base64('12505'::blob) as next_token from (select utxo_id, amount, row_number() over (order by amount desc, utxo_id desc) as position from utxos) where position between 12481 and 12505 and (select count(*) from utxos) > 12505 union all select utxo_id, amount, position::int, null from (select utxo_id, amount, row_number() over (order by amount desc, utxo_id desc) as position from utxos) where position between 12481 and 12505 and (select count(*) from utxos) <= 12505", "utxos")
+def deep_page(v: Views) -> DataFrame:
+    """A page deep in the order of all outputs, from the block that has it."""
+    root = f"{shared_folder(v.spark)}/ranked-{uuid.uuid4().hex}"
+    ranked.write_ranked(v.utxos.select("utxo_id", "amount"), [F.desc("amount"), F.desc("utxo_id")], root, 5000)
+    page = ranked.read_page(v.spark, root, 25, base64.b64encode(b"12480").decode())
+    return page.withColumn("position", F.col("position").cast("int"))
 
 
 @query("select utxo_id, '0x' || utxo_id || right(sha256(unhex(utxo_id)), 8) as checked from line", "line")
