@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import join_keyed, materialize
+from chainloom.llm.shared import if_small, join_keyed, materialize
 from chainloom.llm.spans import matches
 
 FINDING = "array<struct<rule:string,kind:string,start:int,end:int>>"
@@ -64,6 +64,17 @@ def addressed(versions: DataFrame, path_col: str, content_col: str) -> DataFrame
     return versions.select(F.col(path_col).alias("path"), F.coalesce(content_col, F.lit("")).alias("content")).withColumn("blob", F.unhex(F.sha2("content", 256)))
 
 
+def combined(versions: DataFrame, paths: DataFrame) -> DataFrame:
+    """versions(path, content, blob) with rows that repeat path and blob made one, by each task first, before they are dealt."""
+    repeated = materialize(paths.groupBy("path", "blob").count().where("count > 1").select(F.col("path").alias("p"), F.col("blob").alias("r")), "secret-repeated")
+    if repeated.isEmpty():
+        return versions
+    keys = if_small(repeated)
+    again = versions["path"].eqNullSafe(F.col("p")) & (versions["blob"] == F.col("r"))
+    one = versions.join(keys, again, "left_semi").groupBy("path", "blob").agg(F.first("content").alias("content"))
+    return versions.join(keys, again, "left_anti").unionByName(one)
+
+
 def scan(versions: DataFrame, paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """New ledger rows (blob, rules, found) for the blobs of addressed versions and the rule versions not in the ledger.
 
@@ -78,10 +89,10 @@ def scan(versions: DataFrame, paths: DataFrame, ledger: DataFrame | None = None,
     else:
         wanted = wanted.withColumn("rules", names)
     wanted = wanted.withColumnRenamed("blob", "b")
-    blobs = versions.join(wanted, F.col("path").eqNullSafe(F.col("of")) & (F.col("blob") == F.col("b")))
+    blobs = combined(versions, paths).join(wanted, F.col("path").eqNullSafe(F.col("of")) & (F.col("blob") == F.col("b")))
     none = F.array().cast(FINDING)
     found = F.concat(*(F.when(F.array_contains("rules", r.name), r.spans(F.col("content"))).otherwise(none) for r in rules))
-    return blobs.select("blob", "rules", found.alias("found")).dropDuplicates(["blob"])
+    return blobs.select("blob", "rules", found.alias("found"))
 
 
 def findings(versions: DataFrame, path_col: str = "doc_id", content_col: str = "text", ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:

@@ -7,8 +7,8 @@ is under the query's k-th best score so far at any resolution is left, and only
 
 Every query starts with a threshold from a bounded sample of candidates, which all blocks share. Candidates are dealt to cells
 by the signs of their segments' means; the range of a cell's statistics bounds the scores of all its members, so queries are
-sent to those cells alone that may hold one of their best. Large cells are cut into blocks; a task has one block of candidates
-and one of queries, and returns what may be among the k best.
+sent to those cells alone that may hold one of their best. A cell's candidates and the queries sent to it are cut into blocks; a
+task has one block of candidates and one of queries, and returns what may be among the k best.
 """
 
 from __future__ import annotations
@@ -183,6 +183,17 @@ def may_hold(cell: Column, signs: int) -> Column:
     return F.col("floor").isNull() | (bound >= F.col("floor"))
 
 
+def in_blocks(q: DataFrame, c: DataFrame, cells: DataFrame, query_rows: int) -> tuple[DataFrame, DataFrame]:
+    """q(id, v, d, floor, cell), a written table, and c(id, v, copies, d, cell) dealt to (d, cell, part, qb). A cell's queries are cut
+    into blocks, and its candidates go to those alone; a cell that no query may need is left out. cells: (d, cell, parts)."""
+    sizes = q.groupBy("d", "cell").agg(F.ceil(F.count(F.lit(1)) / query_rows).cast("int").alias("blocks")).join(cells, ["d", "cell"])
+    sizes = F.broadcast(materialize(sizes, "topk-blocks"))  # a row a cell, of which there are few for each length of vectors
+    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    queries = q.join(sizes, ["d", "cell"]).withColumn("qb", spread("blocks")).select("id", "v", "d", "floor", "cell", "qb", every("parts").alias("part"))
+    return queries, c.join(sizes, ["d", "cell"]).withColumn("part", spread("parts")).select("id", "v", "copies", "d", "cell", "part", every("blocks").alias("qb"))
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", factor: float = 64.0, query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of queries its k highest inner products with other rows of vectors.
 
@@ -201,19 +212,16 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "ve
     bits = F.transform("stats", lambda t, s: F.when(t["m"] >= 0, F.pow(F.lit(2), s)).otherwise(0).cast("int"))
     c = c.withColumn("cell", F.aggregate(bits, F.lit(0), lambda a, x: a + x))
     c = materialize(c, "topk-cells")
-    q = materialize(segments_of(with_floor(q, c, k), signs), "topk-queries")
-    n_q = max(1, -(-q.count() // query_rows))
+    q = segments_of(with_floor(q, c, k), signs)
 
     each = [F.get(F.col("stats"), F.lit(s)) for s in range(signs)]
     ranges = [F.array(*(f(t[x]) for t in each)).alias(name) for name, f, x in (("lo", F.min, "m"), ("hi", F.max, "m"), ("dev", F.max, "s"))]
     cells = c.groupBy("d", "cell").agg(F.ceil(F.count(F.lit(1)) / candidate_rows).cast("int").alias("parts"), *ranges)
     # At most 2**SIGNS cells for each length of vectors: one row a length.
     cells = materialize(cells.groupBy("d").agg(F.collect_list(F.struct("cell", "parts", "lo", "hi", "dev")).alias("cells")), "topk-ranges")
-    q = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(n_q)).cast("int")).join(cells, "d")
-    q = q.withColumn("to", F.explode(F.filter("cells", lambda x: may_hold(x, signs)))).select("id", "v", "d", "floor", "qb", F.col("to.cell").alias("cell"), F.explode(F.sequence(F.lit(0), F.col("to.parts") - 1)).alias("part"))
-    sizes = cells.select("d", F.inline("cells")).select("d", "cell", "parts")
-    c = c.join(sizes, ["d", "cell"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    c = c.select("id", "v", "copies", "d", "cell", "part", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))).alias("qb"))
+    q = q.join(cells, "d").withColumn("to", F.explode(F.filter("cells", lambda x: may_hold(x, signs)))).select("id", "v", "d", "floor", F.col("to.cell").alias("cell"))
+    q = materialize(q, "topk-queries")
+    q, c = in_blocks(q, c, cells.select("d", F.inline("cells")).select("d", "cell", "parts"), query_rows)
 
     def block(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]

@@ -71,6 +71,18 @@ def test_op6_edges(spark):
     assert secrets.findings(odd(spark).limit(0))[0].count() == 0
 
 
+def test_op6_scans_each_blob_once(spark):
+    """Rows that repeat path and content, and paths that share a content, cost one scan: scan() has a row for each that it scanned."""
+    text = "password = abcdef123 " * 20
+    rows = [(1, text)] * 50 + [(2, text)] * 3 + [(None, text)] * 4 + [(3, "other")] * 2 + [(4, "plain"), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    versions = secrets.addressed(df, "doc_id", "text")
+    assert secrets.scan(versions, versions.select("path", "blob")).count() == 4
+    assert secrets.combined(versions, versions.select("path", "blob")).count() == 6
+    found, _ = secrets.findings(df)
+    assert found.count() == len(rows) and {len(r.found) for r in found.where("doc_id in (1, 2) or doc_id is null").collect()} == {20}
+
+
 def test_op6_ledger_scans_only_what_is_new(spark):
     first, ledger = secrets.findings(odd(spark))
     again, new = secrets.findings(odd(spark), ledger=ledger)

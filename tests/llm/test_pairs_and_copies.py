@@ -199,3 +199,21 @@ def test_op3_cells_leave_out_what_cannot_reach_the_floor(spark):
     for i in range(0, 600, 20):
         best = sorted((-s[i, j], j) for j in range(600) if j != i)[:5]
         assert sorted(got[i]) == [(r, j, -x) for r, (x, j) in enumerate(best, 1)]
+
+
+def test_op3_ships_candidates_to_the_blocks_that_need_them(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    corners = np.array([[(1 if (k >> b) & 1 else -1) * 4.0 for b in range(3)] for k in range(8)]).repeat(8, axis=1)
+    x = corners[rng.integers(0, 8, 2000)] + rng.normal(size=(2000, 24)) * 0.1
+    df = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    seen, real = [], topk.in_blocks
+    monkeypatch.setattr(topk, "in_blocks", lambda q, c, cells, n: seen.append(real(q, c, cells, n)) or seen[-1])
+    got = topk.top_k(df, df.where("vec_id % 5 = 0"), k=5, query_rows=40, candidate_rows=250)
+    v = np.floor(x * 64).astype(np.int64)
+    want = {i: [int(j) for j in sorted((j for j in range(2000) if j != i), key=lambda j: (-(v[i] @ v[j]), j))[:5]] for i in range(0, 2000, 100)}
+    rows = {}
+    for r in got.orderBy("query_id", "rank").collect():
+        rows.setdefault(r.query_id, []).append(r.vec_id)
+    assert {i: rows[i] for i in want} == want and len(rows) == 400
+    (q, c), blocks = seen[0], -(-400 // 40)
+    assert c.count() < 0.25 * 2000 * blocks and q.select("cell", "part", "qb").distinct().count() == c.select("cell", "part", "qb").distinct().count()
