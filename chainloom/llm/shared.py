@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from weakref import WeakKeyDictionary
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,6 +107,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
+def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's batches; after the last, the memory that it has freed goes back to the system, since idle workers would keep it."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # C libraries without it
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Bytes and rows of the batches that tasks send to Python: texts may be long, and several copies of a batch are in memory.
 BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chainloom.llm.shared import discard, if_small, join_keyed, materialize, only_rows, small_batches, text_digest
+from chainloom.llm.shared import discard, if_small, join_keyed, materialize, only_rows, small_batches, text_digest, tidied
 
 BITS = 64
 #: Bits of the trie that the first histogram covers at most, and those of each node that is split further: its counters are
@@ -379,7 +379,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) ->
             yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "node", "n", "fp", "keys", "shingles"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return small_batches(docs.select(id_col, text_col)).mapInArrow(run, f"id {kind}, digest binary, node bigint, n bigint, fp bigint, keys array<bigint>, shingles binary")
+    return small_batches(docs.select(id_col, text_col)).mapInArrow(lambda it: tidied(run(it)), f"id {kind}, digest binary, node bigint, n bigint, fp bigint, keys array<bigint>, shingles binary")
 
 
 def bucketed(nodes: DataFrame, bucket_rows: int, bucket_shingles: int) -> DataFrame:
@@ -542,10 +542,10 @@ def similar_links(nodes: DataFrame, rows: DataFrame, similarity: float, bucket_r
     """
     dealt = bucketed(nodes, bucket_rows, bucket_shingles)
     dealt = small_batches(dealt.repartition("task").sortWithinPartitions("task"))
-    found = materialize(dealt.mapInArrow(lambda it: with_candidates(it, similarity), dealt.schema), "candidates")
+    found = materialize(dealt.mapInArrow(lambda it: tidied(with_candidates(it, similarity)), dealt.schema), "candidates")
     sets = rows.select("node", "shingles").join(if_small(found.select("node").distinct()), "node", "left_semi").dropDuplicates(["node"])
     pairs = found.join(sets, "node").repartition("task").sortWithinPartitions("task")
-    return pairs.mapInArrow(lambda it: confirmed_links(it, similarity), "u bigint, v bigint")
+    return pairs.mapInArrow(lambda it: tidied(confirmed_links(it, similarity)), "u bigint, v bigint")
 
 
 def similar(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, similarity: float, bucket_rows: int, bucket_shingles: int) -> DataFrame:
