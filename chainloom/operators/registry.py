@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from chainloom.functions.rules import evm_chain_id, parse_genesis
 from chainloom.operators.control import fix_timestamps
 from chainloom.operators.staking import PRIMARY
+from chainloom.sources.versions import VersionLog
 
 
 def latest(events: DataFrame, key: str, value: Column, order: Column) -> DataFrame:
@@ -128,21 +130,23 @@ def network_stats(vals: DataFrame, peers: DataFrame, supply: Column) -> DataFram
     return out.withColumn("staking_ratio", (staked / supply.cast("decimal(20,0)")).cast("decimal(38,20)"))
 
 
-def snapshot_refresh(make, path: str) -> DataFrame:
-    """Write make() beside the snapshot at path and switch to it by adding it as the newest version; on an error the
-    old one stays. Returns the snapshot that readers now see."""
-    import time
-
+def snapshot_refresh(make, path: str, keep: int = 2) -> DataFrame:
+    """Write make() beside the snapshot at path and switch to it by the next number of its log; on an error the old one stays,
+    and of two writers one wins. Older snapshots than the last `keep` are deleted. Returns what readers now see."""
     df = make()
-    version = int(time.time() * 1000)
-    df.write.parquet(f"{path}/version={version}")
+    log, folder = VersionLog(df.sparkSession, f"{path.rstrip('/')}/_versions"), f"data/{uuid.uuid4().hex}"
+    number = log.latest()[0] + 1
+    df.write.parquet(f"{path.rstrip('/')}/{folder}")
+    log.commit(number, {"folder": folder})
+    for old in log.versions()[:-keep]:
+        log.delete(f"{path.rstrip('/')}/{log.read(old)['folder']}")
+        log.forget(old)
     return read_snapshot(df.sparkSession, path)
 
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The newest whole version."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException as e:
-        raise ValueError(f"no snapshot at {path}") from e
-    return rows.where(F.col("version") == rows.agg(F.max("version")).first()[0]).drop("version")
+    number, value = VersionLog(spark, f"{path.rstrip('/')}/_versions").latest()
+    if not number:
+        raise ValueError(f"no snapshot at {path}")
+    return spark.read.parquet(f"{path.rstrip('/')}/{value['folder']}")

@@ -1,5 +1,6 @@
 """Typed transactions of three chains to the UTXO table, and the queries over it at the edges of time."""
 
+import os
 import random
 from decimal import Decimal as D
 
@@ -193,6 +194,12 @@ def test_subnets_and_snapshots(spark, tmp_path):
     with pytest.raises(ZeroDivisionError):
         registry.snapshot_refresh(lambda: 1 / 0, path)
     assert registry.read_snapshot(spark, path).count() == 3
+    old = registry.read_snapshot(spark, path)
+    assert registry.snapshot_refresh(lambda: spark.range(5), path).count() == 5 and old.count() == 3
+    registry.snapshot_refresh(lambda: spark.range(6), path)
+    assert len([f for f in os.listdir(f"{path}/data") if not f.startswith(".")]) == 2
+    with pytest.raises(ValueError):
+        registry.read_snapshot(spark, str(tmp_path / "nothing"))
 
 
 def test_streams(spark, tmp_path):
