@@ -145,7 +145,8 @@ def _raked(rounds: int = mixing.ROUNDS, scales: int = 16) -> str:
     for k in range(scales):
         full = f"tokens = 0 or weight * s{k}.s >= tokens"
         out += f"s{k + 1} as (select greatest(any_value(s{k}.s), coalesce((0.8 * sum(tokens) - sum(case when {full} then tokens else 0 end)) / nullif(sum(case when {full} then 0 else weight end), 0), 0)) as s from {last}, s{k}),\n"
-    return out + f"fitted as (select {last}.* exclude (weight), case when tokens > 0 then weight * s{scales}.s / tokens else 1 end as ratio from {last}, s{scales})"
+    miss = ", ".join(f"abs(sum(weight) over (partition by {k}) - {k}_share)" for k in ("source", "lang", "topic"))
+    return out + f"fitted as (select {last}.* exclude (weight), round(greatest({miss}), 5) as margin_miss, case when tokens > 0 then weight * s{scales}.s / tokens else 1 end as ratio from {last}, s{scales})"
 
 
 MIXING = rf"""
@@ -160,8 +161,8 @@ MIXING = rf"""
         select cells.*, tokens::double as weight, ts.t / (select sum(t) from ts) as source_share, tl.t / (select sum(t) from tl) as lang_share, tt.t / (select sum(t) from tt) as topic_share
         from cells join ts using (source) join tl using (lang) join tt using (topic)
     ), {_raked()},
-    p as (select source, lang, topic, round(least(ratio, 1), 9) as probability, round(greatest(ratio, 1), 6) as weight from fitted)
-    select doc_id, source, lang, topic, n_tokens, probability, weight, ('0x' || substr(sha256(doc_id || ':0'), 1, 13))::bigint / 4503599627370496.0::double < probability as kept
+    p as (select source, lang, topic, round(least(ratio, 1), 9) as probability, round(greatest(ratio, 1), 6) as weight, margin_miss from fitted)
+    select doc_id, source, lang, topic, n_tokens, probability, weight, margin_miss, ('0x' || substr(sha256(doc_id || ':0'), 1, 13))::bigint / 4503599627370496.0::double < probability as kept
     from d join p using (source, lang, topic)
 """
 

@@ -44,8 +44,11 @@ def test_crowded_margins_are_summed_without_windows(spark, monkeypatch):
     targets = targets_of(spark, source={f"s{a}": 1.0 + a % 5 for a in range(30)}, lang={"l0": 1.0, "l1": 2.0, "l2": 3.0})
     fit = lambda: mixing.fit_cells(cells_of(spark, rows), targets).toPandas().sort_values(["source", "lang"])
     want = fit()
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", 0)
+    apart = fit()
     monkeypatch.setattr(mixing, "WINDOW_CELLS", 5)
-    assert np.allclose(fit().weight, want.weight, rtol=1e-9)
+    for got in (apart, fit()):
+        assert np.allclose(got.weight, want.weight, rtol=1e-9) and (got.miss <= mixing.TOLERANCE).all()
 
 
 def test_each_row_is_sampled_for_itself(spark):
@@ -61,8 +64,14 @@ def test_each_row_is_sampled_for_itself(spark):
     assert own.where("topic <> source").isEmpty()
 
 
-def test_margins_that_cannot_hold_are_named(spark, monkeypatch):
+@pytest.mark.parametrize("one_task", [1 << 16, 0])
+def test_margins_that_cannot_hold_are_named(spark, monkeypatch, one_task):
     monkeypatch.setattr(mixing, "MOST_ROUNDS", 10)
+    monkeypatch.setattr(mixing, "ONE_TASK_CELLS", one_task)
     targets = targets_of(spark, source={"a": 0.9, "b": 0.1}, lang={"x": 0.1, "y": 0.9})
     with pytest.warns(UserWarning, match="source 'a'"):
-        mixing.fit_cells(cells_of(spark, [("a", "x", 10), ("b", "y", 10)]), targets, tolerance=1e-6)
+        got = mixing.fit_cells(cells_of(spark, [("a", "x", 10), ("b", "y", 10), ("a", "y", 0)]), targets, tolerance=1e-6)
+    assert all(abs(r.miss - 0.8) < 1e-9 for r in got.collect())
+    docs = spark.createDataFrame([(1, "one two", "a", "x"), (2, "three", "b", "y")], "doc_id bigint, text string, source string, lang string")
+    with pytest.warns(UserWarning, match="margins miss"):
+        assert {r.margin_miss for r in mixing.mix(docs, targets=targets).collect()} == {0.8}
