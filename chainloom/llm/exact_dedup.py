@@ -36,6 +36,13 @@ def normal_digest(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
+def entries_of(docs: DataFrame, id_col: str, text_col: str, hash_of: Callable[[Column], Column]) -> DataFrame:
+    """(id, n, norm, h) of each row: code points of the text, and the text without white space and its hash."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    entries = docs.select(F.col(id_col).alias("id"), F.length(text).alias("n"), normalised(F.col(text_col)).alias("norm"))
+    return entries.withColumn("h", hash_of(F.col("norm")).cast("bigint"))
+
+
 def build_directory(counts: dict[int, int], bucket_keys: int, max_depth: int = MAX_DEPTH) -> list[int]:
     """Bucket of each slot of the directory; counts: keys by the first max_depth bits of the hash.
 
@@ -102,9 +109,7 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     are ignored. Very long texts are hashed and compared whole.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    entries = docs.select(F.col(id_col).alias("id"), F.length(text).alias("n"), normalised(F.col(text_col)).alias("norm"))
-    entries = entries.withColumn("h", hash_of(F.col("norm")).cast("bigint"))
+    entries = entries_of(docs, id_col, text_col, hash_of)
     log = materialize(entries.select("id", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "dedup-log")
     keys = materialize(log.groupBy("h").count().where("count > 1"), "dedup-keys")
 
