@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import tempfile
@@ -34,23 +35,55 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: cuts lineage, and survives a lost executor."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_clear, *_files(spark))
+    _WRITTEN.add(path)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[out] = path
     return out
 
 
-#: Folders of the tables that materialize() wrote, for as long as somebody holds them.
+#: Folders of the tables that materialize() wrote, for as long as somebody holds them; and all that are not deleted yet.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_WRITTEN: set[str] = set()
+
+
+def _files(spark: SparkSession) -> tuple:
+    """What deleting files takes, also after the session has stopped."""
+    return spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+
+def _delete(path: str, path_class, conf) -> None:
+    folder = path_class(path)
+    folder.getFileSystem(conf).delete(folder, True)
+    _WRITTEN.discard(path)
+
+
+def _clear(path_class, conf) -> None:
+    """At the end of the driver, whose lazy tables end with it; a Java process that is gone already leaves its files."""
+    with contextlib.suppress(Exception):
+        for path in list(_WRITTEN):
+            _delete(path, path_class, conf)
 
 
 def discard(table: DataFrame) -> None:
     """Delete the files of a table of materialize() that nothing reads any more: that of a finished round."""
     path = _FOLDERS.pop(table, None)
     if path:
-        spark = table.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        _delete(path, *_files(table.sparkSession))
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete all intermediate tables that this driver's operators have written, and return how many there were.
+
+    Results are lazy and read those tables, so store them first; results that are not stored cannot be read afterwards. A driver
+    that ends by itself does the same; what one that was killed has left is in the shared folder under the operators' names.
+    """
+    paths = list(_WRITTEN)
+    for path in paths:
+        _delete(path, *_files(spark))
+    return len(paths)
 
 
 #: Rows that a join may broadcast; a larger side is shuffled instead.

@@ -1,6 +1,8 @@
 """Joins beyond what may be broadcast give what the broadcast ones give; folders of finished rounds are deleted."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -56,3 +58,33 @@ def test_finished_folders_go(spark):
     folders = lambda: {d for d in os.listdir(os.path.dirname(path)) if d.startswith("links-")}
     before = folders()
     assert simhash.components(links).count() == 300 and len(folders() - before) == 1
+
+
+ENDS = """
+import sys
+from pyspark.sql import SparkSession
+from chainloom.llm import exact_dedup
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+docs = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id bigint, text string")
+exact_dedup.duplicate_groups(docs).write.parquet(sys.argv[2])
+if len(sys.argv) > 3:
+    spark.stop()
+"""
+
+
+@pytest.mark.parametrize("stop", [[], ["stop"]])
+def test_a_driver_that_ends_leaves_no_intermediate_tables(spark, tmp_path, stop):
+    shared_folder, out = tmp_path / "shared", tmp_path / "out"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    subprocess.run([sys.executable, "-c", ENDS, str(shared_folder), str(out), *stop], check=True, cwd=root, timeout=180)
+    assert spark.read.parquet(str(out)).count() == 3
+    assert not [d for d in os.listdir(shared_folder) if d.startswith("dedup")]
+
+
+def test_clear_deletes_what_was_written(spark, monkeypatch):
+    monkeypatch.setattr(shared, "_WRITTEN", set())
+    tables = [shared.materialize(spark.range(3), "one"), shared.materialize(spark.range(4), "two")]
+    paths = [t.inputFiles()[0].removeprefix("file:") for t in tables]
+    shared.discard(tables[0])
+    assert not os.path.exists(paths[0]) and os.path.exists(paths[1])
+    assert shared.clear(spark) == 1 and not os.path.exists(paths[1]) and shared.clear(spark) == 0
