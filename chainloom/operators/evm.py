@@ -139,7 +139,7 @@ def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_fi
     its place in pre-order from 0.
 
     A tree is opened where its row is, in one pass, however deep it is: there is no shuffle. Text that is no JSON, and nodes
-    that are no objects, give no rows.
+    that are no objects, give no rows; unreadable_trees() names the former.
     """
     keys = [c for c in roots.columns if c != node_col]
 
@@ -167,6 +167,29 @@ def flatten_tree(roots: DataFrame, node_col: str, child_schema: str, children_fi
     return roots.mapInArrow(run, kinds).withColumn("node", F.from_json("node", child_schema))
 
 
+def unreadable_trees(roots: DataFrame, node_col: str) -> DataFrame:
+    """The rows that flatten_tree() gives nothing for although they have a text: roots' other columns and `reason`, which says
+    where the text stops being JSON, or what it is instead of an object."""
+    keys = [c for c in roots.columns if c != node_col]
+
+    def reason(text: str | None) -> str | None:
+        if text is None:
+            return None
+        try:
+            root = deep_json.loads(text)
+        except ValueError as e:
+            return f"no JSON: {e}"
+        return None if isinstance(root, dict) else f"no object: {type(root).__name__}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            reasons = pa.array([reason(t.as_py()) for t in b.column(node_col)], pa.string())
+            kept = pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), reasons], names=[*keys, "reason"])
+            yield kept.filter(reasons.is_valid())
+
+    return roots.mapInArrow(run, T.StructType([roots.schema[k] for k in keys]).add("reason", "string"))
+
+
 def evm_internal_txs(nb: DataFrame) -> DataFrame:
     """One row a call of each trace, in pre-order: callindex `call_0`, `call_0_1` and so on, trace_position from 0 in each
     transaction. Null traces give no rows; null values are 0."""

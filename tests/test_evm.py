@@ -62,6 +62,16 @@ def test_trees_of_any_depth(spark):
     assert got[0].node.type == "t1499" and got[1500].path == [0] * 1500
 
 
+def test_trees_without_rows_are_named(spark):
+    deep = '{"calls":[' * 6000 + "{}" + "]}" * 6000
+    rows = spark.createDataFrame([(1, "{}"), (2, None), (3, "no json"), (4, "[1]"), (5, '{"calls":null}'), (6, deep), (7, deep[:-1]), (8, ""), (9, "5")], "k int, tree string")
+    named = {r.k: r.reason for r in evm.unreadable_trees(rows, "tree").collect()}
+    assert sorted(named) == [3, 4, 7, 8, 9] and all(named[k].startswith("no JSON: ") for k in (3, 7, 8))
+    assert (named[4], named[9]) == ("no object: list", "no object: int")
+    opened = {r.k for r in evm.flatten_tree(rows, "tree", "type string", "calls").select("k").distinct().collect()}
+    assert opened == {1, 5, 6} and evm.unreadable_trees(rows.limit(0), "tree").count() == 0
+
+
 def test_trees_beyond_the_stack(spark):
     """Trees that the standard parser has no stack for give their rows, and what is broken or odd ends no job."""
     n = 6000
