@@ -1,5 +1,6 @@
 """Every registered ledger query against its SQL, over whole small tables."""
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -14,3 +15,21 @@ def test_query(name, spark, sf, duck, same_rows):
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.fixture(scope="module")
+def shared_owner(sf, tmp_path_factory):
+    """The small tables with orders whose customer has the address of a line's supplier, as in larger tables, and SQL over them."""
+    folder, con = tmp_path_factory.mktemp("owners"), duckdb.connect()
+    supp = "(select any_value(l_suppkey) from lineitem where l_orderkey = o_orderkey)"
+    for t in ("customer", "supplier", "lineitem", "orders"):
+        con.execute(f"create table {t} as select * from '{sf}/{t}.parquet'")
+    con.execute(f"update orders set o_custkey = 100000 + {supp} where o_orderkey % 3 = 0 and {supp} is not null")
+    for t in ("customer", "supplier", "lineitem", "orders"):
+        con.execute(f"copy {t} to '{folder}/{t}.parquet'")
+    return str(folder), con
+
+
+def test_one_owner_counts_once_multisig(spark, same_rows, shared_owner):
+    folder, con = shared_owner
+    same_rows(QUERIES["multisig_spendable"](spark, folder).toPandas(), con.execute(ORACLE_SQL["multisig_spendable"]).df())
