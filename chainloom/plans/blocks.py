@@ -174,10 +174,11 @@ def vertices_opened(v: Views) -> DataFrame:
     return readers.read_vertices(nested(v).select(F.to_json(F.struct(F.array(vertex).alias("vertices"))).alias("page")))
 
 
-@query(f"with {_O} select max(num) as last_block from o")
+@query(f"with {_O} select max(num) as last_block, count(*) filter (num >= 1000) as from_1000, count(*) filter (num % 100 = 0 and num between 500 and 5000) as sampled from o")
 def block_reads(v: Views) -> DataFrame:
-    rows = nested(v).select(hexes.hex_to_long("block.number").alias("block_number"), F.explode("block.transactions.hash").alias("t"))
-    return readers.warehouse_last_block(rows, "block_number")
+    rows = _numbered(v)
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    return readers.warehouse_last_block(rows, "block_number").crossJoin(count(readers.from_block(rows, 1000), "from_1000")).crossJoin(count(readers.sample_blocks(rows, 100, 500, 5000), "sampled"))
 
 
 @query(f"with {_O} select num as block_number, {hx('k')} as t from o where num >= 1000")

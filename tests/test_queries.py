@@ -38,3 +38,12 @@ def test_one_owner_counts_once_multisig(spark, same_rows, shared_owner):
 def test_one_owner_counts_once_exploded(spark, same_rows, shared_owner):
     folder, con = shared_owner
     same_rows(QUERIES["outputs_exploded"](spark, folder).toPandas(), con.execute(ORACLE_SQL["outputs_exploded"]).df())
+
+
+def test_block_reads_reads_all_three_ways(spark):
+    """A table with blocks beyond 1,000: the last block, the rows from a block on, and the sampled rows."""
+    folder, con = "/root/testdata/sf0.01", duckdb.connect()
+    con.execute(f"create view orders as select * from '{folder}/orders.parquet'; create view lineitem as select * from '{folder}/lineitem.parquet'")
+    got = QUERIES["block_reads"](spark, folder).first()
+    assert (got.last_block, got.from_1000, got.sampled) == con.execute("select max(o_orderkey // 8), count(*) filter (o_orderkey // 8 >= 1000), count(*) filter (o_orderkey // 8 % 100 = 0 and o_orderkey // 8 between 500 and 5000) from orders").fetchone()
+    assert got.from_1000 > 0 and got.sampled > 0
