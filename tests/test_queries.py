@@ -47,3 +47,12 @@ def test_block_reads_reads_all_three_ways(spark):
     got = QUERIES["block_reads"](spark, folder).first()
     assert (got.last_block, got.from_1000, got.sampled) == con.execute("select max(o_orderkey // 8), count(*) filter (o_orderkey // 8 >= 1000), count(*) filter (o_orderkey // 8 % 100 = 0 and o_orderkey // 8 between 500 and 5000) from orders").fetchone()
     assert got.from_1000 > 0 and got.sampled > 0
+
+
+def test_blocks_are_made_with_one_exchange(spark, sf):
+    """Orders and lines go to their block once, as bare numbers; lines without an order make no block."""
+    from chainloom.plans import blocks
+    from chainloom.plans.views import Views
+
+    plan = blocks.nested(Views(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
