@@ -38,18 +38,32 @@ class Views:
         return self.table("orders").select(F.col("o_orderkey").alias("tx_id"), F.floor((ts - BASE) / DAY + 1).cast("bigint").alias("block_number"), ts.alias("ts"), F.col("o_custkey").alias("sender"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("value"), F.col("o_orderstatus").alias("chain"), F.col("o_orderpriority").alias("indexer"))
 
     @cached_property
-    def line(self) -> DataFrame:
-        """lineitem with an id, its ship time and its amount in cents."""
-        ship = seconds("l_shipdate")
+    def bare_line(self) -> DataFrame:
+        """lineitem with its ship time and its amount in cents; the long id is made from these columns by with_id()."""
         return self.table("lineitem").select(
-            F.sha2(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ship), 256).alias("utxo_id"), F.col("l_orderkey").alias("tx_id"), F.col("l_linenumber").cast("bigint").alias("output_index"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount"),
-            F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), ship.alias("ship_ts"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+            F.col("l_orderkey").alias("tx_id"), F.col("l_linenumber").cast("bigint").alias("output_index"), F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("amount"),
+            F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"), seconds("l_shipdate").alias("ship_ts"), F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
         )
 
+    @staticmethod
+    def with_id(lines: DataFrame) -> DataFrame:
+        return lines.select(F.sha2(F.concat_ws("|", "tx_id", "output_index", "part", "supp", "ship_ts"), 256).alias("utxo_id"), "*")
+
+    @cached_property
+    def line(self) -> DataFrame:
+        """lineitem with an id, its ship time and its amount in cents."""
+        return self.with_id(self.bare_line)
+
+    @cached_property
+    def line_by_tx(self) -> DataFrame:
+        """line, with a transaction's lines in one task; ids are made there, as they are most of a line's bytes."""
+        return self.with_id(self.bare_line.repartition("tx_id"))
+
     @cached_property
     def out(self) -> DataFrame:
         tx = self.tx.select("tx_id", F.col("ts").alias("created_ts"), "block_number", "sender")
-        return self.line.join(tx, "tx_id").select(
+        # Ids are made after the join, which so moves bare numbers.
+        return self.with_id(self.bare_line.join(tx, "tx_id")).select(
             "*", (F.col("part") % 5).alias("asset_id"), F.array(F.col("sender"), F.col("supp") + 100_000).alias("addresses"), F.when(F.col("flag") == "R", 2).otherwise(1).alias("threshold"),
             F.lit("p").alias("created_on"), F.when(F.col("supp") % 4 == 0, "x").otherwise("p").alias("consumed_on"), (F.col("status") == "O").alias("staked"),
             F.when(F.col("status") == "O", F.col("created_ts")).alias("stake_start"), F.when(F.col("status") == "O", F.col("created_ts") + DAY * (30 + F.col("supp") % 200)).alias("stake_end"),

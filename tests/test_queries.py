@@ -56,3 +56,15 @@ def test_blocks_are_made_with_one_exchange(spark, sf):
 
     plan = blocks.nested(Views(spark, sf))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_are_made_where_rows_have_been_joined(spark, sf):
+    """The long ids are made above the join of lines and transactions, so that the join moves bare numbers."""
+    from chainloom.plans.views import Views
+
+    plan = _optimized(Views(spark, sf).out)
+    assert plan.index("sha2") < plan.index("Join") and plan.count("sha2") == 1
