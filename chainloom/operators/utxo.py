@@ -179,7 +179,9 @@ def atomic_blocks(c_blocks: DataFrame, batch_from: int = BATCH_ATOMIC_FROM) -> D
 
 def address_index(utxos: DataFrame) -> DataFrame:
     """(store_chain, address, utxo_id), a row for each owner. Write it clustered by address for lookups."""
-    return utxos.select("store_chain", F.explode(F.array_distinct("addresses")).alias("address"), "utxo_id").distinct()
+    # Outputs are moved with their owners together; what repeats has one id, so it is in one task.
+    rows = utxos.select("store_chain", "addresses", "utxo_id").repartition("utxo_id")
+    return rows.select("store_chain", F.explode(F.array_distinct("addresses")).alias("address"), "utxo_id").distinct()
 
 
 def asset_metadata(x_txs: DataFrame) -> DataFrame:

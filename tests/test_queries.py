@@ -68,3 +68,13 @@ def test_ids_are_made_where_rows_have_been_joined(spark, sf):
 
     plan = _optimized(Views(spark, sf).out)
     assert plan.index("sha2") < plan.index("Join") and plan.count("sha2") == 1
+
+
+def test_address_index_moves_outputs_once(spark):
+    from chainloom.operators import utxo
+
+    rows = spark.createDataFrame([("p", ["a", "b", "a"], "u1"), ("p", ["a", "b"], "u1"), ("x", [], "u2")], "store_chain string, addresses array<string>, utxo_id string")
+    index = utxo.address_index(rows)
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(utxo_id" in plan
+    assert sorted(map(tuple, index.collect())) == [("p", "a", "u1"), ("p", "b", "u1")]
