@@ -108,7 +108,7 @@ def stakes_described(v: Views) -> DataFrame:
 @query(f"""with {_TYPED} select tx_id::varchar as tx_id, 'a' || part % 5 as asset_id, output_index, 'p' as consumed_on, false as staked, true as is_reward, {_OUT_COLUMNS} from typed where tt = 3 and {_KNOWN}""", "outs")
 def reward_outputs_made(v: Views) -> DataFrame:
     txs = p_typed(v)
-    each = txs.select("staking_tx_id", F.explode(F.concat("outs", "stake_outs", "exported_outs")).alias("out"))
+    each = txs.where("tx_type = 'RewardValidatorTx'").select("staking_tx_id", F.explode(F.concat("outs", "stake_outs", "exported_outs")).alias("out"))
     at = v.out.select("utxo_id", "output_index")
     rewards = each.join(at, each.out.utxo_id == at.utxo_id).select("staking_tx_id", F.col("output_index").alias("position"), "output_index", "out")
     return made(utxo.reward_outputs(txs, rewards).withColumn("role", F.lit("")), "tx_id", "is_reward").drop("role")

@@ -83,3 +83,9 @@ def test_address_index_moves_outputs_once(spark):
 def test_reward_ids_are_made_in_the_task_of_their_transaction(spark, sf):
     plan = _optimized(QUERIES["reward_match"](spark, sf))
     assert plan.index("sha2") < plan.index("RepartitionByExpression") and plan.count("RepartitionByExpression") == 1
+
+
+def test_rewards_are_opened_for_reward_transactions_only(spark, sf):
+    """Outputs of other transactions, which no reward can match, do not reach the joins."""
+    plan = _optimized(QUERIES["reward_outputs_made"](spark, sf))
+    assert plan.count("RewardValidatorTx") >= 2
