@@ -14,6 +14,8 @@ from chainloom.operators.ordered import checkpointed, value_at
 
 #: Upper bounds of the magnitudes by which differences are reported.
 MAGNITUDES = (10, 100, 1000, 10000)
+#: Leaves of JSON answers that a task sends back together, and characters of their paths.
+LEAVES, PATH_CHARS = 4096, 1 << 22
 
 
 def diff_row_sets(got: DataFrame, want: DataFrame) -> DataFrame:
@@ -102,20 +104,34 @@ def _leaves(text: str | None, match: tuple[str, ...], skip: tuple[str, ...]) ->
             yield path, str(x).lower() if isinstance(x, bool) else x
 
 
+def _leaf_batches(batches: Iterator[pa.RecordBatch], match: tuple[str, ...], skip: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    """The leaves of batches of (id, JSON), those of many rows together."""
+
+    def together(b: pa.RecordBatch, rows: list[int], found: list[tuple[str, str | None]]) -> pa.RecordBatch:
+        paths, values = zip(*found)
+        return pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(paths, pa.string()), pa.array(values, pa.string())], names=["id", "path", "value"])
+
+    for b in batches:
+        rows: list[int] = []
+        found: list[tuple[str, str | None]] = []
+        size = 0
+        for row, text in enumerate(b.column(1).to_pylist()):
+            for leaf in _leaves(text, match, skip):
+                rows.append(row)
+                found.append(leaf)
+                size += len(leaf[0])
+                if len(found) >= LEAVES or size >= PATH_CHARS:
+                    yield together(b, rows, found)
+                    rows, found, size = [], [], 0
+        if found:
+            yield together(b, rows, found)
+
+
 def leaves(df: DataFrame, id_col: str, json_col: str, match: tuple[str, ...] = ("utxoId", "txHash"), skip: tuple[str, ...] = ()) -> DataFrame:
     """(id, path, value): the leaves of JSON answers of any depth, in one pass. Elements of arrays go by the first of `match`
     that they have (txHash with rewardType), else by place; fields in skip are left out. Text that is no JSON is one leaf."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row, text in enumerate(b.column(1)):
-                found = list(_leaves(text.as_py(), match, skip))
-                if found:
-                    paths, values = zip(*found)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array([row] * len(found))), pa.array(paths), pa.array(values, pa.string())], names=["id", "path", "value"])
-
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, json_col).mapInArrow(run, f"id {kind}, path string, value string")
+    return df.select(id_col, json_col).mapInArrow(lambda batches: _leaf_batches(batches, match, skip), f"id {kind}, path string, value string")
 
 
 def diff_nested(a: DataFrame, b: DataFrame, id_col: str, json_col: str, skip: tuple[str, ...] = (), approx: dict[str, float] | None = None) -> DataFrame:

@@ -419,7 +419,7 @@ def durations_by_bucket(v: Views) -> DataFrame:
 def answers_diff(v: Views) -> DataFrame:
     def answers(keep: str, amount: Column) -> DataFrame:
         item = F.struct(F.col("utxo_id").alias("utxoId"), amount.alias("amount"), F.lit(keep).alias("age"))
-        return v.line.where(f"part % 3 <> 0 and {keep}").groupBy(F.col("tx_id").alias("id")).agg(F.to_json(F.struct(F.collect_list(item).alias("utxos"))).alias("j"))
+        return v.line_by_tx.where(f"part % 3 <> 0 and {keep}").groupBy(F.col("tx_id").alias("id")).agg(F.to_json(F.struct(F.collect_list(item).alias("utxos"))).alias("j"))
 
     changed = F.when(F.col("part") % 10 == 0, F.col("amount") + 1).otherwise(F.col("amount"))
     return quality.diff_nested(answers("part % 11 <> 0", F.col("amount")), answers("part % 13 <> 0", changed), "id", "j", skip=("age",))

@@ -89,3 +89,14 @@ def test_rewards_are_opened_for_reward_transactions_only(spark, sf):
     """Outputs of other transactions, which no reward can match, do not reach the joins."""
     plan = _optimized(QUERIES["reward_outputs_made"](spark, sf))
     assert plan.count("RewardValidatorTx") >= 2
+
+
+def test_leaves_of_many_answers_go_back_together():
+    import pyarrow as pa
+
+    from chainloom.operators import quality
+
+    answers = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(['{"a":1,"b":[2]}', None, "{"] * 100)], names=["id", "j"])
+    got = list(quality._leaf_batches(iter([answers]), (), ()))
+    assert len(got) == 1 and got[0].num_rows == 400
+    assert sorted(zip(*(got[0].column(i).to_pylist() for i in range(3))), key=str)[:2] == [(0, "$.a", "1"), (0, "$.b[0]", "2")]
