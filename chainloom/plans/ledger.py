@@ -179,7 +179,19 @@ def shown_utxos(v: Views) -> DataFrame:
 
 
 def fields(df: DataFrame, key: str, paths: dict[str, str]) -> DataFrame:
-    return df.select(key, *(F.get_json_object("response", p).alias(n) for n, p in paths.items()))
+    """Values of an answer by their paths (`$.a`, `$.a.b`, `$.a[0]`), as text; each answer is parsed once."""
+    kinds: dict[str, str] = {}
+    inner: dict[str, list[str]] = {}
+    for p in paths.values():
+        name, _, below = p[2:].partition(".")
+        if below:
+            inner.setdefault(name, []).append(below)
+        else:
+            kinds[name.split("[")[0]] = "array<string>" if "[" in name else "string"
+    kinds |= {n: f"struct<{','.join(f'{x}:string' for x in below)}>" for n, below in inner.items()}
+    parsed = df.select(key, F.explode(F.array(F.from_json("response", ",".join(f"{n} {k}" for n, k in kinds.items())))).alias("r"))
+    at = lambda p: F.get(F.col(f"r.{p[2:].split('[')[0]}"), F.lit(int(p.split("[")[1][:-1]))) if "[" in p else F.col(f"r.{p[2:]}")
+    return parsed.select(key, *(at(p).alias(n) for n, p in paths.items()))
 
 
 _NAMES = "n as (select p_partkey as asset_id, p_name, p_brand, p_size from part where p_partkey < 4)"

@@ -100,3 +100,9 @@ def test_leaves_of_many_answers_go_back_together():
     got = list(quality._leaf_batches(iter([answers]), (), ()))
     assert len(got) == 1 and got[0].num_rows == 400
     assert sorted(zip(*(got[0].column(i).to_pylist() for i in range(3))), key=str)[:2] == [(0, "$.a", "1"), (0, "$.b[0]", "2")]
+
+
+@pytest.mark.parametrize("name", ["p_answers", "xc_answers"])
+def test_answers_are_parsed_once(name, spark, sf):
+    plan = _optimized(QUERIES[name](spark, sf))
+    assert "get_json_object" not in plan and plan.count("from_json") == 1
