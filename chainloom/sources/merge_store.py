@@ -42,8 +42,10 @@ class MergeStore:
         self.root = self.root.rstrip("/")
         self.log = VersionLog(self.spark, f"{self.root}/_versions")
 
-    def _bucket(self, n: int) -> Column:
-        return F.pmod(F.xxhash64(*self.keys), F.lit(n)).cast("int").alias("_bucket")
+    def _bucket(self, value: dict) -> Column:
+        """The bucket of a row in the version, by the hash that repartition() goes by: see merge()."""
+        number = F.hash if value.get("hash", "" if value else "hash") == "hash" else F.xxhash64  # versions of older tables name none
+        return F.pmod(number(*self.keys), F.lit(value.get("buckets", self.buckets))).cast("int").alias("_bucket")
 
     def _rows(self, value: dict, only: set[str] | None = None) -> DataFrame | None:
         paths = sorted({f"{self.root}/{p}" for b, p in value.get("files", {}).items() if only is None or b in only})
@@ -59,37 +61,48 @@ class MergeStore:
         number, value = self.log.latest()
         if not number:
             return None
-        wanted = {str(r[0]) for r in keys.select(self._bucket(value["buckets"])).distinct().collect()}  # at most all buckets
+        wanted = {str(r[0]) for r in keys.select(self._bucket(value)).distinct().collect()}  # at most all buckets
         rows = self._rows(value, wanted)
         return rows.join(keys.select(*self.keys).distinct(), list(self.keys), "left_semi") if rows is not None else None
 
-    def merge(self, batch_id: int, updates: DataFrame, combine: Combine | None = None) -> int:
+    def merge(self, batch_id: int, updates: DataFrame, combine: Combine | None = None, stored: bool = False) -> int:
         """Merge a batch and return the version that has it. combine: one row for each key of rows with SEQ, 0 for what is there
         and 1 for the batch; by default last_given(). A batch id that is not above the last one's changes nothing.
 
-        A batch may have several rows of a key; combine must say which of them counts, if it matters.
+        A batch may have several rows of a key; combine must say which of them counts, if it matters. A batch is staged, as it is
+        read twice; stored says that it comes from files and gives the same rows each time, and need not be.
+
+        Rows are shuffled once, by key: combine finds a key's rows in one task, and as the number of tasks is a multiple of that of
+        buckets and both go by one hash, a task's rows are of one bucket.
         """
         number, value = self.log.latest()
         if number and batch_id <= value["batch"]:
             return number
-        n = value.get("buckets", self.buckets)
+        n, bucket = value.get("buckets", self.buckets), self._bucket(value)
         staged = f"{self.root}/_staged/{uuid.uuid4().hex}"
-        updates.withColumn("_bucket", self._bucket(n)).write.parquet(staged)
-        batch = self.spark.read.parquet(staged)
-        touched = sorted(str(r[0]) for r in batch.select("_bucket").distinct().collect())  # at most all buckets
+        if not stored:
+            updates.write.option("compression", "zstd").parquet(staged)
+            updates = self.spark.read.schema(updates.schema).parquet(staged)
+        seen = lambda rows: sorted(str(r[0]) for r in rows.select(bucket).distinct().collect())  # at most all buckets
+        # If a few rows touch every bucket, the others need not be asked.
+        touched = seen(updates.limit(64 * n))
+        touched = touched if len(touched) == n else seen(updates)
+        hash_name = value.get("hash", "") if value else "hash"
         if touched:
-            rows = batch.drop("_bucket").withColumn(SEQ, F.lit(1))
+            rows = updates.withColumn(SEQ, F.lit(1))
             before = self._rows(value, set(touched)) if number else None
             if before is not None:
                 rows = before.withColumn(SEQ, F.lit(0)).unionByName(rows, allowMissingColumns=True)
-            merged = (combine or (lambda r: last_given(r, self.keys)))(rows)
+            tasks = n * -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // n)
+            merged = (combine or (lambda r: last_given(r, self.keys)))(rows.repartition(tasks, *self.keys))
             folder = f"data/{number + 1:08d}-{uuid.uuid4().hex}"
-            merged.withColumn("_bucket", self._bucket(n)).repartition("_bucket").sortWithinPartitions("_bucket", *self.keys).write.partitionBy("_bucket").option("compression", "zstd").parquet(f"{self.root}/{folder}")
+            merged.withColumn("_bucket", bucket).sortWithinPartitions("_bucket", *self.keys).write.partitionBy("_bucket").option("compression", "zstd").parquet(f"{self.root}/{folder}")
             # Columns that only other buckets have stay in the table's schema.
             fields = {f.name: T.StructField(f.name, f.dataType) for f in (*(T.StructType.fromJson(json.loads(value["schema"])) if value.get("schema") else ()), *merged.schema)}
             value = {"files": value.get("files", {}) | {b: f"{folder}/_bucket={b}" for b in touched}, "schema": json.dumps(T.StructType(list(fields.values())).jsonValue())}
-        self.log.commit(number + 1, {"files": value.get("files", {}), "schema": value.get("schema", ""), "batch": batch_id, "buckets": n})
-        self.log.delete(staged)
+        self.log.commit(number + 1, {"files": value.get("files", {}), "schema": value.get("schema", ""), "batch": batch_id, "buckets": n, "hash": hash_name})
+        if not stored:
+            self.log.delete(staged)
         return number + 1
 
     def vacuum(self, keep: int = 2) -> list[str]:

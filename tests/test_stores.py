@@ -106,3 +106,28 @@ def test_new_columns_join_a_store(spark, tmp_path):
     store.merge(2, spark.range(4).selectExpr("id as k", "'x' as extra"))
     store.merge(3, spark.range(100, 101).selectExpr("id as k", "'y' as extra"))
     assert store.read().where("extra = 'x'").count() == 4 and store.read().where("a is not null").count() == 10
+
+
+def test_a_merge_shuffles_and_writes_a_row_once(spark, tmp_path, monkeypatch):
+    """A batch that comes from files is not staged; rows go by key to tasks of one bucket each, with no other exchange."""
+    plans, given = [], merge_store.last_given
+    monkeypatch.setattr(merge_store, "last_given", lambda rows, keys: plans.append(given(rows, keys)) or plans[-1])
+    spark.range(4000).selectExpr("id as k", "id as a").write.parquet(str(tmp_path / "in"))
+    batch = spark.read.parquet(str(tmp_path / "in"))
+    store = merge_store.MergeStore(spark, str(tmp_path / "s"), ("k",), 8)
+    store.merge(1, batch.where("k < 3000"), stored=True)
+    store.merge(2, batch.where("k >= 2000").selectExpr("k", "'x' as b"), stored=True)
+    assert not (tmp_path / "s" / "_staged").exists() and sorted(map(tuple, store.read().select("k", "a", "b").collect())) == [(k, k if k < 3000 else None, "x" if k >= 2000 else None) for k in range(4000)]
+    assert [p._jdf.queryExecution().executedPlan().toString().count("Exchange ") for p in plans] == [1, 1]
+    assert all(len(glob.glob(f"{tmp_path}/s/{f}/*.parquet")) == 1 for f in store.log.latest()[1]["files"].values())
+
+
+def test_a_table_begun_by_the_older_hash_keeps_it(spark, tmp_path):
+    store = merge_store.MergeStore(spark, str(tmp_path / "o"), ("k",), 4)
+    old = spark.range(100).selectExpr("id as k", "id as a", "cast(pmod(xxhash64(id), 4) as int) as _bucket")
+    old.write.partitionBy("_bucket").parquet(str(tmp_path / "o/data/1"))
+    store.log.commit(1, {"files": {str(b): f"data/1/_bucket={b}" for b in range(4)}, "schema": old.drop("_bucket").schema.json(), "batch": 1, "buckets": 4})
+    for k in (2, 3):
+        store.merge(k, spark.range(40, 50).selectExpr("id as k", f"id + {k} as a"))
+    assert sorted(map(tuple, store.read().collect())) == [(k, k + 3 if 40 <= k < 50 else k) for k in range(100)]
+    assert {tuple(r) for r in store.read_keys(spark.range(45, 56).selectExpr("id as k")).collect()} == {(k, k + 3 if k < 50 else k) for k in range(45, 56)}
