@@ -216,15 +216,32 @@ def transform_batch(nb: DataFrame) -> dict[str, DataFrame]:
     return {"blocks": evm_blocks(nb), "transactions": evm_transactions(nb), "receipts": evm_receipts(nb), "logs": evm_logs(nb), "internal_transactions": evm_internal_txs(nb), "messages": evm_messages(nb)}
 
 
+#: Tasks that whole blocks are gathered in, for each partition of the session's shuffles: their rows are long, and are not to spill.
+GATHERED = 4
+
+
 def assemble_blocks(blocks: DataFrame, receipts: DataFrame, traces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(assembled, transactions without a receipt): blocks(number, transactions) with receipts(transactionHash, ...) and
-    traces(txHash, result) attached in the transactions' order; a missing trace is null."""
+    traces(txHash, result) attached in the transactions' order; a missing trace is null.
+
+    Receipts and traces that both name their block, in `number`, belong to its transactions alone and move once, by block. Without
+    it they move twice, to their hash and to their block.
+    """
     txs = blocks.select("number", F.posexplode("transactions").alias("pos", "tx"))
-    r = receipts.select(F.col("transactionHash").alias("h"), F.struct(*receipts.columns).alias("receipt"))
-    t = traces.select(F.col("txHash").alias("th"), F.struct("txHash", "result").alias("trace"))
-    missing = txs.join(r, txs.tx.hash == r.h, "left_anti").select("number", F.col("tx.hash").alias("transactionHash"))
-    joined = txs.join(r, txs.tx.hash == r.h).join(t, txs.tx.hash == t.th, "left")
-    trace = F.coalesce("trace", F.struct(F.col("tx.hash").alias("txHash"), F.lit(None).cast("string").alias("result")))
+    by = ["number"] if "number" in receipts.columns and "number" in traces.columns else []
+    r = receipts.select(*by, F.col("transactionHash").alias("h"), F.struct(*(c for c in receipts.columns if c not in by)).alias("receipt"))
+    t = traces.select(*by, F.col("txHash").alias("h"), F.struct("txHash", "result").alias("trace"))
+    sent = txs.select("number", "pos", F.col("tx.hash").alias("h"))
+    missing = sent.join(r, [*by, "h"], "left_anti").select("number", F.col("h").alias("transactionHash"))
+    if by:
+        tasks = GATHERED * int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = sent.unionByName(r.where("h is not null"), allowMissingColumns=True).unionByName(t.where("h is not null"), allowMissingColumns=True).repartition(tasks, "number")
+        # Tasks have whole blocks, so neither of the groupings shuffles.
+        of_tx = rows.groupBy("number", "h").agg(*(F.collect_list(c).alias(c) for c in ("pos", "receipt", "trace")))
+        joined = of_tx.select("number", "h", F.explode("pos").alias("pos"), "receipt", "trace").select("number", "h", "pos", F.explode("receipt").alias("receipt"), "trace").select("number", "h", "pos", "receipt", F.explode_outer("trace").alias("trace"))
+    else:
+        joined = sent.join(r, "h").join(t, "h", "left")
+    trace = F.coalesce("trace", F.struct(F.col("h").alias("txHash"), F.lit(None).cast("string").alias("result")))
     parts = joined.groupBy("number").agg(F.sort_array(F.collect_list(F.struct("pos", "receipt", trace.alias("trace")))).alias("x"))
     return blocks.join(parts, "number", "left").select(*blocks.columns, F.col("x.receipt").alias("receipts"), F.col("x.trace").alias("traces")), missing
 

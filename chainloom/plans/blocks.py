@@ -138,8 +138,9 @@ def evm_messages_table(v: Views) -> DataFrame:
 @query(f"""with {_O} select {hx('num')} as number, string_agg({hx('k')}, ',' order by k) filter (k % 10 <> 0) as receipts, string_agg({hx('k')} || (case when k % 13 = 0 or k % 11 = 0 then '-' else '+' end), ',' order by k) filter (k % 10 <> 0) as traces from o group by num""")
 def blocks_assembled(v: Views) -> DataFrame:
     nb = nested(v)
-    receipts = nb.select(F.explode("receipts").alias("r")).select("r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
-    traces = nb.select(F.explode("traces").alias("t")).select("t.*").where(hexes.hex_to_long("txHash") % 11 != 0)
+    number = F.col("block.number").alias("number")
+    receipts = nb.select(number, F.explode("receipts").alias("r")).select("number", "r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
+    traces = nb.select(number, F.explode("traces").alias("t")).select("number", "t.*").where(hexes.hex_to_long("txHash") % 11 != 0)
     out, _ = evm.assemble_blocks(nb.select("block.number", "block.transactions"), receipts, traces)
     marked = F.transform("traces", lambda t: F.concat(t["txHash"], F.when(t["result"].isNull(), "-").otherwise("+")))
     return out.select("number", F.array_join("receipts.transactionHash", ",").alias("receipts"), F.array_join(marked, ",").alias("traces"))

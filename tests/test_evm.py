@@ -161,3 +161,20 @@ def test_export_stream_is_idempotent(spark, nb, tmp_path):
     assert sinks.read_export(spark, out, "transactions").count() == 2
     evm.evm_blocks(nb).write.parquet(f"{out}/blocks/batch_id=9")
     assert sinks.read_export(spark, out, "blocks").count() == 2
+
+
+def test_blocks_are_gathered_with_one_exchange(spark):
+    """Parts that name their block move once, and give what parts without it give; copies of a receipt all stay."""
+    blocks = spark.createDataFrame([(1, [("a",), ("b",), ("c",)]), (2, [("d",), (None,)]), (3, [])], "number bigint, transactions array<struct<hash:string>>")
+    receipts = spark.createDataFrame([(1, "a", 1), (1, "c", 3), (1, "c", 4), (2, "d", 5), (2, "none", 6), (2, None, 7)], "number bigint, transactionHash string, gasUsed bigint")
+    traces = spark.createDataFrame([(1, "a", "ta"), (2, "d", None), (2, None, "tn")], "number bigint, txHash string, result string")
+    rows = lambda x: [sorted(map(str, df.collect())) for df in x]
+    named, bare = evm.assemble_blocks(blocks, receipts, traces), evm.assemble_blocks(blocks, receipts.drop("number"), traces.drop("number"))
+    assert rows(named) == rows(bare) and named[0].schema == bare[0].schema
+    got = {r.number: (r.receipts and [x.gasUsed for x in r.receipts], r.traces and [tuple(x) for x in r.traces]) for r in named[0].collect()}
+    assert got == {1: ([1, 3, 4], [("a", "ta"), ("c", None), ("c", None)]), 2: ([5], [("d", None)]), 3: (None, None)}
+    assert sorted(map(str, (tuple(r) for r in named[1].collect()))) == ["(1, 'b')", "(2, None)"]
+    # A receipt of another block with the same hash belongs to that block.
+    assert evm.assemble_blocks(blocks, receipts.withColumn("number", 3 - F.col("number")), traces)[0].where("receipts is not null").count() == 0
+    plan = named[0].select("receipts")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and "hashpartitioning(h" not in plan and plan.count("Exchange hashpartitioning") == 1 + ("SortMergeJoin" in plan)
