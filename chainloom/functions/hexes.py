@@ -47,8 +47,10 @@ def hex_to_decimal(s: Text) -> Column:
 
 
 def hex_to_long(s: Text) -> Column:
-    """BIGINT; empty text is 0; null where the value does not fit."""
-    return hex_to_decimal(s).try_cast("bigint")
+    """BIGINT; empty text is 0; null where the value does not fit. Up to 15 digits, which always fit, take a short way."""
+    s = _col(s)
+    short = F.conv(F.concat(F.lit("0"), F.substring(s, 3, 15)), 16, 10).cast("bigint")
+    return F.when((F.length(s) <= 17) & _is_hex(s), short).otherwise(hex_to_decimal(s).try_cast("bigint"))
 
 
 def hex_to_long_or_null(s: Text) -> Column:

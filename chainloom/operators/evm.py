@@ -39,11 +39,18 @@ def _select(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select("blockhash", "blocknumber", "blocktimestamp", *columns, "partition_date")
 
 
-def _each(nb: DataFrame, items: str, name: str, at: str | None = None) -> DataFrame:
-    """One row for each item of a list of the block, as `name`, with its place in the list as `at` if wanted."""
-    rows = _base(nb, F.col(items).alias("items"))
-    keep = [c for c in rows.columns if c != "items"]
-    return rows.select(*keep, F.posexplode("items").alias(at, name) if at else F.explode("items").alias(name))
+def each_item(df: DataFrame, items: str, name: str, at: str = "_at") -> DataFrame:
+    """df with one row for each item of a list, as `name`, and its place as `at`, in place of the list; empty lists give none.
+
+    Of explode() Spark makes a filter on the list's size, which makes the items a second time where they are computed.
+    """
+    keep = [c for c in df.columns if c != items]
+    return df.select(*keep, F.posexplode_outer(items).alias(at, name)).where(F.col(at).isNotNull())
+
+
+def _each(nb: DataFrame, items: str, name: str, at: str = "_at") -> DataFrame:
+    """One row for each item of a list of the block, as `name`, with its place in the list as `at`."""
+    return each_item(_base(nb, F.col(items).alias("items")), "items", name, at)
 
 
 def evm_blocks(nb: DataFrame) -> DataFrame:

@@ -139,8 +139,8 @@ def evm_messages_table(v: Views) -> DataFrame:
 def blocks_assembled(v: Views) -> DataFrame:
     nb = nested(v)
     number = F.col("block.number").alias("number")
-    receipts = nb.select(number, F.explode("receipts").alias("r")).select("number", "r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
-    traces = nb.select(number, F.explode("traces").alias("t")).select("number", "t.*").where(hexes.hex_to_long("txHash") % 11 != 0)
+    receipts = evm.each_item(nb.select(number, "receipts"), "receipts", "r").select("number", "r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
+    traces = evm.each_item(nb.select(number, "traces"), "traces", "t").select("number", "t.*").where(hexes.hex_to_long("txHash") % 11 != 0)
     out, _ = evm.assemble_blocks(nb.select("block.number", "block.transactions"), receipts, traces)
     marked = F.transform("traces", lambda t: F.concat(t["txHash"], F.when(t["result"].isNull(), "-").otherwise("+")))
     return out.select("number", F.array_join("receipts.transactionHash", ",").alias("receipts"), F.array_join(marked, ",").alias("traces"))
@@ -149,8 +149,8 @@ def blocks_assembled(v: Views) -> DataFrame:
 @query(f"with {_O} select {hx('num')} as number, {hx('k')} as \"transactionHash\" from o where k % 10 = 0")
 def blocks_without_receipt(v: Views) -> DataFrame:
     nb = nested(v)
-    receipts = nb.select(F.explode("receipts").alias("r")).select("r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
-    return evm.assemble_blocks(nb.select("block.number", "block.transactions"), receipts, nb.select(F.explode("traces").alias("t")).select("t.*"))[1]
+    receipts = evm.each_item(nb.select("receipts"), "receipts", "r").select("r.*").where(hexes.hex_to_long("transactionHash") % 10 != 0)
+    return evm.assemble_blocks(nb.select("block.number", "block.transactions"), receipts, evm.each_item(nb.select("traces"), "traces", "t").select("t.*"))[1]
 
 
 @query(f"with {_O}, p as (select *, row_number() over (partition by num order by k) - 1 as i from o) select num as block_number, i::int as tx_index, {hx('k')} as tx_hash, case when num % 2 = 0 then 'block ' || k when k % 13 <> 0 then 'own ' || k end as trace from p")

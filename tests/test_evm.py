@@ -178,3 +178,10 @@ def test_blocks_are_gathered_with_one_exchange(spark):
     assert evm.assemble_blocks(blocks, receipts.withColumn("number", 3 - F.col("number")), traces)[0].where("receipts is not null").count() == 0
     plan = named[0].select("receipts")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("REPARTITION_BY_NUM") == 1 and "hashpartitioning(h" not in plan and plan.count("Exchange hashpartitioning") == 1 + ("SortMergeJoin" in plan)
+
+
+def test_lists_are_opened_without_making_their_items_twice(spark):
+    rows = spark.createDataFrame([(1, [7, None]), (2, []), (3, None)], "k int, x array<int>").select("k", F.transform("x", lambda i: i + 1).alias("items"))
+    got = evm.each_item(rows, "items", "i", "at")
+    assert sorted(map(str, map(tuple, got.collect()))) == ["(1, 0, 8)", "(1, 1, None)"]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("transform(") == 1

@@ -48,3 +48,11 @@ def test_rules(spark):
     assert [one(spark, rules.progress(F.lit(10), F.lit(20), F.lit(n))) for n in (5, 10, 15, 20)] == [0, 0, 50, 100]
     assert one(spark, rules.asset_type(F.lit("My NFT"), F.lit(None))) == "nft" and one(spark, rules.asset_type(F.lit("x"), F.lit(""))) == "secp256k1"
     assert one(spark, rules.rfc3339(F.lit(0))) == "" and one(spark, rules.rfc3339(F.lit(86400))) == "1970-01-02T00:00:00Z"
+
+
+def test_short_hex_gives_what_the_long_way_gives(spark):
+    texts = ["", "0x", "0X0", "0x0f", "0xABCDEF", "0x" + "f" * 15, "0x" + "f" * 16, "0x7" + "f" * 15, "0x8" + "0" * 15, "0x" + "0" * 40 + "1", "12", "-7", "9223372036854775808", "0xg", "x", " 0x1", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", hexes.hex_to_long("t").alias("n"), hexes.hex_to_decimal("t").try_cast("bigint").alias("d"))
+    assert [(r.t, r.n) for r in df.collect()] == [(r.t, r.d) for r in df.collect()]
+    # Short texts are no more made 38-digit decimals.
+    assert df.select("n").where("t = '0x0f'").first().n == 15 and "<= 17" in df.select("n")._jdf.queryExecution().analyzed().toString()
