@@ -1,5 +1,7 @@
 """Every registered ledger query against its SQL, over whole small tables."""
 
+import re
+
 import duckdb
 import pytest
 
@@ -58,6 +60,16 @@ def test_blocks_are_made_with_one_exchange(spark, sf):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+@pytest.mark.parametrize("name", ["evm_transactions_table"])
+def test_block_queries_move_rows_to_their_block_once(name, spark, sf):
+    """As run: one exchange by the block's number, whose result is used again, and beside it only the hashes (h) that blocks_without_receipt compares."""
+    df = QUERIES[name](spark, sf)
+    df.collect()
+    run = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    by = [re.search(r"Exchange hashpartitioning\(([^#,]+)", line)[1] for line in run.splitlines() if "Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+    assert [c for c in by if c != "h"] == ["num"]
+
+
 def _optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
