@@ -60,7 +60,7 @@ def test_blocks_are_made_with_one_exchange(spark, sf):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
-@pytest.mark.parametrize("name", ["evm_transactions_table", "timed_records", "blocks_without_receipt", "evm_messages_table", "binary_headers", "block_headers"])
+@pytest.mark.parametrize("name", ["evm_transactions_table", "timed_records", "blocks_without_receipt", "evm_messages_table", "binary_headers", "block_headers", "evm_receipts_table"])
 def test_block_queries_move_rows_to_their_block_once(name, spark, sf):
     """As run: one exchange by the block's number, whose result is used again, and beside it only the hashes (h) that blocks_without_receipt compares."""
     df = QUERIES[name](spark, sf)
