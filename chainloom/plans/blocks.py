@@ -31,14 +31,14 @@ def nested(v: Views) -> DataFrame:
 
     Orders and lines go to their block's task once, as bare numbers; the nested parts are made there.
     """
-    order_row = v.table("orders").select(F.col("o_orderkey").alias("k"), F.lit(None).cast("bigint").alias("ln"), F.col("o_custkey").alias("a"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("b"), F.lit(None).cast("bigint").alias("c"), F.col("o_orderstatus").alias("t"))
-    line_row = v.table("lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("bigint").alias("ln"), F.col("l_partkey").cast("bigint").alias("a"), F.col("l_suppkey").cast("bigint").alias("b"), F.round("l_quantity").cast("bigint").alias("c"), F.col("l_returnflag").alias("t"))
+    order_row = v.table("orders").select(F.col("o_orderkey").alias("k"), F.lit(False).alias("line"), F.lit(None).cast("bigint").alias("ln"), F.col("o_custkey").alias("a"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("b"), F.lit(None).cast("bigint").alias("c"), F.col("o_orderstatus").alias("t"))
+    line_row = v.table("lineitem").select(F.col("l_orderkey").alias("k"), F.lit(True).alias("line"), F.col("l_linenumber").cast("bigint").alias("ln"), F.col("l_partkey").cast("bigint").alias("a"), F.col("l_suppkey").cast("bigint").alias("b"), F.round("l_quantity").cast("bigint").alias("c"), F.col("l_returnflag").alias("t"))
     rows = order_row.unionByName(line_row).withColumn("num", F.floor(F.col("k") / 8).cast("bigint")).repartition("num")
     # A block has few orders, and an order few lines.
-    x = rows.groupBy("num").agg(F.sort_array(F.collect_list(F.struct("k", "ln", "a", "b", "c", "t"))).alias("x"))
-    own = lambda o: F.filter("x", lambda l: (l["k"] == o["k"]) & l["ln"].isNotNull())  # noqa: E731, E741
-    orders = F.transform(F.filter("x", lambda o: o["ln"].isNull()), lambda o: F.struct(o["k"].alias("k"), o["a"].alias("cust"), o["b"].alias("v"), o["t"].alias("status"), own(o).alias("lines")))
-    blocks = x.where(F.exists("x", lambda o: o["ln"].isNull())).select("num", orders.alias("o"))
+    x = rows.groupBy("num").agg(F.sort_array(F.collect_list(F.struct("k", "line", "ln", "a", "b", "c", "t"))).alias("x"))
+    own = lambda o: F.filter("x", lambda l: (l["k"] == o["k"]) & l["line"])  # noqa: E731, E741
+    orders = F.transform(F.filter("x", lambda o: ~o["line"]), lambda o: F.struct(o["k"].alias("k"), o["a"].alias("cust"), o["b"].alias("v"), o["t"].alias("status"), own(o).alias("lines")))
+    blocks = x.where(F.exists("x", lambda o: ~o["line"])).select("num", orders.alias("o"))
 
     def log(l: Column) -> Column:  # noqa: E741
         key, ln, part, supp = l["k"], l["ln"], l["a"], l["b"]

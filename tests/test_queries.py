@@ -70,6 +70,25 @@ def test_block_queries_move_rows_to_their_block_once(name, spark, sf):
     assert [c for c in by if c != "h"] == ["num"]
 
 
+@pytest.fixture(scope="module")
+def unnumbered_lines(sf, tmp_path_factory):
+    """Orders, and lines of which some have no number, no order's key, or the key of no order, and SQL over them."""
+    folder, con = tmp_path_factory.mktemp("unnumbered"), duckdb.connect()
+    for t in ("lineitem", "orders"):
+        con.execute(f"create table {t} as select * from '{sf}/{t}.parquet'")
+    con.execute("update lineitem set l_linenumber = null where l_orderkey % 10 in (0, 3) and l_partkey % 2 = 0")
+    con.execute("update lineitem set l_orderkey = case when l_partkey % 2 = 0 then l_orderkey + 100000 end where l_orderkey % 10 = 4")
+    for t in ("lineitem", "orders"):
+        con.execute(f"copy {t} to '{folder}/{t}.parquet'")
+    return str(folder), con
+
+
+@pytest.mark.parametrize("name", ["evm_transactions_table", "timed_records", "blocks_without_receipt", "evm_messages_table", "binary_headers", "block_headers", "evm_receipts_table"])
+def test_a_line_without_number_is_no_order(name, spark, same_rows, unnumbered_lines):
+    folder, con = unnumbered_lines
+    same_rows(QUERIES[name](spark, folder).toPandas(), con.execute(ORACLE_SQL[name]).df())
+
+
 def _optimized(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
