@@ -12,6 +12,8 @@ P_CATEGORIES = ("unlockedUnstaked", "unlockedStaked", "lockedPlatform", "lockedS
 X_CATEGORIES = ("unlocked", "locked", "atomicMemoryUnlocked", "atomicMemoryLocked")
 C_CATEGORIES = ("atomicMemoryUnlocked", "atomicMemoryLocked")
 PENDING_EXPORT = "pendingExport"
+#: Known owners of a transaction, or what else is a home, that each of its rows is compared with; where there are more, rows go to their owners.
+HOME_OWNERS = 1024
 
 
 def utxos_for_addresses(utxos: DataFrame, addresses: DataFrame, key: str = "utxo_id", owners: str = "addresses") -> DataFrame:
@@ -21,11 +23,34 @@ def utxos_for_addresses(utxos: DataFrame, addresses: DataFrame, key: str = "utxo
     return utxos.join(hit, key, "left_semi")
 
 
-def spendable_by(utxos: DataFrame, addresses: DataFrame, key: str = "utxo_id", owners: str = "addresses", threshold: str = "threshold") -> DataFrame:
-    """Rows of which at least `threshold` different owners are in addresses(address)."""
-    hit = utxos.select(key, threshold, F.explode(F.array_distinct(owners)).alias("address")).join(addresses.select("address").distinct(), "address", "left_semi")
-    enough = hit.groupBy(key).agg(F.countDistinct("address").alias("n"), F.max(threshold).alias("t")).where("n >= t").select(key)
-    return utxos.join(enough, key, "left_semi")
+def spendable_by(utxos: DataFrame, addresses: DataFrame, key: str = "utxo_id", owners: str = "addresses", threshold: str = "threshold", home: str | None = None, owned: DataFrame | None = None) -> DataFrame:
+    """Rows of which at least `threshold` different owners are in addresses(address). Rows of one key count together: the owners
+    of all, against the greatest threshold of those that have such an owner.
+
+    home is a column whose value is the same in all rows of a key and never null, as the transaction of an output. Owners are
+    then looked up by home, where the rows stay, so that long keys are not moved; only rows of homes with over HOME_OWNERS owners
+    in addresses are. owned has, as (home, address), at least the owners of utxos, where they can be had without making the
+    rows a second time.
+    """
+    asked = addresses.select("address").distinct()
+    if home is None:
+        each = utxos.select("*", F.posexplode_outer(F.array_distinct(owners)).alias("_at", "_owner")).join(asked.select(F.col("address").alias("_asked")), F.col("_owner") == F.col("_asked"), "left")
+        counted = each.withColumn("_hits", F.when(F.col(key).isNotNull() & F.col("_asked").isNotNull(), F.array("_owner")))
+        return _enough(counted, [key], threshold).where("coalesce(_at, 0) = 0").select(key, *(c for c in utxos.columns if c != key))
+    owned = utxos.select(home, F.explode(owners).alias("address")) if owned is None else owned.select(home, "address")
+    # Moved before they are collected: lists of one or two owners would be larger than the rows.
+    known = owned.join(asked, "address", "left_semi").repartition(home).groupBy(home).agg(F.collect_set("address").alias("_known"))
+    crowded = F.size("_known") > HOME_OWNERS
+    counted = utxos.join(known.where(~crowded), home).withColumn("_hits", F.when(F.col(key).isNotNull(), F.array_intersect(owners, "_known")))
+    out = _enough(counted, [home, key], threshold).select(key, *(c for c in utxos.columns if c != key))
+    return out.unionByName(spendable_by(utxos.join(known.where(crowded).select(home), home, "left_semi"), addresses, key, owners, threshold))
+
+
+def _enough(rows: DataFrame, by: list[str], threshold: str) -> DataFrame:
+    """Rows whose group's `_hits` have together as many different owners as the greatest threshold among those with any."""
+    group = Window.partitionBy(*by)
+    n = F.size(F.array_distinct(F.flatten(F.collect_list("_hits").over(group))))
+    return rows.withColumns({"_n": n, "_t": F.max(F.when(F.size("_hits") > 0, F.col(threshold))).over(group)}).where("_n >= _t")
 
 
 def filter_unspent(utxos: DataFrame, now: Column, include_spent: bool = False, include_active_staked: bool = True) -> DataFrame:

@@ -70,6 +70,11 @@ class Views:
             F.when(F.col("part") % 3 == 0, F.col("created_ts") + DAY * (F.col("part") % 400)).otherwise(0).alias("platform_locktime"), F.when(F.col("part") % 7 == 0, F.col("created_ts") + DAY * (F.col("part") % 400)).otherwise(0).alias("stakeable_locktime"),
         )
 
+    @cached_property
+    def owned(self) -> DataFrame:
+        """(tx_id, address): the owners of out, from the tables themselves, so a sender comes once; lines without an order are in it too."""
+        return self.tx.select("tx_id", F.col("sender").alias("address")).union(self.bare_line.select("tx_id", F.col("supp") + 100_000))
+
     @cached_property
     def spend(self) -> DataFrame:
         return self.out.where("flag = 'A'").select("utxo_id", F.concat(F.lit("s"), s("tx_id")).alias("consuming_tx"), (F.col("created_ts") + DAY * (1 + F.col("part") % 90)).alias("consuming_ts"))

@@ -111,6 +111,40 @@ def test_address_index_moves_outputs_once(spark):
     assert sorted(map(tuple, index.collect())) == [("p", "a", "u1"), ("p", "b", "u1")]
 
 
+def test_multisig_ids_are_made_where_rows_stay(spark, sf):
+    """As run without broadcasts, no exchange has the long id: lines and owners move as bare numbers, by transaction or address."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        df = QUERIES["multisig_spendable"](spark, sf)
+        df.collect()
+    finally:
+        spark.conf.set(limit, was)
+    run = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Exchange" in run and "Exchange hashpartitioning(utxo_id" not in run
+    assert run.count("sha2(") == 1 and run.index("sha2(") < run.index("Exchange")
+
+
+@pytest.mark.parametrize("how", ["by key", "by home", "owners given", "a crowded home", "crowded homes"])
+def test_rows_of_one_key_are_spendable_together(how, spark, monkeypatch):
+    """Owners of all rows of a key count, against the greatest threshold of those with a hit; a null key is never found."""
+    from chainloom.operators import balances
+
+    rows = [
+        (1, "a", ["p", "q"], 2), (1, "b", ["p", "p"], 2), (1, "c", ["p", "z"], 1), (2, "d", ["p"], 2), (2, "d", ["q", None], 1), (2, "d", ["z"], 9), (2, "e", ["z"], 0), (3, "f", ["r"], None), (3, None, ["p"], 1), (4, "g", None, 1), (4, "h", [], 0), (5, "i", ["p"], 1), (5, "i", ["p"], 1), (5, "j", ["p"], 0),
+    ]
+    utxos = spark.createDataFrame(rows, "tx long, utxo_id string, addresses array<string>, threshold int")
+    addresses = spark.createDataFrame([("p",), ("q",), ("r",), ("p",), (None,), ("far",)], "address string")
+    owned = spark.createDataFrame([(n, a) for n in range(7) for a in ("p", "q", "r", "z", None)], "tx long, address string")
+    options = {"by key": {}, "owners given": {"home": "tx", "owned": owned}}.get(how, {"home": "tx"})
+    if "crowded" in how:
+        monkeypatch.setattr(balances, "HOME_OWNERS", 1 if how == "a crowded home" else 0)
+    got = balances.spendable_by(utxos, addresses, **options)
+    assert got.columns == ["utxo_id", "tx", "addresses", "threshold"]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(((k, t, a, n) for t, k, a, n in rows if k in ("a", "c", "d", "i", "j")), key=str)
+
+
 def test_reward_ids_are_made_in_the_task_of_their_transaction(spark, sf):
     plan = _optimized(QUERIES["reward_match"](spark, sf))
     assert plan.index("sha2") < plan.index("RepartitionByExpression") and plan.count("RepartitionByExpression") == 1
